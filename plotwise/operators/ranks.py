@@ -91,59 +91,73 @@ def _sizes(stats: DataFrame):
 def exact_median(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
     """groups, n, median: the exact middle value (mean of two) of each group.
 
-    A mergeable sketch brackets the middle of each group; the rows in the bracket are
+    Groups of at most SMALL_GROUP_ROWS rows are ordered as they are. Beyond that, a
+    mergeable sketch brackets the middle of each group; the rows in the bracket are
     counted exactly and the bracket is narrowed a few hundredfold per pass, until it
-    holds at most SMALL_GROUP_ROWS rows or one value. The few distinct values left are
-    then counted and ordered. NULL values and groups do not count.
+    holds few rows or one value. NULL values and groups do not count.
+
+    Runs at once: the two columns are kept in executor memory or on disk between the
+    passes, and the result, one row per group, is checkpointed.
     """
     groups = list(groups or [])
-    rows = df.select(*groups, F.col(value).cast("double").alias("v")).dropna()
-    sketch = lambda v: F.percentile_approx(v, GRID, SKETCH_ACCURACY).alias("grid")
-    inf = F.lit(float("inf"))
+    rows = df.select(*groups, F.col(value).cast("double").alias("v")).dropna().persist()
+    try:
+        return cut_lineage(_median(rows, groups))
+    finally:
+        rows.unpersist()
+
+
+def _median(rows: DataFrame, groups: list[str]) -> DataFrame:
+    inside = F.col("v").between(F.col("lo"), F.col("hi"))
+    sketch = F.percentile_approx(F.when(inside, F.col("v")), GRID, SKETCH_ACCURACY)
+    keys = [*groups, "n", "k1", "k2", "lo", "hi"]
     stats = cut_lineage(
         rows.groupBy(*groups)
-        .agg(F.count("*").alias("n"), sketch("v"))
+        .agg(F.count("*").alias("n"))
         .where("n > 0")
         .select(
             *groups,
             "n",
             F.floor((F.col("n") - 1) / 2).alias("k1"),
             F.floor(F.col("n") / 2).alias("k2"),
-            (-inf).alias("lo"),
-            inf.alias("hi"),
+            F.lit(float("-inf")).alias("lo"),
+            F.lit(float("inf")).alias("hi"),
             F.lit(0).cast("bigint").alias("below"),
             F.col("n").alias("inside"),
-            "grid",
         )
     )
     size, margin = _sizes(stats), 1
     if not size["groups"]:
         return stats.select(*groups, "n", F.col("lo").alias("median"))
-    inside = F.col("v").between(F.col("lo"), F.col("hi"))
-    while size["most"] > SMALL_GROUP_ROWS and margin < 1000:
-        trial = cut_lineage(
-            _with_bracket(rows, _narrow(stats, groups, margin), groups, size["groups"])
-            .groupBy(*groups, "n", "k1", "k2", "lo", "hi")
+
+    def count_and_sketch(bracket):
+        return cut_lineage(
+            _with_bracket(rows, bracket, groups, size["groups"])
+            .groupBy(*keys)
             .agg(
                 F.count_if(F.col("v") < F.col("lo")).alias("below"),
                 F.count_if(inside).alias("inside"),
-                sketch(F.when(inside, F.col("v"))),
+                sketch.alias("grid"),
             )
         )
+
+    if size["most"] > SMALL_GROUP_ROWS:
+        stats = count_and_sketch(stats.select(*keys))
+    while size["most"] > SMALL_GROUP_ROWS and margin < 1000:
+        trial = count_and_sketch(_narrow(stats, groups, margin))
         narrowed = _sizes(trial)
         if narrowed["missed"]:
             margin *= 10  # never taken while the sketch keeps its bound
             continue
-        done = narrowed["most"] == size["most"]  # one value fills the bracket
+        stuck = narrowed["most"] == size["most"]  # one value fills the bracket
         stats, size = trial, narrowed
-        if done:
+        if stuck:
             break
-    bracket = stats.select(*groups, "n", "k1", "k2", "lo", "hi")
     # equal values fold before the shuffle; all that lies under the bracket is one row
     counted = (
-        _with_bracket(rows, bracket, groups, size["groups"])
+        _with_bracket(rows, stats.select(*keys), groups, size["groups"])
         .where(F.col("v") <= F.col("hi"))
-        .groupBy(*groups, "n", "k1", "k2", F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("v"))
+        .groupBy(*keys, F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("v"))
         .agg(F.count("*").alias("c"))
     )
     upto = F.sum("c").over(W.partitionBy(*groups).orderBy(F.col("v").asc_nulls_first()))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plotwise.operators.ranks import exact_median
+from plotwise.session import cut_lineage
 
 PAGE_SIZE = 25
 HISTOGRAM_BINS = 30
@@ -88,15 +89,18 @@ def dashboard_filter(
 
 def kpi_row(df: DataFrame, value: str = "price_per_sqm") -> DataFrame:
     """Listings, exact median and mean of the value, number of cities: one row."""
-    counts = df.agg(
-        F.count("*").alias("listings"),
-        F.avg(value).alias("avg_ppsqm"),
-        F.count_distinct("city").alias("cities"),
-    )
-    middle = exact_median(df, value)
-    return counts.select(
-        "listings", middle.select("median").scalar().alias("median_ppsqm"), "avg_ppsqm", "cities"
-    )
+    frame = df.select(value, "city").persist()  # two columns, read by both aggregates
+    try:
+        counts = frame.agg(
+            F.count("*").alias("listings"),
+            F.avg(value).alias("avg_ppsqm"),
+            F.count_distinct("city").alias("cities"),
+        )
+        middle = exact_median(frame, value).select("median").scalar()
+        row = counts.select("listings", middle.alias("median_ppsqm"), "avg_ppsqm", "cities")
+        return cut_lineage(row)
+    finally:
+        frame.unpersist()
 
 
 def median_by_city(df: DataFrame, value: str = "price_per_sqm") -> DataFrame:

@@ -34,7 +34,7 @@ def _days_summary(span: DataFrame) -> DataFrame:
     lengths = span.where("dom is not null").groupBy("dom").agg(F.count("*").alias("n"))
     return lengths.agg(
         (F.sum(F.col("dom") * F.col("n")) / F.sum("n")).alias("avg_dom_days"),
-        F.percentile("dom", 0.5, "n").alias("median_dom_days"),
+        F.percentile("dom", 0.5, F.col("n")).alias("median_dom_days"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("listings_count"),
     )
 
