@@ -190,13 +190,13 @@ def dashboard_filter(spark, sf_dir):
     )
 
 
-KPI = """SELECT count(*) AS listings, round(quantile_cont(price_per_sqm, 0.5), 6) AS median_ppsqm,
+KPI = """SELECT count(*) AS listings, quantile_cont(price_per_sqm, 0.5) AS median_ppsqm,
 round(avg(price_per_sqm), 6) AS avg_ppsqm, count(DISTINCT city) AS cities FROM """
 
 
 def _kpi(df):
     row = dashboard.kpi_row(df)
-    return row.select("listings", r6("median_ppsqm").alias("median_ppsqm"), r6("avg_ppsqm").alias("avg_ppsqm"), "cities")
+    return row.select("listings", "median_ppsqm", r6("avg_ppsqm").alias("avg_ppsqm"), "cities")
 
 
 @query("kpi_row", f"WITH {OBS} {KPI} obs")
@@ -211,12 +211,12 @@ def kpi_row_filtered(spark, sf_dir):
 
 @query(
     "median_ppsqm_by_city",
-    f"""WITH {OBS} SELECT city, round(quantile_cont(price_per_sqm, 0.5), 6) AS median_ppsqm
+    f"""WITH {OBS} SELECT city, quantile_cont(price_per_sqm, 0.5) AS median_ppsqm
     FROM obs WHERE price_per_sqm IS NOT NULL GROUP BY city""",
 )
 def median_ppsqm_by_city(spark, sf_dir):
     medians = dashboard.median_by_city(listings(spark, sf_dir, published=False))
-    return medians.select("city", r6("median_ppsqm").alias("median_ppsqm"))
+    return medians.select("city", "median_ppsqm")
 
 
 @query(
@@ -246,7 +246,7 @@ def ppsqm_histogram(spark, sf_dir):
 @query(
     "top_listings",
     f"""WITH {OBS} SELECT listing_title, city, address, property_type, round(price_php, 2) AS price_php, area_sqm,
-    round(price_per_sqm, 6) AS price_per_sqm, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at,
+    price_per_sqm, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at,
     strftime(scraped_at, '%Y-%m-%d %H:%M:%S') AS scraped_at, url FROM obs
     ORDER BY obs.published_at DESC NULLS LAST, url, l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice LIMIT 25""",
 )
@@ -254,7 +254,7 @@ def top_listings(spark, sf_dir):
     top = dashboard.top_listings(listings(spark, sf_dir), ties=("url", *TIES))
     return top.select(
         "listing_title", "city", "address", "property_type", F.round("price_php", 2).alias("price_php"),
-        "area_sqm", r6("price_per_sqm").alias("price_per_sqm"), ts_text("published_at").alias("published_at"),
+        "area_sqm", "price_per_sqm", ts_text("published_at").alias("published_at"),
         ts_text("scraped_at").alias("scraped_at"), "url",
     )
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from plotwise.functions.text import captured, strip
+from plotwise.functions import add_layers
+from plotwise.functions.text import SPACE, empty_to_null, squeeze, strip
 
 # The order of units in a relative date, each with its length in seconds.
 UNITS = (
@@ -15,19 +16,19 @@ UNITS = (
     ("hour", 3600),
     ("minute", 60),
 )
-AGO = "(?iuU)" + "".join(rf"(?:([0-9]+)\s*{unit}s?)?\s*,?\s*" for unit, _ in UNITS[:-1]) + (
-    r"(?:([0-9]+)\s*minutes?)?\s*ago"
-)
-DATE_TOKEN = r"([0-9]{1,2}\s+[A-Za-z]{3,}\s+[0-9]{4})"
+AGO = "(?i)" + "".join(rf"(?:([0-9]+) ?{unit}s?)? ?,? ?" for unit, _ in UNITS[:-1]) + (
+    r"(?:([0-9]+) ?minutes?)? ?ago"
+)  # on squeezed text
+DATE_TOKEN = rf"([0-9]{{1,2}}{SPACE}+[A-Za-z]{{3,}}{SPACE}+[0-9]{{4}})"
 
-# Absolute dates understood besides ISO text, tried in this order. A weekday in front
-# is skipped; a time, with or without zone, may follow.
+# Absolute dates understood besides ISO text: the shape of the text and its format. A
+# weekday in front is skipped; a time, with or without zone, may follow.
 DATE_FORMATS = (
-    "d [MMMM][MMM] yyyy[ H:mm[:ss]][ Z][ z]",
-    "[MMMM][MMM] d yyyy[ H:mm[:ss]][ Z][ z]",
-    "M/d/yyyy[ H:mm[:ss]]",
-    "yyyy/M/d[ H:mm[:ss]]",
-    "yyyyMMdd",
+    (r"^[0-9]{1,2} [A-Za-z]{3,} [0-9]", "d [MMMM][MMM] yyyy[ H:mm[:ss]][ Z][ z]"),
+    (r"^[A-Za-z]{3,} [0-9]", "[MMMM][MMM] d yyyy[ H:mm[:ss]][ Z][ z]"),
+    (r"^[0-9]{1,2}/", "M/d/yyyy[ H:mm[:ss]]"),
+    (r"^[0-9]{4}/", "yyyy/M/d[ H:mm[:ss]]"),
+    (r"^[0-9]{8}$", "yyyyMMdd"),
 )
 DAY_FORMATS = DATE_FORMATS[:1]
 WEEKDAY = r"^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,? "
@@ -38,54 +39,82 @@ def parse_timestamp(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
-def _parse_with(text: Column, formats) -> Column:
-    spaced = strip(F.regexp_replace(text, r"(?U)\s+", " "))
-    named = F.regexp_replace(spaced, r"(?i)\bsept\b", "Sep")
-    plain = F.regexp_replace(named, rf"(?i){WEEKDAY}|(?<=[a-z])\.|(?<=[0-9]),(?= )", "")
-    return F.coalesce(*[F.try_to_timestamp(plain, F.lit(f)) for f in formats])
+def _plain(text: Column) -> Column:
+    """Text as the formats expect it: one space, no weekday, no dots after names."""
+    named = F.regexp_replace(strip(squeeze(text)), r"(?i)\bsept\b", "Sep")
+    return F.regexp_replace(named, rf"(?i){WEEKDAY}|(?<=[a-z])\.|(?<=[0-9]),(?= )", "")
+
 
+def _by_formats(plain: Column, formats) -> Column:
+    """The format is chosen by shape: a format that fails costs an exception."""
+    parsed = F.lit(None).cast("timestamp")
+    for shape, pattern in reversed(formats):
+        parsed = F.when(plain.rlike(shape), F.try_to_timestamp(plain, F.lit(pattern))).otherwise(parsed)
+    return parsed
 
-def parse_absolute(text: Column) -> Column:
-    """ISO text or one of DATE_FORMATS; a naive value is UTC."""
-    return F.coalesce(parse_timestamp(strip(text)), _parse_with(text, DATE_FORMATS))
 
+def with_absolute(df: DataFrame, out: str, text: Column) -> DataFrame:
+    """ISO text or one of DATE_FORMATS; a naive value is UTC, an unreadable one NULL."""
+    iso, plain = F.col(f"__{out}_iso"), F.col(f"__{out}_plain")
+    return add_layers(
+        df,
+        {f"__{out}_iso": parse_timestamp(strip(text))},
+        {f"__{out}_plain": F.when(iso.isNull(), _plain(text))},
+        {out: F.coalesce(iso, _by_formats(plain, DATE_FORMATS))},
+    )
 
-def _age_seconds(text: Column) -> Column:
-    total = F.lit(0).cast("bigint")
-    for group, (_, seconds) in enumerate(UNITS, start=1):
-        amount = F.coalesce(captured(text, AGO, group), F.lit("0")).try_cast("bigint")
-        total = F.try_add(total, F.try_multiply(amount, F.lit(seconds).cast("bigint")))
+
+def _age_seconds(run: Column) -> Column:
+    """Seconds of a matched run such as '1 day, 6 hours ago'."""
+    total = F.lit(0.0)
+    for unit, seconds in UNITS:
+        digits = F.regexp_extract(run, rf"(?i)([0-9]+) ?{unit}", 1)
+        total = total + F.coalesce(empty_to_null(digits).try_cast("double"), F.lit(0.0)) * seconds
     return total
 
 
 def _before(as_of: Column, seconds: Column) -> Column:
-    micros = F.try_multiply(seconds, F.lit(1_000_000).cast("bigint"))
+    """NULL when the age is out of range."""
+    micros = (seconds * 1_000_000.0).try_cast("bigint")
     return F.timestamp_micros(F.try_subtract(F.unix_micros(as_of), micros))
 
 
-def relative_timestamp(text: Column, as_of: Column) -> Column:
+def with_relative(df: DataFrame, out: str, text: Column, as_of: Column) -> DataFrame:
     """'2 months ago' counted back from as_of; NULL unless a unit is given."""
-    has_unit = F.regexp_extract(text, AGO, 0).rlike("[0-9]")
-    return F.when(has_unit, _before(as_of, _age_seconds(text)))
+    run = F.col(f"__{out}_run")
+    return add_layers(
+        df,
+        {f"__{out}_run": F.regexp_extract(squeeze(text), AGO, 0)},
+        {out: F.when(run.rlike("[0-9]"), _before(as_of, _age_seconds(run)))},
+    )
 
 
-def published_timestamp(text: Column, as_of: Column) -> Column:
+def with_published(df: DataFrame, out: str, text: Column, as_of: Column) -> DataFrame:
     """Relative text first (a bare 'ago' means now), else an absolute date."""
-    is_relative = strip(text).rlike(AGO)
-    return F.when(is_relative, _before(as_of, _age_seconds(text))).otherwise(parse_absolute(text))
+    run, absolute = F.col(f"__{out}_run"), f"__{out}_abs"
+    df = df.withColumn(f"__{out}_run", F.regexp_extract(squeeze(text), AGO, 0))
+    df = with_absolute(df, absolute, F.when(run == "", text))
+    age = F.when(run != "", _before(as_of, _age_seconds(run)))
+    return df.withColumn(out, F.coalesce(age, F.col(absolute))).drop(f"__{out}_run", absolute)
 
 
 def token_timestamp(text: Column, source_tz: str) -> Column:
     """The first 'd Month yyyy' inside a text, read in the source's own zone."""
-    token = captured(text, DATE_TOKEN, 1)
-    return F.to_utc_timestamp(_parse_with(token, DAY_FORMATS), source_tz)
+    token = F.regexp_extract(text, DATE_TOKEN, 1)
+    return F.to_utc_timestamp(_by_formats(_plain(token), DAY_FORMATS), source_tz)
 
 
-def zoned_timestamp(text: Column, source_tz: str) -> Column:
+OFFSET = r"(?:Z|GMT|UTC|:[0-9.]+ ?[+-][0-9]{2}:?(?:[0-9]{2})?)\s*$"
+
+
+def with_zoned(df: DataFrame, out: str, text: Column, source_tz: str) -> DataFrame:
     """Absolute text; a value without an offset is read in the source's own zone."""
-    parsed = parse_absolute(text)
-    has_offset = text.rlike(r"(?:Z|GMT|UTC|:[0-9.]+ ?[+-][0-9]{2}:?(?:[0-9]{2})?)\s*$")
-    return F.when(has_offset, parsed).otherwise(F.to_utc_timestamp(parsed, source_tz))
+    parsed = f"__{out}_utc"
+    df = with_absolute(df, parsed, text)
+    zoned = F.when(text.rlike(OFFSET), F.col(parsed)).otherwise(
+        F.to_utc_timestamp(parsed, source_tz)
+    )
+    return df.withColumn(out, zoned).drop(parsed)
 
 
 def iso_utc(ts: Column) -> Column:
@@ -97,9 +126,10 @@ def iso_seconds(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
 
-def written_date(text: Column, run_date: Column | None = None) -> Column:
+def with_written_date(df: DataFrame, out: str, text: Column, run_date: Column | None = None) -> DataFrame:
     """The day as written in a timestamp text, not shifted to UTC."""
-    day = F.coalesce(
-        F.substring(strip(text), 1, 10).try_cast("date"), parse_absolute(text).cast("date")
-    )
-    return day if run_date is None else F.coalesce(day, run_date)
+    parsed = f"__{out}_abs"
+    day = F.substring(strip(text), 1, 10).try_cast("date")
+    df = with_absolute(df, parsed, F.when(day.isNull(), text))
+    days = [day, F.col(parsed).cast("date")] + ([run_date] if run_date is not None else [])
+    return df.withColumn(out, F.coalesce(*days)).drop(parsed)

@@ -44,6 +44,7 @@ BLOCK = frozenset(
 ENDS = {
     "p": BLOCK,
     "li": frozenset(("li",)),
+    "a": frozenset(("a", "fieldset", "table", "td", "th")),
     "dt": frozenset(("dt", "dd")),
     "dd": frozenset(("dt", "dd")),
     "option": frozenset(("option", "optgroup")),
@@ -52,6 +53,8 @@ ENDS = {
     "th": frozenset(("td", "th", "tr")),
     "head": frozenset(("body",)),
 }
+ENDS |= {name: frozenset(("p",)) for name in "b big i s small strike tt u".split()}
+ENDS |= {f"h{n}": frozenset(("p", "table", "form", "fieldset")) for n in range(1, 7)}
 
 _SIMPLE = re.compile(
     r"(?P<tag>[\w-]+|\*)|\#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)"
@@ -67,7 +70,6 @@ _TESTS = {
     "|=": lambda have, want: have == want or have.startswith(want + "-"),
 }
 
-
 TAG = None  # the name of a test on the element itself, not on an attribute
 
 
@@ -90,7 +92,10 @@ def _compile(selector: str):
     chains = []
     for alternative in re.split(r",(?![^\[]*\])", selector):
         chain, child = [], False
-        for step in re.findall(r">|(?:\[[^\]]*\]|[^\s>\[])+", alternative.strip()):
+        steps = re.findall(r">|(?:\[[^\]]*\]|[^\s>\[])+", alternative)
+        if "".join(steps).replace(" ", "") != re.sub(r"\s", "", alternative):
+            return None
+        for step in steps:
             if step == ">":
                 child = True
                 continue

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Unicode spaces plus the four ASCII separators; use under the (?U) flag.
-SPACE = r"[\s\x1c-\x1f]"
+# Fixed value: every character that counts as a space, as a regex class (Java's \\s knows
+# ASCII only and its Unicode mode is slower) and spelled out.
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+SPACES = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)]))
+SPACES += "\u2028\u2029\u202f\u205f\u3000"
 
 # The peso sign and its mis-decoded form.
 PESO = "₱"
@@ -13,12 +16,12 @@ BROKEN_PESO = "â‚±"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.trim(text, F.lit(SPACES))
 
 
 def blank_to_null(text: Column) -> Column:
     """NULL for text without any visible character, else the text unchanged."""
-    return F.when(text.rlike(rf"(?U)[^\s\x1c-\x1f]"), text)
+    return F.when(strip(text) != "", text)
 
 
 def empty_to_null(text: Column) -> Column:
@@ -32,12 +35,12 @@ def first_filled(*texts: Column) -> Column:
 
 def clean_text(text: Column) -> Column:
     repaired = F.replace(strip(text), F.lit(BROKEN_PESO), F.lit(PESO))
-    return F.regexp_replace(repaired, rf"(?U){SPACE}+", " ")
+    return squeeze(repaired)
 
 
 def normalize_text(text: Column) -> Column:
     """One space between words, none at the ends, NULL when nothing is left."""
-    return empty_to_null(strip(F.regexp_replace(text, rf"(?U){SPACE}+", " ")))
+    return empty_to_null(strip(squeeze(text)))
 
 
 def strip_text(text: Column) -> Column:
@@ -50,13 +53,22 @@ def captured(text: Column, pattern: str, group: int) -> Column:
     return empty_to_null(F.regexp_extract(text, pattern, group))
 
 
+def squeeze(text: Column) -> Column:
+    """Every run of spaces becomes one space."""
+    return F.regexp_replace(text, f"{SPACE}+", " ")
+
+
 def first_integer(text: Column) -> Column:
-    return captured(text, r"[0-9]+", 0).try_cast("bigint")
+    return empty_to_null(F.regexp_extract(text, r"[0-9]+", 0)).try_cast("bigint")
 
 
 def to_number(text: Column) -> Column:
-    """Lenient number: bad text and NaN are NULL."""
-    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
+    """Lenient number: bad text and NaN are NULL.
+
+    Text of another shape is not cast at all: a failing cast costs an exception per row.
+    """
+    shaped = text.rlike(r"(?i)^\s*[-+]?(?:\.?[0-9]|inf)")
+    return F.when(shaped, text.try_cast("double"))
 
 
 def to_count(text: Column) -> Column:

@@ -10,9 +10,12 @@ from plotwise.functions.text import empty_to_null
 URL_PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
+CONTROL = "".join(chr(c) for c in range(0x21))
+
+
 def _tidy(url: Column) -> Column:
     """Line breaks and tabs are dropped anywhere, control characters in front."""
-    return F.regexp_replace(F.translate(url, "\t\r\n", ""), r"^[\x00-\x20]+", "")
+    return F.ltrim(F.translate(url, "\t\r\n", ""), F.lit(CONTROL))
 
 
 def _part(url: Column, group: int) -> Column:
@@ -25,11 +28,12 @@ def canonical_url(url: Column) -> Column:
     NULL for an address without a scheme: it names no page on its own.
     """
     tidy = _tidy(url)
+    bare = F.regexp_replace(F.regexp_replace(tidy, "(?s)[?#].*$", ""), r"(?<=/)([^/;]*);[^/]*$", "$1")
     scheme = F.lower(_part(tidy, 1))
-    host = F.regexp_replace(_part(tidy, 2), "^//", "")
-    path = F.regexp_replace(_part(tidy, 3), r";[^/]*$", "")
-    return F.when(
-        scheme != "", F.rtrim(F.concat(scheme, F.lit("://"), host, path), F.lit("/"))
+    rest = F.regexp_replace(F.substr(bare, F.length(scheme) + 2), "^//", "")
+    return (
+        F.when(tidy.rlike(r"^[a-z][a-z0-9+.\-]*://"), F.rtrim(bare, F.lit("/")))
+        .when(scheme != "", F.rtrim(F.concat(scheme, F.lit("://"), rest), F.lit("/")))
     )
 
 
@@ -66,8 +70,13 @@ def _resolve_path(base_path: Column, path: Column) -> Column:
 
 
 def resolve_link(page_url: Column, href: Column) -> Column:
-    """Absolute address of a link found on a page (RFC 3986 reference resolution)."""
+    """Absolute address of a link found on a page (RFC 3986 reference resolution).
+
+    Rooted links without dots, by far the most, take the first branch.
+    """
     base, link = _tidy(page_url), _tidy(href)
+    origin = F.regexp_extract(base, r"^[a-z][a-z0-9+.\-]*://[^/?#]*", 0)
+    plain = link.rlike(r"^/(?!/)[^?#]*$") & ~link.contains("/.")
     scheme, host = F.lower(_part(base, 1)), _part(base, 2)
     base_path, base_query = _part(base, 3), _part(base, 4)
     own_scheme = F.lower(_part(link, 1))
@@ -76,7 +85,9 @@ def resolve_link(page_url: Column, href: Column) -> Column:
     fragment = F.when(_part(link, 5) != "#", _part(link, 5)).otherwise("")
     root = F.concat(scheme, F.lit(":"), host)
     return (
-        F.when((link == "") | (base == ""), F.when(base == "", link).otherwise(base))
+        F.when(plain & (origin != ""), F.concat(origin, link))
+        .when(base == "", link)
+        .when(link == "", base)
         .when((own_scheme != "") & (own_scheme != scheme), link)
         .when(own_host != "", F.concat(scheme, F.lit(":"), own_host, path, query, fragment))
         .when(

@@ -12,7 +12,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plotwise import schemas
 from plotwise.functions import amounts
-from plotwise.functions.dates import iso_seconds, parse_absolute, parse_timestamp, written_date
+from plotwise.functions.dates import (
+    iso_seconds,
+    parse_timestamp,
+    with_absolute,
+    with_written_date,
+)
 from plotwise.functions.text import empty_to_null, first_filled, normalize_text, to_count
 from plotwise.operators.dedupe import keep_latest
 from plotwise.operators.projection import allow_columns, keep_columns, prefer_columns
@@ -77,22 +82,35 @@ def _given_text(df: DataFrame, name: str) -> Column:
     return _or_null(df, name).cast("string")
 
 
-def _amount_columns(df: DataFrame, rules: Rules) -> dict[str, Column]:
-    price, area = _or_null(df, "price", "variant"), _or_null(df, "area", "variant")
+def _with_amounts(df: DataFrame, rules: Rules) -> DataFrame:
+    """Amount columns, and the objects they came from in _price and _area."""
+    df = amounts.with_objects(
+        df,
+        json_text=rules.amounts != "flat",
+        price=_or_null(df, "price", "variant"),
+        area=_or_null(df, "area", "variant"),
+    )
+    price, area = F.col("_price"), F.col("_area")
     if rules.amounts == "publish":
-        return {
-            "price_php": amounts.publish_price(price, _given_number(df, "price_php")),
-            "area_sqm": amounts.publish_area(
-                area, _given_text(df, "area_sqm"), _or_null(df, "description")
-            ),
-        }
+        return df.withColumns(
+            {
+                "price_php": amounts.publish_price(
+                    price, F.col("_price_text"), _given_number(df, "price_php")
+                ),
+                "area_sqm": amounts.publish_area(
+                    area, _given_text(df, "area_sqm"), _or_null(df, "description")
+                ),
+            }
+        )
     if rules.amounts == "flat":
-        return amounts.flatten_price(price) | amounts.flatten_area(area)
-    return {
-        "price_value": amounts.price_value(price),
-        "price_currency": amounts.price_currency(price),
-        "area_sqm": amounts.area_sqm(area),
-    }
+        df = df.withColumns(amounts.flatten_price(price) | amounts.flatten_area(area))
+    else:
+        df = df.withColumns(
+            {"price_value": amounts.price_value(price), "price_currency": amounts.price_currency(price)}
+        )
+        df = amounts.with_area_sqm(df, "area_sqm", area, F.col("_area_text"))
+    peso = amounts.peso_price(F.col("price_value"), F.col("price_currency"), rules.currency)
+    return df.withColumn("price_php", peso)
 
 
 def with_defaults(df: DataFrame, now: Column, source_env: str = DEFAULT_ENV) -> DataFrame:
@@ -136,11 +154,7 @@ def load(
         df = df.where(empty_to_null(F.col("url")).isNotNull())
     given_source = _or_null(df, "source")
     aliases = [_or_null(df, c) for c in ("listing_title", "title", "listingTitle")]
-    df = df.withColumns(_amount_columns(df, rules))
-    if rules.amounts != "publish":
-        df = df.withColumn(
-            "price_php", amounts.peso_price(F.col("price_value"), F.col("price_currency"), rules.currency)
-        )
+    df = _with_amounts(df, rules)
     if rules.ratio:
         ratio = amounts.per_sqm(F.col(rules.ratio), F.col("area_sqm"))
     else:
@@ -155,32 +169,36 @@ def load(
         for name in ("property_type", "address", "published_at_text"):
             columns[name] = normalize_text(_or_null(df, name))
         columns["description"] = empty_to_null(_or_null(df, "description"))
-        columns["published_at"] = parse_absolute(_or_null(df, "published_at"))
+        df = with_absolute(df, "published_at", _or_null(df, "published_at"))
     for name in ("bedrooms", "bathrooms"):
         columns[name] = to_count(_or_null(df, name).cast("string"))
     if rules.name in ("publish", "dump", "staged"):
         nothing = F.lit(None).cast("variant")
-        price, area = _or_null(df, "price", "variant"), _or_null(df, "area", "variant")
-        keep = (lambda v: F.when(amounts.is_object(v), v)) if rules.tidy_text else (lambda v: v)
-        columns["price_json"] = F.coalesce(keep(price), nothing)
-        columns["area_json"] = F.coalesce(keep(area), nothing)
+        for name in ("price", "area"):
+            kept = F.col(f"_{name}") if rules.tidy_text else _or_null(df, name, "variant")
+            columns[f"{name}_json"] = F.coalesce(kept, nothing)
         named = F.lit(source)
         columns["source"] = (
             F.coalesce(empty_to_null(given_source), named) if rules.name == "publish" else named
         )
     written = _or_null(df, "scraped_at")
     if rules.name == "relational":
-        columns["as_of_date"] = (
-            written_date(written) if "scraped_at" in df.columns else now.cast("date")
-        )
+        if "scraped_at" in df.columns:
+            df = with_written_date(df, "as_of_date", written)
+        else:
+            columns["as_of_date"] = now.cast("date")
     if rules.name in ("dump", "staged"):
         written = F.coalesce(empty_to_null(written), now.cast("string"))
     columns["scraped_at"] = parse_timestamp(written)
     df = df.withColumns(columns)
     if rules.min_area is not None:
+        # counted before the gate; the count also keeps Spark from pushing the gate down
+        # to where it would work out price and area a second time
+        df = df.observe(f"{rules.name}_gate", F.count(F.lit(1)).alias("rows_read"))
         df = publishable(df, rules.min_area)
     if rules.latest_only:
         df = df.drop("price", "area", "price_php", "listing_title", "listingTitle")
+        df = df.drop("_price", "_area", "_price_text", "_area_text")
         df = keep_latest(df, ties=ties).withColumn("scraped_at", iso_seconds(F.col("scraped_at")))
         return prefer_columns(df, rules.columns)
     if rules.name == "relational":
