@@ -26,10 +26,20 @@ def _json(spark: SparkSession, schema: T.StructType):
     return spark.read.schema(with_bad).option("columnNameOfCorruptRecord", CORRUPT)
 
 
-def _from_path(df: DataFrame) -> DataFrame:
+def corrupt_line() -> Column:
+    """The corrupt-record column, tied to a second column: Spark refuses to read it alone."""
+    return F.coalesce(F.col(CORRUPT), F.nullif(F.substring("url", 1, 0), F.lit("")))
+
+
+def from_path(df: DataFrame) -> DataFrame:
+    """Add run and portal, taken from the file's path."""
     path = F.col("_metadata.file_path")
     return df.withColumns(
-        {"run": F.regexp_extract(path, DUMP_PATH, 1), "portal": F.regexp_extract(path, DUMP_PATH, 2)}
+        {
+            "run": F.regexp_extract(path, DUMP_PATH, 1),
+            "portal": F.regexp_extract(path, DUMP_PATH, 2),
+            CORRUPT: corrupt_line(),
+        }
     )
 
 
@@ -42,7 +52,7 @@ def read_dumps(spark: SparkSession, base: str, kind: str, portal: str = "*") ->
 
     A line that is not a JSON object is kept in the _corrupt column.
     """
-    return _from_path(_json(spark, KINDS[kind]).json(dump_glob(base, kind, portal)))
+    return from_path(_json(spark, KINDS[kind]).json(dump_glob(base, kind, portal)))
 
 
 def latest_dump_paths(
@@ -70,7 +80,7 @@ def read_latest_dumps(spark: SparkSession, base: str, kind: str, portal: str = "
     paths = latest_dump_paths(spark, base, kind, portal)
     if not paths:
         raise FileNotFoundError(f"no {kind} file of portal {portal!r} in any run under {base}")
-    return _from_path(_json(spark, KINDS[kind]).json(sorted(paths.values())))
+    return from_path(_json(spark, KINDS[kind]).json(sorted(paths.values())))
 
 
 def latest_run(df: DataFrame, portal: str = "portal", run: str = "run") -> DataFrame:
@@ -119,4 +129,4 @@ def read_staged(spark: SparkSession, base: str, kind: str) -> DataFrame:
     keys = [T.StructField(k, T.StringType()) for k in ("run", "portal")]
     schema = T.StructType([*KINDS[kind].fields, T.StructField(CORRUPT, T.StringType()), *keys])
     reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.json(f"{base}/{kind}")
+    return reader.json(f"{base}/{kind}").withColumn(CORRUPT, corrupt_line())

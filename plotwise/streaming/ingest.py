@@ -7,26 +7,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from plotwise import schemas
 from plotwise.operators.merge import merge_into_table, upsert_null_safe
 from plotwise.plans.loaders import DUMP, load, writable
-from plotwise.sources.staged import CORRUPT, DUMP_PATH, KINDS, dump_glob
+from plotwise.sources.staged import CORRUPT, KINDS, dump_glob, from_path
 
 
-def stream_staged(spark: SparkSession, base: str, kind: str = "listings", files_per_batch: int = 1000) -> DataFrame:
+def stream_staged(
+    spark: SparkSession, base: str, kind: str = "listings", files_per_batch: int = 1000
+) -> DataFrame:
     """New files of any run and portal, with the file's run and portal."""
     schema = T.StructType([*KINDS[kind].fields, T.StructField(CORRUPT, T.StringType())])
-    path = F.col("_metadata.file_path")
-    return (
+    arriving = (
         spark.readStream.schema(schema)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(dump_glob(base, kind))
-        .withColumns(
-            {
-                "run": F.regexp_extract(path, DUMP_PATH, 1),
-                "portal": F.regexp_extract(path, DUMP_PATH, 2),
-                "line": F.col("_metadata.file_block_start"),
-            }
-        )
     )
+    return from_path(arriving)
 
 
 def ingest_into_table(
