@@ -9,6 +9,7 @@ from checks.standin import OBS, TIES, now, observations, r6, table, ts_text
 from plotwise.functions import amounts, dates, text, urls
 from plotwise.operators import dedupe, projection
 from plotwise.plans import loaders
+from plotwise.session import spread
 
 # --- staged records derived from observations ----------------------------------
 # price: an object, JSON text, plain text or missing; area: an object or one of two texts
@@ -213,7 +214,7 @@ def normalized_prices(spark, sf_dir):
     n = F.col("l_linenumber")
     tail = F.when(n % 2 == 0, "  /month").when(n == 7, "/ yr").otherwise(".50")
     shown = F.concat(F.lit(" â‚± "), F.format_number(F.floor("l_extendedprice"), 0), tail)
-    rows = table(spark, sf_dir, "lineitem").withColumn("shown", shown)
+    rows = spread(table(spark, sf_dir, "lineitem")).withColumn("shown", shown)
     priced = amounts.with_price_from_text(rows, "p", F.col("shown"))
     return priced.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "p.*")
 
@@ -348,7 +349,7 @@ def title_alias(spark, sf_dir):
 def clean_texts(spark, sf_dir):
     tidy = text.clean_text(F.col("text"))
     tag = text.normalize_text(F.concat("lang", F.lit("  "), "source"))
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id", F.length(tidy).alias("clean_length"), F.md5(tidy).alias("clean_md5"), F.md5(tag).alias("tag_md5")
     )
 
@@ -417,7 +418,7 @@ def relative_dates(spark, sf_dir):
         .when(n == 6, F.concat(F.lit("Updated "), q, F.lit(" Months, 2 weeks AGO")))
         .otherwise(F.concat(F.lit("posted "), n.cast("string"), F.lit(" days, "), q, F.lit(" hours ago")))
     )
-    rows = table(spark, sf_dir, "lineitem").withColumns(
+    rows = spread(table(spark, sf_dir, "lineitem")).withColumns(
         {"shown": shown, "as_of": F.col("l_shipdate").cast("timestamp")}
     )
     rows = dates.with_published(rows, "published", F.col("shown"), F.col("as_of"))
@@ -445,7 +446,7 @@ def absolute_dates(spark, sf_dir):
         .otherwise(F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
     )
     token = F.when(k == 0, dates.token_timestamp(F.concat(F.lit("Listed: "), "shown", F.lit(" (new)")), "Asia/Manila"))
-    rows = table(spark, sf_dir, "orders").withColumn("shown", shown).withColumn("token", token)
+    rows = spread(table(spark, sf_dir, "orders")).withColumn("shown", shown).withColumn("token", token)
     rows = dates.with_absolute(rows, "parsed", F.col("shown"))
     rows = dates.with_written_date(rows, "written", F.col("shown"))
     return rows.select(

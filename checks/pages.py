@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 from checks.registry import query
 from checks.standin import now, r6, table, ts_text
 from plotwise.functions.html import jsonld_nodes
-from plotwise.functions.urls import canonical_url, resolve_link, with_page_number
+from plotwise.functions.urls import canonical_url, with_page_number, with_resolved
 from plotwise.operators import dedupe, discovery, extract, quality
 from plotwise.plans import details
+from plotwise.session import spread
 
 LANG = r"^https?://[^/]+/([a-z]+)"
 BARE = "regexp_replace(url, '[?#].*$', '')"
 
 
 def pages(spark, sf_dir):
-    return table(spark, sf_dir, "pages").withColumn("portal", F.regexp_extract("url", LANG, 1))
+    return spread(table(spark, sf_dir, "pages")).withColumn("portal", F.regexp_extract("url", LANG, 1))
 
 
 # --- URLs ---------------------------------------------------------------------
@@ -34,14 +35,17 @@ def canonical_urls(spark, sf_dir):
     regexp_extract(url, '^(https?://[^?#]*/)', 1) || 'next' AS beside FROM pages""",
 )
 def resolved_links(spark, sf_dir):
-    def link(text):
-        return resolve_link(F.col("url"), F.lit(text))
-
-    return table(spark, sf_dir, "pages").select(
-        "page_id", link("/a/./b/../c?x=1").alias("rooted"), link("https://b.example.org/z").alias("absolute"),
-        link("?page=3").alias("query_only"), link("//cdn.example.org/i").alias("host_only"),
-        link("./next").alias("beside"),
-    )
+    links = {
+        "rooted": "/a/./b/../c?x=1",
+        "absolute": "https://b.example.org/z",
+        "query_only": "?page=3",
+        "host_only": "//cdn.example.org/i",
+        "beside": "./next",
+    }
+    df = table(spark, sf_dir, "pages")
+    for name, href in links.items():
+        df = with_resolved(df, name, F.col("url"), F.lit(href))
+    return df.select("page_id", *links)
 
 
 @query(
@@ -271,7 +275,7 @@ def listing_pages(spark, sf_dir, with_gaps=False):
     if with_gaps:
         g = F.col("p_partkey") % 10
         body = F.when(g == 1, "").when(g == 2, F.lit("<html><body><p>gone</p></body></html>")).otherwise(body)
-    part = table(spark, sf_dir, "part").withColumn("p_container", F.reverse("p_name"))
+    part = spread(table(spark, sf_dir, "part")).withColumn("p_container", F.reverse("p_name"))
     url = F.concat(F.lit("https://p.example.com/property/"), F.col("p_partkey").cast("string"))
     return part.select("p_partkey", url.alias("url"), body.alias("html"))
 
@@ -334,7 +338,7 @@ def scripts(spark, sf_dir):
         .when(k == 2, F.concat(F.lit('{"a":1}\n'), inner))
         .otherwise(F.concat(inner, F.lit("\n{broken")))
     )
-    return table(spark, sf_dir, "events").select("event_id", "value", F.array(text, F.lit(" ")).alias("scripts"))
+    return spread(table(spark, sf_dir, "events")).select("event_id", "value", F.array(text, F.lit(" ")).alias("scripts"))
 
 
 @query(

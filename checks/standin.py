@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plotwise.functions.amounts import peso_price, per_sqm
 from plotwise.functions.urls import canonical_url
-from plotwise.session import tune
+from plotwise.session import spread, tune
 
 TIES = ("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")
 CITY = r"(NATION_[0-9]+)"
@@ -37,7 +37,7 @@ def observations(
     spark: SparkSession, sf_dir: str, part=True, address=False, published=False
 ) -> DataFrame:
     """listing_obs. Only the joins a query needs: an inner join is never dropped."""
-    df = table(spark, sf_dir, "lineitem").withColumn(
+    df = spread(table(spark, sf_dir, "lineitem")).withColumn(
         "raw_url",
         F.concat(
             F.lit("https://p.example.com/property/"),

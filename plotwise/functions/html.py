@@ -71,6 +71,7 @@ _TESTS = {
 }
 
 TAG = None  # the name of a test on the element itself, not on an attribute
+LINK = None  # the name of the link selector among the probes
 
 
 class Probe(NamedTuple):
@@ -143,16 +144,34 @@ def _chain_fits(chain, path, depth) -> bool:
     return any(d >= 0 and _chain_fits(chain[1:], path, d) for d in above)
 
 
+def _anchor(tests):
+    """The rarest thing an element must have to match the right end of a chain."""
+    for name, op, want in tests:
+        if name == "class" and op == "~=":
+            return ("class", want)
+    names = [name for name, _, _ in tests if name is not TAG]
+    return ("attr", names[0]) if names else ("tag", tests[0][2])
+
+
+def _anchors(tag, attrs):
+    yield ("tag", tag)
+    yield ("tag", "*")
+    for name in attrs:
+        yield ("attr", name)
+    for name in (attrs.get("class") or "").split():
+        yield ("class", name)
+
+
 class _PageReader(HTMLParser):
     """Collects texts, first matches of the probes, links and ld+json scripts."""
 
     def __init__(self, probes, links):
         super().__init__(convert_charrefs=True)
-        self.waiting = {n: c for n, c in probes.items() if c[0]}
-        self.link_chains = links
-        chains = [c for group, _ in self.waiting.values() for c in group] + links
-        self.bare = {w for c in chains for name, _, w in c[0][1] if name is TAG}
-        self.bare_any = "*" in self.bare
+        self.reads = {name: read for name, (chains, read) in probes.items() if chains}
+        self.index = {}
+        wanted = [(n, c) for n in self.reads for c in probes[n][0]] + [(LINK, c) for c in links]
+        for name, chain in wanted:
+            self.index.setdefault(_anchor(chain[0][1]), []).append((name, chain))
         self.path, self.texts, self.buffer = [], [], []
         self.found, self.links, self.scripts = {}, [], []
 
@@ -180,18 +199,21 @@ class _PageReader(HTMLParser):
         names = []
         self.path.append((tag, attrs, len(self.texts), names))
         depth = len(self.path) - 1
-        if attrs or self.bare_any or tag in self.bare:
-            self._probe(tag, attrs, depth, names)
+        fits = {
+            name
+            for anchor in _anchors(tag, attrs)
+            for name, chain in self.index.get(anchor, ())
+            if (name is LINK or name in self.reads) and _chain_fits(chain, self.path, depth)
+        }
+        if LINK in fits:
+            fits.remove(LINK)
+            if attrs.get("href"):
+                self.links.append(attrs["href"])
+        for name in fits:
+            self._read(name, self.reads.pop(name), tag, attrs, names)
         if tag in VOID:
             self.close_to(depth)
 
-    def _probe(self, tag, attrs, depth, names):
-        for name in [n for n, (chains, _) in self.waiting.items()
-                     if any(_chain_fits(c, self.path, depth) for c in chains)]:
-            self._read(name, self.waiting.pop(name)[1], tag, attrs, names)
-        if attrs.get("href") and any(_chain_fits(c, self.path, depth) for c in self.link_chains):
-            self.links.append(attrs["href"])
-
     def _read(self, name, read, tag, attrs, names):
         if read.startswith("@"):
             if attrs.get(read[1:]) is not None:
@@ -298,17 +320,30 @@ def read_pages(probes: dict[str, Probe], links: str | None = None, page_text=Fal
             out.append(row)
         return pa.array(out, type=_ARROW_TYPE)
 
-    return read
+    return _once(read)
 
 
 @F.arrow_udf(NODES_TYPE)
-def jsonld_nodes(scripts: pa.Array) -> pa.Array:
-    """Nodes of the ld+json script texts of a page that was tokenised elsewhere."""
+def _jsonld_nodes(scripts: pa.Array) -> pa.Array:
     return pa.array(
         [node_rows(s or []) for s in scripts.to_pylist()], type=_ARROW_TYPE.field("nodes").type
     )
 
 
+def jsonld_nodes(scripts: str) -> Column:
+    """Nodes of the ld+json script texts of a page that was tokenised elsewhere."""
+    return _once(_jsonld_nodes)(scripts)
+
+
+def _once(udf):
+    """Mark a function as not to be repeated.
+
+    Spark copies a deterministic function into every filter it derives or pushes down;
+    each copy would read all pages again.
+    """
+    return udf.asNondeterministic()
+
+
 def first_typed(nodes: Column, *types: str) -> Column:
     """Body of the first node that is of any of the types; node order decides."""
     wanted = F.array(*[F.lit(t) for t in types])

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from plotwise.functions import add_layers
 from plotwise.functions.text import empty_to_null
 
 # scheme, authority (with its slashes), path, query, fragment
@@ -37,10 +38,30 @@ def canonical_url(url: Column) -> Column:
     )
 
 
-def _without_dots(segments: Column) -> Column:
-    """Apply '.' and '..' in a list of path segments and join it again."""
+def with_resolved(df: DataFrame, out: str, page_url: Column, href: Column) -> DataFrame:
+    """Absolute address of a link found on a page (RFC 3986 reference resolution).
+
+    Rooted links without dots, by far the most, need no parts: theirs stay NULL.
+    """
+
+    def c(name):
+        return F.col(f"__{out}_{name}")
+
+    def layer(**columns):
+        return {f"__{out}_{name}": column for name, column in columns.items()}
+
+    origin = F.regexp_extract(c("base"), r"^[a-z][a-z0-9+.\-]*://[^/?#]*", 0)
+    rooted = c("link").rlike(r"^/(?!/)[^?#]*$") & ~c("link").contains("/.")
+    hard = c("easy").isNull()
+    own = F.split(c("path"), "/")
+    folder = F.split(F.regexp_replace(c("base_path"), r"[^/]*$", ""), "/")
+    beside = F.concat(F.slice(folder, F.lit(1), F.greatest(F.size(folder) - 1, F.lit(0))), own)
+    # empty segments survive only at both ends of a path put together from two
+    merged = F.filter(
+        c("parts"), lambda seg, i: (seg != "") | (i == 0) | (i == F.size(c("parts")) - 1)
+    )
     kept = F.aggregate(
-        segments,
+        c("parts"),
         F.array().cast("array<string>"),
         lambda done, seg: F.when(
             seg == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
@@ -48,58 +69,46 @@ def _without_dots(segments: Column) -> Column:
         .when(seg == ".", done)
         .otherwise(F.concat(done, F.array(seg))),
     )
-    ends_open = F.element_at(segments, -1).isin(".", "..")
-    return F.array_join(
-        F.when(ends_open, F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/"
-    )
-
-
-def _resolve_path(base_path: Column, path: Column) -> Column:
-    """Path of a link seen on a page: rooted as it is, else beside the page."""
-    own = F.split(path, "/")
-    folder = F.split(F.regexp_replace(base_path, r"[^/]*$", ""), "/")
-    beside = F.concat(F.slice(folder, F.lit(1), F.greatest(F.size(folder) - 1, F.lit(0))), own)
-    # empty segments survive only at both ends of a merged path
-    merged = F.filter(
-        beside, lambda seg, i: (seg != "") | (i == 0) | (i == F.size(beside) - 1)
-    )
-    has_dots = path.rlike(r"(?:^|/)\.\.?(?:/|$)")
-    rooted = F.when(has_dots, _without_dots(own)).otherwise(path)
-    found = F.when(path.startswith("/"), rooted).otherwise(_without_dots(merged))
-    return F.when(found.startswith("/"), found).otherwise(F.concat(F.lit("/"), found))
-
-
-def resolve_link(page_url: Column, href: Column) -> Column:
-    """Absolute address of a link found on a page (RFC 3986 reference resolution).
-
-    Rooted links without dots, by far the most, take the first branch.
-    """
-    base, link = _tidy(page_url), _tidy(href)
-    origin = F.regexp_extract(base, r"^[a-z][a-z0-9+.\-]*://[^/?#]*", 0)
-    plain = link.rlike(r"^/(?!/)[^?#]*$") & ~link.contains("/.")
-    scheme, host = F.lower(_part(base, 1)), _part(base, 2)
-    base_path, base_query = _part(base, 3), _part(base, 4)
-    own_scheme = F.lower(_part(link, 1))
-    own_host, path = _part(link, 2), _part(link, 3)
-    query = F.when(_part(link, 4) != "?", _part(link, 4)).otherwise("")
-    fragment = F.when(_part(link, 5) != "#", _part(link, 5)).otherwise("")
-    root = F.concat(scheme, F.lit(":"), host)
-    return (
-        F.when(plain & (origin != ""), F.concat(origin, link))
-        .when(base == "", link)
-        .when(link == "", base)
-        .when((own_scheme != "") & (own_scheme != scheme), link)
-        .when(own_host != "", F.concat(scheme, F.lit(":"), own_host, path, query, fragment))
+    open_end = F.element_at(c("parts"), -1).isin(".", "..")
+    joined = F.concat(F.array_join(c("kept"), "/"), F.when(open_end & (F.size(c("kept")) > 0), "/").otherwise(""))
+    whole = F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
+    root = F.concat(c("scheme"), F.lit(":"), c("host"))
+    address = (
+        F.when(c("base") == "", c("link"))
+        .when(c("link") == "", c("base"))
+        .when((c("own_scheme") != "") & (c("own_scheme") != c("scheme")), c("link"))
         .when(
-            path == "",
+            c("own_host") != "",
+            F.concat(c("scheme"), F.lit(":"), c("own_host"), c("path"), c("query"), c("fragment")),
+        )
+        .when(
+            c("path") == "",
             F.concat(
                 root,
-                base_path,
-                F.when(query != "", query).otherwise(base_query),
-                fragment,
+                c("base_path"),
+                F.when(c("query") != "", c("query")).otherwise(c("base_query")),
+                c("fragment"),
             ),
         )
-        .otherwise(F.concat(root, _resolve_path(base_path, path), query, fragment))
+        .otherwise(F.concat(root, whole, c("query"), c("fragment")))
+    )
+    base_parts = {"scheme": 1, "host": 2, "base_path": 3, "base_query": 4}
+    link_parts = {"own_scheme": 1, "own_host": 2, "path": 3, "query": 4, "fragment": 5}
+    parts = {n: _part(c("base"), g) for n, g in base_parts.items()}
+    parts |= {n: _part(c("link"), g) for n, g in link_parts.items()}
+    for name in ("scheme", "own_scheme"):
+        parts[name] = F.lower(parts[name])
+    for name in ("query", "fragment"):  # a bare '?' or '#' is dropped
+        parts[name] = F.regexp_replace(parts[name], "^[?#]$", "")
+    return add_layers(
+        df,
+        layer(base=_tidy(page_url), link=_tidy(href)),
+        layer(easy=F.when(rooted & (origin != ""), F.concat(origin, c("link")))),
+        layer(**{n: F.when(hard, p) for n, p in parts.items()}),
+        layer(parts=F.when(c("path").startswith("/"), own).otherwise(beside)),
+        layer(parts=F.when(c("path").startswith("/"), c("parts")).otherwise(merged)),
+        layer(kept=kept),
+        {out: F.coalesce(c("easy"), address)},
     )
 
 

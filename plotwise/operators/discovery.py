@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from plotwise.functions.html import Probe, read_pages
-from plotwise.functions.urls import canonical_url, resolve_link
+from plotwise.functions.urls import canonical_url, with_resolved
 from plotwise.session import cut_lineage
 
 # The shipped portal's selectors.
@@ -37,19 +37,15 @@ def next_links(results: DataFrame) -> DataFrame:
     """results plus next_url: NULL on a last page and where there is no link."""
     last = F.lower(F.coalesce("next_islast", F.lit(""))).isin("true", "1")
     href = F.when(~last & (F.col("next_href") != ""), F.col("next_href"))
-    return results.withColumn(
-        "next_url", F.when(href.isNotNull(), resolve_link(F.col("url"), href))
-    )
+    return with_resolved(results, "next_url", F.col("url"), href)
 
 
 def listing_links(results: DataFrame) -> DataFrame:
     """One row per link of a result page, canonical, with its place on the page."""
-    return (
-        results.select("*", F.posexplode("hrefs").alias("pos", "href"))
-        .withColumnRenamed("url", "page_url")
-        .withColumn("url", canonical_url(resolve_link(F.col("page_url"), F.col("href"))))
-        .drop("hrefs", "href", "next_href", "next_islast")
-    )
+    links = results.select("*", F.posexplode("hrefs").alias("pos", "href"))
+    links = links.drop("hrefs", "next_href", "next_islast").withColumnRenamed("url", "page_url")
+    links = with_resolved(links, "_full", F.col("page_url"), F.col("href"))
+    return links.withColumn("url", canonical_url(F.col("_full"))).drop("href", "_full")
 
 
 def walk_pages(links: DataFrame, seeds: DataFrame, max_pages: int = 0) -> DataFrame:

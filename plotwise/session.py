@@ -41,9 +41,10 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="plotwise-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -61,3 +62,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer splits than there are cores.
+
+    One small file is one task, however much work each row takes. A large table has
+    splits enough and is left alone: its rows are not shuffled. For plain scans only;
+    asking a query with joins for its partitions would run it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

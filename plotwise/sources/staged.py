@@ -7,6 +7,7 @@ write one portal and a re-run replaces exactly its own partition.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plotwise import schemas
@@ -50,7 +51,8 @@ def dump_glob(base: str, kind: str, portal: str = "*", run: str = "*") -> str:
 def read_dumps(spark: SparkSession, base: str, kind: str, portal: str = "*") -> DataFrame:
     """Every run's files as one scan, duplicates kept, with run and portal columns.
 
-    A line that is not a JSON object is kept in the _corrupt column.
+    A line that is not a JSON object is kept in the _corrupt column; a line that is a
+    list of objects counts as those objects.
     """
     return from_path(_json(spark, KINDS[kind]).json(dump_glob(base, kind, portal)))
 
@@ -62,15 +64,17 @@ def latest_dump_paths(
 
     The names fold to one per portal in Spark; portals are as many as the registry has.
     """
-    listed = (
-        spark.read.format("binaryFile")
-        .load(dump_glob(base, kind, portal))
-        .select(
-            F.regexp_extract("path", DUMP_PATH, 1).alias("run"),
-            F.regexp_extract("path", DUMP_PATH, 2).alias("portal"),
-            # a file, or the folder a Spark job wrote under that name
-            F.regexp_extract("path", rf"^(.*{DUMP_PATH})", 1).alias("path"),
-        )
+    try:
+        files = spark.read.format("binaryFile").load(dump_glob(base, kind, portal))
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    listed = files.select(
+        F.regexp_extract("path", DUMP_PATH, 1).alias("run"),
+        F.regexp_extract("path", DUMP_PATH, 2).alias("portal"),
+        # a file, or the folder a Spark job wrote under that name
+        F.regexp_extract("path", rf"^(.*{DUMP_PATH})", 1).alias("path"),
     )
     newest = listed.groupBy("portal").agg(F.max_by("path", "run").alias("path"))
     return {r["portal"]: r["path"] for r in newest.collect()}

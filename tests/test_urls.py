@@ -16,7 +16,7 @@ LINKS = [
 
 def join_all(spark, pairs):
     df = spark.createDataFrame([(i, b, h) for i, (b, h) in enumerate(pairs)], "i int, b string, h string")
-    out = df.select("i", urls.resolve_link(F.col("b"), F.col("h")).alias("j")).orderBy("i").collect()
+    out = urls.with_resolved(df, "j", F.col("b"), F.col("h")).orderBy("i").collect()
     return [r["j"] for r in out]
 
 
