@@ -303,10 +303,10 @@ def found(spark, sf_dir):
     f"""WITH {OBS}, {FOUND} SELECT url, listing_title, round(price_php, 2) AS price_php, area_sqm,
     strftime(scraped_at, '%Y-%m-%d %H:%M:%S') AS scraped_at FROM found
     ORDER BY found.scraped_at DESC NULLS FIRST, url, l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice
-    LIMIT 25 OFFSET 50""",
+    LIMIT 5 OFFSET 5""",
 )
 def search_page(spark, sf_dir):
-    page = dashboard.search_page(found(spark, sf_dir), page=3, per_page=25, ties=("url", *TIES))
+    page = dashboard.search_page(found(spark, sf_dir), page=2, per_page=5, ties=("url", *TIES))
     return page.select(
         "url", "listing_title", F.round("price_php", 2).alias("price_php"), "area_sqm",
         ts_text("scraped_at").alias("scraped_at"),

@@ -12,6 +12,15 @@ from plotwise.operators import dedupe, discovery, extract, quality
 from plotwise.plans import details
 from plotwise.session import spread
 
+def plain_text(html: str) -> str:
+    """SQL: the entities the pages use, decoded as a browser does ('&amp' needs no ';')."""
+    for entity, char in (("&quot;", '"'), ("&#39;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"), ("&amp", "&")):
+        html = f"replace({html}, '{entity}', '{char}')"
+    return html
+
+
+H1 = plain_text("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")
+AD = plain_text("regexp_extract(html, '(?s)<div class=\"ad\">(.*?)</div>', 1)")
 LANG = r"^https?://[^/]+/([a-z]+)"
 BARE = "regexp_replace(url, '[?#].*$', '')"
 
@@ -177,7 +186,7 @@ def pagination_walk_capped(spark, sf_dir):
 
 @query(
     "page_titles",
-    """SELECT page_id, trim(replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '&amp;', '&')) AS title FROM pages""",
+    f"SELECT page_id, trim({H1}) AS title FROM pages",
 )
 def page_titles(spark, sf_dir):
     read = extract.read_details(pages(spark, sf_dir))
@@ -210,8 +219,7 @@ def selector_coverage(spark, sf_dir):
 
 @query(
     "field_map",
-    """SELECT page_id, trim(replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '&amp;', '&')) AS headline,
-    trim(regexp_replace(replace(regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) AS price_raw,
+    f"""SELECT page_id, trim({H1}) AS headline, trim(regexp_replace({AD}, '\\s+', ' ', 'g')) AS price_raw,
     CAST(NULL AS DOUBLE) AS price_value, (CASE WHEN html LIKE '%<a href=%' THEN 1 ELSE 0 END) AS has_first_link FROM pages""",
 )
 def field_map(spark, sf_dir):
