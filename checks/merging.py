@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from checks.registry import query
-from checks.standin import OBS, TIES, now, observations, r6, table, ts_text
+from checks.standin import OBS, TIES, now, observations, table, ts_text
 from plotwise import schemas
-from plotwise.functions.amounts import per_sqm
 from plotwise.operators import merge, quality
 from plotwise.plans import details
 from plotwise.session import scratch_path
@@ -195,7 +194,7 @@ def write_dumps(spark, sf_dir, kind="listings", lines=None):
     keys = [tuple(r) for r in lines.select("run", "portal").distinct().collect()]  # years x 2
     for run, portal in sorted(keys):
         one = lines.where((F.col("run") == run) & (F.col("portal") == portal)).select("value")
-        one.coalesce(4).write.text(f"{base}/run_{run}/staged/{portal}_{kind}.jsonl")
+        one.hint("rebalance").write.text(f"{base}/run_{run}/staged/{portal}_{kind}.jsonl")
     lines.unpersist()
     return base
 

@@ -6,7 +6,7 @@ how text is tidied, what is dropped and which columns leave.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -18,7 +18,13 @@ from plotwise.functions.dates import (
     with_absolute,
     with_written_date,
 )
-from plotwise.functions.text import empty_to_null, first_filled, normalize_text, to_count
+from plotwise.functions.text import (
+    empty_to_null,
+    first_filled,
+    normalize_text,
+    to_count,
+    to_number,
+)
 from plotwise.operators.dedupe import keep_latest
 from plotwise.operators.projection import allow_columns, keep_columns, prefer_columns
 from plotwise.sources.staged import CORRUPT
@@ -53,16 +59,38 @@ class Rules:
     min_area: float | None = None  # publish gate: url, area and a positive price
     latest_only: bool = False
     need_url: bool = False
+    dated: bool = False  # adds as_of_date; the target has a fixed type for each column
+    keep_json: bool = False  # price and area leave as VARIANT too, with a source
+    own_source: bool = False  # the record's source goes before the portal's name
+    fill_time: bool = False  # a missing scraped_at becomes "now"
     columns: tuple = field(default=())
 
 
-RELATIONAL = Rules("relational", "coerced", currency="strict", columns=RELATIONAL_COLUMNS)
+RELATIONAL = Rules(
+    "relational", "coerced", currency="strict", dated=True, columns=RELATIONAL_COLUMNS
+)
 FLAT = Rules("flat", "flat", ratio="price_value", latest_only=True, columns=FLAT_COLUMNS)
-PUBLISH = Rules("publish", "publish", min_area=MIN_AREA, columns=PUBLISH_COLUMNS)
+PUBLISH = Rules(
+    "publish",
+    "publish",
+    min_area=MIN_AREA,
+    keep_json=True,
+    own_source=True,
+    columns=PUBLISH_COLUMNS,
+)
 DUMP = Rules(
-    "dump", "flat", currency="lenient", tidy_text=True, need_url=True, columns=DUMP_COLUMNS
+    "dump",
+    "flat",
+    currency="lenient",
+    tidy_text=True,
+    need_url=True,
+    keep_json=True,
+    fill_time=True,
+    columns=DUMP_COLUMNS,
+)
+STAGED = Rules(
+    "staged", "flat", ratio=None, keep_json=True, fill_time=True, columns=PUBLISH_COLUMNS
 )
-STAGED = Rules("staged", "flat", ratio=None, columns=PUBLISH_COLUMNS)
 
 
 def _or_null(df: DataFrame, name: str, kind: str = "string") -> Column:
@@ -105,10 +133,18 @@ def _with_amounts(df: DataFrame, rules: Rules) -> DataFrame:
     if rules.amounts == "flat":
         df = df.withColumns(amounts.flatten_price(price) | amounts.flatten_area(area))
     else:
-        df = df.withColumns(
-            {"price_value": amounts.price_value(price), "price_currency": amounts.price_currency(price)}
-        )
-        df = amounts.with_area_sqm(df, "area_sqm", area, F.col("_area_text"))
+        # amounts a record already carries as columns go before those in its objects
+        given = {n: to_number(_given_text(df, n)) for n in ("price_value", "area_sqm")}
+        given["price_currency"] = _given_text(df, "price_currency")
+        df = df.withColumns({f"__{n}": value for n, value in given.items()})
+        df = amounts.with_area_sqm(df, "__found_area", area, F.col("_area_text"))
+        found = {
+            "price_value": amounts.price_value(price),
+            "price_currency": amounts.price_currency(price),
+            "area_sqm": F.col("__found_area"),
+        }
+        df = df.withColumns({n: F.coalesce(f"__{n}", value) for n, value in found.items()})
+        df = df.drop("__found_area", *[f"__{n}" for n in found])
     peso = amounts.peso_price(F.col("price_value"), F.col("price_currency"), rules.currency)
     return df.withColumn("price_php", peso)
 
@@ -162,8 +198,8 @@ def load(
     title = _or_null(df, "title")
     if rules.tidy_text:
         title = normalize_text(first_filled(*aliases))
-    elif rules.name == "relational" and "listing_title" in staged.columns:
-        title = F.col("listing_title")
+    elif rules.dated:
+        title = F.coalesce(_or_null(df, "listing_title"), title)
     columns = {"price_per_sqm": ratio, "listing_title": title}
     if rules.tidy_text:
         for name in ("property_type", "address", "published_at_text"):
@@ -172,22 +208,22 @@ def load(
         df = with_absolute(df, "published_at", _or_null(df, "published_at"))
     for name in ("bedrooms", "bathrooms"):
         columns[name] = to_count(_or_null(df, name).cast("string"))
-    if rules.name in ("publish", "dump", "staged"):
+    if rules.keep_json:
         nothing = F.lit(None).cast("variant")
         for name in ("price", "area"):
             kept = F.col(f"_{name}") if rules.tidy_text else _or_null(df, name, "variant")
             columns[f"{name}_json"] = F.coalesce(kept, nothing)
         named = F.lit(source)
         columns["source"] = (
-            F.coalesce(empty_to_null(given_source), named) if rules.name == "publish" else named
+            F.coalesce(empty_to_null(given_source), named) if rules.own_source else named
         )
     written = _or_null(df, "scraped_at")
-    if rules.name == "relational":
+    if rules.dated:
         if "scraped_at" in df.columns:
             df = with_written_date(df, "as_of_date", written)
         else:
             columns["as_of_date"] = now.cast("date")
-    if rules.name in ("dump", "staged"):
+    if rules.fill_time:
         written = F.coalesce(empty_to_null(written), now.cast("string"))
     columns["scraped_at"] = parse_timestamp(written)
     df = df.withColumns(columns)
@@ -201,7 +237,7 @@ def load(
         df = df.drop("_price", "_area", "_price_text", "_area_text")
         df = keep_latest(df, ties=ties).withColumn("scraped_at", iso_seconds(F.col("scraped_at")))
         return prefer_columns(df, rules.columns)
-    if rules.name == "relational":
+    if rules.dated:
         kinds = {f.name: f for f in schemas.LISTINGS}
         extra = [df.schema[c] for c in passing]
         return keep_columns(df, T.StructType([kinds[c] for c in rules.columns] + extra))
@@ -223,8 +259,7 @@ def writable(loaded: DataFrame, now: Column, source_env: str = DEFAULT_ENV) -> D
 
 def ingest_counters(staged: DataFrame, now: Column, source: str) -> DataFrame:
     """Counts over one load: read, written, skipped, and what the written rows have."""
-    unkeyed = Rules("dump", "flat", currency="lenient", tidy_text=True, columns=DUMP_COLUMNS)
-    rows = load(staged, unkeyed, now, source)
+    rows = load(staged, replace(DUMP, need_url=False), now, source)
     ok = empty_to_null(F.col("url")).isNotNull()
     both = (F.col("price_php") != 0) & (F.col("area_sqm") > 0)
     return rows.agg(

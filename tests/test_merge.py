@@ -160,9 +160,21 @@ def test_relational(staged):
     assert got["2"] == (1200.0, 1200.0, 1.0, 1200.0, day)
     assert got["3"] == (None, 46.45, None, None, None)
     assert got["4"] == (None, 0.0, None, 10.0, None)
+    titles = by_unit(loaders.load(staged, loaders.RELATIONAL, now()), "listing_title")
+    assert titles["1"] == ("Unit A",) and titles["2"] == ("Unit B",)
     assert None in got and loaders.load(staged, loaders.RELATIONAL, now()).columns == list(loaders.RELATIONAL_COLUMNS)
 
 
+def test_given_amounts_go_first(spark):
+    df = spark.sql(
+        """select 'u' as url, 'Given' as listing_title, 'No' as title, parse_json('{"value":1,"currency":"USD"}') as price,
+        parse_json('"5 sqm"') as area, parse_json('7') as area_sqm, 'PHP' as price_currency, '70' as price_value"""
+    )
+    row = loaders.load(df, loaders.RELATIONAL, now()).first()
+    assert (row["listing_title"], row["price_php"], row["area_sqm"], row["price_per_sqm"]) == ("Given", 70.0, 7.0, 10.0)
+    assert str(row["as_of_date"]) == "2024-06-01"  # no scraped_at column at all
+
+
 def test_publish(staged):
     got = loaders.load(staged, loaders.PUBLISH, now(), "shop")
     assert by_unit(got, "price_php", "area_sqm", "source") == {"1": (95200.0, 184.0, "shop")}

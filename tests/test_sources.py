@@ -80,6 +80,16 @@ def test_registry_shapes(spark):
         tables.require_portals(tables.portals(entries, ["zz"]), ["zz"])
 
 
+def test_registry_and_pages_from_files(spark, tmp_path):
+    (tmp_path / "portals.json").write_text('{\n "portals": [\n  ' + GOOD + "\n ]\n}\n")
+    entries = tables.read_registry_entries(spark, str(tmp_path / "portals.json"))
+    assert tables.portals(entries).first()["seed_urls"] == ["https://x"]
+    path = scratch_path(spark, "pages")
+    spark.createDataFrame([("u", "<h1>x</h1>", 1), ("v", None, 2)], "url string, html string, n int").write.parquet(path)
+    pages = tables.read_pages_table(spark, path)
+    assert pages.columns == ["url", "html"] and pages.count() == 2
+
+
 def test_good_entry_breaks_no_rule(spark):
     entries = tables.registry_entries(spark.createDataFrame([(GOOD,), ("{}",)], "value string"))
     rows = quality.violations(entries, ["position"], quality.portal_rules(F.col("portal"), F.col("position"))).collect()
