@@ -12,9 +12,16 @@ from html.parser import HTMLParser
 from typing import NamedTuple
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+import plotwise
+
+# Python workers get these helpers with the function itself: nothing has to be installed
+# on the executors, and the driver's working folder does not matter.
+cloudpickle.register_pickle_by_value(plotwise)
+
 NODES_TYPE = T.ArrayType(
     T.StructType()
     .add("block", T.IntegerType())
