@@ -65,10 +65,10 @@ def with_absolute(df: DataFrame, out: str, text: Column) -> DataFrame:
 
 
 def _age_seconds(run: Column) -> Column:
-    """Seconds of a matched run such as '1 day, 6 hours ago'."""
+    """Seconds of a matched lower-case run such as '1 day, 6 hours ago'."""
     total = F.lit(0.0)
     for unit, seconds in UNITS:
-        digits = F.regexp_extract(run, rf"(?i)([0-9]+) ?{unit}", 1)
+        digits = F.when(run.contains(unit), F.regexp_extract(run, rf"([0-9]+) ?{unit}", 1))
         total = total + F.coalesce(empty_to_null(digits).try_cast("double"), F.lit(0.0)) * seconds
     return total
 
@@ -84,7 +84,7 @@ def with_relative(df: DataFrame, out: str, text: Column, as_of: Column) -> DataF
     run = F.col(f"__{out}_run")
     return add_layers(
         df,
-        {f"__{out}_run": F.regexp_extract(squeeze(text), AGO, 0)},
+        {f"__{out}_run": F.lower(F.regexp_extract(squeeze(text), AGO, 0))},
         {out: F.when(run.rlike("[0-9]"), _before(as_of, _age_seconds(run)))},
     )
 
@@ -92,7 +92,7 @@ def with_relative(df: DataFrame, out: str, text: Column, as_of: Column) -> DataF
 def with_published(df: DataFrame, out: str, text: Column, as_of: Column) -> DataFrame:
     """Relative text first (a bare 'ago' means now), else an absolute date."""
     run, absolute = F.col(f"__{out}_run"), f"__{out}_abs"
-    df = df.withColumn(f"__{out}_run", F.regexp_extract(squeeze(text), AGO, 0))
+    df = df.withColumn(f"__{out}_run", F.lower(F.regexp_extract(squeeze(text), AGO, 0)))
     df = with_absolute(df, absolute, F.when(run == "", text))
     age = F.when(run != "", _before(as_of, _age_seconds(run)))
     return df.withColumn(out, F.coalesce(age, F.col(absolute))).drop(f"__{out}_run", absolute)
