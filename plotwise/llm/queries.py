@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from plotwise.llm.embeddings import near_vectors
 from plotwise.llm.exact import exact_groups
+from plotwise.llm.langid import identify_language
 from plotwise.llm.minhash import near_duplicates
 from plotwise.llm.mixing import mix_sources
+from plotwise.llm.packing import pack_documents
+from plotwise.llm.pii import KINDS as PII_KINDS, find_personal_data
 from plotwise.llm.secrets import KINDS, find_secrets, said_spans
 from plotwise.llm.spark import table
 from plotwise.llm.substring import substring_dedup
+from plotwise.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,3 +155,60 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(table(spark, sf_dir, "documents"))
+
+
+@query("op6_personal_data")
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    names = F.array(*[F.lit(k) for k in PII_KINDS])
+
+    def said(spans):
+        one = F.transform(
+            spans,
+            lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")),
+        )
+        return F.array_join(one, ",")
+
+    counts = [
+        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+        for k, name in enumerate(PII_KINDS)
+    ]
+    return found.select("doc_id", *counts, F.sha2(said("base"), 256).alias("base_sha256"), said("spans").alias("spans"))
+
+
+@query(
+    "op8_embedding_dedup",
+    """
+    WITH RECURSIVE vectors AS (
+      SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+        ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+    reach AS (
+      SELECT vec_id AS a, vec_id AS b FROM embeddings
+      UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+    degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT e.vec_id, coalesce(n, 0) AS n_links, min(b) AS component_id, e.vec_id = min(b) AS kept
+    FROM embeddings e JOIN reach r ON r.a = e.vec_id LEFT JOIN degrees d ON d.a = e.vec_id GROUP BY e.vec_id, n
+    """,
+)
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_best_fit_packing")
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))

@@ -48,13 +48,16 @@ def split_words(texts: pa.Array) -> Words:
     coded = lists.flatten().dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False)
     counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    empty = pc.index(coded.dictionary, "").as_py()  # beside white space at an end
+    vocabulary = coded.dictionary
+    empty = pc.index(vocabulary, "").as_py()  # beside white space at an end
     if empty >= 0:
         rows = np.repeat(np.arange(len(counts)), counts)
         real = codes != empty
         counts = np.bincount(rows[real], minlength=len(counts))
         codes = codes[real]
-    return Words(codes, np.concatenate([[0], np.cumsum(counts)]).astype(np.int64), coded.dictionary)
+        codes = codes - (codes > empty)
+        vocabulary = pa.concat_arrays([vocabulary[:empty], vocabulary[empty + 1 :]])
+    return Words(codes, np.concatenate([[0], np.cumsum(counts)]).astype(np.int64), vocabulary)
 
 
 def _odd(seed: int, n: int) -> np.ndarray:
