@@ -128,16 +128,20 @@ def fit(texts: list, labels: list, epochs: int = EPOCHS, seed: int = 3) -> Model
     return Model(embeddings, readout, bias)
 
 
+def _scores(texts: pa.Array, folded: np.ndarray, offset: float) -> np.ndarray:
+    words = split_words(texts)
+    best = np.full(len(texts), -np.inf)
+    if words.starts[-1]:
+        each = mean_over_subwords(plain(words.vocabulary), folded, SHORTEST, LONGEST, BITS)
+        best = _top_passages(each[words.codes], words.starts, PASSAGE)[2]
+    score = 1 / (1 + np.exp(-np.clip(best + offset, -60, 60)))
+    return np.where(np.isneginf(best), 0.0, score)
+
+
 def _scored(folded: np.ndarray, offset: float, threshold: float):
     def read(batches):
         for part in slices(batches):
-            words = split_words(part.column("text"))
-            best = np.full(part.num_rows, -np.inf)
-            if words.starts[-1]:
-                each = mean_over_subwords(plain(words.vocabulary), folded, SHORTEST, LONGEST, BITS)
-                best = _top_passages(each[words.codes], words.starts, PASSAGE)[2]
-            score = 1 / (1 + np.exp(-np.clip(best + offset, -60, 60)))
-            score[np.isneginf(best)] = 0.0
+            score = _scores(part.column("text"), folded, offset)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("held_out"), pa.array(score), pa.array((score >= threshold).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"],
@@ -146,6 +150,15 @@ def _scored(folded: np.ndarray, offset: float, threshold: float):
     return read
 
 
+def _clean(folded: np.ndarray, offset: float, threshold: float, text_col: str):
+    def read(batches):
+        for part in slices(batches, text_col):
+            score = _scores(part.column(text_col), folded, offset)
+            yield part.filter(pa.array(score < threshold))
+
+    return read
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int) -> list:
     """(text, label) of at most `max_rows` labelled documents, drawn by hash of the id.
 
@@ -203,3 +216,21 @@ def score_toxicity(
     return parts.mapInArrow(
         _scored(folded.astype(np.float32), offset, threshold), "doc_id long, held_out boolean, score double, predicted int"
     )
+
+
+def drop_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    threshold: float = THRESHOLD,
+    max_rows: int = MAX_ROWS,
+) -> DataFrame:
+    """The documents that score below the threshold, all their columns unchanged, none shuffled."""
+    rows = training_rows(docs, labels, id_col, text_col, label_col, max_rows)
+    model = fit([t or "" for t, _ in rows], [y for _, y in rows])
+    if model is None:
+        return docs
+    folded, offset = model.folded()
+    return docs.mapInArrow(_clean(folded.astype(np.float32), offset, threshold, text_col), docs.schema)
