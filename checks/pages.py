@@ -199,18 +199,42 @@ SELECTORS = {
     "links": "nav ul li a[href]",
     "price": ".price, .Price__Value",
     "closed_bold": "article p b",
+    "second_item": "li:nth-child(2)",
+    "first_item": "ul > li:first-child > a",
+    "last_item": "nav li:last-child",
+    "not_root": "a:not([href='/'])",
+    "after_title": "h1 + p",
+    "beside_title": "h1 ~ p:not(.x)",
+    "any_case": "DIV[class='AD' i]",
     "broken": "div[[",
+    "beyond": "li:has(a)",
+}
+TIED = {  # SQL on a page's text that is true where the selector matches; the pages' own markup
+    "title": "html LIKE '%<h1>%'",
+    "ad": "html LIKE '%<div class=\"ad\">%'",
+    "links": "html LIKE '%<a href=%'",
+    "price": "false",
+    "closed_bold": "html LIKE '%<b>%'",
+    "second_item": "len(regexp_extract_all(html, '<li>')) > 1",
+    "first_item": "html LIKE '%<li><a href=%'",
+    "last_item": "html LIKE '%<li>%'",
+    "not_root": "len(list_filter(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1), lambda h: h <> '/')) > 0",
+    "after_title": "regexp_matches(html, '</h1>\\s*<p')",
+    "beside_title": "regexp_matches(html, '(?s)</h1>.*<p')",
+    "any_case": "html LIKE '%<div class=\"ad\">%'",
+    "broken": "NULL",
+    "beyond": "NULL",
 }
 
 
 @query(
     "selector_coverage",
     f"""WITH p AS (SELECT regexp_extract(url, '{LANG}', 1) AS portal, html FROM pages),
-    hits AS (SELECT portal, s.selector, CASE s.selector WHEN 'title' THEN html LIKE '%<h1>%' WHEN 'ad' THEN html LIKE '%<div class="ad">%'
-      WHEN 'links' THEN html LIKE '%<a href=%' WHEN 'closed_bold' THEN html LIKE '%<b>%' ELSE false END AS hit
-      FROM p, (SELECT unnest(['title', 'ad', 'links', 'price', 'closed_bold', 'broken']) AS selector) s)
+    hits AS (SELECT portal, s.selector, CASE s.selector {" ".join(f"WHEN '{n}' THEN {t}" for n, t in TIED.items())} END AS hit
+      FROM p, (SELECT unnest([{", ".join(f"'{n}'" for n in TIED)}]) AS selector) s)
     SELECT portal, selector, count(*) AS pages, count(*) FILTER (hit) AS matched,
-    round(count(*) FILTER (hit) / count(*), 6) AS coverage FROM hits GROUP BY 1, 2""",
+    CASE WHEN count(hit) > 0 THEN round(count(*) FILTER (hit) / count(hit), 6) END AS coverage,
+    CASE WHEN count(hit) > 0 THEN 'supported' ELSE 'unsupported' END AS status FROM hits GROUP BY 1, 2""",
 )
 def selector_coverage(spark, sf_dir):
     hits = extract.selector_hits(pages(spark, sf_dir), SELECTORS, ["portal"])
@@ -372,7 +396,9 @@ def jsonld_node_rows(spark, sf_dir):
 def jsonld_offers(spark, sf_dir):
     from plotwise.functions.html import first_typed
 
-    rows = scripts(spark, sf_dir).select("event_id", jsonld_nodes("scripts").alias("nodes"))
+    rows = scripts(spark, sf_dir).select(
+        "event_id", jsonld_nodes("scripts", ("Offer",), ("Product", "Offer")).alias("nodes")
+    )
     rows = rows.withColumn("offer", F.try_parse_json(first_typed(F.col("nodes"), "Offer")))
     offer = extract.offer_columns(F.col("offer"))
     first = F.filter("nodes", lambda n: F.arrays_overlap(n["types"], F.array(F.lit("Product"), F.lit("Offer"))))

@@ -7,6 +7,7 @@ what a listing *is* runs as column expressions on the result (operators/extract.
 from __future__ import annotations
 
 import json
+import math
 import re
 from html.parser import HTMLParser
 from typing import NamedTuple
@@ -63,12 +64,17 @@ ENDS = {
 ENDS |= {name: frozenset(("p",)) for name in "b big i s small strike tt u".split()}
 ENDS |= {f"h{n}": frozenset(("p", "table", "form", "fieldset")) for n in range(1, 7)}
 
+# one simple selector; an attribute's value may be followed by the flag i
 _SIMPLE = re.compile(
     r"(?P<tag>[\w-]+|\*)|\#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)"
-    r"|\[\s*(?P<attr>[\w:-]+)\s*(?:(?P<op>[*^$~|]?=)\s*(?P<q>[\"']?)(?P<val>.*?)(?P=q)\s*)?\]"
+    r"|\[\s*(?P<attr>[\w:-]+)\s*(?:(?P<op>[*^$~|]?=)\s*"
+    r"(?:\"(?P<dq>[^\"]*)\"|'(?P<sq>[^']*)'|(?P<bare>[^\s\"'\]]+))(?:\s*(?P<flag>[iIsS]))?\s*)?\]"
+    r"|:(?P<edge>first-child|last-child)|:nth-child\(\s*(?P<nth>[^()]*?)\s*\)|:not\(\s*(?P<no>[^():]*?)\s*\)"
 )
+_COMBINED = re.compile(r"\s*([>+~])\s*|\s+")
+_NTH = re.compile(r"(?P<step>[+-]?\d*)n(?:\s*(?P<plus>[+-]\s*\d+))?|(?P<only>[+-]?\d+)")
 _TESTS = {
-    None: lambda have, want: True,
+    "": lambda have, want: True,
     "=": lambda have, want: have == want,
     "*=": lambda have, want: want != "" and want in have,
     "^=": lambda have, want: want != "" and have.startswith(want),
@@ -77,7 +83,7 @@ _TESTS = {
     "|=": lambda have, want: have == want or have.startswith(want + "-"),
 }
 
-TAG = None  # the name of a test on the element itself, not on an attribute
+TAG, PLACE, NOT = "<tag>", "<place>", "<not>"  # tests on the element itself; no attribute is named so
 LINK = None  # the name of the link selector among the probes
 
 
@@ -92,63 +98,122 @@ class Probe(NamedTuple):
     read: str = "text"
 
 
+def _nth(text: str):
+    """(step, offset) of an+b, or None."""
+    named = {"odd": "2n+1", "even": "2n"}.get(text.lower(), text.lower())
+    m = _NTH.fullmatch(named)
+    if not m:
+        return None
+    if m["only"]:
+        return 0, int(m["only"])
+    step = {"": 1, "+": 1, "-": -1}.get(m["step"])
+    return int(m["step"]) if step is None else step, int((m["plus"] or "0").replace(" ", ""))
+
+
+def _compound(text: str, at: int, nested=False):
+    """Tests of the simple selectors that stand side by side from a place on, and where they end."""
+    tests, start = [], at
+    while m := _SIMPLE.match(text, at):
+        if m["tag"] and at > start:
+            return None
+        at = m.end()
+        if m["tag"]:
+            tests.append((TAG, "=", m["tag"].lower()))
+        elif m["id"]:
+            tests.append(("id", "=", m["id"]))
+        elif m["cls"]:
+            tests.append(("class", "~=", m["cls"]))
+        elif m["attr"]:
+            value = next((m[g] for g in ("dq", "sq", "bare") if m[g] is not None), "")
+            fold = (m["flag"] or "").lower() == "i"
+            tests.append((m["attr"].lower(), (m["op"] or "") + "i" * fold, value.lower() if fold else value))
+        elif m["edge"]:
+            tests.append((PLACE, m["edge"], None))
+        elif m["nth"] is not None:
+            if (nth := _nth(m["nth"])) is None:
+                return None
+            tests.append((PLACE, "nth", nth))
+        else:
+            inner = None if nested else _compound(m["no"], 0, nested=True)
+            if not inner or inner[1] != len(m["no"]):
+                return None
+            tests.append((NOT, "", inner[0]))
+    return (tests, at) if tests else None
+
+
 def _compile(selector: str):
-    """A selector group as a list of chains: [(is_child, [tests]), ...] from the right.
+    """A selector group as a list of chains: [(combinator to the left, [tests]), ...] from the right.
 
-    None for syntax outside tag, #id, .class, [attr], descendant and child.
+    None for what is beyond tag, #id, .class, [attr] (with flag i), first, last and nth child,
+    :not of simple selectors, and the four combinators.
     """
     chains = []
-    for alternative in re.split(r",(?![^\[]*\])", selector):
-        chain, child = [], False
-        steps = re.findall(r">|(?:\[[^\]]*\]|[^\s>\[])+", alternative)
-        if "".join(steps).replace(" ", "") != re.sub(r"\s", "", alternative):
-            return None
-        for step in steps:
-            if step == ">":
-                child = True
-                continue
-            tests, at = [], 0
-            for m in _SIMPLE.finditer(step):
-                if m.start() != at or (m["tag"] and at):
-                    return None
-                at = m.end()
-                if m["tag"]:
-                    tests.append((TAG, "=", m["tag"].lower()))
-                elif m["id"]:
-                    tests.append(("id", "=", m["id"]))
-                elif m["cls"]:
-                    tests.append(("class", "~=", m["cls"]))
-                else:
-                    tests.append((m["attr"].lower(), m["op"], m["val"]))
-            if at != len(step) or not tests:
+    for alternative in re.split(r",(?![^\[(]*[\])])", selector):
+        text, chain, at, combinator = alternative.strip(), [], 0, ""
+        while True:
+            found = _compound(text, at)
+            if not found:
                 return None
-            chain.append((child, tests))
-            child = False
-        if not chain:
-            return None
+            tests, at = found
+            chain.append((combinator, tests))
+            if at == len(text):
+                break
+            m = _COMBINED.match(text, at)
+            if not m:
+                return None
+            combinator, at = m[1] or " ", m.end()
         chains.append(chain[::-1])
     return chains
 
 
-def _fits(tests, tag, attrs) -> bool:
+class _Element:
+    """A start tag with its place in the tree; text is a range of the page's texts."""
+
+    __slots__ = ("tag", "attrs", "parent", "before", "place", "children", "start", "end")
+
+    def __init__(self, tag, attrs, parent, before, start):
+        self.tag, self.attrs, self.parent, self.before = tag, attrs, parent, before
+        self.place = before.place + 1 if before else 1
+        self.children, self.start, self.end = 0, start, start
+
+
+def _fits(tests, element) -> bool:
     for name, op, want in tests:
-        if name is TAG:
-            if want not in (tag, "*"):
-                return False
-        elif name not in attrs or not _TESTS[op](attrs[name] or "", want):
+        if name == TAG:
+            ok = want in (element.tag, "*")
+        elif name == NOT:
+            ok = not _fits(want, element)
+        elif name == PLACE and op == "nth":
+            step, offset = want
+            away = element.place - offset
+            ok = away == 0 if step == 0 else away % step == 0 and away // step >= 0
+        elif name == PLACE:
+            ok = element.place == (1 if op == "first-child" else element.parent.children)
+        else:
+            have = element.attrs.get(name)
+            fold = op.endswith("i")
+            ok = name in element.attrs and _TESTS[op.rstrip("i")]((have or "").lower() if fold else have or "", want)
+        if not ok:
             return False
     return True
 
 
-def _chain_fits(chain, path, depth) -> bool:
-    """Does the element at path[depth], seen from the right end of the chain, match?"""
-    is_child, tests = chain[0]
-    if not _fits(tests, *path[depth][:2]):
+def _chain_fits(chain, element) -> bool:
+    """Does the element match the right end of the chain, and what it stands in the rest?"""
+    combinator, tests = chain[0]
+    if not _fits(tests, element):
         return False
     if len(chain) == 1:
         return True
-    above = (depth - 1,) if is_child else range(depth - 1, -1, -1)
-    return any(d >= 0 and _chain_fits(chain[1:], path, d) for d in above)
+    near = "before" if combinator in "+~" else "parent"
+    other = getattr(element, near)
+    while other is not None and other.tag:
+        if _chain_fits(chain[1:], other):
+            return True
+        if combinator in ">+":
+            return False
+        other = getattr(other, near)
+    return False
 
 
 def _anchor(tests):
@@ -156,86 +221,61 @@ def _anchor(tests):
     for name, op, want in tests:
         if name == "class" and op == "~=":
             return ("class", want)
-    names = [name for name, _, _ in tests if name is not TAG]
-    return ("attr", names[0]) if names else ("tag", tests[0][2])
+    names = [name for name, _, _ in tests if name not in (TAG, PLACE, NOT)]
+    tags = [want for name, _, want in tests if name == TAG]
+    return ("attr", names[0]) if names else ("tag", tags[0] if tags else "*")
 
 
-def _anchors(tag, attrs):
-    yield ("tag", tag)
+def _anchors(element):
+    yield ("tag", element.tag)
     yield ("tag", "*")
-    for name in attrs:
+    for name in element.attrs:
         yield ("attr", name)
-    for name in (attrs.get("class") or "").split():
+    for name in (element.attrs.get("class") or "").split():
         yield ("class", name)
 
 
 class _PageReader(HTMLParser):
-    """Collects texts, first matches of the probes, links and ld+json scripts."""
+    """The tree of a page's elements, its texts and ld+json scripts."""
 
-    def __init__(self, probes, links):
+    def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.reads = {name: read for name, (chains, read) in probes.items() if chains}
-        self.index = {}
-        wanted = [(n, c) for n in self.reads for c in probes[n][0]] + [(LINK, c) for c in links]
-        for name, chain in wanted:
-            self.index.setdefault(_anchor(chain[0][1]), []).append((name, chain))
-        self.path, self.texts, self.buffer = [], [], []
-        self.found, self.links, self.scripts = {}, [], []
+        root = _Element("", {}, None, None, 0)
+        self.path, self.last, self.elements = [root], [None], []
+        self.texts, self.buffer, self.scripts = [], [], []
 
     def flush(self):
         text = "".join(self.buffer)
         self.buffer = []
-        inner = self.path[-1][0] if self.path else ""
-        if inner in HIDDEN:
-            if inner == "script" and self.path[-1][1].get("type") == "application/ld+json":
+        inner = self.path[-1]
+        if inner.tag in HIDDEN:
+            if inner.tag == "script" and inner.attrs.get("type") == "application/ld+json":
                 self.scripts.append(text)
         elif text.strip():
             self.texts.append(text.strip())
 
     def close_to(self, depth):
-        for _, _, start, names in reversed(self.path[depth:]):
-            for name in names:
-                self.found[name] = " ".join(self.texts[start:])
-        del self.path[depth:]
+        for element in self.path[depth:]:
+            element.end = len(self.texts)
+        del self.path[depth:], self.last[depth:]
 
     def handle_starttag(self, tag, attributes):
         self.flush()
-        while self.path and tag in ENDS.get(self.path[-1][0], ()):
+        while tag in ENDS.get(self.path[-1].tag, ()):
             self.close_to(len(self.path) - 1)
-        attrs = dict(reversed(attributes))
-        names = []
-        self.path.append((tag, attrs, len(self.texts), names))
-        depth = len(self.path) - 1
-        fits = {
-            name
-            for anchor in _anchors(tag, attrs)
-            for name, chain in self.index.get(anchor, ())
-            if (name is LINK or name in self.reads) and _chain_fits(chain, self.path, depth)
-        }
-        if LINK in fits:
-            fits.remove(LINK)
-            if attrs.get("href"):
-                self.links.append(attrs["href"])
-        for name in fits:
-            self._read(name, self.reads.pop(name), tag, attrs, names)
-        if tag in VOID:
-            self.close_to(depth)
-
-    def _read(self, name, read, tag, attrs, names):
-        if read.startswith("@"):
-            if attrs.get(read[1:]) is not None:
-                self.found[name] = attrs[read[1:]]
-        elif read == "datetime" and attrs.get("datetime"):
-            self.found[name] = attrs["datetime"]
-        elif read == "text" and tag == "meta":
-            self.found[name] = attrs.get("content") or ""
-        else:
-            names.append(name)  # the text is known when the element closes
+        parent = self.path[-1]
+        element = _Element(tag, dict(reversed(attributes)), parent, self.last[-1], len(self.texts))
+        parent.children += 1
+        self.last[-1] = element
+        self.elements.append(element)
+        if tag not in VOID:
+            self.path.append(element)
+            self.last.append(None)
 
     def handle_endtag(self, tag):
         self.flush()
-        for depth in range(len(self.path) - 1, -1, -1):
-            if self.path[depth][0] == tag:
+        for depth in range(len(self.path) - 1, 0, -1):
+            if self.path[depth].tag == tag:
                 self.close_to(depth)
                 break
 
@@ -248,7 +288,59 @@ class _PageReader(HTMLParser):
     def finish(self):
         self.close()
         self.flush()
-        self.close_to(0)
+        self.close_to(1)
+
+    def text_of(self, element, read):
+        """What a probe reads of an element; None if the attribute is absent."""
+        attrs = element.attrs
+        if read.startswith("@"):
+            return attrs.get(read[1:])
+        if read == "datetime" and attrs.get("datetime"):
+            return attrs["datetime"]
+        if read == "text" and element.tag == "meta":
+            return attrs.get("content") or ""
+        return " ".join(self.texts[element.start : element.end])
+
+    def select(self, probes, links):
+        """First matches of the probes, and the hrefs of the links, in page order."""
+        open_probes = {name: read for name, (chains, read) in probes.items() if chains}
+        index: dict = {}
+        for name, chain in [(n, c) for n in open_probes for c in probes[n][0]] + [(LINK, c) for c in links]:
+            index.setdefault(_anchor(chain[0][1]), []).append((name, chain))
+        found, hrefs = [], []
+        for element in self.elements:
+            fits = {
+                name
+                for anchor in _anchors(element)
+                for name, chain in index.get(anchor, ())
+                if (name is LINK or name in open_probes) and _chain_fits(chain, element)
+            }
+            if LINK in fits:
+                fits.remove(LINK)
+                if element.attrs.get("href"):
+                    hrefs.append(element.attrs["href"])
+            for name in fits:
+                text = self.text_of(element, open_probes.pop(name))
+                if text is not None:
+                    found.append((name, text))
+        return found, hrefs
+
+
+_LONE = re.compile("[\ud800-\udfff]")  # half of a pair: a text cut inside an emoji
+
+
+def _sound(text: str) -> str:
+    return _LONE.sub("\ufffd", text)
+
+
+def _finite(text: str):
+    value = float(text)
+    return value if math.isfinite(value) else None
+
+
+def _loads(text: str):
+    """JSON as the web has it: NaN and infinities are read, as null."""
+    return json.loads(text, parse_constant=lambda _: None, parse_float=_finite)
 
 
 def parse_blocks(scripts) -> list:
@@ -257,12 +349,12 @@ def parse_blocks(scripts) -> list:
     for script in scripts:
         text = (script or "").strip()
         try:
-            pieces = [json.loads(text)] if text else []
+            pieces = [_loads(text)] if text else []
         except (ValueError, RecursionError):
             pieces = []
             for piece in re.split(r"(?<=\})\n(?=\{)|\n\n", text):
                 try:
-                    pieces.append(json.loads(piece))
+                    pieces.append(_loads(piece))
                 except (ValueError, RecursionError):
                     break
         blocks.extend(pieces)
@@ -281,65 +373,105 @@ def walk_nodes(block):
             todo.extend(reversed(value))
 
 
-def node_rows(scripts) -> list[dict]:
-    rows = []
+def node_rows(scripts, type_sets=None) -> list[dict]:
+    """The first node of each set of types, with its JSON text; without sets all nodes, bare.
+
+    A node's text holds those of all nodes below it, so texts of all nodes would be
+    quadratic in depth.
+    """
+    rows, open_sets = [], None if type_sets is None else [frozenset(s) for s in type_sets]
     for b, block in enumerate(parse_blocks(scripts)):
         for n, node in enumerate(walk_nodes(block)):
             kind = node.get("@type")
-            types = kind if isinstance(kind, list) else [kind] if kind else []
-            rows.append(
-                {
-                    "block": b,
-                    "node": n,
-                    "types": [str(t) for t in types],
-                    "body": json.dumps(node, ensure_ascii=False),
-                }
-            )
+            types = [_sound(str(t)) for t in (kind if isinstance(kind, list) else [kind] if kind else [])]
+            row = {"block": b, "node": n, "types": types, "body": None}
+            if open_sets is not None:
+                left = [s for s in open_sets if not s.intersection(types)]
+                if len(left) == len(open_sets):
+                    continue
+                open_sets = left
+                row["body"] = _sound(json.dumps(node, ensure_ascii=False))
+            rows.append(row)
+            if open_sets == []:
+                return rows
     return rows
 
 
-def read_pages(probes: dict[str, Probe], links: str | None = None, page_text=False, nodes=False):
+def _as_arrow(rows: list[dict], kind: pa.DataType, failed) -> pa.Array:
+    """Rows as an Arrow array; if one cannot be converted, that one alone is replaced."""
+    try:
+        return pa.array(rows, type=kind)
+    except Exception:
+        sound = []
+        for row in rows:
+            try:
+                pa.array([row], type=kind)
+                sound.append(row)
+            except Exception as problem:
+                sound.append(failed(problem))
+        return pa.array(sound, type=kind)
+
+
+def _failure(problem: Exception) -> dict:
+    return {"found": [], "links": [], "nodes": [], "error": type(problem).__name__, "detail": _sound(str(problem))}
+
+
+def read_pages(probes: dict[str, Probe], links: str | None = None, page_text=False, nodes=()):
     """A column function html -> PAGE_TYPE reading the given probes in one pass.
 
     found has a key for each probe whose selector matched; links holds the non-empty
-    hrefs of the link selector in page order. An error is data, never a failed task.
+    hrefs of the link selector in page order; nodes holds the first JSON-LD node of each
+    given set of types. An error is data, never a failed task.
     """
     compiled = {name: (_compile(p.selector), p.read) for name, p in probes.items()}
     link_chains = (_compile(links) or []) if links else []
 
+    def one(html) -> dict:
+        try:
+            reader = _PageReader()
+            reader.feed(html or "")
+            reader.finish()
+            found, hrefs = reader.select(compiled, link_chains)
+            row = {"found": found, "links": hrefs, "nodes": node_rows(reader.scripts, nodes) if nodes else []}
+            if page_text:
+                row["page_text"] = " ".join(reader.texts)
+            return row
+        except Exception as problem:  # reported in the failure table
+            return _failure(problem)
+
     @F.arrow_udf(PAGE_TYPE)
     def read(batch: pa.Array) -> pa.Array:
-        out = []
-        for html in batch.to_pylist():
-            row = {"found": [], "links": [], "nodes": []}
-            try:
-                reader = _PageReader(compiled, link_chains)
-                reader.feed(html or "")
-                reader.finish()
-                row["found"] = [(n, v) for n, v in reader.found.items()]
-                row["links"] = reader.links
-                if page_text:
-                    row["page_text"] = " ".join(reader.texts)
-                if nodes:
-                    row["nodes"] = node_rows(reader.scripts)
-            except Exception as problem:  # reported in the failure table
-                row["error"], row["detail"] = type(problem).__name__, str(problem)
-            out.append(row)
-        return pa.array(out, type=_ARROW_TYPE)
+        return _as_arrow([one(html) for html in batch.to_pylist()], _ARROW_TYPE, _failure)
 
     return _once(read)
 
 
-@F.arrow_udf(NODES_TYPE)
-def _jsonld_nodes(scripts: pa.Array) -> pa.Array:
-    return pa.array(
-        [node_rows(s or []) for s in scripts.to_pylist()], type=_ARROW_TYPE.field("nodes").type
-    )
+def jsonld_nodes(scripts: str, *type_sets) -> Column:
+    """Nodes of the ld+json script texts of a page that was tokenised elsewhere.
+
+    With sets of types the first node of each and its JSON text, else all nodes without
+    texts. Scripts that cannot be read give no nodes.
+    """
+    sets = [tuple(s) for s in type_sets] or None
+
+    @F.arrow_udf(NODES_TYPE)
+    def read(batch: pa.Array) -> pa.Array:
+        kind = _ARROW_TYPE.field("nodes").type
+        return _as_arrow([_nodes_or_none(s, sets) for s in batch.to_pylist()], kind, lambda _: [])
+
+    return _once(read)(scripts)
+
+
+def _nodes_or_none(scripts, type_sets) -> list[dict]:
+    try:
+        return node_rows(scripts or [], type_sets)
+    except (RecursionError, ValueError):
+        return []
 
 
-def jsonld_nodes(scripts: str) -> Column:
-    """Nodes of the ld+json script texts of a page that was tokenised elsewhere."""
-    return _once(_jsonld_nodes)(scripts)
+def supported(selector: str) -> bool:
+    """Is the selector one that the reader can answer?"""
+    return _compile(selector) is not None
 
 
 def _once(udf):

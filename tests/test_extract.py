@@ -1,11 +1,13 @@
 import datetime as dt
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from plotwise.functions.html import (
     Probe,
+    _as_arrow,
     _compile,
     _PageReader,
     first_typed,
@@ -63,7 +65,7 @@ def test_selectors(spark, selector, want):
 
 def test_reads(spark):
     assert probe(spark, PAGE, "time[datetime]", "datetime") == "2024-01-02"
-    assert probe(spark, PAGE, "time:not(x), b", "datetime") is None
+    assert probe(spark, PAGE, "time:has(x), b", "datetime") is None
     assert probe(spark, PAGE, "a", "@href") == "/a"
     assert probe(spark, PAGE, "meta", "element") == ""
 
@@ -109,12 +111,68 @@ def test_nodes_in_document_order():
     rows = node_rows([json.dumps(tree)])
     assert [r["types"] for r in rows] == [["A"], ["B", "C"], [], [], ["D"]]
     assert [r["node"] for r in rows] == [0, 1, 2, 3, 4]
-    assert json.loads(rows[0]["body"]) == tree
+    assert {r["body"] for r in rows} == {None}
+    firsts = node_rows([json.dumps(tree)], [("A",), ("C", "D"), ("none",)])
+    assert [r["node"] for r in firsts] == [0, 1] and json.loads(firsts[0]["body"]) == tree
+
+
+def test_half_an_emoji_and_numbers_beyond_json(spark):
+    bad = '{"@type":"Offer","name":"cut \\ud83d","price":5,"x":NaN,"y":-Infinity,"z":1e999}'
+    deep = '{"@type":"Offer","a":' * 300 + "1" + "}" * 300
+    df = spark.createDataFrame([(0, [bad]), (1, [deep]), (2, ["[" * 100_000]), (3, None)], "i int, s array<string>")
+    got = {r["i"]: r["n"] for r in df.select("i", jsonld_nodes("s", ("Offer",)).alias("n")).collect()}
+    body = json.loads(got[0][0]["body"])
+    assert body == {"@type": "Offer", "name": "cut \ufffd", "price": 5, "x": None, "y": None, "z": None}
+    assert len(got[1]) == 1 and len(got[1][0]["body"]) < 2 * len(deep)
+    assert got[2] == got[3] == []
+    page = f"<h1>T</h1><script type='application/ld+json'>{bad}</script>"
+    assert record(spark, page)["price"]["value"] == 5.0
+
+
+def test_a_row_that_cannot_be_converted_fails_alone():
+    kind = pa.struct([("x", pa.string())])
+    got = _as_arrow([{"x": "a"}, {"x": "\ud83d"}, {"x": "b"}], kind, lambda e: {"x": type(e).__name__})
+    assert [r["x"] for r in got.to_pylist()] == ["a", "UnicodeEncodeError", "b"]
+
+
+LIST = "<h1>T</h1><p>a</p><ul><li id=A class='x y'>1<li>2<li>3</ul><p class=x>b</p><a HREF=X>l</a>"
+SELECTED = {
+    "li:nth-child(2)": "2",
+    "li:nth-child(2n+1)": "1",
+    "li:nth-child(odd):not(.x)": "3",
+    "li:nth-child(-n+1)": "1",
+    "li:nth-child(7)": None,
+    "ul > li:first-child": "1",
+    "li:last-child": "3",
+    "h1 + p": "a",
+    "h1 ~ p.x": "b",
+    "h1 + ul": None,
+    "li:not(#A)": "2",
+    "li + li + li": "3",
+    "a[href='x']": None,
+    "a[href='x' i]": "l",
+    "p.x,li": "1",
+    "p:not(.x) ~ a": "l",
+}
+
+
+def test_selectors(spark):
+    df = spark.createDataFrame([(LIST,)], "html string")
+    named = {s: Probe(s) for s in SELECTED}
+    found = df.select(read_pages(named)("html")["found"].alias("f")).first()["f"]
+    assert {s: found.get(s) for s in SELECTED} == SELECTED
+
+
+def test_unsupported_selectors_are_no_misses(spark):
+    df = spark.createDataFrame([(1, LIST)], "i int, html string")
+    bad = ["div[[", "li:has(a)", "", "a >", "::before", "li:nth-child(x)", "li:not(:not(a))"]
+    hits = extract.selector_hits(df, {s: s for s in [*bad, "h1", "h6"]}, ["i"]).collect()
+    assert {r["selector"]: r["hit"] for r in hits} == {**dict.fromkeys(bad), "h1": True, "h6": False}
 
 
 def test_first_typed_takes_node_order(spark):
     script = '{"@graph":[{"@type":"Offer","n":1},{"@type":"Product","n":2}]}'
-    df = spark.createDataFrame([([script],)], "s array<string>").select(jsonld_nodes("s").alias("n"))
+    df = spark.createDataFrame([([script],)], "s array<string>").select(jsonld_nodes("s", ("Product", "Offer"), ("Thing",)).alias("n"))
     got = df.select(first_typed(F.col("n"), "Product", "Offer"), first_typed(F.col("n"), "Thing")).first()
     assert json.loads(got[0])["n"] == 1 and got[1] is None
 
@@ -208,10 +266,10 @@ def test_failure_detail_is_cut(spark):
 
 
 def test_reader_keeps_first_of_doubled_attributes():
-    reader = _PageReader({}, _compile("a"))
+    reader = _PageReader()
     reader.feed('<a href="1" href="2">')
     reader.finish()
-    assert reader.links == ["1"]
+    assert reader.select({}, _compile("a"))[1] == ["1"]
 
 
 def test_configured_fields(spark):
