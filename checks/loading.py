@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.standin import OBS, TIES, now, observations, r6, table, ts_text
+from checks.standin import OBS, TIES, now, observations, r6, spread, table, ts_text
 from plotwise.functions import amounts, dates, text, urls
 from plotwise.operators import dedupe, projection
 from plotwise.plans import loaders
-from plotwise.session import spread
 
 # --- staged records derived from observations ----------------------------------
 # price: an object, JSON text, plain text or missing; area: an object or one of two texts
@@ -431,23 +430,27 @@ def relative_dates(spark, sf_dir):
 
 @query(
     "absolute_dates",
-    """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS parsed,
-    CASE WHEN o_orderkey % 5 = 0 THEN strftime(o_orderdate - INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') END AS token,
-    CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS written
-    FROM orders""",
+    """WITH o AS (SELECT *, o_orderkey % 16 AS k, CAST(o_orderdate AS DATE) AS day FROM orders),
+    r AS (SELECT *, CASE WHEN k IN (8, 11) AND day(day) <= 12 THEN make_date(year(day), day(day), month(day)) ELSE day END AS seen FROM o)
+    SELECT o_orderkey, strftime(CASE k WHEN 12 THEN date_trunc('month', day) WHEN 13 THEN make_date(2024, month(day), day(day))
+      WHEN 14 THEN day + INTERVAL 904 MINUTE WHEN 15 THEN TIMESTAMP '2024-06-01 12:30:00' ELSE seen END, '%Y-%m-%d %H:%M:%S') AS parsed,
+    CASE WHEN k = 0 THEN strftime(o_orderdate - INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') END AS token,
+    CASE WHEN k NOT IN (12, 13, 15) THEN CAST(seen AS VARCHAR) END AS written FROM r""",
 )
 def absolute_dates(spark, sf_dir):
-    k, day = F.col("o_orderkey") % 5, F.col("o_orderdate")
-    shown = (
-        F.when(k == 0, F.date_format(day, "d MMMM yyyy"))
-        .when(k == 1, F.date_format(day, "MMM d, yyyy"))
-        .when(k == 2, F.date_format(day, "yyyy-MM-dd"))
-        .when(k == 3, F.date_format(day, "EEE, dd MMM yyyy HH:mm:ss '+0000'"))
-        .otherwise(F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
-    )
+    """Sixteen ways to write a day; three of them need the job's "now", which written dates lack."""
+    k, day = F.col("o_orderkey") % 16, F.col("o_orderdate")
+    shapes = [
+        "d MMMM yyyy", "MMM d, yyyy", "yyyy-MM-dd", "EEE, dd MMM yyyy HH:mm:ss '+0000'", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'",
+        "d-MMM-yyyy", "d'th' MMMM yyyy", "d MMM yy", "dd.MM.yyyy", "yyyy.MM.dd", "MM-dd-yyyy", "dd/MM/yyyy", "MMM yyyy", "MMMM d",
+        "EEE d MMM yyyy '3:04 PM'", "'12:30'",
+    ]
+    shown = F.lit(None).cast("string")
+    for i, shape in enumerate(shapes):
+        shown = F.when(k == i, F.date_format(day, shape)).otherwise(shown)
     token = F.when(k == 0, dates.token_timestamp(F.concat(F.lit("Listed: "), "shown", F.lit(" (new)")), "Asia/Manila"))
     rows = spread(table(spark, sf_dir, "orders")).withColumn("shown", shown).withColumn("token", token)
-    rows = dates.with_absolute(rows, "parsed", F.col("shown"))
+    rows = dates.with_absolute(rows, "parsed", F.col("shown"), now())
     rows = dates.with_written_date(rows, "written", F.col("shown"))
     return rows.select(
         "o_orderkey", ts_text("parsed").alias("parsed"), ts_text("token").alias("token"),
@@ -472,7 +475,7 @@ def iso_timestamps(spark, sf_dir):
     rows = table(spark, sf_dir, "events").withColumn("shown", shown)
     return dates.with_written_date(rows, "as_of_date", F.col("shown")).select(
         "event_id", dates.iso_utc(ts).alias("iso"), dates.iso_seconds(ts).alias("seconds"),
-        ts_text(dates.parse_timestamp("shown")).alias("coerced"),
+        ts_text(dates.parse_timestamp(F.col("shown"))).alias("coerced"),
         F.col("as_of_date").cast("string").alias("as_of_date"),
     )
 

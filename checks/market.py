@@ -294,23 +294,39 @@ found AS (SELECT * FROM obs WHERE source = 'F' AND property_type = 'SMALL' AND p
 
 
 def found(spark, sf_dir):
-    obs = observations(spark, sf_dir, published=True).withColumn("description", F.lit(None).cast("string"))
+    obs = observations(spark, sf_dir, address=True, published=True).withColumn("description", F.lit(None).cast("string"))
     return dashboard.search_filter(obs, FILTERS)
 
 
-@query(
-    "search_page",
-    f"""WITH {OBS}, {FOUND} SELECT url, listing_title, round(price_php, 2) AS price_php, area_sqm,
-    strftime(scraped_at, '%Y-%m-%d %H:%M:%S') AS scraped_at FROM found
+SEARCHED = f"""
+WITH {OBS}, {FOUND} SELECT url, listing_title, round(price_php, 2) AS price_php, area_sqm, price_per_sqm, address, property_type,
+    strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, strftime(scraped_at, '%Y-%m-%d %H:%M:%S') AS scraped_at FROM found
     ORDER BY found.scraped_at DESC NULLS FIRST, url, l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice
-    LIMIT 5 OFFSET 5""",
-)
+"""
+
+
+def shown(page):
+    return page.drop(*TIES).withColumns(
+        {
+            "price_php": F.round("price_php", 2),
+            "published_at": ts_text("published_at"),
+            "scraped_at": ts_text("scraped_at"),
+        }
+    )
+
+
+@query("search_page", SEARCHED + "LIMIT 5 OFFSET 5")
 def search_page(spark, sf_dir):
-    page = dashboard.search_page(found(spark, sf_dir), page=2, per_page=5, ties=("url", *TIES))
-    return page.select(
-        "url", "listing_title", F.round("price_php", 2).alias("price_php"), "area_sqm",
-        ts_text("scraped_at").alias("scraped_at"),
-    )
+    """The second page, asked for by the last row of the first."""
+    ties, rows = ("url", *TIES), found(spark, sf_dir)
+    first = dashboard.search_page(rows, None, 5, ties).collect()
+    after = first[-1].asDict() if first else None
+    return shown(dashboard.search_page(rows, after, 5, ties))
+
+
+@query("search_page_by_number", SEARCHED + "LIMIT 5 OFFSET 10")
+def search_page_by_number(spark, sf_dir):
+    return shown(dashboard.numbered_page(found(spark, sf_dir), 3, 5, ("url", *TIES)))
 
 
 @query("search_total", f"WITH {OBS}, {FOUND} SELECT count(*) AS total FROM found")

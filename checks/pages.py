@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.standin import now, r6, table, ts_text
+from checks.standin import now, r6, spread, table, ts_text
 from plotwise.functions.html import jsonld_nodes
 from plotwise.functions.urls import canonical_url, with_page_number, with_resolved
 from plotwise.operators import dedupe, discovery, extract, quality
 from plotwise.plans import details
-from plotwise.session import spread
 
 def plain_text(html: str) -> str:
     """SQL: the entities the pages use, decoded as a browser does ('&amp' needs no ';')."""

@@ -3,7 +3,7 @@ at most one row per input task and never becomes one large group."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plotwise.operators.ranks import rank_within
 
@@ -12,11 +12,26 @@ def _columns(order) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+def row_hash(df: DataFrame, but=()) -> Column:
+    """A number for the whole row, so that rows equal in all else order the same on every run."""
+    unhashed = (T.MapType, T.VariantType)
+    parts = [
+        F.to_json(F.struct(F.col(f.name))) if "variant" in (kind := f.dataType.simpleString()) or "map<" in kind
+        or isinstance(f.dataType, unhashed) else F.col(f.name)
+        for f in df.schema.fields
+        if f.name not in but
+    ]
+    return F.xxhash64(*parts)
+
+
 def argmax_rows(df: DataFrame, keys: list[str], order) -> DataFrame:
-    """The row of each key with the largest order columns (NULL is smallest)."""
+    """The row of each key with the largest order columns (NULL is smallest).
+
+    Where these are equal a hash of the row decides: the same row however the input lies.
+    """
     rest = [c for c in df.columns if c not in keys]
     picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*_columns(order))).alias("_row")
+        F.max_by(F.struct(*rest), F.struct(*_columns(order), row_hash(df))).alias("_row")
     )
     return picked.select(*[c if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
@@ -24,7 +39,7 @@ def argmax_rows(df: DataFrame, keys: list[str], order) -> DataFrame:
 def argmin_rows(df: DataFrame, keys: list[str], order) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), F.struct(*_columns(order))).alias("_row")
+        F.min_by(F.struct(*rest), F.struct(*_columns(order), row_hash(df))).alias("_row")
     )
     return picked.select(*[c if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
@@ -37,7 +52,8 @@ def keep_latest(
     prefer_known_time: bool = False,
 ) -> DataFrame:
     """Last observation per key. A row without a time counts as the newest, as in the
-    stored tables, unless prefer_known_time. ties stand in for the input order."""
+    stored tables, unless prefer_known_time. ties stand in for the input order (a file's
+    path and the place in it, see staged.POSITION); without them a hash of the row decides."""
     unknown = F.col(time).isNotNull() if prefer_known_time else F.col(time).isNull()
     return argmax_rows(df, [key], [unknown, F.col(time), *_columns(ties)])
 

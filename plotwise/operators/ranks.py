@@ -1,7 +1,7 @@
 """Ranks and medians of groups of any size.
 
 A window over a whole group would put the group into one task. Here a group is cut
-into many small ranges first; only counts per range are combined.
+into many small ranges first; only counts per range are combined. One path serves all sizes.
 """
 
 from __future__ import annotations
@@ -11,15 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from plotwise.session import cut_lineage
 
 SPAN = 10_000  # page numbers per range
-SMALL_GROUP_ROWS = 1_000_000  # rows of a group one task may sort
-BROADCAST_ROWS = 100_000  # rows of a counted table worth sending to every task
-GRID = [i / 1000 for i in range(1001)]
-SKETCH_ACCURACY = 20_000  # rank error 1/20000, a twentieth of a grid step
-
-
-def small_side(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a table whose rows were counted and are few; else let it shuffle."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+BINS = 1024  # parts of a group's values that one pass tells apart
 
 
 def rank_within(
@@ -58,118 +50,47 @@ def rank_within(
     return ranked if top is None else ranked.where(F.col(name) <= top)
 
 
-def _with_bracket(df: DataFrame, bracket: DataFrame, groups: list[str], n: int) -> DataFrame:
-    if groups:
-        return df.join(small_side(bracket, n), groups)
-    row = bracket.first()
-    return df.withColumns({c: F.lit(row[c]) for c in bracket.columns})
-
-
-def _narrow(stats: DataFrame, groups: list[str], margin: int) -> DataFrame:
-    """New bounds around both middle ranks, `margin` grid steps wider than the estimate."""
-    share_low = (F.col("k1") - F.col("below")) / F.col("inside")
-    share_high = (F.col("k2") - F.col("below") + 1) / F.col("inside")
-    low = (F.floor(share_low * 1000) - margin).cast("int")
-    high = (F.ceil(share_high * 1000) + margin).cast("int")
-    return stats.select(
-        *groups,
-        "n",
-        "k1",
-        "k2",
-        F.when(low >= 0, F.get("grid", low)).otherwise(F.col("lo")).alias("lo"),
-        F.when(high <= 1000, F.get("grid", high)).otherwise(F.col("hi")).alias("hi"),
-    )
-
-
-def _sizes(stats: DataFrame):
-    hit = (F.col("below") <= F.col("k1")) & (F.col("k2") < F.col("below") + F.col("inside"))
-    return stats.agg(
-        F.count("*").alias("groups"), F.max("inside").alias("most"), F.count_if(~hit).alias("missed")
-    ).first()
-
-
 def exact_median(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
     """groups, n, median: the exact middle value (mean of two) of each group.
 
-    Groups of at most SMALL_GROUP_ROWS rows are ordered as they are. Beyond that, a
-    mergeable sketch brackets the middle of each group; the rows in the bracket are
-    counted exactly and the bracket is narrowed a few hundredfold per pass, until it
-    holds few rows or one value. NULL values and groups do not count.
+    The values between a group's bounds are counted in 1024 equal parts; the part that
+    holds the middle rank gives the next bounds, its own smallest and largest value, until
+    both are one value. A group that got there takes part in no further pass. Counts fold
+    before they are shuffled, so a group of any size is at most 1024 rows per task, and
+    each pass drops at least one value and mostly all but a thousandth. NULL values and
+    groups do not count.
 
-    Runs at once: the two columns are kept in executor memory or on disk between the
-    passes, and the result, one row per group, is checkpointed.
+    Runs at once; the two columns and the bounds are checkpointed.
     """
     groups = list(groups or [])
-    rows = df.select(*groups, F.col(value).cast("double").alias("v")).dropna().persist()
-    try:
-        return cut_lineage(_median(rows, groups))
-    finally:
-        rows.unpersist()
+    rows = df.select(*groups, F.col(value).cast("double").alias("v")).dropna()
+    return _median(cut_lineage(rows.withColumn("_all", F.lit(0))), [*groups, "_all"]).drop("_all")
 
 
 def _median(rows: DataFrame, groups: list[str]) -> DataFrame:
-    inside = F.col("v").between(F.col("lo"), F.col("hi"))
-    sketch = F.percentile_approx(F.when(inside, F.col("v")), GRID, SKETCH_ACCURACY)
-    keys = [*groups, "n", "k1", "k2", "lo", "hi"]
-    stats = cut_lineage(
-        rows.groupBy(*groups)
-        .agg(F.count("*").alias("n"))
-        .where("n > 0")
-        .select(
-            *groups,
-            "n",
-            F.floor((F.col("n") - 1) / 2).alias("k1"),
-            F.floor(F.col("n") / 2).alias("k2"),
-            F.lit(float("-inf")).alias("lo"),
-            F.lit(float("inf")).alias("hi"),
-            F.lit(0).cast("bigint").alias("below"),
-            F.col("n").alias("inside"),
-        )
-    )
-    size, margin = _sizes(stats), 1
-    if not size["groups"]:
-        return stats.select(*groups, "n", F.col("lo").alias("median"))
-
-    def count_and_sketch(bracket):
-        return cut_lineage(
-            _with_bracket(rows, bracket, groups, size["groups"])
-            .groupBy(*keys)
-            .agg(
-                F.count_if(F.col("v") < F.col("lo")).alias("below"),
-                F.count_if(inside).alias("inside"),
-                sketch.alias("grid"),
-            )
+    n = F.col("n")
+    sizes = rows.groupBy(*groups).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    middles = F.array(F.floor((n - 1) / 2), F.floor(n / 2))  # ranks from 0
+    state = sizes.select(*groups, "n", F.posexplode(middles).alias("which", "k"), "lo", "hi")
+    columns = [*groups, "n", "which", "k", "lo", "hi"]
+    state = cut_lineage(state.select(*columns))
+    while not state.where("lo < hi").isEmpty():
+        # halves cannot overflow; the bounds themselves are always told apart
+        share = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        part = F.least(F.floor(F.nanvl(share, F.lit(0.0)) * BINS), F.lit(BINS - 1))
+        parts = (
+            rows.join(state.where("lo < hi"), groups)
+            .where(F.col("v").between(F.col("lo"), F.col("hi")))
+            .withColumn("part", F.when(F.col("v") == F.col("hi"), BINS).otherwise(part))
+            .groupBy(*groups, "n", "which", "k", "part")
+            .agg(F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         )
-
-    if size["most"] > SMALL_GROUP_ROWS:
-        stats = count_and_sketch(stats.select(*keys))
-    while size["most"] > SMALL_GROUP_ROWS and margin < 1000:
-        trial = count_and_sketch(_narrow(stats, groups, margin))
-        narrowed = _sizes(trial)
-        if narrowed["missed"]:
-            margin *= 10  # never taken while the sketch keeps its bound
-            continue
-        stuck = narrowed["most"] == size["most"]  # one value fills the bracket
-        stats, size = trial, narrowed
-        if stuck:
-            break
-    # equal values fold before the shuffle; all that lies under the bracket is one row
-    counted = (
-        _with_bracket(rows, stats.select(*keys), groups, size["groups"])
-        .where(F.col("v") <= F.col("hi"))
-        .groupBy(*keys, F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("v"))
-        .agg(F.count("*").alias("c"))
-    )
-    upto = F.sum("c").over(W.partitionBy(*groups).orderBy(F.col("v").asc_nulls_first()))
-    middle = (
-        counted.withColumn("upto", upto)
-        .where(F.col("upto") > F.col("k1"))
-        .groupBy(*groups, "n")
-        .agg(
-            F.min("v").alias("a"),
-            F.min(F.when(F.col("upto") > F.col("k2"), F.col("v"))).alias("b"),
+        upto = F.sum("c").over(W.partitionBy(*groups, "which").orderBy("part"))
+        chosen = (
+            parts.withColumn("before", upto - F.col("c"))
+            .where((F.col("before") <= F.col("k")) & (F.col("k") < F.col("before") + F.col("c")))
+            .withColumn("k", F.col("k") - F.col("before"))
         )
-    )
-    return middle.select(
-        *groups, "n", (F.col("a") + (F.col("b") - F.col("a")) * 0.5).alias("median")
-    )
+        state = cut_lineage(state.where("lo = hi").unionByName(chosen.select(*columns)))
+    ends = state.groupBy(*groups, "n").agg(F.min("lo").alias("a"), F.max("lo").alias("b"))
+    return ends.select(*groups, "n", (F.col("a") + (F.col("b") - F.col("a")) * 0.5).alias("median"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plotwise.operators.ranks import exact_median
+from plotwise.operators.ranks import exact_median, rank_within
 from plotwise.session import cut_lineage
+from plotwise.sources.tables import SEARCH_COLUMNS
 
 PAGE_SIZE = 25
 HISTOGRAM_BINS = 30
@@ -37,10 +38,45 @@ def search_filter(listings: DataFrame, filters: dict | None = None) -> DataFrame
     return df
 
 
-def search_page(found: DataFrame, page: int = 1, per_page: int = PAGE_SIZE, ties=("url",)) -> DataFrame:
-    """One page, newest scrape first, rows without a time in front."""
+def search_columns(found: DataFrame, extra=()) -> DataFrame:
+    """The search page's columns, those of them that the table has."""
+    return found.select(*[c for c in dict.fromkeys((*SEARCH_COLUMNS, *extra)) if c in found.columns])
+
+
+def _newest_first(ties) -> list[Column]:
+    return [F.col("scraped_at").desc_nulls_first(), *[F.col(t) for t in ties]]
+
+
+def search_page(found: DataFrame, after: dict | None = None, per_page: int = PAGE_SIZE, ties=("url",)) -> DataFrame:
+    """The rows after a given one, newest scrape first, rows without a time in front.
+
+    `after` holds scraped_at and the ties (not NULL) of the last row of the page before. It
+    is a filter, so a page costs one small top-k however deep it lies.
+    """
+    if after is not None:
+        equal, later = F.lit(True), F.lit(False)
+        for tie in ties:
+            later = later | (equal & (F.col(tie) > F.lit(after[tie])))
+            equal = equal & (F.col(tie) == F.lit(after[tie]))
+        time, last = F.col("scraped_at"), after["scraped_at"]
+        if last is None:
+            found = found.where(time.isNotNull() | later)
+        else:
+            found = found.where((time < F.lit(last)) | ((time == F.lit(last)) & later))
+    page = found.orderBy(*_newest_first(ties)).limit(per_page)
+    return search_columns(page, ties)
+
+
+def numbered_page(found: DataFrame, page: int, per_page: int = PAGE_SIZE, ties=("url",)) -> DataFrame:
+    """Any page by its number. Rows before it are counted per second, not gathered or sorted whole."""
+    seconds = F.unix_seconds("scraped_at")
+    newest = found.agg(F.max(seconds).alias("s")).scalar()
+    step = F.coalesce(newest - seconds + 1, F.lit(0))
+    stepped = found.withColumn("_second", step)
     order = [F.col("scraped_at").desc_nulls_first(), *[F.col(t) for t in ties]]
-    return found.orderBy(*order).offset((page - 1) * per_page).limit(per_page)
+    ranked = rank_within(stepped.withColumn("_all", F.lit(0)), ["_all"], "_second", order, "_rank", top=page * per_page)
+    ranked = ranked.where(F.col("_rank") > (page - 1) * per_page)
+    return search_columns(ranked.orderBy("_rank").limit(per_page), ties)
 
 
 def search_total(found: DataFrame) -> DataFrame:
@@ -89,18 +125,14 @@ def dashboard_filter(
 
 def kpi_row(df: DataFrame, value: str = "price_per_sqm") -> DataFrame:
     """Listings, exact median and mean of the value, number of cities: one row."""
-    frame = df.select(value, "city").persist()  # two columns, read by both aggregates
-    try:
-        counts = frame.agg(
-            F.count("*").alias("listings"),
-            F.avg(value).alias("avg_ppsqm"),
-            F.count_distinct("city").alias("cities"),
-        )
-        middle = exact_median(frame, value).select("median").scalar()
-        row = counts.select("listings", middle.alias("median_ppsqm"), "avg_ppsqm", "cities")
-        return cut_lineage(row)
-    finally:
-        frame.unpersist()
+    frame = cut_lineage(df.select(value, "city"))  # two columns, read by both aggregates
+    counts = frame.agg(
+        F.count("*").alias("listings"),
+        F.avg(value).alias("avg_ppsqm"),
+        F.count_distinct("city").alias("cities"),
+    )
+    middle = exact_median(frame, value).select("median").scalar()
+    return cut_lineage(counts.select("listings", middle.alias("median_ppsqm"), "avg_ppsqm", "cities"))
 
 
 def median_by_city(df: DataFrame, value: str = "price_per_sqm") -> DataFrame:
@@ -125,9 +157,10 @@ def listings_by_month(df: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, value: str = "price_per_sqm", bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Counts in equal-width bins between the smallest and the largest value.
 
-    The bounds come from one aggregate, read as a scalar; empty bins are absent.
+    The one column is worked out once and checkpointed; the bounds come from one aggregate
+    on it, read as a scalar. Empty bins are absent.
     """
-    values = df.select(F.col(value).alias("v")).where("v is not null")
+    values = cut_lineage(df.select(F.col(value).alias("v")).where("v is not null"))
     bounds = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("b")).scalar()
     lo, hi = bounds["lo"], bounds["hi"]
     place = F.least(F.floor((F.col("v") - lo) / (hi - lo) * bins), F.lit(bins - 1))

@@ -6,6 +6,7 @@ how text is tidied, what is dropped and which columns leave.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -205,7 +206,7 @@ def load(
         for name in ("property_type", "address", "published_at_text"):
             columns[name] = normalize_text(_or_null(df, name))
         columns["description"] = empty_to_null(_or_null(df, "description"))
-        df = with_absolute(df, "published_at", _or_null(df, "published_at"))
+        df = with_absolute(df, "published_at", _or_null(df, "published_at"), now.cast("timestamp"))
     for name in ("bedrooms", "bathrooms"):
         columns[name] = to_count(_or_null(df, name).cast("string"))
     if rules.keep_json:
@@ -229,8 +230,9 @@ def load(
     df = df.withColumns(columns)
     if rules.min_area is not None:
         # counted before the gate; the count also keeps Spark from pushing the gate down
-        # to where it would work out price and area a second time
-        df = df.observe(f"{rules.name}_gate", F.count(F.lit(1)).alias("rows_read"))
+        # to where it would work out price and area a second time; a name per load, as
+        # one plan may hold several loads
+        df = df.observe(f"{rules.name}_gate_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows_read"))
         df = publishable(df, rules.min_area)
     if rules.latest_only:
         df = df.drop("price", "area", "price_php", "listing_title", "listingTitle")

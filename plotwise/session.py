@@ -15,8 +15,6 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # deep pages must not be gathered by the driver: past this many rows a sort runs
-    "spark.sql.execution.topKSortFallbackThreshold": "100000",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -62,14 +60,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan that has fewer splits than there are cores.
-
-    One small file is one task, however much work each row takes. A large table has
-    splits enough and is left alone: its rows are not shuffled. For plain scans only;
-    asking a query with joins for its partitions would run it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

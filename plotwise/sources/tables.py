@@ -73,8 +73,9 @@ def read_registry_entries(spark: SparkSession, path: str) -> DataFrame:
     return registry_entries(spark.read.text(path, wholetext=True))
 
 
-def portals(entries: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Typed registry entries with defaults; only the named ones if names are given."""
+def portals(entries: DataFrame, names: list[str] | DataFrame | None = None) -> DataFrame:
+    """Typed registry entries with defaults; only the named ones if names are given, as a
+    list or as a table with a portal_name column."""
     typed = entries.select(
         *[
             F.try_variant_get("portal", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
@@ -90,6 +91,8 @@ def portals(entries: DataFrame, names: list[str] | None = None) -> DataFrame:
             ),
         }
     )
+    if isinstance(names, DataFrame):
+        return filled.join(names.select("portal_name"), "portal_name", "left_semi").select(*filled.columns)
     wanted = [n.strip() for n in names or [] if n.strip()]
     return filled.where(F.col("portal_name").isin(wanted)) if wanted else filled
 

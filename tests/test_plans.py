@@ -1,5 +1,6 @@
 """What the plans must look like for the jobs to hold at a thousand times the data."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -102,17 +103,29 @@ def test_merge_reads_touched_buckets_only(spark):
 
 def test_medians_hold_no_group_in_one_buffer(spark, monkeypatch):
     monkeypatch.setattr(ranks, "cut_lineage", lambda df: df)  # look at the whole plan
-    monkeypatch.setattr(ranks, "SMALL_GROUP_ROWS", 100)
     df = market.listings(spark, SF, published=False).select("city", "price_per_sqm")
     text = plan(ranks.exact_median(df, "price_per_sqm", ["city"]))
     assert "percentile(" not in text and "collect_" not in text
 
 
-def test_broadcast_only_below_the_counted_limit(spark, monkeypatch):
-    small = spark.range(10)
-    assert "ResolvedHint" in small.join(ranks.small_side(small, 10), "id")._jdf.queryExecution().analyzed().toString()
-    big = ranks.small_side(small, ranks.BROADCAST_ROWS + 1)
-    assert "ResolvedHint" not in small.join(big, "id")._jdf.queryExecution().analyzed().toString()
+def test_deep_pages_are_not_gathered(spark):
+    df = market.found(spark, SF)
+    after = {"scraped_at": dt.datetime(1996, 1, 1), **dict.fromkeys(("url", *TIES), 0), "url": "x"}
+    for page in (dashboard.search_page(df, after, 25, ("url", *TIES)), dashboard.numbered_page(df, 10_000, 25, ("url", *TIES))):
+        assert "CollectLimit" not in plan(page) and "TakeOrderedAndProject(limit=25" in plan(page)
+
+
+def test_a_filter_on_staged_urls_reaches_the_pages(spark):
+    made = spark.read.parquet(f"{SF}/pages.parquet").select("url", "html")
+    urls = made.select("url", F.lit("p").alias("portal")).where("url = 'x'")
+    text = formatted(details.detail_outcomes(urls, made, F.lit("2024-01-01").cast("timestamp")))
+    scans = re.findall(r"PushedFilters: \[(.*)\]", text)
+    assert len(scans) == 3 and all("EqualTo(url,x)" in s for s in scans)
+
+
+def test_two_publish_loads_in_one_plan(spark):
+    both = QUERIES["publish_gate"](spark, SF).union(QUERIES["publish_gate"](spark, SF))
+    assert both.count() == 2 * QUERIES["publish_gate"](spark, SF).count()
 
 
 def test_ties_make_the_order_total(spark):

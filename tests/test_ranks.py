@@ -28,28 +28,31 @@ def medians(rows):
     return {c: (len(v), statistics.median(v)) for c, v in groups.items()}
 
 
-@pytest.mark.parametrize("small, wide", [(1_000_000, 100_000), (50, 100_000), (50, 3), (1, 3)])
-def test_median_by_group(spark, monkeypatch, small, wide):
-    monkeypatch.setattr(ranks, "SMALL_GROUP_ROWS", small)
-    monkeypatch.setattr(ranks, "BROADCAST_ROWS", wide)
+@pytest.mark.parametrize("bins", [1024, 2, 7])
+def test_median_by_group(spark, monkeypatch, bins):
+    monkeypatch.setattr(ranks, "BINS", bins)
     rows = skewed()
     df = spark.createDataFrame(rows, "city string, v double").repartition(6)
     got = {r["city"]: (r["n"], r["median"]) for r in ranks.exact_median(df, "v", ["city"]).collect()}
     assert got == medians(rows)
 
 
-@pytest.mark.parametrize("small", [1_000_000, 40])
-def test_median_of_all(spark, monkeypatch, small):
-    monkeypatch.setattr(ranks, "SMALL_GROUP_ROWS", small)
+def test_median_of_all(spark):
     values = [v for _, v in skewed() if v is not None]
     df = spark.createDataFrame(skewed(), "city string, v double")
     row = ranks.exact_median(df, "v").first()
     assert (row["n"], row["median"]) == (len(values), statistics.median(values))
 
 
-@pytest.mark.parametrize("values", [[1.0] * 5000, [1.0] * 3000 + [2.0] * 3000, [float(i) for i in range(5000)]])
-def test_median_with_many_equal_values(spark, monkeypatch, values):
-    monkeypatch.setattr(ranks, "SMALL_GROUP_ROWS", 10)
+INF = float("inf")
+
+
+@pytest.mark.parametrize(
+    "values",
+    [[1.0] * 5000, [1.0] * 3000 + [2.0] * 3000, [float(i) for i in range(5000)], [10.0**i for i in range(-300, 300)]]
+    + [[-INF, -1.7e308, 3.0, 1.7e308, INF]],
+)
+def test_median_with_many_equal_values(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     assert ranks.exact_median(df, "v").first()["median"] == statistics.median(values)
 
@@ -147,9 +150,28 @@ def test_search_filter(spark):
     assert n(q="corner") == 2 and n(q="c%r l_t") == 1
 
 
+def test_a_group_of_equal_values_beside_a_wide_one(spark):
+    rows = [("same", 7.0)] * 4000 + [("wide", i * 1.5 + 0.25) for i in range(4001)]
+    df = spark.createDataFrame(rows, "city string, v double").repartition(5)
+    got = {r["city"]: r["median"] for r in ranks.exact_median(df, "v", ["city"]).collect()}
+    assert got == {"same": 7.0, "wide": 2000 * 1.5 + 0.25}
+
+
+def test_latest_row_does_not_depend_on_partitions(spark):
+    df = spark.range(20_000).selectExpr("'u' url", "cast(null as timestamp) scraped_at", "id", "map('k', id) m")
+    won = {dedupe.keep_latest(df.repartition(n)).first()["id"] for n in (1, 3, 8)}
+    assert len(won) == 1
+
+
 def test_paging(spark):
-    df = spark.createDataFrame([(f"u{i:03}", None if i % 10 == 0 else i) for i in range(60)], "url string, scraped_at int")
-    pages = [[r["url"] for r in dashboard.search_page(df, p, 25).collect()] for p in (1, 2, 3, 4)]
+    rows = [(f"u{i:03}", None if i % 10 == 0 else f"2024-01-01 00:00:{i:02}") for i in range(60)]
+    df = spark.createDataFrame(rows, "url string, t string").select("url", F.col("t").cast("timestamp").alias("scraped_at"))
+    pages, after = [], None
+    for _ in range(4):
+        pages.append(dashboard.search_page(df, after, 25).collect())
+        after = pages[-1][-1].asDict() if pages[-1] else after
     assert [len(p) for p in pages] == [25, 25, 10, 0]
-    assert pages[0][:7] == ["u000", "u010", "u020", "u030", "u040", "u050", "u059"]
-    assert len({u for p in pages for u in p}) == 60
+    assert [r["url"] for r in pages[0][:7]] == ["u000", "u010", "u020", "u030", "u040", "u050", "u059"]
+    assert len({r["url"] for p in pages for r in p}) == 60
+    numbered = [dashboard.numbered_page(df, n, 25).collect() for n in (1, 2, 3, 4)]
+    assert numbered == pages

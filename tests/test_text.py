@@ -77,6 +77,26 @@ def test_published(column):
     assert column(["", "soon", "5 Foo 2023", "31 Feb 2023", None], fn) == [None] * 5
 
 
+def test_free_form_dates(column):
+    def fn(v):
+        return lambda df: dates.with_absolute(df, "out", v, F.lit(dt.datetime(2024, 3, 31, 9)))
+
+    day = dt.datetime(2023, 9, 12)
+    want = {
+        "12-Sep-2023": day, "12th September 2023": day, "12 Sep 23": day, "2023.09.12": day, "09-12-2023": day,
+        "12.09.2023": dt.datetime(2023, 12, 9), "25/12/2023": dt.datetime(2023, 12, 25), "13/13/2023": None,
+        "Sep 2023": dt.datetime(2023, 9, 30), "September 12": dt.datetime(2024, 9, 12), "12 Sep": dt.datetime(2024, 9, 12),
+        "Tue 12 Sep 2023 3:04 PM": dt.datetime(2023, 9, 12, 15, 4), "2023-09-12 3:04 PM": dt.datetime(2023, 9, 12, 15, 4),
+        "Sep 12 2023 at 12am": day, "12 Sep 2023 10:00:30 +08:00": dt.datetime(2023, 9, 12, 2, 0, 30),
+        "Tuesday, September 12th, 2023": day, "12 of Sept. '23": day, "2023 Sep 12": day, "20230912": day,
+        "12:30": dt.datetime(2024, 3, 31, 12, 30), "Sep 12, 75": dt.datetime(1975, 9, 12), "12/31/74": dt.datetime(1974, 12, 31),
+        "31 Feb 2023": None, "12 Sep 2023 25:00": None, "12 Sep 2023 13 pm": None, "maybe 2023": None, "12": None, "": None,
+    }
+    assert dict(zip(want, column(list(want), fn))) == want
+    no_clock = column(["12:30", "Sep 2023", "September 12", "Sep 12 2023"], lambda v: lambda df: dates.with_absolute(df, "out", v))
+    assert no_clock == [None, None, None, day]
+
+
 def test_token_in_source_zone(column):
     got = column(
         ["Posted 12 Sep 2023 by x", "12 September 2023", "12 Sept 2023", "2023-09-12", "2 months ago", "45 May 2023"],
