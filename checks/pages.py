@@ -9,7 +9,9 @@ from checks.standin import now, r6, spread, table, ts_text
 from plotwise.functions.html import jsonld_nodes
 from plotwise.functions.urls import canonical_url, with_page_number, with_resolved
 from plotwise.operators import dedupe, discovery, extract, quality
-from plotwise.plans import details
+from plotwise.plans import details, discovery as discovery_plan
+from plotwise.session import scratch_path
+from plotwise.sources import staged, tables
 
 def plain_text(html: str) -> str:
     """SQL: the entities the pages use, decoded as a browser does ('&amp' needs no ';')."""
@@ -180,6 +182,50 @@ def pagination_walk_capped(spark, sf_dir):
     return discovery.walk_pages(*walk_input(spark, sf_dir), max_pages=11)
 
 
+DISCOVERED = f"""
+WITH RECURSIVE {LINKS}, walk AS (SELECT page_id AS seed, page_id, 0 AS page_no FROM pages WHERE page_id < 2
+  UNION ALL SELECT w.seed, p.page_id, w.page_no + 1 FROM walk w JOIN pages p ON p.page_id = w.page_id + 5
+  WHERE w.seed = 1 OR w.page_no < 9),
+seen AS (SELECT CASE seed WHEN 0 THEN 'capped' ELSE 'open' END AS portal, l.url, w.page_no, l.pos
+  FROM walk w JOIN links l USING (page_id) WHERE seed = 0 OR l.pos = 0)
+SELECT portal, url, CAST(page_no AS BIGINT) AS page_no, pos FROM seen
+QUALIFY row_number() OVER (PARTITION BY portal, url ORDER BY page_no, pos) = 1
+"""
+
+
+def paged(spark, sf_dir):
+    """Result pages whose own next link leads five pages on, each captured twice.
+
+    The older capture has links that must not count.
+    """
+    p = pages(spark, sf_dir).select("page_id", "url", "html")
+    after = p.select((F.col("page_id") - 5).alias("page_id"), F.col("url").alias("to"))
+    linked = p.join(after, "page_id", "left")
+    more = F.concat(F.lit('<a class="more" data-islast="'), F.when(F.col("to").isNull(), "true").otherwise("false"), F.lit('" href="'), F.coalesce("to", F.lit("#")), F.lit('">more</a>'))
+    html = F.when(F.col("captured_at") == 1, F.concat("html", more)).otherwise('<nav><ul><li><a href="/old">x</a></ul></nav>')
+    return linked.withColumn("captured_at", F.explode(F.array(F.lit(0), F.lit(1)))).select("url", html.alias("html"), "captured_at")
+
+
+def two_portals(spark, sf_dir):
+    """Two registry entries with selectors and caps of their own, as JSON documents."""
+    seeds = table(spark, sf_dir, "pages").where("page_id < 2")
+    rest = F.when(
+        F.col("page_id") == 0, '"portal_name":"capped","max_pages":10,"listing_selector":"nav li > a[href^=\'/\']"'
+    ).otherwise('"portal_name":"open","max_pages":0,"listing_selector":"nav li:first-child > a"')
+    doc = F.concat(F.lit('{"seed_urls":["'), "url", F.lit('"],"pagination_selector":"a.more",'), rest, F.lit("}"))
+    return tables.portals(tables.registry_entries(seeds.select(doc.alias("value"))))
+
+
+@query("discovery_job", DISCOVERED)
+def discovery_job(spark, sf_dir):
+    """Registry, walk, links, first sighting, caps and the staged files, read back."""
+    base = scratch_path(spark, "discovery")
+    registry = two_portals(spark, sf_dir)
+    found = discovery_plan.run_discovery(paged(spark, sf_dir), registry, base, "r1", now())
+    staged_urls = staged.read_staged(spark, base, "urls").select("portal", "url")
+    return found.join(staged_urls, ["portal", "url"]).select("portal", "url", "page_no", "pos")
+
+
 # --- fields -------------------------------------------------------------------
 
 

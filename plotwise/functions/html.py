@@ -34,6 +34,7 @@ PAGE_TYPE = (
     T.StructType()
     .add("found", T.MapType(T.StringType(), T.StringType()))
     .add("links", T.ArrayType(T.StringType()))
+    .add("link_groups", T.MapType(T.StringType(), T.ArrayType(T.StringType())))
     .add("page_text", T.StringType())
     .add("nodes", NODES_TYPE)
     .add("error", T.StringType())
@@ -416,15 +417,19 @@ def _failure(problem: Exception) -> dict:
     return {"found": [], "links": [], "nodes": [], "error": type(problem).__name__, "detail": _sound(str(problem))}
 
 
-def read_pages(probes: dict[str, Probe], links: str | None = None, page_text=False, nodes=()):
+def read_pages(
+    probes: dict[str, Probe], links: str | None = None, page_text=False, nodes=(), link_groups=None
+):
     """A column function html -> PAGE_TYPE reading the given probes in one pass.
 
     found has a key for each probe whose selector matched; links holds the non-empty
-    hrefs of the link selector in page order; nodes holds the first JSON-LD node of each
-    given set of types. An error is data, never a failed task.
+    hrefs of the link selector in page order, link_groups those of several named ones;
+    nodes holds the first JSON-LD node of each given set of types. An error is data, never
+    a failed task.
     """
     compiled = {name: (_compile(p.selector), p.read) for name, p in probes.items()}
     link_chains = (_compile(links) or []) if links else []
+    group_chains = {name: _compile(selector) or [] for name, selector in (link_groups or {}).items()}
 
     def one(html) -> dict:
         try:
@@ -433,6 +438,8 @@ def read_pages(probes: dict[str, Probe], links: str | None = None, page_text=Fal
             reader.finish()
             found, hrefs = reader.select(compiled, link_chains)
             row = {"found": found, "links": hrefs, "nodes": node_rows(reader.scripts, nodes) if nodes else []}
+            if group_chains:
+                row["link_groups"] = [(name, reader.select({}, chains)[1]) for name, chains in group_chains.items()]
             if page_text:
                 row["page_text"] = " ".join(reader.texts)
             return row

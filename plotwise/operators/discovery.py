@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plotwise.functions.html import Probe, read_pages
 from plotwise.functions.urls import canonical_url, with_resolved
+from plotwise.operators.dedupe import argmax_rows
 from plotwise.session import cut_lineage
 
 # The shipped portal's selectors.
@@ -51,12 +52,13 @@ def listing_links(results: DataFrame) -> DataFrame:
 def walk_pages(links: DataFrame, seeds: DataFrame, max_pages: int = 0) -> DataFrame:
     """Pages reached from each portal's seed by following next links, with page_no from 0.
 
-    links(url, next_url): one row per captured page. seeds(portal, url). A page counts
+    links(url, next_url): one row per captured page; of several one is taken. seeds(portal, url). A page counts
     once, at its first visit, so a loop ends the walk; max_pages 0 means no cap. Each
     round doubles the length of the jumps: n pages take log2(n) rounds of joins on the
     narrow link table. Pages that were not captured stop the walk.
     """
-    captured = links.select("url", "next_url")
+    # several captures of a page count once, so a page has one jump of any length
+    captured = argmax_rows(links.select("url", "next_url"), ["url"], [F.col("next_url").isNotNull()])
     jumps = cut_lineage(
         captured.where("next_url is not null")
         .join(captured.select(F.col("url").alias("next_url")), "next_url", "left_semi")

@@ -110,22 +110,48 @@ def named_urls(df: DataFrame) -> DataFrame:
 # --- sinks --------------------------------------------------------------------
 
 
-def write_staged(df: DataFrame, path: str) -> None:
-    """Replace the (run, portal) partitions present in df; others stay."""
+def write_staged(df: DataFrame, path: str, ran: DataFrame | None = None) -> None:
+    """Replace the (run, portal) partitions present in df; others stay.
+
+    `ran` names the (run, portal) that were worked on: those without rows are cleared, so
+    nothing of an earlier try is left. They are as many as the registry has portals.
+    """
+    keys = ["run", "portal"]
     (
-        df.hint("rebalance", F.col("run"), F.col("portal"))
+        df.hint("rebalance", *[F.col(k) for k in keys])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run", "portal")
+        .partitionBy(*keys)
         .json(path)
     )
-
-
-def write_staged_urls(urls: DataFrame, base: str, discovered_at: Column) -> None:
+    if ran is None:
+        return
+    empty = ran.select(*keys).distinct().join(df.select(*keys).distinct(), keys, "left_anti")
+    context = df.sparkSession.sparkContext
+    for row in empty.collect():
+        gone = context._jvm.org.apache.hadoop.fs.Path(f"{path}/run={row['run']}/portal={row['portal']}")
+        gone.getFileSystem(context._jsc.hadoopConfiguration()).delete(gone, True)
+
+
+def write_staged_urls(
+    urls: DataFrame, base: str, discovered_at: Column, ran: DataFrame | None = None
+) -> None:
     staged = urls.select(
         "url", discovered_at.cast("string").alias("discovered_at"), "run", "portal"
     )
-    write_staged(staged, f"{base}/urls")
+    write_staged(staged, f"{base}/urls", ran)
+
+
+def urls_of_run(spark: SparkSession, base: str, portal: str, run: str) -> DataFrame:
+    """A portal's URLs staged by this run if it has a file, else those of every run."""
+    own = dump_glob(base, "urls", portal, run)
+    try:
+        chosen = from_path(_json(spark, KINDS["urls"]).json(own))
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        chosen = read_dumps(spark, base, "urls", portal)
+    return named_urls(only_objects(chosen))
 
 
 def read_staged(spark: SparkSession, base: str, kind: str) -> DataFrame:

@@ -12,7 +12,7 @@ from plotwise.operators import dedupe, extract, merge, ranks
 from plotwise.plans import dashboard, details
 
 SF = "/root/testdata/sf0.001"
-EAGER = {"stream_upsert", "stream_new_files", "merge_into_table", "detail_split"}  # run jobs of their own
+EAGER = {"stream_upsert", "stream_new_files", "merge_into_table", "detail_split", "discovery_job"}  # run jobs of their own
 
 
 def plan(df):
