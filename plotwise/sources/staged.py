@@ -27,6 +27,27 @@ def _json(spark: SparkSession, schema: T.StructType):
     return spark.read.schema(with_bad).option("columnNameOfCorruptRecord", CORRUPT)
 
 
+POSITION = ("_file", "_at", "_line")
+
+
+def with_split(df: DataFrame) -> DataFrame:
+    """A row's file, and its split's place in the file."""
+    return df.withColumns(
+        {"_file": F.col("_metadata.file_path"), "_at": F.col("_metadata.file_block_start")}
+    )
+
+
+def with_position(df: DataFrame) -> DataFrame:
+    """Where a row stood: its file, its split's place in the file, its place in the split.
+
+    Compared as order columns these give the input order, however splits become tasks:
+    Spark's row numbers rise within a split. A stream gets the split as it is read and the
+    row number in its batch.
+    """
+    split = df if "_file" in df.columns else with_split(df)
+    return split.withColumn("_line", F.monotonically_increasing_id())
+
+
 def corrupt_line() -> Column:
     """The corrupt-record column, tied to a second column: Spark refuses to read it alone."""
     return F.coalesce(F.col(CORRUPT), F.nullif(F.substring("url", 1, 0), F.lit("")))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plotwise import schemas
-from plotwise.operators.merge import merge_into_table, upsert_null_safe
+from plotwise.operators.merge import merge_into_table
 from plotwise.plans.loaders import DUMP, load, writable
-from plotwise.sources.staged import CORRUPT, KINDS, dump_glob, from_path
+from plotwise.sources.staged import CORRUPT, KINDS, POSITION, dump_glob, from_path, with_position, with_split
 
 
 def stream_staged(
@@ -21,7 +23,7 @@ def stream_staged(
         .option("maxFilesPerTrigger", files_per_batch)
         .json(dump_glob(base, kind))
     )
-    return from_path(arriving)
+    return with_split(from_path(arriving))
 
 
 def ingest_into_table(
@@ -30,20 +32,22 @@ def ingest_into_table(
     checkpoint: str,
     now: Column,
     buckets: int,
-    order=("scraped_at", "run"),
+    order=("scraped_at", "run", *POSITION),
     **options,
 ):
     """Start the job: load each batch by the dump rules, merge it without losing values.
 
-    A batch that is run again after a failure merges to the same table, so no batch log
-    is needed beyond Spark's own. Returns the running query; it ends when all files
-    present are in.
+    Rows with equal times count in the order of runs, then of files and of lines in a file.
+    A batch is known to the table by the checkpoint and its number, so one that is run
+    again after a failure changes nothing. Returns the running query; it ends when all
+    files present are in.
     """
     fields = {f.name for f in schemas.LISTINGS}
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = writable(load(batch, DUMP, now, passing=("run", "portal")), now)
+        rows = writable(load(with_position(batch), DUMP, now, passing=("run", "portal", *POSITION)), now)
         rows = rows.withColumn("source", F.col("portal"))
         lacking = [f for f in schemas.LISTINGS if f.name not in rows.columns]
         rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking})
@@ -55,7 +59,7 @@ def ingest_into_table(
             schemas.LISTINGS,
             buckets,
             list(order),
-            merge=upsert_null_safe,
+            token=f"{name}-{batch_id}",
             **options,
         )
 

@@ -1,4 +1,6 @@
 import datetime as dt
+import glob
+import os
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -76,21 +78,33 @@ def test_table_rewrites_touched_buckets_only(spark):
     merge.create_table(frame(spark, many).drop("seq"), path, 16)
 
     def files():
-        rows = spark.read.format("binaryFile").load(f"{path}/bucket=*").select("path").collect()
-        return {r["path"] for r in rows}
+        return {p: os.path.getsize(p) for p in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+    def table():
+        return rows_of(merge.read_table(spark, path, schema).drop("bucket"))
 
     before = files()
     batch = frame(spark, [("u1", None, 2.0, None, None, 2, 1), ("u1", "new", None, None, None, 3, 2)])
-    assert merge.merge_into_table(spark, path, batch, schema, 16, ORDER) == 1
-    assert len(before - files()) == 1
-    got = rows_of(merge.read_table(spark, path, schema).drop("bucket"))
+    assert merge.merge_into_table(spark, path, batch, schema, 16, ORDER, token="a") == 1
+    written = set(files()) - set(before)
+    assert len(written) == 1 and set(before) <= set(files())  # the batch's one row, and nothing again
+    got = table()
     assert len(got) == 200 and got["u1"] == ("new", 2.0, 1, True, 3)
-    assert merge.merge_into_table(spark, path, batch, schema, 16, ORDER) == 1
-    assert rows_of(merge.read_table(spark, path, schema).drop("bucket")) == got
+    assert merge.merge_into_table(spark, path, batch, schema, 16, ORDER, token="a") == 0
+    assert table() == got and set(files()) == {*before, *written}
     assert merge.merge_into_table(spark, path, batch.where("false"), schema, 16, ORDER) == 0
-    merge.merge_into_table(spark, path, batch, schema, 16, ORDER, merge=merge.upsert_last_wins)
-    got = rows_of(merge.read_table(spark, path, schema).drop("bucket"))
-    assert got["u1"] == ("new", None, None, None, 3)
+    assert merge.merge_into_table(spark, path, batch, schema, 16, ORDER, whole_rows=True) == 2
+    assert table()["u1"] == ("new", None, None, None, 3)
+    old = frame(spark, [("u1", "stale", 9.0, 9, None, 2, 1), ("u2", "young", None, None, None, 9, 1)])
+    merge.merge_into_table(spark, path, old, schema, 16, ORDER, ignore_stale=True)
+    got = table()
+    assert got["u1"] == ("new", None, None, None, 3) and got["u2"] == ("young", 1.0, 1, True, 9)
+    assert merge.compact(spark, path, schema) == 3
+    assert table() == got and merge.merge_into_table(spark, path, batch, schema, 16, ORDER, token="a") == 0
+    merge.merge_into_table(spark, path, frame(spark, many), schema, 16, ORDER, compact_share=0.1)
+    assert len(glob.glob(f"{path}/base/upto=*")) == 2 and len(table()) == 200
+    with pytest.raises(FileExistsError):
+        merge.create_table(frame(spark, many).drop("seq"), path, 16)
 
 
 def test_snapshots_replace_their_day(spark):
