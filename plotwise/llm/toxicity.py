@@ -78,10 +78,12 @@ def fit(texts: list, labels: list, epochs: int = EPOCHS, seed: int = 3) -> Model
     rng = np.random.default_rng(seed)
     words = split_words(pa.array(texts, pa.string()))
     vocabulary = plain(words.vocabulary)
-    of, bucket = (np.concatenate(x) for x in zip(*subwords(vocabulary, SHORTEST, LONGEST, BITS)))
-    order = np.argsort(of, kind="stable")
-    bucket = bucket[order]
+    parts = [[x.astype(np.int32) for x in pair] for pair in subwords(vocabulary, SHORTEST, LONGEST, BITS)]
+    of, bucket = (np.concatenate(x) for x in zip(*parts))
+    del parts
     per_word = np.bincount(of, minlength=len(vocabulary))
+    bucket = bucket[np.argsort(of, kind="stable")]
+    del of
     first = np.concatenate([[0], np.cumsum(per_word)])
     filled = np.flatnonzero(per_word)
     embeddings = rng.normal(0, 0.01, (1 << BITS, SIZE))
