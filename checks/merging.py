@@ -344,6 +344,7 @@ def table_save_modes(spark, sf_dir):
     tables.save_table(part.where("p_partkey % 2 = 0"), name, "replace", path)
     odd = part.where("p_partkey % 2 = 1").withColumn("property_type", F.concat(F.lit("appended "), "property_type"))
     tables.save_table(odd, name, "append", path)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
     return spark.read.parquet(path).groupBy("property_type").agg(F.count("*").alias("rows"))
 
 

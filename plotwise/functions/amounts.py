@@ -23,7 +23,7 @@ METRIC_AREA = rf"(?i)([0-9]+(?:[\.,][0-9]+)?){SPACE}*(?:m²|m2|sqm|sq\.?{SPACE}*
 FOOT_AREA = rf"(?i)([0-9]+(?:[\.,][0-9]+)?){SPACE}*(?:sq\.?{SPACE}*ft|ft²|ft2|square{SPACE}*feet)"
 DESCRIBED_AREA = rf"(?i)([0-9]+(?:[\.,][0-9]+)?){SPACE}*(sqm|m²|m2|sq\.?{SPACE}*m)"
 SQM_PER_SQFT = 0.092903
-PERIODS = (("mo", "month"), ("day", "day"), ("ye", "year"), ("yr", "year"))
+PERIODS = (("month", "month"), ("mo", "month"), ("day", "day"), ("year", "year"), ("yr", "year"))
 PESO_CURRENCIES = ("", "PHP", "₱", "PHP₱")
 
 PRICE_TYPE = "struct<raw:string,currency:string,value:double,period:string>"

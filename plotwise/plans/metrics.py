@@ -40,13 +40,9 @@ def _days_summary(span: DataFrame) -> DataFrame:
 
 
 def daily_ppsqm(listings: DataFrame) -> DataFrame:
-    """Average price per square metre of each day, days in order."""
+    """Average price per square metre of each day. Order it where it is shown: growth sorts anyway."""
     priced = listings.where(F.col("price_per_sqm") > 0)
-    return (
-        priced.groupBy("as_of_date")
-        .agg(F.avg("price_per_sqm").alias("avg_ppsqm"))
-        .orderBy(F.col("as_of_date").asc_nulls_last())
-    )
+    return priced.groupBy("as_of_date").agg(F.avg("price_per_sqm").alias("avg_ppsqm"))
 
 
 def _growth(now, before):

@@ -75,15 +75,5 @@ LISTINGS = _struct(
     source_env=S,
 )
 
-DAILY_SNAPSHOT = _struct(
-    listing_id=S,
-    seen_at=T.TimestampType(),
-    price_php=D,
-    area_sqm=D,
-    price_per_sqm=D,
-    is_active=B,
-    property_type=S,
-    source=S,
-)
 
 PAGES = _struct(url=S, html=S)

@@ -37,6 +37,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def file_system(spark: SparkSession, path: str):
+    """The store a path lies in, and the path as it names it."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def _until_the_end(spark: SparkSession, folder: str) -> str:
+    """A folder that is removed when the application ends."""
+    files, place = file_system(spark, folder)
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only in local mode."""
     context = spark.sparkContext
@@ -44,14 +59,15 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="plotwise-")
+        folder = _until_the_end(spark, tempfile.mkdtemp(prefix="plotwise-"))
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path nobody used before, inside the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path nobody used before, inside the shared folder; it goes when the application ends."""
+    own = f"{shared_folder(spark)}/plotwise-{spark.sparkContext.applicationId}"
+    return f"{_until_the_end(spark, own)}/{label}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from plotwise import schemas
 from plotwise.functions.text import empty_to_null
+from plotwise.session import file_system
 
 CORRUPT = "_corrupt"
 DUMP_PATH = r"run_([^/]+)/staged/([^/]+)_(urls|listings|failures)\.jsonl"
@@ -148,10 +149,9 @@ def write_staged(df: DataFrame, path: str, ran: DataFrame | None = None) -> None
     if ran is None:
         return
     empty = ran.select(*keys).distinct().join(df.select(*keys).distinct(), keys, "left_anti")
-    context = df.sparkSession.sparkContext
     for row in empty.collect():
-        gone = context._jvm.org.apache.hadoop.fs.Path(f"{path}/run={row['run']}/portal={row['portal']}")
-        gone.getFileSystem(context._jsc.hadoopConfiguration()).delete(gone, True)
+        files, place = file_system(df.sparkSession, f"{path}/run={row['run']}/portal={row['portal']}")
+        files.delete(place, True)
 
 
 def write_staged_urls(

@@ -114,8 +114,3 @@ def save_table(df: DataFrame, table: str, if_exists: str = "replace", path: str
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
-
-
-def keyed(df: DataFrame) -> DataFrame:
-    """Rows that have a url."""
-    return df.where(empty_to_null(F.col("url")).isNotNull())
