@@ -22,13 +22,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     Cuts lineage so that a lost executor costs a re-read only. The files go when the
     application ends.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
