@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plotwise.llm.spark import WORD
+from plotwise.llm.spark import WORD, stored
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -88,6 +88,7 @@ def mix_sources(
         F.floor(F.log2(F.col("size") + 1) * 16).cast("int").alias("class"),
         F.floor(_unit(F.lit(seed), F.col("doc_id")) * BUCKETS).cast("int").alias("bucket"),
     )
+    rows = stored(rows, "mixing-sizes")  # texts are read once, for their sizes
     source = F.when(F.col("key") != "", F.expr("substring(key, 2)"))
     blocks = rows.groupBy("key", "class", "bucket").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
     targets = source_targets(blocks.select(source.alias("source"), "size"), weights, share, most).withColumn(
