@@ -50,6 +50,17 @@ def _top_passages(scores: np.ndarray, starts: np.ndarray, passage: int) -> tuple
     return at, long, best
 
 
+def _by_word(vocabulary: pa.Array, step: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all n-grams, word after word, and how many each word has; a few words at a time."""
+    buckets, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for start in range(0, len(vocabulary), step):
+        part = vocabulary.slice(start, step)
+        of, bucket = (np.concatenate(x) for x in zip(*subwords(part, SHORTEST, LONGEST, BITS)))
+        buckets.append(bucket[np.argsort(of, kind="stable")].astype(np.int32))
+        sizes.append(np.bincount(of, minlength=len(part)))
+    return np.concatenate(buckets), np.concatenate(sizes)
+
+
 def _excess(words, bucket, first, per_word, labels) -> np.ndarray:
     """z-score of each n-gram's share of positive against that of other documents."""
     hits = np.zeros((2, 1 << BITS))
@@ -78,12 +89,7 @@ def fit(texts: list, labels: list, epochs: int = EPOCHS, seed: int = 3) -> Model
     rng = np.random.default_rng(seed)
     words = split_words(pa.array(texts, pa.string()))
     vocabulary = plain(words.vocabulary)
-    parts = [[x.astype(np.int32) for x in pair] for pair in subwords(vocabulary, SHORTEST, LONGEST, BITS)]
-    of, bucket = (np.concatenate(x) for x in zip(*parts))
-    del parts
-    per_word = np.bincount(of, minlength=len(vocabulary))
-    bucket = bucket[np.argsort(of, kind="stable")]
-    del of
+    bucket, per_word = _by_word(vocabulary)
     first = np.concatenate([[0], np.cumsum(per_word)])
     filled = np.flatnonzero(per_word)
     embeddings = rng.normal(0, 0.01, (1 << BITS, SIZE))
@@ -96,7 +102,7 @@ def fit(texts: list, labels: list, epochs: int = EPOCHS, seed: int = 3) -> Model
     for _ in range(epochs):
         rounds = np.array_split(rng.permutation(usable), 4)
         for chosen in rounds:
-            folded, _ = Model(embeddings, readout, bias).folded()
+            folded = Model(embeddings, readout, bias).folded()[0].astype(np.float32)
             score = np.zeros(len(vocabulary))
             score[filled] = np.add.reduceat(folded[bucket], first[filled]) / per_word[filled]
             at, long, _ = _top_passages(score[words.codes], words.starts, PASSAGE)
@@ -161,8 +167,8 @@ def _clean(folded: np.ndarray, offset: float, threshold: float, text_col: str):
     return read
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int) -> list:
-    """(text, label) of at most `max_rows` labelled documents, drawn by hash of the id.
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int) -> DataFrame:
+    """id, text, label of at most `max_rows` labelled documents, drawn by hash of the id.
 
     Documents whose crc32(id as text) leaves 2 when divided by 4 are held out. Ids are
     drawn first, so only that many texts travel.
@@ -176,9 +182,31 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     known = docs.select(F.col(id_col).alias("id")).distinct()
     drawn = labelled.join(known, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = texts.join(F.broadcast(drawn), "id").select("id", "text", "label").toArrow()
+    return texts.join(F.broadcast(drawn), "id").select("id", "text", "label")
+
+
+def _fitted(batches):
+    rows = pa.Table.from_batches(list(batches))
+    if not rows.num_rows:
+        return
     rows = rows.sort_by([("id", "ascending"), ("text", "ascending")])
-    return list(zip(rows.column("text").to_pylist(), rows.column("label").to_pylist()))
+    labels = rows.column("label").to_pylist()
+    model = fit([t or "" for t in rows.column("text").to_pylist()], labels)
+    parts = [x.tobytes() for x in model] if model else [None] * 3
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([sum(labels) / len(labels)]), *[pa.array([x], pa.binary()) for x in parts]],
+        ["share", *Model._fields],
+    )
+
+
+def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int) -> tuple[Model | None, float]:
+    """The model and the share of positive labels; fitted by one task on the bounded sample."""
+    rows = training_rows(docs, labels, id_col, text_col, label_col, max_rows).repartition(1)
+    made = rows.mapInArrow(_fitted, "share double, embeddings binary, readout binary, bias binary").collect()
+    if not made or made[0]["bias"] is None:
+        return None, made[0]["share"] if made else 0.0
+    shapes = {"embeddings": (1 << BITS, SIZE), "readout": (SIZE, 2), "bias": (2,)}
+    return Model(*[np.frombuffer(made[0][n]).reshape(shape) for n, shape in shapes.items()]), made[0]["share"]
 
 
 def score_toxicity(
@@ -196,22 +224,20 @@ def score_toxicity(
     held out, and scores every whole text: a word is the mean of the vectors of its
     character n-grams, a passage of ten words the mean of its words, a linear softmax gives
     a passage's score, and a document has the score of its highest passage. Unseen
-    misspellings share n-grams with what was seen. The sample goes through the driver, the
-    model back to the tasks: 2^17 numbers, whatever the corpus.
+    misspellings share n-grams with what was seen. One task fits the model; 2^17 numbers go
+    to all tasks, whatever the corpus.
 
     Texts that are null or without words score 0. Null ids are never held out. With fewer
     than two labels to learn from, every score is the share of positive labels. Rows that
     repeat an id are scored each. Other columns are ignored.
     """
-    rows = training_rows(docs, labels, id_col, text_col, label_col, max_rows)
-    model = fit([t or "" for t, _ in rows], [y for _, y in rows])
+    model, share = trained(docs, labels, id_col, text_col, label_col, max_rows)
     parts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(4)) == 2, F.lit(False)).alias("held_out"),
         F.col(text_col).alias("text"),
     )
     if model is None:
-        share = sum(y for _, y in rows) / max(len(rows), 1)
         score = F.lit(float(share))
         return parts.select("doc_id", "held_out", score.alias("score"), (score >= threshold).cast("int").alias("predicted"))
     folded, offset = model.folded()
@@ -230,8 +256,7 @@ def drop_toxic(
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """The documents that score below the threshold, all their columns unchanged, none shuffled."""
-    rows = training_rows(docs, labels, id_col, text_col, label_col, max_rows)
-    model = fit([t or "" for t, _ in rows], [y for _, y in rows])
+    model, _ = trained(docs, labels, id_col, text_col, label_col, max_rows)
     if model is None:
         return docs
     folded, offset = model.folded()
