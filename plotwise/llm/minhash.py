@@ -17,7 +17,8 @@ BUCKET_BITS = 8
 MANTISSA_BITS = 10
 BAND = 6  # registers of a band: 42 bands; a pair at 0.8 shares none once in 300,000 pairs
 MARGIN = 5.0  # standard deviations of the estimate that a candidate may lie below the threshold
-BLOCK = 512  # members of a bucket that one task compares with as many others
+BLOCK = 2048  # members of a family that are compared with as many others at once
+LISTED = 160  # shingles; smaller sets show their shingles beside their registers
 
 
 def shingle_sets(words, shingle: int):
@@ -91,7 +92,7 @@ def may_link(left: np.ndarray, right: np.ndarray, n_left, n_right, percent: int)
     return sizes & (estimate >= low)
 
 
-SIGNED = "key long, n_shingles long, set_key string, registers binary, bands array<long>"
+SIGNED = "key long, n_shingles long, set_key string, registers binary, listed binary, bands array<long>"
 
 
 def _sign(shingle: int, band: int):
@@ -107,9 +108,10 @@ def _sign(shingle: int, band: int):
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets], pa.string()),
                     pa.array([r.tobytes() for r in signs], pa.binary()),
+                    pa.array([listed(s) for s in sets], pa.binary()),
                     lists(np.concatenate(keys).view(np.int64), offsets, pa.int64()),
                 ],
-                ["key", "n_shingles", "set_key", "registers", "bands"],
+                ["key", "n_shingles", "set_key", "registers", "listed", "bands"],
             )
 
     return read
@@ -146,26 +148,76 @@ def _estimated(percent: int):
     return read
 
 
+def listed(shingles: np.ndarray) -> bytes | None:
+    """32-bit forms of a small set's shingles, sorted: where both sides have them, no estimate is needed."""
+    return np.unique((shingles >> np.uint64(32)).astype(np.uint32)).tobytes() if len(shingles) <= LISTED else None
+
+
+class Lists:
+    """Shingles of many small sets, one after another."""
+
+    def __init__(self, lists: list):
+        self.known = np.array([x is not None for x in lists])
+        each = [np.frombuffer(x or b"", np.uint32) for x in lists]
+        self.lengths = np.array([len(x) for x in each], np.int64)
+        self.ends = np.cumsum(self.lengths)
+        self.values = np.concatenate(each) if each else np.zeros(0, np.uint32)
+        self.each = each
+
+    def may_reach(self, i: int, others: np.ndarray, n_i: int, n_others: np.ndarray, percent: int) -> np.ndarray:
+        """Which of the others, all listed, may reach the threshold with set i: shared forms are counted.
+
+        Two shingles of one form count as equal, so no pair is lost.
+        """
+        own = self.each[i]
+        at = np.minimum(np.searchsorted(own, self.values), len(own) - 1)
+        total = np.concatenate([[0], np.cumsum(own[at] == self.values)])
+        starts = self.ends[others] - self.lengths[others]
+        # forms may be fewer than shingles; what they hide may be shared
+        common = total[self.ends[others]] - total[starts] + (n_i - len(own))
+        return 100 * common >= percent * (n_i + n_others - common)
+
+
+def shared_bound(n_left, n_right, own_left, own_right, percent: int) -> np.ndarray:
+    """Which pairs may reach the threshold given shingles that no other candidate has.
+
+    Such a shingle is in no intersection, so the intersection is at most the smaller rest.
+    """
+    most = np.minimum(n_left - own_left, n_right - own_right)
+    return 100 * most >= percent * (n_left + n_right - most)
+
+
 def _compared(percent: int):
-    """Members of one bucket block beside those of another: pairs across components.
+    """A block of a family's small components beside a block of all of it: pairs across components.
 
-    Rows come sorted by (bucket, block pair); side 0 and 1 are the two blocks, and both for
-    a block beside itself. A block is at most a few hundred rows.
+    Rows come sorted by (family, i, j); side 0 is the small block, side 1 the other. A block
+    is at most a few hundred rows.
     """
 
     def compare(rows):
         keys = np.array([r["key"] for r in rows])
         part = np.array([r["component"] for r in rows])
         size = np.array([r["n_shingles"] for r in rows])
+        alone = np.array([r["own"] for r in rows])
+        small = np.array([r["small"] for r in rows])
         side = np.array([r["side"] for r in rows])
         regs = np.frombuffer(b"".join(r["registers"] for r in rows), np.uint16).reshape(len(rows), -1)
-        within = (side == 2).all()
-        for i in np.flatnonzero(side != 1):
-            others = np.flatnonzero((part != part[i]) & ((keys > keys[i]) if within else (side == 1)))
-            if len(others):
-                ok = may_link(regs[i][None, :], regs[others], size[i], size[others], percent)
-                for j in others[ok]:
-                    yield min(keys[i], keys[j]), max(keys[i], keys[j])
+        sets = Lists([r["listed"] for r in rows])
+        for i in np.flatnonzero(side == 0):
+            others = np.flatnonzero(
+                (side == 1)
+                & (part != part[i])
+                & (~small | (keys > keys[i]))  # two small ones meet twice
+                & shared_bound(size[i], size, alone[i], alone, percent)
+            )
+            if not len(others):
+                continue
+            ok = may_link(regs[i][None, :], regs[others], size[i], size[others], percent)
+            if sets.known[i]:
+                both = sets.known[others]
+                ok[both] = sets.may_reach(i, others[both], size[i], size[others[both]], percent)
+            for j in others[ok]:
+                yield min(keys[i], keys[j]), max(keys[i], keys[j])
 
     def made(rows):
         pairs = list(compare(rows))
@@ -177,7 +229,7 @@ def _compared(percent: int):
         group, rows = None, []
         for batch in batches:
             for row in batch.to_pylist():
-                own = (row["band"], row["i"], row["j"])
+                own = (row["family"], row["i"], row["j"])
                 if own != group and rows:
                     yield made(rows)
                     rows = []
@@ -203,6 +255,73 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _across(buckets: DataFrame, found: DataFrame, slim: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of different components that share a bucket's family."""
+    placed = buckets.join(found.withColumnRenamed("node", "key"), "key", "left").select(
+        "band", "key", F.coalesce("component", "key").alias("component")
+    )
+    mixed = placed.groupBy("band").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("key").alias("first")
+    )
+    placed = stored(placed.join(mixed.filter("low < high").select("band", "first"), "band"), "minhash-open")
+    family = components(placed.select(F.col("first").alias("a"), F.col("key").alias("b")).distinct())
+    members = (
+        placed.select("key", "component")
+        .distinct()
+        .join(family.select(F.col("node").alias("key"), F.col("component").alias("family")), "key")
+    )
+    each = sets.join(members.select("key"), "key", "left_semi").select("key", F.explode("shingles").alias("h"))
+    own = (
+        each.groupBy("h")
+        .agg(F.count("*").alias("n"), F.min("key").alias("key"))
+        .filter("n = 1")
+        .groupBy("key")
+        .agg(F.count("*").alias("own"))
+    )
+    members = (
+        members.join(slim.select("key", "n_shingles"), "key")
+        .join(own, "key", "left")
+        .withColumn("own", F.coalesce("own", F.lit(0)))
+        .filter(100 * (F.col("n_shingles") - F.col("own")) >= percent * F.col("n_shingles"))
+    )
+    # what a document shares, and the smallest partner it could have, bound what it can reach
+    smallest = members.groupBy("family").agg(F.min("n_shingles").alias("smallest"))
+    rest = F.col("n_shingles") - F.col("own")
+    members = members.join(smallest, "family").filter(
+        100 * rest >= percent * (F.col("n_shingles") + F.greatest("smallest", rest) - rest)
+    )
+    members = stored(members.drop("smallest"), "minhash-members")
+    sizes = members.groupBy("family", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("family").agg(
+        F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("component", "n").alias("largest")
+    )
+    largest = largest.filter(F.col("all") > F.col("most")).select(
+        "family",
+        "largest",
+        F.ceil(F.col("all") / BLOCK).cast("int").alias("wide"),
+        F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("high"),
+    )
+    members = members.join(largest, "family").withColumn("small", F.col("component") != F.col("largest"))
+    columns = ["family", "i", "j", "side", "key", "component", "n_shingles", "own", "small"]
+    upper = members.filter("small").withColumn("side", F.lit(0))
+    upper = upper.withColumn("i", F.pmod(F.xxhash64("key"), F.col("high")).cast("int")).withColumn(
+        "j", F.explode(F.sequence(F.lit(0), F.col("wide") - 1))
+    )
+    other = members.withColumn("side", F.lit(1))
+    other = other.withColumn("j", F.pmod(F.xxhash64("key", "family"), F.col("wide")).cast("int")).withColumn(
+        "i", F.explode(F.sequence(F.lit(0), F.col("high") - 1))
+    )
+    return (
+        upper.select(*columns)
+        .unionByName(other.select(*columns))
+        .join(slim.select("key", "registers", "listed"), "key")
+        .repartition("family", "i", "j")
+        .sortWithinPartitions("family", "i", "j")
+        .mapInArrow(_compared(percent), "a long, b long")
+        .distinct()
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -219,13 +338,15 @@ def near_duplicates(
 
     1. Every text becomes 256 HyperMinHash registers of 16 bits. Equal sets are one from
        here on.
-    2. Documents that share a band of registers share a bucket. Every member is compared
-       with its bucket's smallest id, which joins large groups with one pair per member;
-       estimate, then check on full sets.
-    3. In buckets that still hold several components, members of different components are
-       compared in blocks of registers; nothing is emitted but pairs whose estimate may
-       reach the threshold, and those are checked on full sets too. So no candidate is
-       left out, and a group of copies never becomes all its pairs.
+    2. Documents that share a band of registers share a bucket. Every document is compared
+       with the most central one in its buckets (whose own buckets hold most members),
+       which joins large groups with one pair per member; estimate, then check on full sets.
+    3. Buckets that still hold several components make families. In each, members of all
+       components but the largest are compared with all members of other components, in
+       blocks of registers (small sets: of their shingles). Nothing leaves a block but pairs that may reach the threshold,
+       by the estimate and by the shingles that a document shares with no other candidate;
+       they are checked on full sets too. So no candidate is left out, and a group of
+       copies never becomes all its pairs.
 
     Null ids are linked with nothing and kept; rows repeating an id count as one document
     for links. Other columns are ignored. An empty table gives an empty result.
@@ -237,55 +358,36 @@ def near_duplicates(
     node_of = stored(usable.select("key", "set_key").join(nodes, "set_key").select("key", "node"), "minhash-nodes")
     one = node_of.filter("key = node").select("key").distinct()
     signs = usable.join(one, "key", "left_semi").dropDuplicates(["key"])
-    signs = stored(signs.select("key", "n_shingles", "registers", "bands"), "minhash-signs")
+    signs = stored(signs.select("key", "n_shingles", "registers", "listed", "bands"), "minhash-signs")
 
     members = signs.select("key", F.explode("bands").alias("band"))
-    hubs = members.groupBy("band").agg(F.min("key").alias("hub"), F.max("key").alias("last")).filter("hub < last")
-    buckets = stored(members.join(hubs.select("band", "hub"), "band"), "minhash-buckets")
+    counts = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = stored(members.join(counts, "band"), "minhash-buckets")
+    central = buckets.groupBy("key").agg(F.sum("n").alias("mass"))
+    # among equal masses the hash decides, as it would in any order
+    rank = F.col("mass") * (1 << 20) + F.pmod(F.xxhash64("key"), F.lit(1 << 20))
+    hubs = buckets.join(central, "key").groupBy("band").agg(F.max_by("key", rank).alias("hub"), F.max(rank).alias("rank"))
     involved = buckets.select("key").distinct()
-    sets = stored(rows.join(involved, "key", "left_semi").mapInArrow(_sets(shingle), "key long, shingles array<long>"), "minhash-sets")
-    sets = sets.dropDuplicates(["key"])
+    texts = rows.join(involved, "key", "left_semi").dropDuplicates(["key"])
+    sets = stored(texts.mapInArrow(_sets(shingle), "key long, shingles array<long>"), "minhash-sets")
 
-    slim = signs.select("key", "n_shingles", "registers")
-    stars = buckets.filter("hub < key").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
+    slim = signs.select("key", "n_shingles", "registers", "listed")
+    stars = (
+        buckets.join(hubs, "band")
+        .filter("hub <> key")
+        .groupBy("key")
+        .agg(F.max_by("hub", "rank").alias("hub"))
+        .select(F.least("hub", "key").alias("a"), F.greatest("hub", "key").alias("b"))
+        .distinct()
+    )
     stars = (
-        stars.join(slim.toDF("b", "n_b", "right"), "b")
-        .join(slim.toDF("a", "n_a", "left"), "a")
+        stars.join(slim.drop("listed").toDF("b", "n_b", "right"), "b")
+        .join(slim.drop("listed").toDF("a", "n_a", "left"), "a")
         .mapInArrow(_estimated(percent), "a long, b long")
     )
     links = stored(_verified(stars, sets, percent), "minhash-links")
     found = components(links)
-
-    placed = buckets.join(found.withColumnRenamed("node", "key"), "key", "left").select(
-        "band", "key", F.coalesce("component", "key").alias("component")
-    )
-    open_bands = (
-        placed.groupBy("band")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-        .filter("low < high")
-        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
-    blocked = (
-        placed.join(open_bands, "band")
-        .withColumn("own", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "band",
-            F.least("own", "other").alias("i"),
-            F.greatest("own", "other").alias("j"),
-            F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-            "key",
-            "component",
-        )
-        .join(slim, "key")
-    )
-    more = (
-        blocked.repartition("band", "i", "j")
-        .sortWithinPartitions("band", "i", "j")
-        .mapInArrow(_compared(percent), "a long, b long")
-        .distinct()
-    )
-    more = stored(_verified(more, sets, percent), "minhash-more")
+    more = stored(_verified(_across(buckets, found, slim, sets, percent), sets, percent), "minhash-more")
     if not more.isEmpty():
         found = components(links.union(more))
     return (

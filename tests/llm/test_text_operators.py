@@ -175,6 +175,39 @@ def test_near_duplicates_of_one_family(spark):
     assert kept.columns == frame(spark, []).columns and kept.count() < 80
 
 
+def test_blocks_compare_small_and_large_sets():
+    """Sets that show their shingles beside sets that do not: no pair at the threshold is lost."""
+    import numpy as np
+    import pyarrow as pa
+
+    from plotwise.llm.minhash import LISTED, _compared, listed
+
+    rng = np.random.default_rng(6)
+    rows, sets = [], []
+    for k in range(60):
+        size = int(rng.integers(LISTED - 12, LISTED + 12)) if k % 3 else 40
+        whole = np.arange(size, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        own = np.unique(np.concatenate([whole[int(rng.integers(0, size // 6)) :], rng.integers(0, 2**64, 2, dtype=np.uint64)]))
+        sets.append(own)
+        for side in (0, 1):
+            rows.append(
+                {"family": 1, "i": 0, "j": 0, "side": side, "key": k, "component": k, "n_shingles": len(own), "own": 0,
+                 "small": True, "registers": registers(own).tobytes(), "listed": listed(own)}
+            )
+    found = set()
+    for batch in _compared(80)(pa.Table.from_pylist(rows).to_batches()):
+        found |= set(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()))
+    linked = {
+        (a, b)
+        for a in range(60)
+        for b in range(a + 1, 60)
+        if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))
+    }
+    assert linked and linked <= found
+    exact = {(a, b) for a, b in found if max(len(sets[a]), len(sets[b])) <= LISTED}
+    assert exact <= linked
+
+
 def test_registers_are_minima():
     import numpy as np
 
