@@ -255,8 +255,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _across(buckets: DataFrame, found: DataFrame, slim: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of different components that share a bucket's family."""
+def _across(
+    buckets: DataFrame, found: DataFrame, slim: DataFrame, sets: DataFrame, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b) of different components that share a bucket's family, and those families' sets."""
     placed = buckets.join(found.withColumnRenamed("node", "key"), "key", "left").select(
         "band", "key", F.coalesce("component", "key").alias("component")
     )
@@ -270,7 +272,8 @@ def _across(buckets: DataFrame, found: DataFrame, slim: DataFrame, sets: DataFra
         .distinct()
         .join(family.select(F.col("node").alias("key"), F.col("component").alias("family")), "key")
     )
-    each = sets.join(members.select("key"), "key", "left_semi").select("key", F.explode("shingles").alias("h"))
+    sets = stored(sets.join(members.select("key"), "key", "left_semi"), "minhash-family-sets")
+    each = sets.select("key", F.explode("shingles").alias("h"))
     own = (
         each.groupBy("h")
         .agg(F.count("*").alias("n"), F.min("key").alias("key"))
@@ -311,7 +314,7 @@ def _across(buckets: DataFrame, found: DataFrame, slim: DataFrame, sets: DataFra
     other = other.withColumn("j", F.pmod(F.xxhash64("key", "family"), F.col("wide")).cast("int")).withColumn(
         "i", F.explode(F.sequence(F.lit(0), F.col("high") - 1))
     )
-    return (
+    pairs = (
         upper.select(*columns)
         .unionByName(other.select(*columns))
         .join(slim.select("key", "registers", "listed"), "key")
@@ -320,6 +323,7 @@ def _across(buckets: DataFrame, found: DataFrame, slim: DataFrame, sets: DataFra
         .mapInArrow(_compared(percent), "a long, b long")
         .distinct()
     )
+    return pairs, sets
 
 
 def near_duplicates(
@@ -387,7 +391,8 @@ def near_duplicates(
     )
     links = stored(_verified(stars, sets, percent), "minhash-links")
     found = components(links)
-    more = stored(_verified(_across(buckets, found, slim, sets, percent), sets, percent), "minhash-more")
+    pairs, family_sets = _across(buckets, found, slim, sets, percent)
+    more = stored(_verified(pairs, family_sets, percent), "minhash-more")
     if not more.isEmpty():
         found = components(links.union(more))
     return (
