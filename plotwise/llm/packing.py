@@ -20,7 +20,7 @@ CAPACITY = 4096
 END_ID = 1
 BLOCK_PIECES = 8192  # pieces one task packs
 PATIENCE = 6  # passes of the local search
-CACHED_WORDS = 250_000  # twice that are remembered by a worker; it changes no result
+CACHED_WORDS = 150_000  # twice that are remembered by a worker; it changes no result
 TAILS = ".,"
 
 

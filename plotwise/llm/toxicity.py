@@ -6,6 +6,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from plotwise.llm.subwords import mean_over_subwords, plain, subwords
@@ -74,7 +75,7 @@ def _excess(words, bucket, first, per_word, labels) -> np.ndarray:
     return (share[1] - share[0]) / np.sqrt((overall * (1 - overall) + 1 / n.sum()) * (1 / n).sum())
 
 
-def fit(texts: list, labels: list, epochs: int = EPOCHS, seed: int = 3) -> Model | None:
+def fit(texts: list | pa.Array, labels: list, epochs: int = EPOCHS, seed: int = 3) -> Model | None:
     """Embeddings and softmax trained jointly; None unless both labels occur.
 
     A document is judged by its highest passage, and that passage is what it teaches: a
@@ -87,7 +88,7 @@ def fit(texts: list, labels: list, epochs: int = EPOCHS, seed: int = 3) -> Model
     if len(set(labels.tolist())) < 2:
         return None
     rng = np.random.default_rng(seed)
-    words = split_words(pa.array(texts, pa.string()))
+    words = split_words(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
     vocabulary = plain(words.vocabulary)
     bucket, per_word = _by_word(vocabulary)
     first = np.concatenate([[0], np.cumsum(per_word)])
@@ -191,7 +192,9 @@ def _fitted(batches):
         return
     rows = rows.sort_by([("id", "ascending"), ("text", "ascending")])
     labels = rows.column("label").to_pylist()
-    model = fit([t or "" for t in rows.column("text").to_pylist()], labels)
+    texts = pc.fill_null(rows.column("text").combine_chunks(), "")
+    del rows, batches
+    model = fit(texts, labels)
     parts = [x.tobytes() for x in model] if model else [None] * 3
     yield pa.RecordBatch.from_arrays(
         [pa.array([sum(labels) / len(labels)]), *[pa.array([x], pa.binary()) for x in parts]],
