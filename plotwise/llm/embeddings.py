@@ -214,78 +214,199 @@ def _against(queries: list, threshold: float):
 
 
 def audit(found: DataFrame, vectors: DataFrame, threshold: float, queries: int = AUDIT) -> float:
-    """Recall of a bounded number of query vectors' true links, a link being found when both ends share a component."""
+    """Recall of a bounded number of query vectors' true links, a link being found when both ends share a component.
+
+    Each query counts once, however many links it has. The lower of two means is given: over
+    queries, and over the components found, so that a large one does not outvote the others.
+    """
     drawn = vectors.orderBy(F.xxhash64("id"), "id").limit(queries).collect()
     asked = [(r["id"], r["cell"], list(r["v"])) for r in drawn]
     truth = stored(vectors.mapInArrow(_against(asked, threshold), "a long, b long"), "embeddings-audit")
-    n = truth.count()
-    if not n:
-        return 1.0
     left = found.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     right = found.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    return truth.join(left, "a").join(right, "b").filter("ca = cb").count() / n
+    of_query = (
+        truth.join(left, "a", "left")
+        .join(right, "b", "left")
+        .withColumn("ca", F.coalesce("ca", "a"))
+        .withColumn("cb", F.coalesce("cb", "b"))
+        .groupBy("a", "ca")
+        .agg(F.avg((F.col("ca") == F.col("cb")).cast("double")).alias("recall"))
+    )
+    of_component = of_query.groupBy("ca").agg(F.avg("recall").alias("recall"), F.sum("recall").alias("s"), F.count("*").alias("n"))
+    row = of_component.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.avg("recall").alias("m")).first()
+    return min(row["s"] / row["n"], row["m"]) if row["n"] else 1.0
 
 
-def _blocks_compared(threshold: float):
-    """Pairs at or above the threshold between two blocks: how many of each row's, no pair."""
+def _dealt(members: DataFrame, key: str) -> DataFrame:
+    """Members(key, id, ...) in every pair (i, j) of blocks of their key, with the side they are on; 2 is both."""
+    sizes = members.groupBy(key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    return (
+        members.join(sizes, key)
+        .withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("i", F.least("own", "other"))
+        .withColumn("j", F.greatest("own", "other"))
+        .withColumn(
+            "side", F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+        )
+        .drop("blocks", "own", "other")
+    )
+
+
+def _grouped(keys: list, made, schema: pa.Schema):
+    """`made` of the rows of each group; rows come sorted by its keys."""
 
     def read(batches):
         group, rows = None, []
 
-        def counted(rows):
-            side = np.array([r["side"] for r in rows])
-            ids = np.array([r["id"] for r in rows])
-            m = np.array([r["v"] for r in rows])
-            left = np.flatnonzero(side != 1)
-            right = left if (side == 2).all() else np.flatnonzero(side == 1)
-            hits = m[left] @ m[right].T >= threshold
-            if right is left:
-                np.fill_diagonal(hits, False)
-                return ids[left], hits.sum(1)
-            return np.concatenate([ids[left], ids[right]]), np.concatenate([hits.sum(1), hits.sum(0)])
+        def out():
+            columns = made(rows)
+            return [pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)] if columns else []
 
         for batch in batches:
             for row in batch.to_pylist():
-                own = (row["component"], row["i"], row["j"])
+                own = tuple(row[k] for k in keys)
                 if own != group and rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in counted(rows)], ["id", "n"])
+                    yield from out()
                     rows = []
                 group = own
                 rows.append(row)
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in counted(rows)], ["id", "n"])
+            yield from out()
 
     return _batched(read)
 
 
-def link_counts(found: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
-    """id and n_links of all members of the components found, compared in blocks.
+def _centre(rows):
+    """Direction of a part's vectors, and the largest angle between it and any of them."""
+    m = np.array([r["v"] for r in rows])
+    middle = m.sum(0)
+    length = np.sqrt(middle @ middle)
+    middle = middle / length if length > 1e-9 else m[0]
+    reach = np.arccos(np.clip(m @ middle, -1, 1)).max()
+    return [[r[k]] for r, k in ((rows[0], "part"), (rows[0], "cell"), (rows[0], "component"))] + [[middle.tolist()], [float(reach)]]
+
+
+def _parts_in_reach(threshold: float):
+    """Pairs of parts of different components that may hold a link, by the angles between centres."""
+    limit = np.arccos(np.clip(threshold, -1, 1)) + 1e-6
 
-    This is where a saturated list is enlarged: to its whole component. Blocks bound what a
-    task holds, and counts leave a task, not pairs.
+    def made(rows):
+        side, own = np.array([r["side"] for r in rows]), np.array([r["component"] for r in rows])
+        part, reach, m = np.array([r["id"] for r in rows]), np.array([r["reach"] for r in rows]), np.array([r["v"] for r in rows])
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        angles = np.arccos(np.clip(m[left] @ m[right].T, -1, 1))
+        x, y = np.nonzero(angles - reach[left][:, None] - reach[right][None] <= limit)
+        p, q = left[x], right[y]
+        keep = (own[p] != own[q]) & ((side[p] != 2) | (part[p] < part[q]))
+        return [part[p[keep]], part[q[keep]]]
+
+    return made
+
+
+def _best_link(threshold: float):
+    """The best pair between two parts, if it is a link: one makes their components one."""
+
+    def made(rows):
+        side, ids, m = np.array([r["side"] for r in rows]), np.array([r["id"] for r in rows]), np.array([r["v"] for r in rows])
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        sims = m[left] @ m[right].T
+        at = int(sims.argmax())
+        x, y = divmod(at, len(right))
+        return [[ids[left[x]]], [ids[right[y]]]] if sims[x, y] >= threshold else None
+
+    return made
+
+
+def links_between(nodes: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
+    """Links(a, b) that join the components of nodes(id, cell, v): exact, none is left out that would.
+
+    Components are dealt into parts of about a block. Two parts of different components
+    are compared in full unless the angle between their centres, less both reaches, is
+    beyond the threshold's; one link leaves for each pair of parts.
     """
-    sizes = found.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = (
-        found.join(sizes, "component")
-        .withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "component",
-            F.least("own", "other").alias("i"),
-            F.greatest("own", "other").alias("j"),
-            F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-            F.col("node").alias("id"),
-        )
-        .join(vectors.select("id", "v"), "id")
+    with_component = nodes.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn(
+        "component", F.coalesce("component", "id")
     )
+    sizes = with_component.groupBy("cell", "component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    members = with_component.join(sizes, ["cell", "component"])
+    members = stored(
+        members.withColumn("part", F.xxhash64("component", F.pmod(F.xxhash64("id"), "parts"))).drop("parts"), "embeddings-parts"
+    )
+    kinds = [("part", pa.int64()), ("cell", pa.string()), ("component", pa.int64()), ("v", pa.list_(pa.float64())), ("reach", pa.float64())]
+    centres = stored(
+        members.repartition("part")
+        .sortWithinPartitions("part")
+        .mapInArrow(
+            _grouped(["part"], _centre, pa.schema(kinds)),
+            "part long, cell string, component long, v array<double>, reach double",
+        ),
+        "embeddings-centres",
+    ).withColumnRenamed("part", "id")
+    pairs = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    near = stored(
+        _dealt(centres, "cell")
+        .repartition("cell", "i", "j")
+        .sortWithinPartitions("cell", "i", "j")
+        .mapInArrow(_grouped(["cell", "i", "j"], _parts_in_reach(threshold), pairs), "a long, b long"),
+        "embeddings-near-parts",
+    )
+    sides = near.select("a", "b", F.col("a").alias("part"), F.lit(0).alias("side")).union(
+        near.select("a", "b", F.col("b").alias("part"), F.lit(1).alias("side"))
+    )
+    return (
+        sides.join(members.select("part", "id", "v"), "part")
+        .repartition("a", "b")
+        .sortWithinPartitions("a", "b")
+        .mapInArrow(_grouped(["a", "b"], _best_link(threshold), pairs), "a long, b long")
+    )
+
+
+def _linked(threshold: float):
+    """Pairs at or above the threshold between two blocks: how many rows each one's are, no pair."""
+
+    def made(rows):
+        side, ids, weights = (np.array([r[k] for r in rows]) for k in ("side", "id", "weight"))
+        m = np.array([r["v"] for r in rows])
+        left = np.flatnonzero(side != 1)
+        right = left if (side == 2).all() else np.flatnonzero(side == 1)
+        hits = m[left] @ m[right].T >= threshold
+        if right is left:
+            np.fill_diagonal(hits, False)
+            return [ids[left], hits @ weights[left]]
+        return [np.concatenate([ids[left], ids[right]]), np.concatenate([hits @ weights[right], hits.T @ weights[left]])]
+
+    return made
+
+
+def link_counts(found: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """id and n_links of all members of the components found, compared in blocks; a node counts with its weight.
+
+    Blocks bound what a task holds, and counts leave a task, not pairs.
+    """
+    members = found.withColumnRenamed("node", "id")
     counts = (
-        dealt.repartition("component", "i", "j")
+        _dealt(members, "component")
+        .join(nodes.select("id", "v", "weight"), "id")
+        .repartition("component", "i", "j")
         .sortWithinPartitions("component", "i", "j")
-        .mapInArrow(_blocks_compared(threshold), "id long, n long")
+        .mapInArrow(
+            _grouped(["component", "i", "j"], _linked(threshold), pa.schema([("id", pa.int64()), ("n", pa.int64())])),
+            "id long, n long",
+        )
     )
     return counts.groupBy("id").agg(F.sum("n").alias("n_links"))
 
 
+def _joined_by(links: DataFrame, more: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The links and components after further links, which may be none."""
+    more = stored(more, "embeddings-more")
+    if more.isEmpty():
+        return links, found
+    links = stored(links.union(more), "embeddings-links")
+    return links, components(links)
+
+
 def near_vectors(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -299,40 +420,65 @@ def near_vectors(
     Vectors with equal labels (not null) and equal lengths are linked at a cosine of at
     least `threshold`, in double precision; component_id is the smallest id reachable.
 
-    1. Lists of neighbours are seeded in buckets of random projections and refined by
-       NN-descent: the neighbours of each node, both ways, are compared with one another
-       until a round changes little. Large neighbourhoods are dealt into several groups.
-    2. Edges at the threshold make components. A bounded number of query vectors, drawn by
-       hash, is compared with all rows; below the wanted recall the lists are doubled,
-       seeded anew and refined again, with what was found kept.
-    3. Members of a component are compared in blocks, so that lists full of links count in
-       full; only counts leave a task.
+    1. Equal vectors of a label are one node with a weight. Lists of neighbours are seeded in
+       buckets of random projections and refined by NN-descent: the neighbours of each
+       node, both ways, are compared with one another until a round changes little. Large
+       neighbourhoods are dealt into several groups.
+    2. Edges at the threshold make components. Nodes whose list is full of links (the last
+       place reaches the threshold) may miss some: they are compared with one another
+       across components, exactly and in blocks, which is a list as long as it has to be.
+    3. A bounded number of query vectors, drawn by hash, is compared with all rows; below
+       the wanted recall the lists are doubled, seeded anew and refined again, with what was
+       found kept. If the last lists find too little, all nodes are compared as in 2.
+    4. Members of a component are compared in blocks, so that links count in full; only
+       counts leave a task.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and those with
     null id or label, link with nothing: n_links 0, component_id their own id. Rows repeating
     an id are one vector for links (the largest by label, then components). Other columns
     are ignored. An empty table gives an empty result.
     """
-    ready = stored(usable_vectors(vectors, id_col, vector_col, label_col), "embeddings-vectors")
+    usable = stored(
+        usable_vectors(vectors, id_col, vector_col, label_col).withColumn("h", F.xxhash64("cell", "v")), "embeddings-vectors"
+    )
+    same = ["h", "cell", "v"]
+    nodes = usable.groupBy(*same).agg(F.min("id").alias("node"), F.count("*").alias("weight"))
+    nodes = stored(nodes, "embeddings-nodes")
+    node_of = usable.join(nodes, same).select(F.col("id").alias("vec_id"), "node", "weight")
+    ready = nodes.select(F.col("node").alias("id"), "cell", "v", "weight")
     ids = vectors.select(F.col(id_col).cast("long").alias("vec_id"))
-    links, size = None, neighbours
+    links, size, whole = None, neighbours, False
     for turn in range(MAX_LISTS):
         graph = descend(ready, size, seed=turn + 1)
-        near = graph.filter(F.col("sim") >= threshold).select("a", "b")
-        near = near.union(near.select("b", "a")) if links is None else near.union(near.select("b", "a")).union(links)
-        links = stored(near.distinct(), "embeddings-links")
+        near = graph.filter(F.col("sim") >= threshold)
+        both = near.select("a", "b").union(near.select("b", "a"))
+        links = stored((both if links is None else both.union(links)).distinct(), "embeddings-links")
         found = components(links)
-        if audit(found, ready, threshold) >= RECALL:
+        full = near.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n")).filter(F.col("n") >= size).select("id")
+        full = stored(ready.join(full, "id"), "embeddings-full")
+        links, found = _joined_by(links, links_between(full, found, threshold), found)
+        whole = audit(found, ready, threshold) >= RECALL
+        if whole:
             break
         size *= 2
+    if not whole:
+        links, found = _joined_by(links, links_between(ready, found, threshold), found)
     counts = link_counts(found, ready, threshold)
+    of_node = (
+        node_of.join(found, "node", "left")
+        .join(counts.withColumnRenamed("id", "node"), "node", "left")
+        .select(
+            "vec_id",
+            (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).cast("long").alias("n_links"),
+            F.coalesce("component", "node").alias("component_id"),
+        )
+    )
     return (
-        ids.join(found.withColumnRenamed("node", "vec_id"), "vec_id", "left")
-        .join(counts.withColumnRenamed("id", "vec_id"), "vec_id", "left")
+        ids.join(of_node, "vec_id", "left")
         .select(
             "vec_id",
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component", "vec_id").alias("component_id"),
+            F.coalesce("component_id", "vec_id").alias("component_id"),
         )
         .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
     )

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plotwise.llm.embeddings import near_vectors
+from plotwise.llm.embeddings import audit, links_between, near_vectors
 from plotwise.llm.langid import codebook, identify_language
 from plotwise.llm.packing import best_fit, least_bins, local_search, pack_documents, vocabulary_path
 from plotwise.llm.toxicity import drop_toxic, score_toxicity
@@ -158,6 +158,61 @@ def test_near_vectors_empty_and_repeated(spark):
     assert got == ["(1, 1, 1, True)", "(1, 1, 1, True)", "(2, 1, 1, False)", "(None, 0, None, True)"]
 
 
+def clumps(rng, sizes, apart=0.95, width=32):
+    """Clumps of nearly equal vectors, or of equal ones (negative size), whose centres have a cosine of `apart`."""
+    first = rng.normal(size=width)
+    first /= np.linalg.norm(first)
+    out = []
+    for turn, size in enumerate(sizes):
+        side = rng.normal(size=width)
+        side -= (side @ first) * first
+        side /= np.linalg.norm(side)
+        centre = first if not turn else apart * first + math.sqrt(1 - apart * apart) * side
+        for _ in range(abs(size)):
+            out.append((centre + (rng.normal(size=width) * 0.0005 if size > 0 else 0)).tolist())
+    return out
+
+
+@pytest.mark.parametrize("sizes", [(-20, -20), (40, 40), (60, -30, 25)])
+def test_near_vectors_full_lists(spark, sizes):
+    """Clumps that fill each other's lists are linked nevertheless, also beside a group of copies with most links."""
+    rng = np.random.default_rng(8)
+    rows = [(i, v, 1) for i, v in enumerate(clumps(rng, sizes))]
+    rows += [(1000 + i, rng.normal(size=32).tolist(), 1) for i in range(200)]
+    rows += [(2000 + i, [1.0, 2.0] * 16, 1) for i in range(300)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors(docs).collect()}
+    assert got == plain_vectors(rows)
+
+
+def test_audit_of_small_groups(spark):
+    """Missed links of small groups show beside a large one that is found whole."""
+    rng = np.random.default_rng(9)
+    rows = [(i, "32:1", v) for i, v in enumerate(clumps(rng, (120,)))]
+    for g in range(40):
+        rows += [(1000 + 2 * g + i, "32:1", v) for i, v in enumerate(clumps(rng, (2,)))]
+    unit = [(i, c, (np.array(v) / np.linalg.norm(v)).tolist()) for i, c, v in rows]
+    vectors = spark.createDataFrame(unit, "id long, cell string, v array<double>")
+    found = spark.createDataFrame([(i, 0) for i in range(120)], "node long, component long")
+    assert audit(found, vectors, 0.93) < 0.1
+    whole = found.union(spark.createDataFrame([(i, i - i % 2) for i in range(1000, 1080)], "node long, component long"))
+    assert audit(whole, vectors, 0.93) == 1.0
+
+
+def test_links_between(spark):
+    """All components that have a link between them are joined, by whatever shape they have."""
+    rng = np.random.default_rng(10)
+    centres = rng.normal(size=(30, 8))
+    rows = [(i, "8:1", centres[i % 30] + rng.normal(size=8) * 0.3) for i in range(900)]
+    rows = [(i, c, (v / np.linalg.norm(v)).tolist()) for i, c, v in rows]
+    m = np.array([v for _, _, v in rows])
+    nodes = spark.createDataFrame(rows, "id long, cell string, v array<double>")
+    found = spark.createDataFrame([(i, i % 45) for i in range(900)], "node long, component long")
+    want = {tuple(sorted((int(i) % 45, int(j) % 45))) for i, j in zip(*np.nonzero(m @ m.T >= 0.93)) if i % 45 != j % 45}
+    got = {tuple(sorted((r.a % 45, r.b % 45))) for r in links_between(nodes, found, 0.93).collect()}
+    assert got == want
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
