@@ -61,8 +61,8 @@ def _anchors(window: int, anchor: int):
                 values, rows = values[first], rows[first]
             offsets = np.searchsorted(rows, np.arange(n + 1))
             yield pa.RecordBatch.from_arrays(
-                [part.column("key"), part.column("copy_key"), lists(values.view(np.int64), offsets, pa.int64())],
-                ["key", "copy_key", "anchors"],
+                [*(part.column(c) for c in ("key", "row", "copy_key")), lists(values.view(np.int64), offsets, pa.int64())],
+                ["key", "row", "copy_key", "anchors"],
             )
 
     return read
@@ -87,9 +87,10 @@ def _repeated_windows(window: int, anchor: int):
                 low + rows.astype(np.uint64) * salt, known + known_rows.astype(np.uint64) * salt
             )
             take = wanted & ~again
-            keys = part.column("key").to_numpy(zero_copy_only=False)
+            keys, texts = (part.column(c).to_numpy(zero_copy_only=False)[rows[take]] for c in ("key", "row"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[take].view(np.int64)), pa.array(keys[rows[take]], pa.int64())], ["hash", "key"]
+                [pa.array(hashes[take].view(np.int64)), pa.array(keys, pa.int64()), pa.array(texts, pa.int64())],
+                ["hash", "key", "row"],
             )
 
     return read
@@ -197,42 +198,46 @@ def substring_dedup(
     word hashes. A document equal to an earlier one, letter by letter, is one factor.
 
     Null texts have no words. A null id counts as later than all others; rows that share an
-    id are not earlier than each other. Other columns are ignored. An empty table gives an
+    id are not earlier than each other, and each is answered for its own text (`row`). Other columns are ignored. An empty table gives an
     empty result.
     """
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col), F.lit(LAST)).alias("key"), F.col(text_col).alias("text")
+        F.col(id_col).alias("doc_id"),
+        F.coalesce(F.col(id_col), F.lit(LAST)).alias("key"),
+        F.xxhash64(text_col).alias("row"),
+        F.col(text_col).alias("text"),
     )
+    own = ["key", "row"]
     marks = stored(
-        rows.select("key", "text", F.md5("text").alias("copy_key")).mapInArrow(
-            _anchors(window, anchor), "key long, copy_key string, anchors array<long>"
+        rows.select(*own, "text", F.md5("text").alias("copy_key")).mapInArrow(
+            _anchors(window, anchor), "key long, row long, copy_key string, anchors array<long>"
         ),
         "substring-anchors",
     )
     firsts = marks.groupBy("copy_key").agg(F.min("key").alias("first"), F.count("*").alias("n")).filter("n > 1")
     copies = (
-        marks.select("key", "copy_key").join(firsts, "copy_key").filter("first < key").groupBy("key").agg(F.min("first").alias("copy_of"))
+        marks.select(*own, "copy_key").join(firsts, "copy_key").filter("first < key").groupBy(*own).agg(F.min("first").alias("copy_of"))
     )
     copies = stored(copies, "substring-copies")
-    each = marks.select("key", F.explode("anchors").alias("anchor"))
+    each = marks.select(*own, F.explode("anchors").alias("anchor"))
     shared = each.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    hits = each.join(shared, "anchor").groupBy("key").agg(F.collect_list("anchor").alias("anchors"))
-    hits = stored(hits.join(copies, "key", "left_anti"), "substring-hits")
+    hits = each.join(shared, "anchor").groupBy(*own).agg(F.collect_set("anchor").alias("anchors"))
+    hits = stored(hits.join(copies, own, "left_anti"), "substring-hits")
     windows = stored(
-        rows.select("key", "text")
-        .join(hits, "key")
-        .mapInArrow(_repeated_windows(window, anchor), "hash long, key long"),
+        rows.select(*own, "text")
+        .join(hits, own)
+        .mapInArrow(_repeated_windows(window, anchor), "hash long, key long, row long"),
         "substring-windows",
     )
     index = windows.groupBy("hash").agg(F.min("key").alias("source"), F.max("key").alias("last")).filter("source < last")
     answers = (
         windows.join(index.select("hash", "source"), "hash")
         .filter("source < key")
-        .groupBy("key")
-        .agg(F.collect_list(F.struct("hash", "source")).alias("found"))
-        .select("key", F.col("found.hash").alias("hashes"), F.col("found.source").alias("sources"), F.lit(None).cast("long").alias("copy_of"))
+        .groupBy(*own)
+        .agg(F.collect_set(F.struct("hash", "source")).alias("found"))
+        .select(*own, F.col("found.hash").alias("hashes"), F.col("found.source").alias("sources"), F.lit(None).cast("long").alias("copy_of"))
     )
     whole = copies.select(
-        "key", F.lit(None).cast("array<long>").alias("hashes"), F.lit(None).cast("array<long>").alias("sources"), "copy_of"
+        *own, F.lit(None).cast("array<long>").alias("hashes"), F.lit(None).cast("array<long>").alias("sources"), "copy_of"
     )
-    return rows.join(answers.unionByName(whole), "key", "left").mapInArrow(_parse(window), FOUND)
+    return rows.join(answers.unionByName(whole), own, "left").mapInArrow(_parse(window), FOUND)

@@ -112,6 +112,28 @@ def test_substring_dedup(spark):
         assert sum(s.end - s.start for s in r.spans) == r.n_removed == sum(f.words for f in r.factors)
 
 
+def test_substring_null_and_repeated_ids(spark):
+    """Of rows that share an id, or have none, only the one that is a copy goes, and the others are found again."""
+    unique = {n: " ".join(f"{n}{i}" for i in range(60)) for n in "abcdefg"}
+    rows = [(1, unique["a"]), (2, unique["b"]), (2, unique["a"]), (3, "so " + unique["b"]), (3, unique["d"])]
+    rows += [(4, unique["d"] + " " + unique["e"]), (4, unique["d"] + " " + unique["e"]), (4, "short")]
+    rows += [(None, unique["a"]), (None, unique["f"]), (None, unique["f"]), (None, unique["g"] + " " + unique["e"]), (None, None)]
+    last, earlier, want = 2**63 - 1, set(), []
+    grams = lambda words: [tuple(words[s : s + 20]) for s in range(len(words) - 19)]
+    for key in sorted({last if i is None else i for i, _ in rows}):
+        own = [(i, (t or "").split()) for i, t in rows if (last if i is None else i) == key]
+        for i, words in own:
+            gone, seen = [False] * len(words), set(earlier)
+            for s, gram in enumerate(grams(words)):
+                if gram in seen:
+                    gone[s : s + 20] = [True] * 20
+                seen.add(gram)
+            want.append((str(i), len(words), sum(gone), " ".join(w for w, g in zip(words, gone) if not g)))
+        earlier.update(gram for _, words in own for gram in grams(words))
+    found = substring_dedup(frame(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_text) for r in found) == sorted(want)
+
+
 def test_substring_random(spark):
     import random
 
