@@ -1,4 +1,4 @@
-"""Repeated passages by relative Lempel-Ziv parsing against an index of the whole corpus."""
+"""Repeated passages by a join of window hashes over the whole corpus."""
 
 from __future__ import annotations
 
@@ -97,7 +97,7 @@ def _repeated_windows(window: int, anchor: int):
 
 
 def _factors(starts, sources, window: int):
-    """Greedy parse: from left to right the longest stretch repeating one source.
+    """Windows already found, from left to right, as stretches of one source; decides nothing.
 
     `starts` are windows that occur earlier. Windows across two factors are among them, so
     what factors cover is what the windows cover.
@@ -121,7 +121,7 @@ FACTORS = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64()), ("so
 
 
 def _parse(window: int):
-    """Parse each document against what the index answered, and cut the spans out."""
+    """Flag the windows that the index answered, and cut the spans out."""
 
     def read(batches):
         for part in slices(batches):
@@ -193,8 +193,8 @@ def substring_dedup(
     anchors: of each window the smallest hash of its 8-word grams, so a seventh of all
     places. Documents are looked up in every block by a join; windows whose anchor stands
     in one document only cannot repeat elsewhere. The remaining windows are looked up in
-    the second index, of windows and the smallest document id of each, and every document
-    is parsed greedily from the answers. Windows are compared by 64-bit hashes of 64-bit
+    the second index, of windows and the smallest document id of each. The windows answered
+    decide what is removed; factors only group them by source afterwards. Windows are compared by 64-bit hashes of 64-bit
     word hashes. A document equal to an earlier one, letter by letter, is one factor.
 
     Null texts have no words. A null id counts as later than all others; rows that share an
