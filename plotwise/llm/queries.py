@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from plotwise.llm.conversations import damaged, repair_conversations
 from plotwise.llm.embeddings import near_vectors
 from plotwise.llm.exact import exact_groups
 from plotwise.llm.langid import identify_language
@@ -212,3 +213,84 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_best_fit_packing")
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_conversation_repair",
+    """
+    WITH RECURSIVE keyed AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+          lambda c: ascii(c)::BIGINT) AS bytes
+      FROM conversations),
+    drawn AS (
+      SELECT *, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b:
+        list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1))))) % 20 AS d
+      FROM keyed),
+    standing AS (
+      SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE d WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+      FROM drawn),
+    placed AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+        substr(role, 1, 1) AS x, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+      FROM standing),
+    faulted AS (
+      SELECT *, CASE WHEN last = '' THEN 'b'
+          WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+          WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+        lag(x) OVER (PARTITION BY conv_id ORDER BY i) || x NOT IN ('su', 'ua', 'au') AS illegal
+      FROM placed),
+    counted AS (
+      SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+        count(*) FILTER (WHERE fault = 'b') AS blank, count(*) FILTER (WHERE fault = 'd') AS duplicate,
+        count(*) FILTER (WHERE fault = 't') AS truncated, count(*) FILTER (WHERE illegal) AS illegal, count(*) AS n
+      FROM faulted GROUP BY conv_id),
+    grammar(p, x, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+    adds AS (SELECT p, q FROM grammar WHERE x <> 's'),
+    inserts AS (
+      SELECT p, p AS q, 0 AS c, '' AS e FROM (VALUES (0), (1), (2), (3)) s(p)
+      UNION ALL SELECT p, q, 2, 'I' FROM adds
+      UNION ALL SELECT a.p, b.q, 4, 'II' FROM adds a JOIN adds b ON a.q = b.p),
+    edits AS (
+      SELECT p, x, q, 'K' AS e, 0 AS c FROM grammar
+      UNION ALL SELECT p, NULL, q, 'R', 2 FROM adds
+      UNION ALL SELECT p, NULL, p, 'D', 3 FROM (VALUES (0), (1), (2), (3)) s(p)),
+    ways AS (
+      SELECT conv_id, 0::BIGINT AS i, 0 AS state, {'c': 0::BIGINT, 'e': ''} AS best FROM counted
+      UNION ALL
+      SELECT w.conv_id, f.i, e.q, min({'c': w.best.c + n.c + e.c + CASE WHEN f.fault = 't' AND e.e <> 'D' THEN 1 ELSE 0 END,
+        'e': w.best.e || n.e || e.e})
+      FROM ways w JOIN inserts n ON n.p = w.state JOIN faulted f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+        JOIN edits e ON e.p = n.q AND (e.e <> 'K' OR e.x = f.x) AND (e.e = 'D' OR f.fault NOT IN ('b', 'd'))
+      GROUP BY w.conv_id, f.i, e.q),
+    solved AS (
+      SELECT w.conv_id, min({'c': w.best.c + n.c, 'e': w.best.e || n.e}) AS best
+      FROM ways w JOIN counted k ON k.conv_id IS NOT DISTINCT FROM w.conv_id AND k.n = w.i JOIN inserts n ON n.p = w.state
+      WHERE n.q IN (0, 3) GROUP BY w.conv_id),
+    made AS (
+      SELECT conv_id, pos, substr(best.e, pos, 1) AS e, pos - len(replace(substr(best.e, 1, pos), 'I', '')) AS skipped
+      FROM (SELECT conv_id, best, unnest(range(1, len(best.e) + 1)) AS pos FROM solved)),
+    told AS (
+      SELECT m.conv_id, m.pos, m.e, f.role, CASE WHEN m.e = 'I' THEN '' ELSE f.text END AS text, f.x,
+        row_number() OVER (PARTITION BY m.conv_id ORDER BY m.pos) AS o
+      FROM made m LEFT JOIN faulted f ON f.conv_id IS NOT DISTINCT FROM m.conv_id AND f.i = m.pos - m.skipped AND m.e <> 'I'
+      WHERE m.e <> 'D'),
+    systems AS (SELECT conv_id, count(*) FILTER (WHERE o = 1 AND e = 'K' AND x = 's') AS s FROM told GROUP BY conv_id),
+    hashed AS (
+      SELECT t.conv_id, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (o - s) % 2 = 1 THEN 'user' ELSE 'assistant' END
+        || ':' || text, chr(10) ORDER BY o)) AS sha
+      FROM told t JOIN systems y ON y.conv_id IS NOT DISTINCT FROM t.conv_id GROUP BY t.conv_id)
+    SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+      coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
+      coalesce(best.e, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) a
+      LEFT JOIN counted k ON k.conv_id IS NOT DISTINCT FROM a.conv_id
+      LEFT JOIN solved v ON v.conv_id IS NOT DISTINCT FROM a.conv_id
+      LEFT JOIN hashed h ON h.conv_id IS NOT DISTINCT FROM a.conv_id
+    """,
+)
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, copies = damaged(table(spark, sf_dir, "conversations"))
+    return repair_conversations(rows, copies=copies)
