@@ -10,9 +10,11 @@ from plotwise.llm.conversations import damaged, repair_conversations
 from plotwise.llm.embeddings import near_vectors
 from plotwise.llm.exact import exact_groups
 from plotwise.llm.langid import identify_language
+from plotwise.llm.licenses import LEAST, PHRASES, STEP, TEMPLATES, scan_licenses
 from plotwise.llm.minhash import near_duplicates
 from plotwise.llm.mixing import mix_sources
 from plotwise.llm.packing import pack_documents
+from plotwise.llm.phrases import collocations
 from plotwise.llm.pii import KINDS as PII_KINDS, find_personal_data
 from plotwise.llm.secrets import KINDS, find_secrets, said_spans
 from plotwise.llm.spark import table
@@ -294,3 +296,77 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, copies = damaged(table(spark, sf_dir, "conversations"))
     return repair_conversations(rows, copies=copies)
+
+
+@query(
+    "op12_collocations",
+    """
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents),
+    spoken AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+    totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM spoken GROUP BY lang),
+    grams AS (
+      SELECT lang, unnest(list_transform(range(1, len(words) - size + 2), lambda i: words[i:i + size - 1])) AS g
+      FROM spoken, (VALUES (1), (2), (3), (4)) s(size)),
+    frequent AS (SELECT lang, g, count(*) AS f FROM grams GROUP BY lang, g HAVING count(*) >= 30),
+    cuts AS (SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM frequent WHERE len(g) > 1),
+    parted AS (
+      SELECT c.lang, c.g, c.a, c.k, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+      FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.g = c.g[1:c.k]
+        JOIN frequent y ON y.lang = c.lang AND y.g = c.g[c.k + 1:]),
+    lowest AS (SELECT * FROM parted QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+    inner_phrases AS (
+      SELECT lang, g[i:i + size - 1] AS g, max(f) AS most
+      FROM (SELECT lang, g, f, size, unnest(range(1, len(g) - size + 2)) AS i
+            FROM frequent, (VALUES (2), (3)) s(size) WHERE len(g) > size)
+      GROUP BY ALL),
+    ranked AS (
+      SELECT c.lang, array_to_string(c.g, ' ') AS phrase, a, l, r, score,
+        row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, array_to_string(c.g, ' ')) AS rank
+      FROM lowest c LEFT JOIN inner_phrases i ON i.lang = c.lang AND i.g = c.g
+      WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
+)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def _listed(rows) -> str:
+    return ", ".join(f"('{text}', '{label}')" for text, label in rows)
+
+
+@query(
+    "op13_license_scan",
+    f"""
+    WITH said AS (
+      SELECT row_number() OVER () AS key, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+      FROM documents),
+    phrases AS (SELECT string_split(p, ' ') AS p, label FROM (VALUES {_listed(PHRASES)}) v(p, label)),
+    spots AS (
+      SELECT key, label, unnest(list_filter(range(len(words) - len(p) + 1), lambda i: words[i + 1:i + len(p)] = p)) AS spot
+      FROM said, phrases),
+    base AS (
+      SELECT key, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, list(DISTINCT label) AS labels
+      FROM spots GROUP BY key),
+    templates AS (
+      SELECT list_distinct(string_split(t, ' ')) AS own, label
+      FROM (VALUES {_listed((text, label) for label, text in TEMPLATES)}) v(t, label)),
+    blocks AS (
+      SELECT key, list_distinct(words[b * {STEP} + 1:b * {STEP} + {2 * STEP}]) AS tokens
+      FROM (SELECT key, words, unnest(range(ceil(len(words) / {STEP})::BIGINT)) AS b FROM said)),
+    shared AS (SELECT key, label, len(list_intersect(own, tokens)) / len(own) AS share FROM blocks, templates),
+    found AS (
+      SELECT key, list(DISTINCT label) AS labels, max(share) AS best FROM shared WHERE share >= {LEAST} GROUP BY key)
+    SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+      array_to_string(list_sort(coalesce(b.labels, [])), ',') AS base_labels,
+      array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ',') AS labels,
+      CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+    FROM said LEFT JOIN base b USING (key) LEFT JOIN found f USING (key)
+    """,
+)
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
