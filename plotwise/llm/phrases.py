@@ -21,7 +21,7 @@ cloudpickle.register_pickle_by_value(plotwise)
 DEPTH = 4  # words of the longest phrase
 LEAST = 30  # occurrences of a candidate
 TOP = 2000  # rows reported for a language
-SHARD_BYTES = 8 << 20  # text of one index; one document at least
+SHARD_BYTES = 4 << 20  # text of one index; one document at least
 SHARDS_PER_TASK = 1 << 24
 SALTS = 64
 IDS = 1 << 31
@@ -155,7 +155,7 @@ def packed(ids: np.ndarray) -> np.ndarray:
 
 def _whole(blob: bytes) -> np.ndarray:
     kind = np.uint16 if blob[:1] == b"h" else np.int32
-    return np.frombuffer(blob, kind, offset=4).astype(np.int64)
+    return np.frombuffer(blob, kind, offset=4)
 
 
 def _blob(values: np.ndarray, size: int) -> bytes:
@@ -213,44 +213,42 @@ def _pairs(index: Index, codes: np.ndarray, ids: np.ndarray) -> Runs:
     return found.where(ids[found.words[:, 1]] > 0)
 
 
-def _count_pairs(schema: pa.Schema):
+def _per_shard(schema: pa.Schema, counted):
+    """counted(batch, row) of every row; what a shard needs is free before the next one is opened."""
+
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                index, codes, ids = _opened(batch, row)
-                found = _pairs(index, codes, ids)
-                shard = np.full(len(found.size), batch.column("shard")[row].as_py())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard), pa.array(packed(ids[found.words])), pa.array(found.size)], schema=schema
-                )
+                yield from (pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema) for columns in counted(batch, row))
 
     return run
 
 
-def _count_longer(schema: pa.Schema, depth: int):
-    def run(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                index, codes, ids = _opened(batch, row)
-                often = np.sort(batch.column("pairs")[row].values.to_numpy(zero_copy_only=False))
-
-                def held(keys):
-                    return often[np.minimum(np.searchsorted(often, keys), len(often) - 1)] == keys
-
-                found = _pairs(index, codes, ids)
-                found = found.where(held(packed(ids[found.words])))
-                for length in range(3, depth + 1):
-                    left = length % 2 == 1
-                    found = index.extended(found, left)
-                    own = ids[found.words]
-                    edge = own[:, :2] if left else own[:, -2:]
-                    keep = (edge > 0).all(axis=1) & held(packed(edge))
-                    found, own = found.where(keep), own[keep]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(packed(own[:, :2])), pa.array(packed(own[:, 2:])), pa.array(found.size)], schema=schema
-                    )
+def _counted_pairs(batch, row):
+    index, codes, ids = _opened(batch, row)
+    found = _pairs(index, codes, ids)
+    return [(np.full(len(found.size), batch.column("shard")[row].as_py()), packed(ids[found.words]), found.size)]
 
-    return run
+
+def _counted_longer(batch, row):
+    index, codes, ids = _opened(batch, row)
+    often = np.sort(batch.column("pairs")[row].values.to_numpy(zero_copy_only=False))
+
+    def held(keys):
+        return often[np.minimum(np.searchsorted(often, keys), len(often) - 1)] == keys
+
+    found = _pairs(index, codes, ids)
+    found = found.where(held(packed(ids[found.words])))
+    made = []
+    for length in range(3, DEPTH + 1):
+        left = length % 2 == 1
+        found = index.extended(found, left)
+        own = ids[found.words]
+        edge = own[:, :2] if left else own[:, -2:]
+        keep = (edge > 0).all(axis=1) & held(packed(edge))
+        found, own = found.where(keep), own[keep]
+        made.append((packed(own[:, :2]), packed(own[:, 2:]), found.size))
+    return made
 
 
 def numbered(df: DataFrame, name: str) -> DataFrame:
@@ -288,7 +286,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     words: lang, word, id, f. phrases: hi, lo (ids of the words, two in each; 0 for none),
     size, f. totals: lang, n.
 
-    A task indexes the texts of a language 8 MB at a time, over ids of the words in them. What is counted
+    A task indexes the texts of a language 4 MB at a time, over ids of the words in them. What is counted
     over the shards decides what is extended: words that are frequent in the whole language
     become pairs, and frequent pairs longer phrases, so a shard never counts what cannot be
     frequent. Every occurrence of the rest is counted.
@@ -309,13 +307,13 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     allowed = stored(mine, "shard-words")
     index = shards.select("shard", "forward", "backward").join(allowed, "shard")
     made = "shard long, key long, f long"
-    pairs = index.mapInArrow(_count_pairs(_arrow(made)), made)
+    pairs = index.mapInArrow(_per_shard(_arrow(made), _counted_pairs), made)
     pairs = pairs.withColumn("total", F.sum("f").over(Window.partitionBy("key"))).filter(F.col("total") >= least)
     pairs = stored(pairs.select("shard", "key", "total"), "shard-pairs")
 
     often = pairs.groupBy("shard").agg(F.collect_list("key").alias("pairs"))
     made = "hi long, lo long, f long"
-    longer = index.join(often, "shard").mapInArrow(_count_longer(_arrow(made), DEPTH), made)
+    longer = index.join(often, "shard").mapInArrow(_per_shard(_arrow(made), _counted_longer), made)
     longer = longer.groupBy("hi", "lo").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
     size = F.when(F.col("lo").bitwiseAND((1 << 32) - 1) > 0, 4).otherwise(3)
     two = pairs.groupBy(F.col("key").alias("hi")).agg(F.max("total").alias("f"))
