@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 import plotwise
 from plotwise.llm.spark import stored
 from plotwise.llm.words import slices
+from plotwise.session import scratch_path
 
 # Python workers get this module with the function itself.
 cloudpickle.register_pickle_by_value(plotwise)
@@ -173,11 +175,12 @@ def _index_shards(schema: pa.Schema, most: int):
             del sizes[lang]
             index = Index.of(codes, len(words))
             counts = index.counts()[1:]
-            row = dict(shard=number, lang=lang, n_words=int(counts.sum()), words=words, counts=counts)
+            ends = pa.array([0, len(words)], pa.int32())
+            made = [pa.array([v]) for v in (number, lang, int(counts.sum()))]
+            made += [pa.ListArray.from_arrays(ends, v) for v in (words, pa.array(counts.astype(np.int32)))]
+            made += [pa.array([_blob(side, len(words))]) for side in index.last]
             number += 1
-            row |= dict(zip(("forward", "backward"), (_blob(side, len(words)) for side in index.last)))
-            row = {k: [v.tolist() if isinstance(v, np.ndarray) else v.to_pylist() if isinstance(v, pa.Array) else v] for k, v in row.items()}
-            return pa.RecordBatch.from_pydict(row, schema)
+            return pa.RecordBatch.from_arrays(made, schema=schema)
 
         for batch in slices(batches, most_bytes=most):
             langs = batch.column("lang").dictionary_encode()
@@ -220,6 +223,7 @@ def _per_shard(schema: pa.Schema, counted):
         for batch in batches:
             for row in range(batch.num_rows):
                 yield from (pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema) for columns in counted(batch, row))
+                pa.default_memory_pool().release_unused()
 
     return run
 
@@ -293,34 +297,50 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     """
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     texts = docs.select(lang.alias("lang"), F.col(text_col).alias("text"))
-    shards = stored(texts.mapInArrow(_index_shards(_arrow(SHARD), SHARD_BYTES), SHARD), "fm-index")
-    totals = shards.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    said = shards.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
-    words = said.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f")).filter(F.col("f") >= least)
-    words = stored(numbered(stored(words, "words"), "id"), "word-ids")
-
-    places = shards.select("shard", "lang", F.posexplode("words").alias("code", "word"))
-    mine = places.join(words.select("lang", "word", "id"), ["lang", "word"])
-    mine = mine.groupBy("shard").agg(
-        F.collect_list(F.struct((F.col("code") + 1).cast("int").alias("code"), F.col("id"))).alias("allowed")
-    )
-    allowed = stored(mine, "shard-words")
-    index = shards.select("shard", "forward", "backward").join(allowed, "shard")
-    made = "shard long, key long, f long"
-    pairs = index.mapInArrow(_per_shard(_arrow(made), _counted_pairs), made)
-    pairs = pairs.withColumn("total", F.sum("f").over(Window.partitionBy("key"))).filter(F.col("total") >= least)
-    pairs = stored(pairs.select("shard", "key", "total"), "shard-pairs")
-
-    often = pairs.groupBy("shard").agg(F.collect_list("key").alias("pairs"))
-    made = "hi long, lo long, f long"
-    longer = index.join(often, "shard").mapInArrow(_per_shard(_arrow(made), _counted_longer), made)
-    longer = longer.groupBy("hi", "lo").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
-    size = F.when(F.col("lo").bitwiseAND((1 << 32) - 1) > 0, 4).otherwise(3)
-    two = pairs.groupBy(F.col("key").alias("hi")).agg(F.max("total").alias("f"))
-    phrases = two.select("hi", F.lit(0).cast("long").alias("lo"), F.lit(2).alias("size"), "f").unionByName(
-        longer.select("hi", "lo", size.alias("size"), "f")
-    )
-    return words, stored(phrases, "phrases"), totals
+    with _shards(texts.mapInArrow(_index_shards(_arrow(SHARD), SHARD_BYTES), SHARD)) as shards:
+        totals = stored(shards.groupBy("lang").agg(F.sum("n_words").alias("n")), "totals")
+        said = shards.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
+        words = said.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f"))
+        words = stored(numbered(stored(words.filter(F.col("f") >= least), "words"), "id"), "word-ids")
+
+        places = shards.select("shard", "lang", F.posexplode("words").alias("code", "word"))
+        mine = places.join(words.select("lang", "word", "id"), ["lang", "word"])
+        own = F.struct((F.col("code") + 1).cast("int").alias("code"), F.col("id"))
+        allowed = stored(mine.groupBy("shard").agg(F.collect_list(own).alias("allowed")), "shard-words")
+        index = shards.select("shard", "forward", "backward").join(allowed.hint("shuffle_hash"), "shard")
+        made = "shard long, key long, f long"
+        pairs = index.mapInArrow(_per_shard(_arrow(made), _counted_pairs), made)
+        pairs = pairs.withColumn("total", F.sum("f").over(Window.partitionBy("key"))).filter(F.col("total") >= least)
+        pairs = stored(pairs.select("shard", "key", "total"), "shard-pairs")
+
+        often = pairs.groupBy("shard").agg(F.collect_list("key").alias("pairs"))
+        made = "hi long, lo long, f long"
+        longer = index.join(often.hint("shuffle_hash"), "shard")
+        longer = longer.mapInArrow(_per_shard(_arrow(made), _counted_longer), made)
+        longer = longer.groupBy("hi", "lo").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+        size = F.when(F.col("lo").bitwiseAND((1 << 32) - 1) > 0, 4).otherwise(3)
+        two = pairs.groupBy(F.col("key").alias("hi")).agg(F.max("total").alias("f"))
+        phrases = two.select("hi", F.lit(0).cast("long").alias("lo"), F.lit(2).alias("size"), "f").unionByName(
+            longer.select("hi", "lo", size.alias("size"), "f")
+        )
+        return words, stored(phrases, "phrases"), totals
+
+
+@contextmanager
+def _shards(made: DataFrame):
+    """The indexes, stored in buckets by shard, so that joins with them move the other side alone.
+
+    The table's name lasts as long as it is used; its files lie in the scratch folder.
+    """
+    spark = made.sparkSession
+    path = scratch_path(spark, "fm-index")
+    name = "fm_index_" + path.rsplit("-", 1)[1]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    made.write.format("parquet").option("path", path).bucketBy(buckets, "shard").saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 def _arrow(kinds: str) -> pa.Schema:
