@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from checks.registry import query
-from checks.standin import OBS, TIES, now, observations, table, ts_text
+from checks.standin import OBS, TIES, now, observations, spread, table, ts_text
 from plotwise import schemas
 from plotwise.operators import merge, quality
 from plotwise.plans import details
 from plotwise.session import scratch_path
-from plotwise.sources import staged, tables
+from plotwise.sources import runs, staged, tables
 from plotwise.streaming import ingest
 
 # --- merges: part rows split into two overlapping batches -----------------------
@@ -29,10 +29,11 @@ ORDER = ["scraped_at", "seq"]
 
 
 def stored(spark, sf_dir):
-    """The stored table: two thirds of the parts."""
+    """The stored table: every part; a third of the keys is shifted out of the batch's reach."""
     s = F.col
-    url = F.concat(F.lit("https://p.example.com/property/"), s("p_partkey").cast("string"))
-    return table(spark, sf_dir, "part").where("p_partkey % 3 <> 2").select(
+    key = s("p_partkey") + F.when(s("p_partkey") % 3 == 2, 1_000_000_000).otherwise(0)
+    url = F.concat(F.lit("https://p.example.com/property/"), key.cast("string"))
+    return table(spark, sf_dir, "part").select(
         url.alias("url"), s("p_name").alias("title"), s("p_type").alias("address"), s("p_retailprice").alias("price"),
         s("p_size").alias("rooms"), F.lit("2024-01-01").cast("timestamp").alias("scraped_at"),
     )
@@ -41,8 +42,9 @@ def stored(spark, sf_dir):
 def batch(spark, sf_dir):
     """Lineitem rows as arriving observations: many per url, with NULLs, blanks and zeros."""
     s, n = F.col, F.col("l_linenumber")
-    url = F.concat(F.lit("https://p.example.com/property/"), s("l_partkey").cast("string"))
-    return table(spark, sf_dir, "lineitem").where("l_partkey % 3 <> 0").select(
+    key = s("l_partkey") + F.when(s("l_partkey") % 3 == 0, 2_000_000_000).otherwise(0)
+    url = F.concat(F.lit("https://p.example.com/property/"), key.cast("string"))
+    return table(spark, sf_dir, "lineitem").select(
         url.alias("url"),
         F.when(n % 3 == 0, F.concat(F.lit("Lot "), s("l_orderkey").cast("string"))).when(n % 3 == 1, "  ").alias("title"),
         F.when(n == 7, s("l_returnflag")).alias("address"),
@@ -54,15 +56,15 @@ def batch(spark, sf_dir):
 
 
 BATCHES = """
-old AS (SELECT 'https://p.example.com/property/' || p_partkey AS url, p_name AS title, p_type AS address, p_retailprice AS price,
-    p_size AS rooms, TIMESTAMP '2024-01-01' AS scraped_at FROM part WHERE p_partkey % 3 <> 2),
-arriving AS (SELECT *, 'https://p.example.com/property/' || l_partkey AS url,
+old AS (SELECT 'https://p.example.com/property/' || (p_partkey + CASE WHEN p_partkey % 3 = 2 THEN 1000000000 ELSE 0 END) AS url, p_name AS title, p_type AS address, p_retailprice AS price,
+    p_size AS rooms, TIMESTAMP '2024-01-01' AS scraped_at FROM part),
+arriving AS (SELECT *, 'https://p.example.com/property/' || (l_partkey + CASE WHEN l_partkey % 3 = 0 THEN 2000000000 ELSE 0 END) AS url,
     CASE l_linenumber % 3 WHEN 0 THEN 'Lot ' || l_orderkey WHEN 1 THEN '  ' END AS title,
     CASE WHEN l_linenumber = 7 THEN l_returnflag END AS address,
     CASE WHEN l_linenumber = 2 THEN 0.0 WHEN l_linenumber > 3 THEN l_extendedprice END AS price,
     CASE WHEN l_linenumber % 2 = 0 THEN l_linenumber END AS rooms, l_shipdate AS scraped_at,
     row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice) AS seq
-    FROM lineitem WHERE l_partkey % 3 <> 0)
+    FROM lineitem)
 """
 SHOW = "url, title, address, round(price, 2) AS price, rooms, strftime(scraped_at, '%Y-%m-%d %H:%M:%S') AS scraped_at"
 
@@ -119,11 +121,11 @@ def upsert_ignore_stale(spark, sf_dir):
 
 @query("merge_into_table", f"{NULL_SAFE} SELECT {SHOW} FROM merged")
 def merge_into_table(spark, sf_dir):
-    """The same merge against a stored, bucketed table; only touched buckets are rewritten."""
+    """The same merge against a table on disk, to which a batch only adds its own rows."""
     path = scratch_path(spark, "listings")
-    merge.create_table(stored(spark, sf_dir), path, buckets=8)
-    merge.merge_into_table(spark, path, batch(spark, sf_dir), TARGET, 8, ORDER)
-    return show(merge.read_table(spark, path, TARGET))
+    merge.append_batch(stored(spark, sf_dir), path, 0, ["scraped_at"], whole_rows=True)
+    merge.append_batch(batch(spark, sf_dir), path, 1, ORDER)
+    return show(merge.read_merged(spark, path, TARGET))
 
 
 SNAPSHOTS = f"""
@@ -194,6 +196,7 @@ def staged_lines(spark, sf_dir):
         .alias("value"),
         F.date_format("scraped_at", "yyyy").alias("run"),
         F.col("l_linestatus").alias("portal"),
+        *TIES,
     )
 
 
@@ -203,8 +206,8 @@ def write_dumps(spark, sf_dir, kind="listings", lines=None):
     lines = (lines if lines is not None else staged_lines(spark, sf_dir)).persist()
     keys = [tuple(r) for r in lines.select("run", "portal").distinct().collect()]  # years x 2
     for run, portal in sorted(keys):
-        one = lines.where((F.col("run") == run) & (F.col("portal") == portal)).select("value")
-        one.hint("rebalance").write.text(f"{base}/run_{run}/staged/{portal}_{kind}.jsonl")
+        one = lines.where((F.col("run") == run) & (F.col("portal") == portal)).orderBy(*TIES).select("value")
+        one.write.text(f"{base}/run_{run}/staged/{portal}_{kind}.jsonl")
     lines.unpersist()
     return base
 
@@ -232,30 +235,35 @@ def staged_listings_scan(spark, sf_dir):
     )
 
 
+# One portal's runs end two years before the other's.
+ENDS = "CASE WHEN l_linestatus = 'F' THEN CAST(CAST(run AS INTEGER) - 2 AS VARCHAR) ELSE run END"
+
+
 @query(
     "latest_run_files",
     LINES
-    + """SELECT portal, run, count(*) FILTER (NOT bad) AS records FROM lines
-    WHERE run = CASE portal WHEN 'F' THEN (SELECT max(run) FROM lines WHERE run < '2001') ELSE (SELECT max(run) FROM lines) END
-    GROUP BY 1, 2""",
+    + f""", ended AS (SELECT * REPLACE ({ENDS} AS run) FROM lines)
+    SELECT portal, run, count(*) FILTER (NOT bad) AS records FROM ended
+    WHERE run = (SELECT max(run) FROM ended x WHERE x.portal = ended.portal) GROUP BY 1, 2""",
 )
 def latest_run_files(spark, sf_dir):
-    lines = staged_lines(spark, sf_dir).where("NOT (portal = 'F' AND run >= '2001')")
+    early = (F.col("run").cast("int") - 2).cast("string")
+    lines = staged_lines(spark, sf_dir).withColumn("run", F.when(F.col("portal") == "F", early).otherwise(F.col("run")))
     rows = staged.only_objects(staged.read_latest_dumps(spark, write_dumps(spark, sf_dir, lines=lines), "listings"))
     return rows.groupBy("portal", "run").agg(F.count("*").alias("records"))
 
 
 RUNS = """
-runs AS (SELECT l_returnflag || l_linestatus AS portal, strftime(l_shipdate, '%Y%m') AS run, l_partkey FROM lineitem
-  WHERE NOT (l_returnflag = 'A' AND l_shipdate >= TIMESTAMP '2000-01-01'))
+runs AS (SELECT l_returnflag || l_linestatus AS portal,
+  strftime(l_shipdate - CASE WHEN l_returnflag = 'A' THEN INTERVAL 18 MONTH ELSE INTERVAL 0 MONTH END, '%Y%m') AS run, l_partkey
+  FROM lineitem)
 """
 
 
 def run_rows(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").where(
-        "NOT (l_returnflag = 'A' AND l_shipdate >= timestamp_ntz'2000-01-01 00:00:00')"
-    ).select(
-        F.concat("l_returnflag", "l_linestatus").alias("portal"), F.date_format("l_shipdate", "yyyyMM").alias("run"), "l_partkey"
+    shipped = F.when(F.col("l_returnflag") == "A", F.add_months("l_shipdate", -18)).otherwise(F.to_date("l_shipdate"))
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat("l_returnflag", "l_linestatus").alias("portal"), F.date_format(shipped, "yyyyMM").alias("run"), "l_partkey"
     )
 
 
@@ -311,6 +319,31 @@ def all_runs(spark, sf_dir):
     return staged.read_staged(spark, base, "urls").groupBy("portal", "url").agg(F.count("*").alias("times"))
 
 
+# Three runs; one portal was not found in the last.
+RUN_URLS = """
+u AS (SELECT l_linestatus AS portal, 'https://p.example.com/property/' || l_partkey AS url,
+  CASE WHEN l_linestatus = 'F' THEN least(l_linenumber % 3, 1) ELSE l_linenumber % 3 END AS run FROM lineitem)
+"""
+
+
+@query(
+    "run_or_all_runs",
+    f"""WITH {RUN_URLS} SELECT portal, '2024010' || run AS run, url, count(*) AS times FROM u
+    WHERE run = 2 OR portal NOT IN (SELECT portal FROM u WHERE run = 2) GROUP BY ALL""",
+)
+def run_or_all_runs(spark, sf_dir):
+    """This run's file where a portal has one, else the files of every run; read by the data source."""
+    n = F.col("l_linenumber") % 3
+    run = F.when(F.col("l_linestatus") == "F", F.least(n, F.lit(1))).otherwise(n)
+    url = F.concat(F.lit("https://p.example.com/property/"), F.col("l_partkey").cast("string"))
+    lines = spread(table(spark, sf_dir, "lineitem")).select(
+        F.to_json(F.struct(url.alias("url"))).alias("value"), F.concat(F.lit("2024010"), run.cast("string")).alias("run"),
+        F.col("l_linestatus").alias("portal"), *TIES,
+    )
+    base = write_dumps(spark, sf_dir, "urls", lines)
+    return runs.run_urls(spark, base, "20240102").groupBy("portal", "run", "url").agg(F.count("*").alias("times"))
+
+
 @query(
     "detail_split",
     """WITH o AS (SELECT l_linestatus AS portal, strftime(l_shipdate, '%Y') AS run, CASE WHEN l_partkey % 10 IN (0, 1) THEN 'no_html'
@@ -443,28 +476,40 @@ def stream_new_files(spark, sf_dir):
 
 
 STREAMED = f"""
-WITH {OBS}, rows AS (SELECT *, CASE WHEN l_linenumber % 2 = 0 AND (price_currency IS NULL OR price_currency = 'PHP') THEN l_extendedprice END AS php
+WITH {OBS}, rows AS (SELECT *, l_linenumber % 2 = 0 AS priced,
+    CASE WHEN l_linenumber % 2 = 0 AND (price_currency IS NULL OR price_currency = 'PHP') THEN l_extendedprice END AS php
     FROM obs WHERE l_linenumber <> 3 AND NOT (l_linenumber = 7 AND l_quantity < 10)),
 r2 AS (SELECT *, CASE WHEN area_sqm > 0 THEN php / area_sqm END AS ratio,
     row_number() OVER (PARTITION BY url ORDER BY scraped_at, l_linestatus, l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice) AS seq FROM rows)
-SELECT url, max(listing_title) AS listing_title, arg_max(area_sqm, seq) FILTER (area_sqm IS NOT NULL) AS area_sqm,
-    strftime(max(scraped_at), '%Y-%m-%d %H:%M:%S') AS scraped_at, 'prod' AS source_env FROM r2 GROUP BY url
+SELECT url, arg_max(listing_title, seq) AS listing_title, CAST(NULL AS VARCHAR) AS property_type, CAST(NULL AS VARCHAR) AS address,
+    arg_max(php, seq) FILTER (php IS NOT NULL) AS price_php, arg_max(area_sqm, seq) FILTER (area_sqm IS NOT NULL) AS area_sqm,
+    round(arg_max(ratio, seq) FILTER (ratio IS NOT NULL), 6) AS price_per_sqm,
+    CAST(NULL AS VARCHAR) AS price_currency, CAST(NULL AS DOUBLE) AS price_value,
+    arg_max(coalesce(price_currency, 'none'), seq) FILTER (priced) AS json_currency, arg_max(l_extendedprice, seq) FILTER (priced) AS json_value,
+    nullif(arg_max(coalesce(area_sqm, -1), seq), -1) AS json_sqm,
+    CAST(NULL AS INTEGER) AS bedrooms, CAST(NULL AS INTEGER) AS bathrooms, CAST(NULL AS VARCHAR) AS description,
+    CAST(NULL AS VARCHAR) AS published_at_text, CAST(NULL AS VARCHAR) AS published_at,
+    strftime(max(scraped_at), '%Y-%m-%d %H:%M:%S') AS scraped_at, CAST(NULL AS VARCHAR) AS as_of_date,
+    arg_max(l_linestatus, seq) AS source, 'prod' AS source_env FROM r2 GROUP BY url
 """
 
 
 @query("stream_upsert", STREAMED)
 def stream_upsert(spark, sf_dir):
-    """Dumps arriving in several micro-batches, merged into the stored table NULL-safely.
-
-    Shown are the columns whose value does not depend on which file comes first.
-    """
-    base, path = write_dumps(spark, sf_dir), scratch_path(spark, "stream-table")
-    empty = spark.createDataFrame([], schemas.LISTINGS)
-    merge.create_table(empty, path, buckets=8)
-    arriving = ingest.stream_staged(spark, base, files_per_batch=8)
-    run = ingest.ingest_into_table(
-        arriving, path, scratch_path(spark, "checkpoint"), now(), buckets=8, ignore_stale=False
-    )
-    run.awaitTermination()
-    rows = merge.read_table(spark, path, schemas.LISTINGS)
-    return rows.select("url", "listing_title", "area_sqm", ts_text("scraped_at").alias("scraped_at"), "source_env")
+    """Dumps arriving in several micro-batches, folded into one state per url; all columns of the table."""
+    base, checkpoint = write_dumps(spark, sf_dir), scratch_path(spark, "checkpoint")
+    arriving = ingest.stream_staged(spark, base, files_per_batch=40)
+    ingest.ingest_listings(arriving, checkpoint, now()).awaitTermination()
+    rows = ingest.listings(spark, checkpoint)
+    shown = {
+        "price_json": [
+            F.coalesce(F.try_variant_get("price_json", "$.currency", "string"), F.lit("none")).alias("json_currency"),
+            F.try_variant_get("price_json", "$.value", "double").alias("json_value"),
+        ],
+        "area_json": [F.try_variant_get("area_json", "$.sqm", "double").alias("json_sqm")],
+        "price_per_sqm": [F.round("price_per_sqm", 6).alias("price_per_sqm")],
+        "published_at": [ts_text("published_at").alias("published_at")],
+        "scraped_at": [ts_text("scraped_at").alias("scraped_at")],
+        "as_of_date": [F.col("as_of_date").cast("string").alias("as_of_date")],
+    }
+    return rows.select(*[c for name in schemas.LISTINGS.names for c in shown.get(name, [F.col(name)])])

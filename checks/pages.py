@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from checks.registry import query
 from checks.standin import now, r6, spread, table, ts_text
-from plotwise.functions.html import jsonld_nodes
+from plotwise.functions.html import strict_blocks
 from plotwise.functions.urls import canonical_url, with_page_number, with_resolved
-from plotwise.operators import dedupe, discovery, extract, quality
+from plotwise.operators import dedupe, discovery, extract, jsonld, quality
 from plotwise.plans import details, discovery as discovery_plan
 from plotwise.session import scratch_path
 from plotwise.sources import staged, tables
@@ -156,20 +156,44 @@ def next_links(spark, sf_dir):
     return discovery.next_links(results).select("page_id", "next_url")
 
 
-WALK = """
-WITH RECURSIVE edges AS (SELECT a.page_id, a.url, b.url AS next_url FROM pages a LEFT JOIN pages b ON b.page_id = a.page_id + 5),
-walk AS (SELECT 'portal_' || page_id AS portal, url, next_url, 0 AS page_no FROM edges WHERE page_id < 5
-  UNION ALL SELECT w.portal, e.url, e.next_url, w.page_no + 1 FROM walk w JOIN edges e ON e.url = w.next_url {cap})
-SELECT portal, url, CAST(page_no AS BIGINT) AS page_no FROM walk
+# Result pages of five sites: the next page is five pages on, the last one says so.
+SITES = """
+site AS (SELECT page_id, page_id % 5 AS k, 'https://s' || page_id % 5 || '.example.com' AS origin, html FROM pages),
+edges AS (SELECT a.page_id, a.k, a.origin || '/results/' || a.page_id AS url, b.page_id AS next_id
+  FROM site a LEFT JOIN site b ON b.page_id = a.page_id + 5)
 """
+WALK = f"""
+WITH RECURSIVE {SITES}, walk AS (SELECT k, page_id, 0 AS page_no FROM edges WHERE page_id < 5
+  UNION ALL SELECT w.k, e.next_id, w.page_no + 1 FROM walk w JOIN edges e USING (page_id) WHERE e.next_id IS NOT NULL {{cap}})
+SELECT 'portal_' || w.k AS portal, e.url, CAST(page_no AS BIGINT) AS page_no FROM walk w JOIN edges e USING (page_id)
+"""
+
+
+def paged(spark, sf_dir):
+    """The pages as result pages with a next link of their own, each captured twice.
+
+    The older capture has links that must not count.
+    """
+    p = table(spark, sf_dir, "pages").select("page_id", "html")
+    k = (F.col("page_id") % 5).cast("string")
+    at = F.concat(F.lit("https://s"), k, F.lit(".example.com/results/"), F.col("page_id").cast("string"))
+    after = p.select((F.col("page_id") - 5).alias("page_id"), F.lit(True).alias("_more"))
+    linked = spread(p.join(after, "page_id", "left"))
+    more = F.concat(
+        F.lit('<a class="more" data-islast="'), F.when(F.col("_more"), "false").otherwise("TRUE"), F.lit('" href="'),
+        F.when(F.col("_more"), (F.col("page_id") + 5).cast("string")).otherwise("/results/0"), F.lit('">more</a>'),
+    )
+    html = F.when(F.col("captured_at") == 1, F.concat("html", more)).otherwise('<nav><ul><li><a href="/old">x</a></ul></nav>')
+    both = linked.withColumn("captured_at", F.explode(F.array(F.lit(0), F.lit(1))))
+    return both.select("page_id", at.alias("url"), html.alias("html"), "captured_at")
 
 
 def walk_input(spark, sf_dir):
-    """Five portals; the next page of a result page is five pages on."""
-    p = table(spark, sf_dir, "pages").select("page_id", "url")
-    after = p.select((F.col("page_id") - 5).alias("page_id"), F.col("url").alias("next_url"))
-    seeds = p.where("page_id < 5").select(F.concat(F.lit("portal_"), F.col("page_id").cast("string")).alias("portal"), "url")
-    return p.join(after, "page_id", "left").select("url", "next_url"), seeds
+    """The next links that the pages themselves hold, and five seeds."""
+    results = discovery.read_result_pages(paged(spark, sf_dir), "a", "a.more")
+    found = discovery.next_links(results).select("page_id", "url", "next_url")
+    seeds = found.where("page_id < 5").select(F.concat(F.lit("portal_"), F.col("page_id").cast("string")).alias("portal"), "url")
+    return found.select("url", "next_url"), seeds.distinct()
 
 
 @query("pagination_walk", WALK.format(cap=""))
@@ -177,51 +201,52 @@ def pagination_walk(spark, sf_dir):
     return discovery.walk_pages(*walk_input(spark, sf_dir))
 
 
-@query("pagination_walk_capped", WALK.format(cap="WHERE w.page_no < 10"))
+@query("pagination_walk_capped", WALK.format(cap="AND w.page_no < 10"))
 def pagination_walk_capped(spark, sf_dir):
     return discovery.walk_pages(*walk_input(spark, sf_dir), max_pages=11)
 
 
+# Five registry entries with selectors and caps of their own: selector, cap, links it means
+# (of those in a page's list, i from 0 of n).
+FIVE = (
+    ("nav li > a[href^='/']", 10, "true"),
+    ("nav li:first-child > a", 0, "i = 0"),
+    ("nav a[href]", 7, "true"),
+    ("ul > li:nth-child(2) a", 0, "i = 1"),
+    ("nav li + li:last-child a", 0, "i = n - 1 AND n > 1"),
+)
 DISCOVERED = f"""
-WITH RECURSIVE {LINKS}, walk AS (SELECT page_id AS seed, page_id, 0 AS page_no FROM pages WHERE page_id < 2
-  UNION ALL SELECT w.seed, p.page_id, w.page_no + 1 FROM walk w JOIN pages p ON p.page_id = w.page_id + 5
-  WHERE w.seed = 1 OR w.page_no < 9),
-seen AS (SELECT CASE seed WHEN 0 THEN 'capped' ELSE 'open' END AS portal, l.url, w.page_no, l.pos
-  FROM walk w JOIN links l USING (page_id) WHERE seed = 0 OR l.pos = 0)
-SELECT portal, url, CAST(page_no AS BIGINT) AS page_no, pos FROM seen
+WITH RECURSIVE {SITES}, walk AS (SELECT k, page_id, 0 AS page_no FROM edges WHERE page_id < 5
+  UNION ALL SELECT w.k, e.next_id, w.page_no + 1 FROM walk w JOIN edges e USING (page_id)
+  WHERE e.next_id IS NOT NULL AND w.page_no + 1 < CASE w.k {" ".join(f"WHEN {k} THEN {cap or 10**9}" for k, (_, cap, _) in enumerate(FIVE))} END),
+raw AS (SELECT page_id, origin, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hrefs FROM site),
+listed AS (SELECT page_id, i, len(hrefs) AS n, rtrim(origin || hrefs[i + 1], '/') AS url
+  FROM (SELECT *, unnest(range(len(hrefs))) AS i FROM raw)),
+seen AS (SELECT 'portal_' || k AS portal, url, page_no, CASE WHEN k IN (0, 2) THEN i ELSE 0 END AS pos
+  FROM walk JOIN listed USING (page_id)
+  WHERE CASE k {" ".join(f"WHEN {k} THEN {means}" for k, (_, _, means) in enumerate(FIVE))} END)
+SELECT portal, url, CAST(page_no AS BIGINT) AS page_no, CAST(pos AS INTEGER) AS pos FROM seen
 QUALIFY row_number() OVER (PARTITION BY portal, url ORDER BY page_no, pos) = 1
 """
 
 
-def paged(spark, sf_dir):
-    """Result pages whose own next link leads five pages on, each captured twice.
-
-    The older capture has links that must not count.
-    """
-    p = pages(spark, sf_dir).select("page_id", "url", "html")
-    after = p.select((F.col("page_id") - 5).alias("page_id"), F.col("url").alias("to"))
-    linked = p.join(after, "page_id", "left")
-    more = F.concat(F.lit('<a class="more" data-islast="'), F.when(F.col("to").isNull(), "true").otherwise("false"), F.lit('" href="'), F.coalesce("to", F.lit("#")), F.lit('">more</a>'))
-    html = F.when(F.col("captured_at") == 1, F.concat("html", more)).otherwise('<nav><ul><li><a href="/old">x</a></ul></nav>')
-    return linked.withColumn("captured_at", F.explode(F.array(F.lit(0), F.lit(1)))).select("url", html.alias("html"), "captured_at")
-
-
-def two_portals(spark, sf_dir):
-    """Two registry entries with selectors and caps of their own, as JSON documents."""
-    seeds = table(spark, sf_dir, "pages").where("page_id < 2")
-    rest = F.when(
-        F.col("page_id") == 0, '"portal_name":"capped","max_pages":10,"listing_selector":"nav li > a[href^=\'/\']"'
-    ).otherwise('"portal_name":"open","max_pages":0,"listing_selector":"nav li:first-child > a"')
-    doc = F.concat(F.lit('{"seed_urls":["'), "url", F.lit('"],"pagination_selector":"a.more",'), rest, F.lit("}"))
+def five_portals(spark, sf_dir):
+    """Registry entries as JSON documents, one per seed."""
+    seeds = paged(spark, sf_dir).where("page_id < 5 AND captured_at = 1")
+    rest = F.array(*[F.lit(f'"max_pages":{cap},"listing_selector":"{selector}"') for selector, cap, _ in FIVE])
+    doc = F.concat(
+        F.lit('{"portal_name":"portal_'), F.col("page_id").cast("string"), F.lit('","seed_urls":["'), "url",
+        F.lit('"],"pagination_selector":"a.more",'), F.get(rest, F.col("page_id").cast("int")), F.lit("}"),
+    )
     return tables.portals(tables.registry_entries(seeds.select(doc.alias("value"))))
 
 
 @query("discovery_job", DISCOVERED)
 def discovery_job(spark, sf_dir):
-    """Registry, walk, links, first sighting, caps and the staged files, read back."""
+    """Registry, walks, links, first sighting, caps and the staged files, read back."""
     base = scratch_path(spark, "discovery")
-    registry = two_portals(spark, sf_dir)
-    found = discovery_plan.run_discovery(paged(spark, sf_dir), registry, base, "r1", now())
+    registry = five_portals(spark, sf_dir)
+    found = discovery_plan.run_discovery(paged(spark, sf_dir).drop("page_id"), registry, base, "r1", now())
     staged_urls = staged.read_staged(spark, base, "urls").select("portal", "url")
     return found.join(staged_urls, ["portal", "url"]).select("portal", "url", "page_no", "pos")
 
@@ -351,7 +376,7 @@ def listing_pages(spark, sf_dir, with_gaps=False):
     )
     if with_gaps:
         g = F.col("p_partkey") % 10
-        body = F.when(g == 1, "").when(g == 2, F.lit("<html><body><p>gone</p></body></html>")).otherwise(body)
+        body = F.when(g == 0, None).when(g == 1, "").when(g == 2, F.lit("<html><body><p>gone</p></body></html>")).otherwise(body)
     part = spread(table(spark, sf_dir, "part")).withColumn("p_container", F.reverse("p_name"))
     url = F.concat(F.lit("https://p.example.com/property/"), F.col("p_partkey").cast("string"))
     return part.select("p_partkey", url.alias("url"), body.alias("html"))
@@ -428,8 +453,10 @@ def scripts(spark, sf_dir):
       ELSE [{b: 0, n: 0, t: 'Offer'}] END, recursive := true) FROM events)""",
 )
 def jsonld_node_rows(spark, sf_dir):
-    nodes = scripts(spark, sf_dir).select("event_id", F.inline(jsonld_nodes("scripts")))
-    return nodes.select("event_id", "block", "node", F.array_join("types", ",").alias("types"))
+    """Every object of every block, numbered in document order."""
+    nodes = jsonld.jsonld_nodes(scripts(spark, sf_dir), strict_blocks("scripts"), ["event_id"])
+    node = F.row_number().over(Window.partitionBy("event_id", "block").orderBy("path")) - 1
+    return nodes.select("event_id", "block", node.alias("node"), F.array_join("types", ",").alias("types"))
 
 
 @query(
@@ -439,17 +466,16 @@ def jsonld_node_rows(spark, sf_dir):
     FROM events""",
 )
 def jsonld_offers(spark, sf_dir):
-    from plotwise.functions.html import first_typed
-
-    rows = scripts(spark, sf_dir).select(
-        "event_id", jsonld_nodes("scripts", ("Offer",), ("Product", "Offer")).alias("nodes")
-    )
-    rows = rows.withColumn("offer", F.try_parse_json(first_typed(F.col("nodes"), "Offer")))
+    rows = scripts(spark, sf_dir)
+    nodes = jsonld.jsonld_nodes(rows, strict_blocks("scripts"), ["event_id"])
+    sets = {"offer": ("Offer",), "node": ("Product", "Offer")}
+    rows = rows.select("event_id").join(jsonld.first_typed(nodes, ["event_id"], sets), "event_id", "left")
     offer = extract.offer_columns(F.col("offer"))
-    first = F.filter("nodes", lambda n: F.arrays_overlap(n["types"], F.array(F.lit("Product"), F.lit("Offer"))))
+    kinds = F.try_variant_get("node", '$["@type"]', "array<string>")
+    kind = F.coalesce(F.element_at(kinds, -1), F.try_variant_get("node", '$["@type"]', "string"))
     return rows.select(
         "event_id", offer["__offer_price"].try_cast("double").alias("price"), offer["__offer_currency"].alias("currency"),
-        F.element_at(F.get(first, 0)["types"], -1).alias("kind"),
+        kind.alias("kind"),
     )
 
 
@@ -463,13 +489,13 @@ o AS (SELECT l_linestatus AS portal, 'https://p.example.com/property/' || l_part
 
 
 def outcomes(spark, sf_dir):
-    """Every lineitem stages its part's URL; a tenth of the pages is not captured."""
+    """Every lineitem stages its part's URL; a tenth of the pages was captured without HTML."""
     url = F.concat(F.lit("https://p.example.com/property/"), F.col("l_partkey").cast("string"))
     urls = table(spark, sf_dir, "lineitem").select(
         url.alias("url"), F.col("l_linestatus").alias("portal"),
         F.date_format("l_shipdate", "yyyy").alias("run"),
     )
-    captured = listing_pages(spark, sf_dir, with_gaps=True).where("p_partkey % 10 <> 0")
+    captured = listing_pages(spark, sf_dir, with_gaps=True)
     return details.detail_outcomes(urls, captured, now(), "Asia/Manila")
 
 

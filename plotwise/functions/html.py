@@ -1,7 +1,9 @@
-"""One vectorised function from captured HTML to candidate texts.
+"""One vectorised function from captured HTML to tokens.
 
-A page is tokenised once, in the Arrow batch Spark hands over; everything that decides
-what a listing *is* runs as column expressions on the result (operators/extract.py).
+A page is tokenised once, in the Arrow batch Spark hands over: its elements as intervals,
+its texts and its JSON-LD blocks. Which elements a selector means and what a JSON-LD tree
+holds is decided by joins and column expressions on these (operators/selectors.py,
+operators/jsonld.py).
 """
 
 from __future__ import annotations
@@ -10,11 +12,10 @@ import json
 import math
 import re
 from html.parser import HTMLParser
-from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 import plotwise
@@ -23,24 +24,31 @@ import plotwise
 # on the executors, and the driver's working folder does not matter.
 cloudpickle.register_pickle_by_value(plotwise)
 
-NODES_TYPE = T.ArrayType(
+# An element holds the elements numbered from its start to its end, itself first, and the
+# texts from text_from up to text_to; nth and last are its place among its siblings.
+_TEXTS = T.ArrayType(T.StringType())
+ELEMENT = (
     T.StructType()
-    .add("block", T.IntegerType())
-    .add("node", T.IntegerType())
-    .add("types", T.ArrayType(T.StringType()))
-    .add("body", T.StringType())
+    .add("start", T.IntegerType())
+    .add("end", T.IntegerType())
+    .add("parent", T.IntegerType())
+    .add("nth", T.IntegerType())
+    .add("last", T.BooleanType())
+    .add("tag", T.StringType())
+    .add("attrs", T.MapType(T.StringType(), T.StringType()))
+    .add("text_from", T.IntegerType())
+    .add("text_to", T.IntegerType())
 )
-PAGE_TYPE = (
+TOKENS_TYPE = (
     T.StructType()
-    .add("found", T.MapType(T.StringType(), T.StringType()))
-    .add("links", T.ArrayType(T.StringType()))
-    .add("link_groups", T.MapType(T.StringType(), T.ArrayType(T.StringType())))
-    .add("page_text", T.StringType())
-    .add("nodes", NODES_TYPE)
+    .add("elements", T.ArrayType(ELEMENT))
+    .add("texts", _TEXTS)
+    .add("blocks", _TEXTS)
     .add("error", T.StringType())
     .add("detail", T.StringType())
 )
-_ARROW_TYPE = to_arrow_type(PAGE_TYPE)
+_ARROW_TYPE = to_arrow_type(TOKENS_TYPE)
+ORDER = "plotwise:order"  # a member naming an object's nested members in document order
 
 # Fixed values of HTML: elements without an end tag, elements whose text is not page
 # text, and the start tags that end an open element of the same list of names.
@@ -65,221 +73,66 @@ ENDS = {
 ENDS |= {name: frozenset(("p",)) for name in "b big i s small strike tt u".split()}
 ENDS |= {f"h{n}": frozenset(("p", "table", "form", "fieldset")) for n in range(1, 7)}
 
-# one simple selector; an attribute's value may be followed by the flag i
-_SIMPLE = re.compile(
-    r"(?P<tag>[\w-]+|\*)|\#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)"
-    r"|\[\s*(?P<attr>[\w:-]+)\s*(?:(?P<op>[*^$~|]?=)\s*"
-    r"(?:\"(?P<dq>[^\"]*)\"|'(?P<sq>[^']*)'|(?P<bare>[^\s\"'\]]+))(?:\s*(?P<flag>[iIsS]))?\s*)?\]"
-    r"|:(?P<edge>first-child|last-child)|:nth-child\(\s*(?P<nth>[^()]*?)\s*\)|:not\(\s*(?P<no>[^():]*?)\s*\)"
-)
-_COMBINED = re.compile(r"\s*([>+~])\s*|\s+")
-_NTH = re.compile(r"(?P<step>[+-]?\d*)n(?:\s*(?P<plus>[+-]\s*\d+))?|(?P<only>[+-]?\d+)")
-_TESTS = {
-    "": lambda have, want: True,
-    "=": lambda have, want: have == want,
-    "*=": lambda have, want: want != "" and want in have,
-    "^=": lambda have, want: want != "" and have.startswith(want),
-    "$=": lambda have, want: want != "" and have.endswith(want),
-    "~=": lambda have, want: want in have.split(),
-    "|=": lambda have, want: have == want or have.startswith(want + "-"),
-}
-
-TAG, PLACE, NOT = "<tag>", "<place>", "<not>"  # tests on the element itself; no attribute is named so
-LINK = None  # the name of the link selector among the probes
-
-
-class Probe(NamedTuple):
-    """What to read of the first element a selector group matches.
-
-    read: 'text' (a meta element gives its content), 'datetime' (that attribute, else
-    the text), 'element' (always its text), or '@name' for an attribute.
-    """
-
-    selector: str
-    read: str = "text"
-
-
-def _nth(text: str):
-    """(step, offset) of an+b, or None."""
-    named = {"odd": "2n+1", "even": "2n"}.get(text.lower(), text.lower())
-    m = _NTH.fullmatch(named)
-    if not m:
-        return None
-    if m["only"]:
-        return 0, int(m["only"])
-    step = {"": 1, "+": 1, "-": -1}.get(m["step"])
-    return int(m["step"]) if step is None else step, int((m["plus"] or "0").replace(" ", ""))
-
-
-def _compound(text: str, at: int, nested=False):
-    """Tests of the simple selectors that stand side by side from a place on, and where they end."""
-    tests, start = [], at
-    while m := _SIMPLE.match(text, at):
-        if m["tag"] and at > start:
-            return None
-        at = m.end()
-        if m["tag"]:
-            tests.append((TAG, "=", m["tag"].lower()))
-        elif m["id"]:
-            tests.append(("id", "=", m["id"]))
-        elif m["cls"]:
-            tests.append(("class", "~=", m["cls"]))
-        elif m["attr"]:
-            value = next((m[g] for g in ("dq", "sq", "bare") if m[g] is not None), "")
-            fold = (m["flag"] or "").lower() == "i"
-            tests.append((m["attr"].lower(), (m["op"] or "") + "i" * fold, value.lower() if fold else value))
-        elif m["edge"]:
-            tests.append((PLACE, m["edge"], None))
-        elif m["nth"] is not None:
-            if (nth := _nth(m["nth"])) is None:
-                return None
-            tests.append((PLACE, "nth", nth))
-        else:
-            inner = None if nested else _compound(m["no"], 0, nested=True)
-            if not inner or inner[1] != len(m["no"]):
-                return None
-            tests.append((NOT, "", inner[0]))
-    return (tests, at) if tests else None
-
-
-def _compile(selector: str):
-    """A selector group as a list of chains: [(combinator to the left, [tests]), ...] from the right.
-
-    None for what is beyond tag, #id, .class, [attr] (with flag i), first, last and nth child,
-    :not of simple selectors, and the four combinators.
-    """
-    chains = []
-    for alternative in re.split(r",(?![^\[(]*[\])])", selector):
-        text, chain, at, combinator = alternative.strip(), [], 0, ""
-        while True:
-            found = _compound(text, at)
-            if not found:
-                return None
-            tests, at = found
-            chain.append((combinator, tests))
-            if at == len(text):
-                break
-            m = _COMBINED.match(text, at)
-            if not m:
-                return None
-            combinator, at = m[1] or " ", m.end()
-        chains.append(chain[::-1])
-    return chains
-
-
-class _Element:
-    """A start tag with its place in the tree; text is a range of the page's texts."""
-
-    __slots__ = ("tag", "attrs", "parent", "before", "place", "children", "start", "end")
-
-    def __init__(self, tag, attrs, parent, before, start):
-        self.tag, self.attrs, self.parent, self.before = tag, attrs, parent, before
-        self.place = before.place + 1 if before else 1
-        self.children, self.start, self.end = 0, start, start
-
-
-def _fits(tests, element) -> bool:
-    for name, op, want in tests:
-        if name == TAG:
-            ok = want in (element.tag, "*")
-        elif name == NOT:
-            ok = not _fits(want, element)
-        elif name == PLACE and op == "nth":
-            step, offset = want
-            away = element.place - offset
-            ok = away == 0 if step == 0 else away % step == 0 and away // step >= 0
-        elif name == PLACE:
-            ok = element.place == (1 if op == "first-child" else element.parent.children)
-        else:
-            have = element.attrs.get(name)
-            fold = op.endswith("i")
-            ok = name in element.attrs and _TESTS[op.rstrip("i")]((have or "").lower() if fold else have or "", want)
-        if not ok:
-            return False
-    return True
-
-
-def _chain_fits(chain, element) -> bool:
-    """Does the element match the right end of the chain, and what it stands in the rest?"""
-    combinator, tests = chain[0]
-    if not _fits(tests, element):
-        return False
-    if len(chain) == 1:
-        return True
-    near = "before" if combinator in "+~" else "parent"
-    other = getattr(element, near)
-    while other is not None and other.tag:
-        if _chain_fits(chain[1:], other):
-            return True
-        if combinator in ">+":
-            return False
-        other = getattr(other, near)
-    return False
-
-
-def _anchor(tests):
-    """The rarest thing an element must have to match the right end of a chain."""
-    for name, op, want in tests:
-        if name == "class" and op == "~=":
-            return ("class", want)
-    names = [name for name, _, _ in tests if name not in (TAG, PLACE, NOT)]
-    tags = [want for name, _, want in tests if name == TAG]
-    return ("attr", names[0]) if names else ("tag", tags[0] if tags else "*")
-
-
-def _anchors(element):
-    yield ("tag", element.tag)
-    yield ("tag", "*")
-    for name in element.attrs:
-        yield ("attr", name)
-    for name in (element.attrs.get("class") or "").split():
-        yield ("class", name)
-
 
 class _PageReader(HTMLParser):
-    """The tree of a page's elements, its texts and ld+json scripts."""
+    """Elements of a page as rows, its texts and ld+json scripts."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        root = _Element("", {}, None, None, 0)
-        self.path, self.last, self.elements = [root], [None], []
+        self.elements, self.path, self.children = [], [], [None]
         self.texts, self.buffer, self.scripts = [], [], []
 
     def flush(self):
         text = "".join(self.buffer)
         self.buffer = []
-        inner = self.path[-1]
-        if inner.tag in HIDDEN:
-            if inner.tag == "script" and inner.attrs.get("type") == "application/ld+json":
+        inner = self.path[-1] if self.path else {"tag": "", "attrs": []}
+        if inner["tag"] in HIDDEN:
+            if inner["tag"] == "script" and ("type", "application/ld+json") in inner["attrs"]:
                 self.scripts.append(text)
         elif text.strip():
             self.texts.append(text.strip())
 
-    def close_to(self, depth):
-        for element in self.path[depth:]:
-            element.end = len(self.texts)
-        del self.path[depth:], self.last[depth:]
+    def end_children(self):
+        last = self.children.pop()
+        if last is not None:
+            last["last"] = True
 
     def handle_starttag(self, tag, attributes):
         self.flush()
-        while tag in ENDS.get(self.path[-1].tag, ()):
-            self.close_to(len(self.path) - 1)
-        parent = self.path[-1]
-        element = _Element(tag, dict(reversed(attributes)), parent, self.last[-1], len(self.texts))
-        parent.children += 1
-        self.last[-1] = element
+        while self.path and tag in ENDS.get(self.path[-1]["tag"], ()):
+            self.end(len(self.path) - 1)
+        before = self.children[-1]
+        element = {
+            "start": len(self.elements) + 1,
+            "end": len(self.elements) + 1,
+            "parent": self.path[-1]["start"] if self.path else 0,
+            "nth": before["nth"] + 1 if before else 1,
+            "last": False,
+            "tag": tag,
+            "attrs": list(dict(reversed(attributes)).items()),
+            "text_from": len(self.texts),
+            "text_to": len(self.texts),
+        }
         self.elements.append(element)
+        self.children[-1] = element
         if tag not in VOID:
             self.path.append(element)
-            self.last.append(None)
+            self.children.append(None)
 
     def handle_endtag(self, tag):
         self.flush()
-        for depth in range(len(self.path) - 1, 0, -1):
-            if self.path[depth].tag == tag:
-                self.close_to(depth)
+        for depth in range(len(self.path) - 1, -1, -1):
+            if self.path[depth]["tag"] == tag:
+                self.end(depth)
                 break
 
+    def end(self, depth):
+        """Close the open elements from a depth on."""
+        while len(self.path) > depth:
+            element = self.path.pop()
+            element["end"], element["text_to"] = len(self.elements), len(self.texts)
+            self.end_children()
+
     def handle_data(self, data):
         self.buffer.append(data)
 
@@ -289,49 +142,15 @@ class _PageReader(HTMLParser):
     def finish(self):
         self.close()
         self.flush()
-        self.close_to(1)
-
-    def text_of(self, element, read):
-        """What a probe reads of an element; None if the attribute is absent."""
-        attrs = element.attrs
-        if read.startswith("@"):
-            return attrs.get(read[1:])
-        if read == "datetime" and attrs.get("datetime"):
-            return attrs["datetime"]
-        if read == "text" and element.tag == "meta":
-            return attrs.get("content") or ""
-        return " ".join(self.texts[element.start : element.end])
-
-    def select(self, probes, links):
-        """First matches of the probes, and the hrefs of the links, in page order."""
-        open_probes = {name: read for name, (chains, read) in probes.items() if chains}
-        index: dict = {}
-        for name, chain in [(n, c) for n in open_probes for c in probes[n][0]] + [(LINK, c) for c in links]:
-            index.setdefault(_anchor(chain[0][1]), []).append((name, chain))
-        found, hrefs = [], []
-        for element in self.elements:
-            fits = {
-                name
-                for anchor in _anchors(element)
-                for name, chain in index.get(anchor, ())
-                if (name is LINK or name in open_probes) and _chain_fits(chain, element)
-            }
-            if LINK in fits:
-                fits.remove(LINK)
-                if element.attrs.get("href"):
-                    hrefs.append(element.attrs["href"])
-            for name in fits:
-                text = self.text_of(element, open_probes.pop(name))
-                if text is not None:
-                    found.append((name, text))
-        return found, hrefs
+        self.end(0)
+        self.end_children()
 
 
 _LONE = re.compile("[\ud800-\udfff]")  # half of a pair: a text cut inside an emoji
 
 
 def _sound(text: str) -> str:
-    return _LONE.sub("\ufffd", text)
+    return _LONE.sub("�", text)
 
 
 def _finite(text: str):
@@ -339,12 +158,19 @@ def _finite(text: str):
     return value if math.isfinite(value) else None
 
 
+def _ordered(members: list) -> dict:
+    """A JSON object whose nested members are named in document order where it matters."""
+    made = dict(members)
+    nested = [k for k, v in made.items() if isinstance(v, (dict, list))]
+    return made | {ORDER: nested} if len(nested) > 1 else made
+
+
 def _loads(text: str):
     """JSON as the web has it: NaN and infinities are read, as null."""
-    return json.loads(text, parse_constant=lambda _: None, parse_float=_finite)
+    return json.loads(text, parse_constant=lambda _: None, parse_float=_finite, object_pairs_hook=_ordered)
 
 
-def parse_blocks(scripts) -> list:
+def parse_blocks(scripts) -> list[str]:
     """Strict JSON of each script; glued objects are split, a bad piece ends its script."""
     blocks = []
     for script in scripts:
@@ -358,46 +184,14 @@ def parse_blocks(scripts) -> list:
                     pieces.append(_loads(piece))
                 except (ValueError, RecursionError):
                     break
-        blocks.extend(pieces)
+        for piece in pieces:
+            try:
+                blocks.append(_sound(json.dumps(piece, ensure_ascii=False)))
+            except RecursionError:
+                break
     return blocks
 
 
-def walk_nodes(block):
-    """Every object of a JSON tree, parents first, in document order."""
-    todo = [block]
-    while todo:
-        value = todo.pop()
-        if isinstance(value, dict):
-            yield value
-            todo.extend(reversed(list(value.values())))
-        elif isinstance(value, list):
-            todo.extend(reversed(value))
-
-
-def node_rows(scripts, type_sets=None) -> list[dict]:
-    """The first node of each set of types, with its JSON text; without sets all nodes, bare.
-
-    A node's text holds those of all nodes below it, so texts of all nodes would be
-    quadratic in depth.
-    """
-    rows, open_sets = [], None if type_sets is None else [frozenset(s) for s in type_sets]
-    for b, block in enumerate(parse_blocks(scripts)):
-        for n, node in enumerate(walk_nodes(block)):
-            kind = node.get("@type")
-            types = [_sound(str(t)) for t in (kind if isinstance(kind, list) else [kind] if kind else [])]
-            row = {"block": b, "node": n, "types": types, "body": None}
-            if open_sets is not None:
-                left = [s for s in open_sets if not s.intersection(types)]
-                if len(left) == len(open_sets):
-                    continue
-                open_sets = left
-                row["body"] = _sound(json.dumps(node, ensure_ascii=False))
-            rows.append(row)
-            if open_sets == []:
-                return rows
-    return rows
-
-
 def _as_arrow(rows: list[dict], kind: pa.DataType, failed) -> pa.Array:
     """Rows as an Arrow array; if one cannot be converted, that one alone is replaced."""
     try:
@@ -414,71 +208,18 @@ def _as_arrow(rows: list[dict], kind: pa.DataType, failed) -> pa.Array:
 
 
 def _failure(problem: Exception) -> dict:
-    return {"found": [], "links": [], "nodes": [], "error": type(problem).__name__, "detail": _sound(str(problem))}
+    return {"elements": [], "texts": [], "blocks": [], "error": type(problem).__name__, "detail": _sound(str(problem))}
 
 
-def read_pages(
-    probes: dict[str, Probe], links: str | None = None, page_text=False, nodes=(), link_groups=None
-):
-    """A column function html -> PAGE_TYPE reading the given probes in one pass.
-
-    found has a key for each probe whose selector matched; links holds the non-empty
-    hrefs of the link selector in page order, link_groups those of several named ones;
-    nodes holds the first JSON-LD node of each given set of types. An error is data, never
-    a failed task.
-    """
-    compiled = {name: (_compile(p.selector), p.read) for name, p in probes.items()}
-    link_chains = (_compile(links) or []) if links else []
-    group_chains = {name: _compile(selector) or [] for name, selector in (link_groups or {}).items()}
-
-    def one(html) -> dict:
-        try:
-            reader = _PageReader()
-            reader.feed(html or "")
-            reader.finish()
-            found, hrefs = reader.select(compiled, link_chains)
-            row = {"found": found, "links": hrefs, "nodes": node_rows(reader.scripts, nodes) if nodes else []}
-            if group_chains:
-                row["link_groups"] = [(name, reader.select({}, chains)[1]) for name, chains in group_chains.items()]
-            if page_text:
-                row["page_text"] = " ".join(reader.texts)
-            return row
-        except Exception as problem:  # reported in the failure table
-            return _failure(problem)
-
-    @F.arrow_udf(PAGE_TYPE)
-    def read(batch: pa.Array) -> pa.Array:
-        return _as_arrow([one(html) for html in batch.to_pylist()], _ARROW_TYPE, _failure)
-
-    return _once(read)
-
-
-def jsonld_nodes(scripts: str, *type_sets) -> Column:
-    """Nodes of the ld+json script texts of a page that was tokenised elsewhere.
-
-    With sets of types the first node of each and its JSON text, else all nodes without
-    texts. Scripts that cannot be read give no nodes.
-    """
-    sets = [tuple(s) for s in type_sets] or None
-
-    @F.arrow_udf(NODES_TYPE)
-    def read(batch: pa.Array) -> pa.Array:
-        kind = _ARROW_TYPE.field("nodes").type
-        return _as_arrow([_nodes_or_none(s, sets) for s in batch.to_pylist()], kind, lambda _: [])
-
-    return _once(read)(scripts)
-
-
-def _nodes_or_none(scripts, type_sets) -> list[dict]:
+def tokens_of(html: str | None) -> dict:
+    """The tokens of a page. An error is data, never a failed task."""
     try:
-        return node_rows(scripts or [], type_sets)
-    except (RecursionError, ValueError):
-        return []
-
-
-def supported(selector: str) -> bool:
-    """Is the selector one that the reader can answer?"""
-    return _compile(selector) is not None
+        reader = _PageReader()
+        reader.feed(html or "")
+        reader.finish()
+        return {"elements": reader.elements, "texts": reader.texts, "blocks": parse_blocks(reader.scripts)}
+    except Exception as problem:  # reported in the failure table
+        return _failure(problem)
 
 
 def _once(udf):
@@ -490,8 +231,21 @@ def _once(udf):
     return udf.asNondeterministic()
 
 
-def first_typed(nodes: Column, *types: str) -> Column:
-    """Body of the first node that is of any of the types; node order decides."""
-    wanted = F.array(*[F.lit(t) for t in types])
-    hits = F.filter(nodes, lambda node: F.arrays_overlap(node["types"], wanted))
-    return F.get(hits, F.lit(0))["body"]
+def tokenise(html: str):
+    """A column of TOKENS_TYPE from a column of HTML."""
+
+    @F.arrow_udf(TOKENS_TYPE)
+    def read(batch: pa.Array) -> pa.Array:
+        return _as_arrow([tokens_of(page) for page in batch.to_pylist()], _ARROW_TYPE, _failure)
+
+    return _once(read)(html)
+
+
+def strict_blocks(scripts: str):
+    """JSON texts of the ld+json script texts of a page that was tokenised elsewhere."""
+
+    @F.arrow_udf(_TEXTS)
+    def read(batch: pa.Array) -> pa.Array:
+        return _as_arrow([parse_blocks(s or []) for s in batch.to_pylist()], pa.list_(pa.string()), lambda _: [])
+
+    return _once(read)(scripts)

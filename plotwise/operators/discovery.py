@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from plotwise.functions.html import Probe, read_pages
 from plotwise.functions.urls import canonical_url, with_resolved
 from plotwise.operators.dedupe import argmax_rows
+from plotwise.operators.selectors import Probe, tokenised, with_found, with_links
 from plotwise.session import cut_lineage
 
 # The shipped portal's selectors.
@@ -24,14 +24,13 @@ def read_result_pages(
             "href": Probe(pagination_selector, "@href"),
             "islast": Probe(pagination_selector, "@data-islast"),
         }
-    read = pages.withColumn("page", read_pages(probes, listing_selector)("html")).drop("html")
-    found = F.col("page")["found"]
+    read = with_links(with_found(tokenised(pages), probes), {"links": listing_selector})
     return read.select(
-        "*",
-        F.col("page")["links"].alias("hrefs"),
-        F.try_element_at(found, F.lit("href")).alias("next_href"),
-        F.try_element_at(found, F.lit("islast")).alias("next_islast"),
-    ).drop("page")
+        *[c for c in pages.columns if c != "html"],
+        F.coalesce(F.try_element_at("groups", F.lit("links")), F.array().cast("array<string>")).alias("hrefs"),
+        F.try_element_at("found", F.lit("href")).alias("next_href"),
+        F.try_element_at("found", F.lit("islast")).alias("next_islast"),
+    )
 
 
 def next_links(results: DataFrame) -> DataFrame:

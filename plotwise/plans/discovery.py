@@ -4,42 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plotwise.functions.html import Probe, read_pages
 from plotwise.functions.urls import canonical_url, with_resolved
 from plotwise.operators.dedupe import argmax_rows, cap_discovered, first_discovered
 from plotwise.operators.discovery import walk_pages
+from plotwise.operators.selectors import Rules, elements_of, matches, selector_rules, tokenised
 from plotwise.session import cut_lineage
 from plotwise.sources.staged import write_staged_urls
 
+TIME = "captured_at"
 
-def _read(pages: DataFrame, listing: list[str], paging: list[str]) -> DataFrame:
-    """Each page once: the links of every listing selector, the next link of every paging one.
-
-    Of several captures of a page the latest counts; no HTML is shuffled for that.
-    """
-    probes = {f"{kind} {s}": Probe(s, f"@{kind}") for s in paging for kind in ("href", "data-islast")}
-    groups = {s: s for s in listing}
-    times = [c for c in ("captured_at",) if c in pages.columns]
-    page = read_pages(probes, link_groups=groups)("html")
-    read = pages.where(F.length("html") > 0).select("url", *times, page.alias("page"))
-    read = read.select("url", *times, F.col("page.found").alias("found"), F.col("page.link_groups").alias("groups"))
-    return argmax_rows(read, ["url"], times or [F.lit(0)])
 
+def _host(url: Column) -> Column:
+    return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
-def _next_pages(read: DataFrame, paging: list[str]) -> DataFrame:
-    """url, selector, next_url: NULL on a last page and where there is no link."""
-    each = read.select("url", "found", F.explode(F.array(*[F.lit(s) for s in paging])).alias("selector"))
 
-    def at(kind):
-        return F.coalesce(F.try_element_at("found", F.concat(F.lit(f"{kind} "), "selector")), F.lit(""))
+def _read(tokens: DataFrame, rules: Rules) -> DataFrame:
+    """portal, url, next_url, hrefs of tokenised pages, each read with the selectors of its portal.
 
-    href = F.when(~F.lower(at("data-islast")).isin("true", "1") & (at("href") != ""), at("href"))
-    return with_resolved(each, "next_url", F.col("url"), href).select("url", "selector", "next_url")
+    tokens has a row per page and portal. Of several captures of a page the latest counts.
+    """
+    found = matches(elements_of(tokens, F.col("portal")), rules)
+    attribute = {n: F.coalesce(F.try_element_at("attrs", F.lit(n)), F.lit("")).alias(n) for n in ("href", "data-islast")}
+    paging = found.where("name = 'paging'").groupBy("_page", F.col("scope").alias("portal"))
+    paging = paging.agg(F.min_by(F.struct(*attribute.values()), "start").alias("next"))
+    listing = found.where("name = 'listing'").select("_page", F.col("scope").alias("portal"), "start", attribute["href"])
+    listing = listing.where("href <> ''").groupBy("_page", "portal")
+    listing = listing.agg(F.sort_array(F.collect_set(F.struct("start", "href"))).alias("links"))
+    read = tokens.drop("_tokens").join(paging, ["_page", "portal"], "left").join(listing, ["_page", "portal"], "left")
+    last = F.lower(F.col("next")["data-islast"]).isin("true", "1")
+    read = with_resolved(read, "next_url", F.col("url"), F.when(~last & (F.col("next.href") != ""), F.col("next.href")))
+    read = read.withColumn("hrefs", F.transform("links", lambda link: link["href"])).drop("next", "links", "_page", "host")
+    return argmax_rows(read, ["portal", "url"], [TIME])
 
 
-def _keyed(selector: Column, url: Column) -> Column:
-    """A page as one paging selector sees it: a node of the walk."""
-    return F.concat(F.coalesce(selector, F.lit("")), F.lit("\n"), url)
+def _keyed(portal: Column, url: Column) -> Column:
+    """A page as one portal sees it: a node of the walk."""
+    return F.concat(portal, F.lit("\n"), url)
 
 
 def discover(pages: DataFrame, portals: DataFrame, max_listings: int = 0) -> DataFrame:
@@ -50,7 +50,9 @@ def discover(pages: DataFrame, portals: DataFrame, max_listings: int = 0) -> Dat
     (0 or NULL: until there is no next page, or a page that was not captured). Links are
     those of its own listing selector, canonical; max_listings caps each portal.
 
-    The registry's distinct selectors go to the driver: a page is read once for all of them.
+    Pages on the host of a portal's seed are read, with that portal's selectors; others are
+    not opened. Only if a portal's next link leads to a captured page of another host are
+    the other hosts' pages read as well, for such portals. The registry goes to the driver.
     """
     wanted = portals.select(
         F.col("portal_name").alias("portal"),
@@ -60,22 +62,37 @@ def discover(pages: DataFrame, portals: DataFrame, max_listings: int = 0) -> Dat
         F.coalesce("max_pages", F.lit(0)).alias("max_pages"),
     ).where("seed is not null and listing_selector is not null")
     wanted = cut_lineage(wanted)
-    used = wanted.select("listing_selector", "paging", "max_pages").distinct().collect()
-    listing = sorted({r["listing_selector"] for r in used})
-    paging = sorted({r["paging"] or "" for r in used})
+    used = wanted.select("portal", "listing_selector", "paging", "max_pages").collect()
+    rules = selector_rules(
+        [(r["portal"], "listing", r["listing_selector"]) for r in used]
+        + [(r["portal"], "paging", r["paging"]) for r in used if r["paging"]]
+    )
     caps = [r["max_pages"] for r in used]
-    read = cut_lineage(_read(pages, listing, [p for p in paging if p]))
-    steps = _next_pages(read, paging or [""]).select(
-        _keyed(F.col("selector"), F.col("url")).alias("url"), _keyed(F.col("selector"), F.col("next_url")).alias("next_url")
+    times = F.col(TIME) if TIME in pages.columns else F.lit(0)
+    captured = pages.where(F.length("html") > 0).select("url", "html", times.alias(TIME), _host(F.col("url")).alias("host"))
+    homes = wanted.select("portal", _host(F.col("seed")).alias("host"))
+    tokens = tokenised(captured.join(homes.select("host").distinct(), "host", "left_semi"))
+    read = cut_lineage(_read(tokens.join(homes, "host"), rules))
+
+    leaving = read.join(homes, "portal").where(_host(F.col("next_url")) != F.col("host")).select("portal", "next_url")
+    leaving = leaving.join(captured.select(F.col("url").alias("next_url")), "next_url", "left_semi")
+    strays = sorted(r["portal"] for r in leaving.select("portal").distinct().collect())
+    if strays:
+        every = tokenised(captured).withColumn("portal", F.explode(F.array(*[F.lit(p) for p in strays])))
+        abroad = every.join(homes, ["portal", "host"], "left_anti").select(*every.columns)
+        read = cut_lineage(read.unionByName(_read(abroad, rules)))
+
+    steps = read.select(
+        _keyed(F.col("portal"), F.col("url")).alias("url"), _keyed(F.col("portal"), F.col("next_url")).alias("next_url")
     )
-    seeds = wanted.select("portal", _keyed(F.col("paging"), F.col("seed")).alias("url"))
+    seeds = wanted.select("portal", _keyed(F.col("portal"), F.col("seed")).alias("url"))
     walked = walk_pages(steps, seeds, 0 if 0 in caps or not caps else max(caps))
-    visited = walked.join(wanted.select("portal", "listing_selector", "max_pages"), "portal")
+    visited = walked.join(wanted.select("portal", "max_pages"), "portal")
     visited = visited.where((F.col("max_pages") == 0) | (F.col("page_no") < F.col("max_pages"))).select(
-        "portal", "listing_selector", "page_no", F.substring_index("url", "\n", -1).alias("page_url")
+        "portal", "page_no", F.substring_index("url", "\n", -1).alias("page_url")
     )
-    links = visited.join(read.select(F.col("url").alias("page_url"), "groups"), "page_url").select(
-        "portal", "page_url", "page_no", F.posexplode(F.try_element_at("groups", F.col("listing_selector"))).alias("pos", "href")
+    links = visited.join(read.select("portal", F.col("url").alias("page_url"), "hrefs"), ["portal", "page_url"]).select(
+        "portal", "page_url", "page_no", F.posexplode("hrefs").alias("pos", "href")
     )
     links = with_resolved(links, "_full", F.col("page_url"), F.col("href"))
     links = links.select("portal", canonical_url(F.col("_full")).alias("url"), "page_no", "pos")

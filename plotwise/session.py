@@ -76,3 +76,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows, written as Parquet to the shared folder and read back.
+
+    Cuts lineage like a checkpoint; later readers take only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

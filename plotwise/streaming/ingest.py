@@ -1,15 +1,33 @@
-"""Staged files as they arrive: each is read once and merged into the listings table."""
+"""Staged files as they arrive: each is read once and folded into the state of its listing."""
 
 from __future__ import annotations
 
-import hashlib
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.streaming import StatefulProcessor
 
+import plotwise
 from plotwise import schemas
-from plotwise.operators.merge import merge_into_table
 from plotwise.plans.loaders import DUMP, load, writable
-from plotwise.sources.staged import CORRUPT, KINDS, POSITION, dump_glob, from_path, with_position, with_split
+from plotwise.sources.staged import CORRUPT, KINDS, POSITION, dump_glob, from_path, with_split
+
+# Python workers get the processor's module with it.
+cloudpickle.register_pickle_by_value(plotwise)
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = "listing"
+KEY, TIME = "url", "scraped_at"
+SPLIT = POSITION[:2]  # the file, and the split's place in it
+NAMES = [n for n in schemas.LISTINGS.names if n != KEY]
+HELD_ROWS = 10_000  # rows, or listings folded from rows, held at a time before the shuffle
+
+# Times, dates and VARIANTs are kept as numbers and JSON texts.
+_KEPT = {T.TimestampType: T.LongType(), T.DateType: T.IntegerType(), T.VariantType: T.StringType()}
+FIELDS = [T.StructField(f.name, _KEPT.get(type(f.dataType), f.dataType)) for f in schemas.LISTINGS if f.name != KEY]
+# Beside the values: where each came from, and the latest row of all, as texts that sort.
+LISTING = T.StructType([*FIELDS, T.StructField("ranks", T.ArrayType(T.StringType())), T.StructField("newest", T.StringType())])
+ARRIVING = T.StructType([T.StructField(KEY, T.StringType()), *LISTING.fields])
 
 
 def stream_staged(
@@ -26,46 +44,153 @@ def stream_staged(
     return with_split(from_path(arriving))
 
 
-def ingest_into_table(
-    arriving: DataFrame,
-    table: str,
-    checkpoint: str,
-    now: Column,
-    buckets: int,
-    order=("scraped_at", "run", *POSITION),
-    **options,
-):
-    """Start the job: load each batch by the dump rules, merge it without losing values.
-
-    Rows with equal times count in the order of runs, then of files and of lines in a file.
-    A batch is known to the table by the checkpoint and its number, so one that is run
-    again after a failure changes nothing. Returns the running query; it ends when all
-    files present are in.
+def _sortable(number: Column) -> Column:
+    return F.lpad((number + F.lit(1 << 61)).cast("string"), 19, "0")
+
+
+def observed(arriving: DataFrame, now: Column) -> DataFrame:
+    """Rows by the dump rules: url, the fields as they are kept, a split, and the start of a rank.
+
+    Rows rank by their time, then by run, file and place in the file; blank texts are NULL.
     """
-    fields = {f.name for f in schemas.LISTINGS}
-    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
-
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = writable(load(with_position(batch), DUMP, now, passing=("run", "portal", *POSITION)), now)
-        rows = rows.withColumn("source", F.col("portal"))
-        lacking = [f for f in schemas.LISTINGS if f.name not in rows.columns]
-        rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking})
-        extra = [c for c in order if c not in fields]
-        merge_into_table(
-            spark,
-            table,
-            rows.select(*schemas.LISTINGS.names, *extra),
-            schemas.LISTINGS,
-            buckets,
-            list(order),
-            token=f"{name}-{batch_id}",
-            **options,
-        )
+    rows = writable(load(arriving, DUMP, now, passing=("run", "portal", *SPLIT)), now)
+    rows = rows.withColumn("source", F.col("portal"))
+    file, at = SPLIT
+    split = F.concat_ws("\x01", "run", file, _sortable(F.col(at)))
+    values = []
+    for field in schemas.LISTINGS:
+        if field.name == KEY:
+            continue
+        value = F.col(field.name) if field.name in rows.columns else F.lit(None).cast(field.dataType)
+        if isinstance(field.dataType, T.TimestampType):
+            value = F.unix_micros(value)
+        elif isinstance(field.dataType, T.DateType):
+            value = F.unix_date(value)
+        elif isinstance(field.dataType, T.VariantType):
+            value = F.to_json(value)
+        elif isinstance(field.dataType, T.StringType):
+            value = F.when(F.trim(value) != "", value)
+        values.append(value.alias(field.name))
+    return rows.select(KEY, *values, split.alias("_split"), _sortable(F.unix_micros(TIME)).alias("_time"))
+
+
+def folded(held: list | None, row) -> list:
+    """Two observations of a listing as one, in either order: each field as its later one says.
+
+    A row is the values of NAMES, their ranks, and the latest rank.
+    """
+    if held is None:
+        return [*row[:-2], list(row[-2]), row[-1]]
+    ranks = held[-2]
+    for i, rank in enumerate(row[-2]):
+        if rank is not None and (ranks[i] is None or rank > ranks[i]):
+            held[i], ranks[i] = row[i], rank
+    held[-1] = max(held[-1], row[-1])
+    return held
+
+
+def _ranked(batches):
+    """(url, observation) of rows in the order of their file; a task reads a split whole, from its start."""
+    lines: dict = {}
+    for batch in batches:
+        for url, *values, split, time in zip(*[c.to_pylist() for c in batch.columns]):
+            lines[split] = line = lines.get(split, 0) + 1
+            rank = f"{time}\x01{split}\x01{line:019d}"
+            yield url, [*values, [None if v is None else rank for v in values], rank]
+
+
+def _observations(fold: bool):
+    def run(batches):
+        """Rows of ARRIVING. Folded, a url that comes very often in a task travels as one row of it."""
+        import pyarrow as pa
+
+        schema = to_arrow_schema(ARRIVING)
+
+        def out(rows):
+            return pa.RecordBatch.from_pylist([dict(zip(schema.names, (url, *row))) for url, row in rows], schema)
 
+        held: dict = {}
+        for n, (url, row) in enumerate(_ranked(batches)):
+            if fold:
+                held[url] = folded(held.get(url), row)
+            else:
+                held[n] = (url, row)
+            if len(held) >= HELD_ROWS:
+                yield out(held.items() if fold else held.values())
+                held = {}
+        yield out(held.items() if fold else held.values())
+
+    return run
+
+
+class ListingState(StatefulProcessor):
+    """One state per url: the fields, where each came from, and the latest row's rank.
+
+    Folding does not depend on the order of arrival, so neither does the table on how files
+    become batches. With ignore_late a row older than the state it meets changes nothing.
+    """
+
+    def __init__(self, ignore_late: bool = False):
+        self.ignore_late = ignore_late
+
+    def init(self, handle) -> None:
+        self.state = handle.getValueState(STATE, LISTING)
+
+    def handleInputRows(self, key, rows, timerValues):
+        held = self.state.get() if self.state.exists() else None
+        held = None if held is None else [*held[:-2], list(held[-2]), held[-1]]
+        time = NAMES.index(TIME)
+        known = None if held is None else held[time]
+        for row in rows:
+            row = list(row)[1:]
+            if self.ignore_late and known is not None and row[time] < known:
+                continue
+            held = folded(held, row)
+        if held is not None:
+            self.state.update(tuple(held))
+            yield Row(**dict(zip((KEY, *NAMES), (key[0], *held[:-2]))))
+
+    def close(self) -> None:
+        pass
+
+
+def ingest_listings(arriving: DataFrame, checkpoint: str, now: Column, ignore_late: bool = False):
+    """Start the job: load each batch by the dump rules, fold its rows into the listings' states.
+
+    The checkpoint holds what was read and the states; a batch that fails is run again
+    from the states before it, so nothing counts twice and nothing is lost, and Spark lets one
+    writer at a time use a checkpoint. Returns the running query; it ends when all files
+    present are in. `listings` reads the table.
+    """
+    spark = arriving.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    # late rows are told row by row, so they are not folded before they meet the state
+    rows = observed(arriving, now).mapInArrow(_observations(not ignore_late), ARRIVING)
+    changed = rows.groupBy(KEY).transformWithState(
+        ListingState(ignore_late), T.StructType([T.StructField(KEY, T.StringType()), *FIELDS]), "Update", "None"
+    )
     return (
-        arriving.writeStream.foreachBatch(merge_batch)
+        changed.writeStream.outputMode("update")
+        .format("noop")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def listings(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The listings table as the states of the last finished batch hold it."""
+    held = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", STATE).load()
+    columns = [F.col(f"key.{KEY}").alias(KEY)]
+    for field in schemas.LISTINGS:
+        if field.name == KEY:
+            continue
+        value = F.col(f"value.{field.name}")
+        if isinstance(field.dataType, T.TimestampType):
+            value = F.timestamp_micros(value)
+        elif isinstance(field.dataType, T.DateType):
+            value = F.date_from_unix_date(value)
+        elif isinstance(field.dataType, T.VariantType):
+            value = F.try_parse_json(value)
+        columns.append(value.alias(field.name))
+    return held.select(*columns)

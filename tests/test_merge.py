@@ -71,40 +71,41 @@ def test_merges_are_idempotent_and_lose_nothing(spark, old, new):
         assert all(b is None or a is not None for b, a in zip(row, after[url]))
 
 
-def test_table_rewrites_touched_buckets_only(spark):
+def test_batches_are_appended_and_folded(spark):
     path = scratch_path(spark, "t")
     schema = frame(spark, []).drop("seq").schema
     many = [(f"u{i}", "t", 1.0, 1, True, 1, 0) for i in range(200)]
-    merge.create_table(frame(spark, many).drop("seq"), path, 16)
+    merge.append_batch(frame(spark, many), path, 0, ORDER)
 
     def files():
-        return {p: os.path.getsize(p) for p in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+        return set(glob.glob(f"{path}/*.parquet"))
 
     def table():
-        return rows_of(merge.read_table(spark, path, schema).drop("bucket"))
+        return rows_of(merge.read_merged(spark, path, schema))
 
     before = files()
     batch = frame(spark, [("u1", None, 2.0, None, None, 2, 1), ("u1", "new", None, None, None, 3, 2)])
-    assert merge.merge_into_table(spark, path, batch, schema, 16, ORDER, token="a") == 1
-    written = set(files()) - set(before)
-    assert len(written) == 1 and set(before) <= set(files())  # the batch's one row, and nothing again
+    merge.append_batch(batch, path, 1, ORDER)
+    added = files() - before
+    assert before < files() and spark.read.parquet(*added).count() == 1  # the batch's one row, and nothing again
     got = table()
     assert len(got) == 200 and got["u1"] == ("new", 2.0, 1, True, 3)
-    assert merge.merge_into_table(spark, path, batch, schema, 16, ORDER, token="a") == 0
-    assert table() == got and set(files()) == {*before, *written}
-    assert merge.merge_into_table(spark, path, batch.where("false"), schema, 16, ORDER) == 0
-    assert merge.merge_into_table(spark, path, batch, schema, 16, ORDER, whole_rows=True) == 2
+    merge.append_batch(batch, path, 1, ORDER)  # run again
+    assert table() == got
+    merge.append_batch(batch.where("false"), path, 2, ORDER)
+    assert table() == got
+    merge.append_batch(batch, path, 3, ORDER, whole_rows=True)
     assert table()["u1"] == ("new", None, None, None, 3)
-    old = frame(spark, [("u1", "stale", 9.0, 9, None, 2, 1), ("u2", "young", None, None, None, 9, 1)])
-    merge.merge_into_table(spark, path, old, schema, 16, ORDER, ignore_stale=True)
-    got = table()
-    assert got["u1"] == ("new", None, None, None, 3) and got["u2"] == ("young", 1.0, 1, True, 9)
-    assert merge.compact(spark, path, schema) == 3
-    assert table() == got and merge.merge_into_table(spark, path, batch, schema, 16, ORDER, token="a") == 0
-    merge.merge_into_table(spark, path, frame(spark, many), schema, 16, ORDER, compact_share=0.1)
-    assert len(glob.glob(f"{path}/base/upto=*")) == 2 and len(table()) == 200
-    with pytest.raises(FileExistsError):
-        merge.create_table(frame(spark, many).drop("seq"), path, 16)
+
+
+def test_two_writers_of_one_number_lose_nothing(spark):
+    path = scratch_path(spark, "t")
+    one = frame(spark, [("u1", "a", None, None, None, 1, 0), ("u2", "b", None, None, None, 1, 0)])
+    two = frame(spark, [("u1", None, 2.0, None, None, 1, 0), ("u3", "c", None, None, None, 1, 0)])
+    for part in (one, two):
+        merge.append_batch(part, path, 1, ORDER)
+    got = rows_of(merge.read_merged(spark, path, one.drop("seq").schema))
+    assert got["u1"][:2] == ("a", 2.0) and set(got) == {"u1", "u2", "u3"}
 
 
 def test_snapshots_replace_their_day(spark):
@@ -214,35 +215,88 @@ def test_flat_and_staged(staged):
     assert got["4"] == (10.0, None, dt.datetime(2024, 6, 1))
 
 
-def test_two_drops_equal_one_batch(spark):
+SECOND = [
+    '{"url":"https://p.example.com/property/1","title":"","price":null,"area":{"sqm":100},"scraped_at":"2024-02-01T00:00:00+00:00"}',
+    '{"url":"https://p.example.com/property/5","title":"Unit E","scraped_at":"2024-02-01T00:00:00+00:00"}',
+]
+
+
+def drop(spark, base, run, rows):
+    lines = spark.createDataFrame([(x,) for x in rows], "value string").coalesce(1)
+    lines.write.text(f"{base}/run_{run}/staged/shop_listings.jsonl")
+
+
+def streamed(spark, base, checkpoint, **options):
     from plotwise.streaming import ingest
 
-    def drop(base, run, rows):
-        lines = spark.createDataFrame([(x,) for x in rows], "value string").coalesce(1)
-        lines.write.text(f"{base}/run_{run}/staged/shop_listings.jsonl")
+    ingest.ingest_listings(ingest.stream_staged(spark, base), checkpoint, now(), **options).awaitTermination()
+    rows = ingest.listings(spark, checkpoint).withColumns({c: F.to_json(c) for c in ("price_json", "area_json")})
+    return {r["url"]: r.asDict() for r in rows.collect()}
 
-    def run(base, table, checkpoint):
-        query = ingest.ingest_into_table(ingest.stream_staged(spark, base), table, checkpoint, now(), 4)
-        query.awaitTermination()
-        rows = merge.read_table(spark, table, schemas.LISTINGS).drop("bucket", "price_json", "area_json")
-        return sorted(map(tuple, rows.collect()))
 
-    second = [
-        '{"url":"https://p.example.com/property/1","title":"","price":null,"area":{"sqm":100},"scraped_at":"2024-02-01T00:00:00+00:00"}',
-        '{"url":"https://p.example.com/property/5","title":"Unit E","scraped_at":"2024-02-01T00:00:00+00:00"}',
-    ]
+def test_drops_in_any_order_equal_one_batch(spark):
     results = []
-    for drops in ([LINES, second], [LINES + second]):
-        base, table, checkpoint = (scratch_path(spark, n) for n in ("drops", "table", "cp"))
-        merge.create_table(spark.createDataFrame([], schemas.LISTINGS), table, 4)
-        for i, rows in enumerate(drops):
-            drop(base, f"2024010{i + 1}_000000", rows)
-            got = run(base, table, checkpoint)
-        assert run(base, table, checkpoint) == got  # nothing new, nothing changes
+    for drops in ([LINES, SECOND], [SECOND, LINES], [LINES + SECOND]):
+        base, checkpoint = (scratch_path(spark, n) for n in ("drops", "cp"))
+        for rows in drops:
+            drop(spark, base, {id(LINES): "20240101_000000", id(SECOND): "20240102_000000"}.get(id(rows), "20240101_000000"), rows)
+            got = streamed(spark, base, checkpoint)
+        assert streamed(spark, base, checkpoint) == got  # nothing new, nothing changes
         results.append(got)
-    assert results[0] == results[1] and len(results[0]) == 5
-    one = results[0][0]
-    names = [c for c in schemas.LISTINGS.names if c not in ("price_json", "area_json")]
-    row = dict(zip(names, one))
+    assert results[0] == results[1] == results[2] and len(got) == 5
+    row = got["https://p.example.com/property/1"]
     assert row["listing_title"] == "Unit A" and row["price_php"] == 95200.0 and row["area_sqm"] == 100.0
     assert row["scraped_at"] == dt.datetime(2024, 2, 1)
+
+
+def test_late_rows_change_nothing_if_asked(spark):
+    line = '{{"url":"u","title":"{}","address":{},"scraped_at":"2024-0{}-01T00:00:00+00:00"}}'
+    base, checkpoint = (scratch_path(spark, n) for n in ("drops", "cp"))
+    drop(spark, base, "1", [line.format("March", "null", 3)])
+    streamed(spark, base, checkpoint, ignore_late=True)
+    drop(spark, base, "2", [line.format("January", '"old"', 1), line.format("May", "null", 5), line.format("April", '"kept"', 4)])
+    row = streamed(spark, base, checkpoint, ignore_late=True)["u"]
+    assert (row["listing_title"], row["address"], row["scraped_at"].month) == ("May", "kept", 5)
+
+
+def test_a_failed_batch_is_run_again_from_the_state_before_it(spark, monkeypatch):
+    from plotwise.streaming import ingest
+
+    base, checkpoint = (scratch_path(spark, n) for n in ("drops", "cp"))
+    drop(spark, base, "1", LINES)
+    before = streamed(spark, base, checkpoint)
+    drop(spark, base, "2", SECOND)
+
+    def broken(self, key, rows, timers):
+        raise RuntimeError("lost")
+        yield
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest.ListingState, "handleInputRows", broken)
+        with pytest.raises(Exception, match="lost"):
+            ingest.ingest_listings(ingest.stream_staged(spark, base), checkpoint, now()).awaitTermination()
+    kept = ingest.listings(spark, checkpoint).count()
+    after = streamed(spark, base, checkpoint)
+    assert kept == len(before) < len(after) == 5
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 9)), st.one_of(st.none(), st.text(max_size=2))), min_size=1, max_size=8), st.randoms())
+def test_folding_does_not_depend_on_the_order(rows, draw):
+    from plotwise.streaming.ingest import folded
+
+    made = [[*values, [None if v is None else f"{i:03d}" for v in values], f"{i:03d}"] for i, values in enumerate(rows)]
+    shuffled = draw.sample(made, len(made))
+
+    def fold(some):
+        held = None
+        for row in some:
+            held = folded(held, row)
+        return held
+
+    whole = fold(made)
+    cut = draw.randint(0, len(made))
+    halves = [h for h in (fold(shuffled[:cut]), fold(shuffled[cut:])) if h is not None]
+    assert fold(shuffled) == whole == fold(halves)
+    for column in (0, 1):
+        assert whole[column] == next((v[column] for v in reversed(rows) if v[column] is not None), None)
