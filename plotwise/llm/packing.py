@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import re
 import sys
 import types
 import zlib
-from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,7 @@ CAPACITY = 4096
 END_ID = 1
 BLOCK_PIECES = 8192  # pieces one task packs
 PATIENCE = 6  # passes of the local search
-CACHED_WORDS = 150_000  # twice that are remembered by a worker; it changes no result
+CACHED_WORDS = 500_000  # stems a worker remembers; it changes no result
 TAILS = ".,"
 
 
@@ -35,48 +37,59 @@ class _WordIds:
 
     The tokenizer drops white space and never joins across it, so a text's ids are its
     words' ids. A full stop or comma after a letter or digit is a word of its own to it,
-    and A-Z are lower-cased, which lets many words share an entry.
+    and A-Z are lower-cased, which lets many words share an entry. What is known is an Arrow
+    array of stems beside one array of ids; nothing is kept per word in Python.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # every core has a task of its own
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}  # words not asked for since the last turn are forgotten
-        self.tails = {t: self._encode([t])[0] for t in TAILS}
+        self.forget()
+        self.tails = {t: ids[0] for t in TAILS if len(ids := self._encode([t])[0]) == 1}
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [array("I", x.ids).tobytes() for x in found]
+    def forget(self):
+        self.known = pa.array([], pa.string())
+        self.ends = np.zeros(1, np.int64)  # of each known stem's ids
+        self.ids = np.zeros(0, np.uint32)
 
-    def _stems(self, stems: list[str]) -> list[bytes]:
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _places(self, stems: pa.Array) -> np.ndarray:
+        """Where the stems stand among the known ones; unknown ones are encoded first."""
         if len(self.known) > CACHED_WORDS:
-            self.known, self.older = {}, self.known
-        out = list(map(self.known.get, stems))
-        missing = [i for i, x in enumerate(out) if x is None]
-        fresh = [i for i in missing if stems[i] not in self.older]
-        made = dict(zip(fresh, self._encode([stems[i] for i in fresh])))
-        for i in missing:
-            out[i] = made[i] if i in made else self.older[stems[i]]
-            if len(stems[i]) <= 64:
-                self.known[stems[i]] = out[i]
+            self.forget()
+        at = pc.index_in(stems, value_set=self.known)
+        missing = stems.filter(pc.is_null(at))
+        if not len(missing):
+            return at.to_numpy()
+        made = self._encode(missing.to_pylist())
+        sizes = np.fromiter(map(len, made), np.int64, len(made))
+        flat = np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum()))
+        first = len(self.known)
+        self.known = pa.concat_arrays([self.known, missing])
+        self.ids = np.concatenate([self.ids, flat])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        out = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(out < 0)
+        out[new] = first + np.arange(len(new))
         return out
 
     def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All ids of the stems, and each word's start and length among them, tails joined on."""
-        tailed = pc.match_substring_regex(words, r"[\p{L}\p{N}][.,]$")
-        stems = pc.ascii_lower(pc.if_else(tailed, pc.utf8_slice_codeunits(words, 0, -1), words))
-        tail = pc.if_else(tailed, pc.utf8_slice_codeunits(words, -1), "")
-        whole = pc.binary_join_element_wise(stems, tail, "\n").dictionary_encode()
-        pairs = [x.split("\n") for x in whole.dictionary.to_pylist()]
-        stem_list = list(dict.fromkeys(p[0] for p in pairs))
-        found = dict(zip(stem_list, self._stems(stem_list)))
-        each = [found[a] + self.tails[b] if b else found[a] for a, b in pairs]
-        sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
-        starts = np.cumsum(sizes) - sizes
-        which = whole.indices.to_numpy(zero_copy_only=False)
-        return np.frombuffer(b"".join(each), np.uint32), starts[which], sizes[which]
+        """For each word the start and number of its stem's ids in self.ids, and its tail's id or -1."""
+        tail = np.full(len(words), -1, np.int64)
+        stems = words
+        if self.tails:
+            marks = "".join(map(re.escape, self.tails))
+            tailed = pc.match_substring_regex(words, rf"[\p{{L}}\p{{N}}][{marks}]$")
+            stems = pc.if_else(tailed, pc.utf8_slice_codeunits(words, 0, -1), words)
+            for mark, number in self.tails.items():
+                tail[pc.and_(tailed, pc.ends_with(words, mark)).to_numpy(zero_copy_only=False)] = number
+        stems = pc.ascii_lower(stems).dictionary_encode()
+        places = self._places(stems.dictionary)[stems.indices.to_numpy(zero_copy_only=False)]
+        return self.ends[places], self.ends[places + 1] - self.ends[places], tail
 
 
 def _word_ids(path: str) -> _WordIds:
@@ -96,15 +109,23 @@ def _ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
 def _tokens(part: pa.RecordBatch, word_ids) -> tuple[np.ndarray, np.ndarray]:
     """All documents' ids with their end ids, and where each document starts."""
     words = split_words(part.column("text"))
-    if words.starts[-1]:
-        flat, starts, sizes = word_ids(words.vocabulary)
-        lengths = sizes[words.codes]
-        ids = _ragged(flat, starts[words.codes], lengths)
-    else:
-        lengths, ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
-    ends = np.concatenate([[0], np.cumsum(lengths)])[words.starts]
-    ids = np.insert(ids, ends[1:], END_ID).astype("<u4")
-    return ids, ends + np.arange(len(ends))
+    documents = np.arange(len(words.starts) - 1)
+    if not words.starts[-1]:
+        return np.full(len(documents), END_ID, "<u4"), np.arange(len(documents) + 1)
+    starts, sizes, tail = (x[words.codes] for x in word_ids(words.vocabulary))
+    lengths = sizes + (tail >= 0)
+    # a word ends where the ids of all words before it do, and the end ids of the documents before
+    ends = np.cumsum(lengths) + np.repeat(documents, np.diff(words.starts))
+    of_document = np.concatenate([[0], np.cumsum(lengths)])[words.starts]
+    cuts = of_document + np.arange(len(of_document))
+    ids = np.empty(cuts[-1], "<u4")
+    rest = np.ones(cuts[-1], bool)
+    closing, tailed = cuts[1:] - 1, np.flatnonzero(tail >= 0)
+    ids[closing], rest[closing] = END_ID, False
+    at = ends[tailed] - 1
+    ids[at], rest[at] = tail[tailed], False
+    ids[rest] = _ragged(word_ids.ids, starts, sizes)
+    return ids, cuts
 
 
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
