@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plotwise.llm.spark import ascii_lower, stored
+from plotwise.llm.spark import ascii_lower, one_row_each, stored, unused
 
 SALTS = 16
 
@@ -66,6 +66,21 @@ def exact_groups(
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, all their columns unchanged."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """The documents that stay, all their columns unchanged: one row of every group of equal texts.
+
+    A row stays by its id and its text: another text of a kept id goes if its own group keeps
+    another row. Of rows that repeat both one stays, also where all ids of a group are null.
+    Clashing column names do no harm; an empty table gives an empty result.
+    """
+    kept = exact_groups(docs, id_col, text_col).filter("kept").groupBy("doc_id", "digest").agg(F.count("*").alias("rows"))
+    kept = stored(kept, "exact-kept")
+    mark, digest, rows, own = (unused(docs, n) for n in ("_kept_id", "_digest", "_rows", "_own"))
+    marked = docs.withColumn(own, sha256(F.coalesce(ascii_lower(F.col(text_col)), F.lit(""))))
+    kept = kept.select(F.col("doc_id").alias(mark), F.col("digest").alias(digest), F.col("rows").alias(rows))
+    same = F.col(id_col).eqNullSafe(F.col(mark)) & (F.col(own) == F.col(digest))
+    once = marked.join(kept.filter(F.col(rows) == 1), same, "left_semi").select(*docs.columns)
+    often = kept.filter(F.col(rows) > 1)
+    if often.isEmpty():
+        return once
+    repeated = one_row_each(marked.join(often.drop(rows), same, "left_semi"), [own])
+    return once.unionByName(repeated.select(*docs.columns))

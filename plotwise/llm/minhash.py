@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from plotwise.llm.components import components
-from plotwise.llm.spark import ascii_lower, stored
+from plotwise.llm.spark import ascii_lower, one_row_each, stored, unused
 from plotwise.llm.words import grams, hash_strings, lists, mix, slices, split_words
 
 SHINGLE = 4
@@ -65,13 +65,45 @@ def registers(shingles: np.ndarray, bucket_bits: int = BUCKET_BITS, mantissa_bit
     return out
 
 
+def _lenders(n: int) -> np.ndarray:
+    """For each register an order in which it asks the others."""
+    rng = np.random.default_rng(17)
+    return np.stack([rng.permutation(n) for _ in range(n)])
+
+
+def densified(regs: np.ndarray, tries: int = 16) -> np.ndarray:
+    """Registers without empty ones: an empty one shows what the first filled one it asks shows.
+
+    All sets ask in the same order, so two sets' registers are equal as often as their
+    shingles are shared, and a band of a short text still says six things.
+    """
+    filled = regs > 0
+    if filled.all() or not filled.any():
+        return regs
+    out, lenders = regs.copy(), _LENDERS.setdefault(len(regs), _lenders(len(regs)))
+    empty = np.flatnonzero(~filled)
+    for start in range(0, len(regs), tries):
+        asked = lenders[empty, start : start + tries]
+        has = filled[asked]
+        found = has.any(1)
+        out[empty[found]] = regs[asked[found, has[found].argmax(1)]]
+        empty = empty[~found]
+        if not len(empty):
+            break
+    return out
+
+
+_LENDERS: dict[int, np.ndarray] = {}
+
+
 def bands(regs: np.ndarray, band: int = BAND) -> np.ndarray:
-    """A key of every band of registers that are not all empty."""
+    """A key of every band of the densified registers; none of an empty set."""
     n = len(regs) // band
-    rows = regs[: n * band].reshape(n, band).astype(np.uint64) + np.uint64(1)
+    if not regs.any():
+        return np.zeros(0, np.uint64)
+    rows = densified(regs)[: n * band].reshape(n, band).astype(np.uint64) + np.uint64(1)
     factors = np.random.default_rng(5).integers(0, 2**64, (n, band), dtype=np.uint64) | np.uint64(1)
-    keys = mix((rows * factors).sum(1, dtype=np.uint64) + np.arange(1, n + 1, dtype=np.uint64))
-    return keys[(rows > 1).any(1)]
+    return mix((rows * factors).sum(1, dtype=np.uint64) + np.arange(1, n + 1, dtype=np.uint64))
 
 
 def may_link(left: np.ndarray, right: np.ndarray, n_left, n_right, percent: int) -> np.ndarray:
@@ -92,6 +124,10 @@ def may_link(left: np.ndarray, right: np.ndarray, n_left, n_right, percent: int)
     return sizes & (estimate >= low)
 
 
+def _set_keys(sets: list) -> pa.Array:
+    return pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets], pa.string())
+
+
 SIGNED = "key long, n_shingles long, set_key string, registers binary, listed binary, bands array<long>"
 
 
@@ -106,7 +142,7 @@ def _sign(shingle: int, band: int):
                 [
                     part.column("key"),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets], pa.string()),
+                    _set_keys(sets),
                     pa.array([r.tobytes() for r in signs], pa.binary()),
                     pa.array([listed(s) for s in sets], pa.binary()),
                     lists(np.concatenate(keys).view(np.int64), offsets, pa.int64()),
@@ -123,7 +159,7 @@ def _sets(shingle: int):
             sets = list(shingle_sets(split_words(part.column("text")), shingle))
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
             values = np.concatenate(sets).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("key"), lists(values, offsets, pa.int64())], ["key", "shingles"])
+            yield pa.RecordBatch.from_arrays([_set_keys(sets), lists(values, offsets, pa.int64())], ["set_key", "shingles"])
 
     return read
 
@@ -352,30 +388,35 @@ def near_duplicates(
        they are checked on full sets too. So no candidate is left out, and a group of
        copies never becomes all its pairs.
 
-    Null ids are linked with nothing and kept; rows repeating an id count as one document
-    for links. Other columns are ignored. An empty table gives an empty result.
+    Null ids are linked with nothing and kept. Every distinct set is a node, so rows that repeat
+    an id with different texts link what each of them is near to; the id itself joins its
+    own sets. Other columns are ignored. An empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("key"), ascii_lower(F.col(text_col)).alias("text"))
     signed = stored(rows.mapInArrow(_sign(shingle, band), SIGNED), "minhash-signed")
     usable = signed.filter("key is not null and set_key is not null")
-    nodes = usable.groupBy("set_key").agg(F.min("key").alias("node"))
-    node_of = stored(usable.select("key", "set_key").join(nodes, "set_key").select("key", "node"), "minhash-nodes")
-    one = node_of.filter("key = node").select("key").distinct()
-    signs = usable.join(one, "key", "left_semi").dropDuplicates(["key"])
-    signs = stored(signs.select("key", "n_shingles", "registers", "listed", "bands"), "minhash-signs")
+    # a node is a distinct set, named by a number; one document that has it stands for all
+    nodes = usable.groupBy("set_key").agg(
+        F.min("key").alias("least"),
+        F.first(F.struct("n_shingles", "registers", "listed", "bands")).alias("sign"),
+    )
+    nodes = stored(nodes.withColumn("key", F.monotonically_increasing_id()), "minhash-nodes")
+    slim = nodes.select("key", "sign.n_shingles", "sign.registers", "sign.listed")
 
-    members = signs.select("key", F.explode("bands").alias("band"))
+    members = nodes.select("key", F.explode("sign.bands").alias("band"))
     counts = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = stored(members.join(counts, "band"), "minhash-buckets")
     central = buckets.groupBy("key").agg(F.sum("n").alias("mass"))
     # among equal masses the hash decides, as it would in any order
     rank = F.col("mass") * (1 << 20) + F.pmod(F.xxhash64("key"), F.lit(1 << 20))
     hubs = buckets.join(central, "key").groupBy("band").agg(F.max_by("key", rank).alias("hub"), F.max(rank).alias("rank"))
-    involved = buckets.select("key").distinct()
-    texts = rows.join(involved, "key", "left_semi").dropDuplicates(["key"])
-    sets = stored(texts.mapInArrow(_sets(shingle), "key long, shingles array<long>"), "minhash-sets")
+    involved = nodes.select("key", "set_key", "least").join(central.select("key"), "key", "left_semi")
+    texts = rows.join(involved.select(F.col("least").alias("key")).distinct(), "key", "left_semi")
+    sets = texts.mapInArrow(_sets(shingle), "set_key string, shingles array<long>")
+    # a document read for one of its texts shows all of them; a set counts once
+    sets = sets.join(involved.select("set_key", "key"), "set_key").groupBy("key").agg(F.first("shingles").alias("shingles"))
+    sets = stored(sets, "minhash-sets")
 
-    slim = signs.select("key", "n_shingles", "registers", "listed")
     stars = (
         buckets.join(hubs, "band")
         .filter("hub <> key")
@@ -393,22 +434,39 @@ def near_duplicates(
     found = components(links)
     pairs, family_sets = _across(buckets, found, slim, sets, percent)
     more = stored(_verified(pairs, family_sets, percent), "minhash-more")
-    if not more.isEmpty():
-        found = components(links.union(more))
+
+    of_id = usable.select("key", "set_key").join(nodes.select("set_key", F.col("key").alias("node")), "set_key")
+    of_id = stored(of_id.select("key", "node").distinct(), "minhash-of-id")
+    first = of_id.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a < last")
+    same_id = stored(of_id.join(first.select("key", "a"), "key").filter("a < node").select("a", F.col("node").alias("b")), "minhash-same-id")
+    if not more.isEmpty() or not same_id.isEmpty():
+        found = components(links.union(more).union(same_id))
+    placed = nodes.select("key", "least").join(found.withColumnRenamed("node", "key"), "key", "left")
+    placed = placed.select(F.col("key").alias("node"), "least", F.coalesce("component", "key").alias("component"))
+    smallest = placed.groupBy("component").agg(F.min("least").alias("smallest"))
+    of_id = of_id.groupBy("key").agg(F.min("node").alias("node"))  # an id's sets lie in one component
+    named = of_id.join(placed.select("node", "component"), "node").join(smallest, "component").select("key", "smallest")
     return (
         signed.select("key", "n_shingles")
-        .join(node_of.dropDuplicates(["key"]), "key", "left")
-        .join(found.withColumnRenamed("component", "joined"), "node", "left")
-        .select(
-            F.col("key").alias("doc_id"),
-            "n_shingles",
-            F.coalesce("joined", "node", "key").alias("component_id"),
-        )
+        .join(named, "key", "left")
+        .select(F.col("key").alias("doc_id"), "n_shingles", F.coalesce("smallest", "key").alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One document of each group, all its columns unchanged."""
-    kept = near_duplicates(docs, id_col, text_col, **options).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """One document of each group, all its columns unchanged.
+
+    Rows that repeat an id are one document, of which one row stays; rows with a null id are
+    linked with nothing, and all stay. Clashing column names do no harm.
+    """
+    found = near_duplicates(docs, id_col, text_col, **options).filter("kept and doc_id is not null")
+    kept = stored(found.groupBy("doc_id").agg(F.count("*").alias("rows")), "minhash-kept")
+    name = unused(docs, "_kept_id")
+
+    def of(ids: DataFrame) -> DataFrame:
+        return docs.join(ids.select(F.col("doc_id").alias(name)), F.col(id_col) == F.col(name), "left_semi")
+
+    out = of(kept.filter("rows = 1")).unionByName(docs.filter(F.col(id_col).isNull()))
+    often = kept.filter("rows > 1")
+    return out if often.isEmpty() else out.unionByName(one_row_each(of(often), [id_col]))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plotwise.llm.spark import WORD, stored
+from plotwise.llm.spark import WORD, stored, unused
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -123,9 +123,39 @@ def mix_sources(
     )
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with its columns unchanged."""
-    drawn = mix_sources(docs, id_col, **options).filter("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    drawn = drawn.select(F.col("doc_id").alias("_drawn_id"), "copies")
-    repeated = docs.join(drawn.withColumnRenamed("copies", "_copies"), docs[id_col].eqNullSafe(F.col("_drawn_id")))
-    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> DataFrame:
+    """The mix itself: every row as often as it is taken, with its columns unchanged.
+
+    Rows whose id is their own take what the mix says of it. Rows that share an id, null ids among
+    them, are told apart by source and size; those equal in these are ranked by a hash and take
+    the copies of that id, source and size in turn, so the mix as a whole is as drawn.
+    Clashing column names do no harm; an empty table gives an empty result.
+    """
+    mix = stored(mix_sources(docs, id_col, text_col, source_col, **options).select("doc_id", "source", "size", "copies"), "mix")
+    ids = mix.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("copies").alias("copies"))
+    name, copies, copy, rows, nth = (unused(docs, n) for n in ("_drawn_id", "_copies", "_copy", "_rows", "_nth"))
+    drawn = ids.select(F.col("doc_id").alias(name), F.col("copies").alias(copies), F.col("rows").alias(rows))
+    by_id = F.col(id_col).eqNullSafe(F.col(name))
+
+    def repeated(taken: DataFrame) -> DataFrame:
+        each = F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))
+        return taken.filter(F.col(copies) > 0).withColumn(copy, each).select(*docs.columns)
+
+    once = repeated(docs.join(drawn.filter((F.col(rows) == 1) & (F.col(copies) > 0)), by_id))
+    shared = drawn.filter((F.col(rows) > 1) & (F.col(copies) > 0)).select(name)
+    if shared.isEmpty():
+        return once
+    own = docs.join(shared, by_id, "left_semi")
+    size, source = (unused(docs, n) for n in ("_size", "_source"))
+    own = own.withColumn(size, F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long"))
+    by_hash = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) for c in docs.columns])
+    own = own.withColumn(nth, F.row_number().over(Window.partitionBy(id_col, source_col, size).orderBy(by_hash)))
+    in_turn = Window.partitionBy("doc_id", "source", "size").orderBy(F.desc("copies"))
+    turns = mix.withColumn("nth", F.row_number().over(in_turn)).select(
+        F.col("doc_id").alias(name), F.col("source").alias(source), F.col("size").alias(f"{size}_"),
+        F.col("nth").alias(f"{nth}_"), F.col("copies").alias(copies),
+    )
+    same = by_id & F.col(source_col).eqNullSafe(F.col(source)) & (F.col(size) == F.col(f"{size}_")) & (F.col(nth) == F.col(f"{nth}_"))
+    return once.unionByName(repeated(own.join(turns, same)))

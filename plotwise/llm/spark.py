@@ -29,3 +29,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def one_row_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Of rows with equal keys the one with the largest hash, its columns unchanged."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    parts = [F.to_json(F.struct(c)) for c in columns]
+    picked = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.max_by(F.struct(*columns), F.xxhash64(*parts)).alias("_one"))
+    return picked.select("_one.*")
