@@ -9,6 +9,7 @@ from checks.standin import OBS, TIES, now, observations, r6, spread, table, ts_t
 from plotwise.functions import amounts, dates, text, urls
 from plotwise.operators import dedupe, projection
 from plotwise.plans import loaders
+from plotwise.session import scratch_path
 
 # --- staged records derived from observations ----------------------------------
 # price: an object, JSON text, plain text or missing; area: an object or one of two texts
@@ -197,6 +198,21 @@ def ingest_counters(spark, sf_dir):
     return loaders.ingest_counters(staged(spark, sf_dir), now(), "portal_a")
 
 
+@query(
+    "ingest_counters_observed",
+    f"""WITH {OBS}, {STAGED}, {DUMP}
+    SELECT count(*) AS rows_read, count(*) FILTER (s_url <> '') AS rows_written,
+    count(*) FILTER (s_url <> '' AND n % 2 = 0) AS has_description,
+    count(*) FILTER (s_url <> '' AND published_utc IS NOT NULL) AS has_published_at,
+    count(*) FILTER (s_url <> '' AND php <> 0 AND area > 0) AS price_and_area,
+    count(*) FILTER (s_url = '') AS skipped_invalid_url FROM d""",
+)
+def ingest_counters_observed(spark, sf_dir):
+    """The same counters, taken while the load is written."""
+    counted = loaders.write_load(staged(spark, sf_dir), now(), "portal_a", scratch_path(spark, "load"))
+    return spark.createDataFrame([tuple(counted.values())], ", ".join(f"{name} long" for name in counted))
+
+
 # --- values -------------------------------------------------------------------
 
 PRICE_TEXT = """'₱ ' || format('{:,}', CAST(floor(l_extendedprice) AS BIGINT)) ||

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.standin import CITY, OBS, TIES, observations, r6, table, ts_text
+from checks.standin import CITY, OBS, TIES, observations, r6, spread, table, ts_text
 from plotwise.functions.text import city_of
+from plotwise.operators import clustering, textindex
 from plotwise.plans import dashboard, metrics
+from plotwise.session import scratch_path, stored
 from plotwise.sources.tables import dashboard_listings
 
 # one shift by rows over the daily series; days as text, the same on both engines
@@ -190,6 +192,27 @@ def dashboard_filter(spark, sf_dir):
     )
 
 
+CLUSTERED = {"price_php": (20000.0, 40000.0), "area_sqm": (10.0, 20.0), "published_at": (None, None)}
+
+
+@query(
+    "clustered_search",
+    f"""WITH {OBS} SELECT raw_url, l_orderkey, l_linenumber, round(price_php, 2) AS price_php, area_sqm FROM obs
+    WHERE price_php BETWEEN 20000 AND 40000 AND area_sqm BETWEEN 10 AND 20""",
+)
+def clustered_search(spark, sf_dir):
+    """A search on listings written along a curve of price, area and date: only files it needs are read."""
+    path = scratch_path(spark, "clustered")
+    columns = ["raw_url", "l_orderkey", "l_linenumber", *CLUSTERED]
+    rows = listings(spark, sf_dir).select(*columns)
+    clustering.write_clustered(rows, list(CLUSTERED), path, rows_per_file=5000)
+    found = clustering.read_clustered(spark, path, CLUSTERED)
+    bounds = {"min_price": 20000.0, "max_price": 40000.0, "min_area": 10.0, "max_area": 20.0}
+    return dashboard.search_filter(found, bounds).select(
+        "raw_url", "l_orderkey", "l_linenumber", F.round("price_php", 2).alias("price_php"), "area_sqm"
+    )
+
+
 KPI = """SELECT count(*) AS listings, quantile_cont(price_per_sqm, 0.5) AS median_ppsqm,
 round(avg(price_per_sqm), 6) AS avg_ppsqm, count(DISTINCT city) AS cities FROM """
 
@@ -219,6 +242,34 @@ def median_ppsqm_by_city(spark, sf_dir):
     return medians.select("city", "median_ppsqm")
 
 
+RUN_PARTS = 3  # batches the days come in
+
+
+def daily_runs(spark, sf_dir):
+    """Runs of values built up from batches of days; the last batch is written twice, wrongly at first."""
+    rows = listings(spark, sf_dir, published=False).withColumn("part", F.pmod(F.dayofyear("scraped_at"), F.lit(RUN_PARTS)))
+    runs = stored(dashboard.value_runs(rows, keys=("part", "city")), "runs")
+    days = [runs.where(F.col("part") == k).drop("part") for k in range(RUN_PARTS)]
+    wrong = days[2].withColumn("v", F.col("v") * 2)
+    total = dashboard.add_runs(dashboard.add_runs(days[0], days[1]), wrong)
+    return dashboard.add_runs(total, days[2], wrong)
+
+
+@query("kpi_row_of_runs", f"WITH {OBS} {KPI} obs")
+def kpi_row_of_runs(spark, sf_dir):
+    row = dashboard.kpi_of_runs(stored(daily_runs(spark, sf_dir), "total"))
+    return row.select("listings", "median_ppsqm", r6("avg_ppsqm").alias("avg_ppsqm"), "cities")
+
+
+@query(
+    "median_by_city_of_runs",
+    f"""WITH {OBS} SELECT city, quantile_cont(price_per_sqm, 0.5) AS median_ppsqm
+    FROM obs WHERE price_per_sqm IS NOT NULL GROUP BY city""",
+)
+def median_by_city_of_runs(spark, sf_dir):
+    return dashboard.median_by_city_of_runs(stored(daily_runs(spark, sf_dir), "total")).select("city", "median_ppsqm")
+
+
 @query(
     "listings_by_month",
     f"""WITH {OBS} SELECT CAST(CAST(date_trunc('month', published_at) AS DATE) AS VARCHAR) AS month,
@@ -342,3 +393,15 @@ def text_search(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     named = documents.withColumnsRenamed({"source": "listing_title", "text": "description"})
     return dashboard.search_filter(named, {"q": "Tion_the"}).select("doc_id", "lang", "n_chars")
+
+
+@query(
+    "text_search_indexed",
+    "SELECT doc_id, lang, n_chars FROM documents WHERE text ILIKE '%Tion_the%' OR source ILIKE '%Tion_the%'",
+)
+def text_search_indexed(spark, sf_dir):
+    """The same search by trigram postings: only texts on all of its lists are read."""
+    path = scratch_path(spark, "text-index")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", "text", "source")
+    textindex.write_index(spread(documents), ["text", "source"], path)
+    return textindex.search(spark, path, "Tion_the", ["text", "source"]).select("doc_id", "lang", "n_chars")

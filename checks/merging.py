@@ -8,7 +8,7 @@ from checks.registry import query
 from checks.standin import OBS, TIES, now, observations, spread, table, ts_text
 from plotwise import schemas
 from plotwise.operators import merge, quality
-from plotwise.plans import details
+from plotwise.plans import details, metrics
 from plotwise.session import scratch_path
 from plotwise.sources import runs, staged, tables
 from plotwise.streaming import ingest
@@ -171,6 +171,22 @@ def snapshot_seen_dates(spark, sf_dir):
     )
 
 
+@query(
+    "sightings_folded",
+    f"""{SNAPSHOTS} SELECT listing_id, min(day) AS first_seen, max(day) AS last_seen FROM snaps GROUP BY 1""",
+)
+def sightings_folded(spark, sf_dir):
+    """First and last days kept up batch by batch: months as they are written, the first of them twice."""
+    path, kept = scratch_path(spark, "snapshots"), scratch_path(spark, "sightings")
+    rows = snapshots(spark, sf_dir).withColumn("day", F.trunc("day", "year"))
+    merge.append_snapshots(rows, path)
+    written = spark.read.parquet(path)
+    years = sorted(r["day"] for r in written.select("day").distinct().collect())
+    for days in (years[::2], years[1::2], years[:1]):
+        metrics.fold_sightings(written, days, kept)
+    return metrics.sightings(spark, kept).withColumns({c: F.col(c).cast("string") for c in ("first_seen", "last_seen")})
+
+
 # --- staged files ---------------------------------------------------------------
 
 

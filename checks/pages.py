@@ -12,6 +12,7 @@ from plotwise.operators import dedupe, discovery, extract, jsonld, quality
 from plotwise.plans import details, discovery as discovery_plan
 from plotwise.session import scratch_path
 from plotwise.sources import staged, tables
+from plotwise.sql import register
 
 def plain_text(html: str) -> str:
     """SQL: the entities the pages use, decoded as a browser does ('&amp' needs no ';')."""
@@ -326,6 +327,25 @@ def field_map(spark, sf_dir):
     )
 
 
+@query(
+    "sql_functions",
+    f"""SELECT page_id, rtrim({BARE}, '/') AS url, sha256(rtrim({BARE}, '/')) AS listing_id,
+    CAST(regexp_extract(url, '[0-9]+') AS INTEGER) AS number, trim({H1}) AS title,
+    len(regexp_extract_all(html, '<li>')) AS items FROM pages""",
+)
+def sql_functions(spark, sf_dir):
+    """Rules and page elements called from SQL text."""
+    register(spark)
+    table(spark, sf_dir, "pages").createOrReplaceTempView("captured")
+    return spark.sql("""
+        WITH said AS (
+          SELECT key, normalize_text(min_by(text, start) FILTER (WHERE tag = 'h1')) AS title, count_if(tag = 'li') AS items
+          FROM page_elements(TABLE(SELECT page_id, html FROM captured)) GROUP BY key)
+        SELECT page_id, canonical_url(url) AS url, listing_id(canonical_url(url)) AS listing_id, first_integer(url) AS number,
+          title, items
+        FROM captured JOIN said ON key = CAST(page_id AS STRING)""")
+
+
 # --- listing pages made from part rows -----------------------------------------
 # k = p_partkey % 6 picks the markup of a page, so that each cascade step is taken
 

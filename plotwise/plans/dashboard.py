@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plotwise.operators.ranks import exact_median, rank_within
+from plotwise.operators.ranks import exact_median, page_of
 from plotwise.session import cut_lineage
 from plotwise.sources.tables import SEARCH_COLUMNS
 
@@ -68,14 +68,14 @@ def search_page(found: DataFrame, after: dict | None = None, per_page: int = PAG
 
 
 def numbered_page(found: DataFrame, page: int, per_page: int = PAGE_SIZE, ties=("url",)) -> DataFrame:
-    """Any page by its number. Rows before it are counted per second, not gathered or sorted whole."""
+    """Any page by its number. Rows before it are counted per second, not gathered, ranked or sorted.
+
+    Rows without a time, or of one second, are cut into ranges of the ties where the page lies in them.
+    """
     seconds = F.unix_seconds("scraped_at")
     newest = found.agg(F.max(seconds).alias("s")).scalar()
     step = F.coalesce(newest - seconds + 1, F.lit(0))
-    stepped = found.withColumn("_second", step)
-    order = [F.col("scraped_at").desc_nulls_first(), *[F.col(t) for t in ties]]
-    ranked = rank_within(stepped.withColumn("_all", F.lit(0)), ["_all"], "_second", order, "_rank", top=page * per_page)
-    ranked = ranked.where(F.col("_rank") > (page - 1) * per_page)
+    ranked = page_of(found.withColumn("_second", step), "_second", _newest_first(ties), (page - 1) * per_page, page * per_page, "_rank")
     return search_columns(ranked.orderBy("_rank").limit(per_page), ties)
 
 
@@ -144,6 +144,41 @@ def median_by_city(df: DataFrame, value: str = "price_per_sqm") -> DataFrame:
     )
 
 
+def value_runs(df: DataFrame, value: str = "price_per_sqm", keys=("city",), day: str | None = None) -> DataFrame:
+    """[day,] keys, v, n: how often each value comes; what figures are made of, and what adds up."""
+    own = [*([day] if day else []), *keys]
+    return df.groupBy(*own, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
+
+
+def add_runs(total: DataFrame, new: DataFrame, old: DataFrame | None = None) -> DataFrame:
+    """Runs with a day's added, and what the day said before taken off. History is not read.
+
+    Runs are one row per value of a city, so they grow with the values, not with the days.
+    """
+    keys = [c for c in total.columns if c != "n"]
+    both = total.unionByName(new.select(*total.columns))
+    if old is not None:
+        both = both.unionByName(old.select(*keys, (-F.col("n")).alias("n")))
+    return both.groupBy(*keys).agg(F.sum("n").alias("n")).where("n <> 0")
+
+
+def kpi_of_runs(runs: DataFrame) -> DataFrame:
+    """kpi_row of the rows that the runs stand for."""
+    counts = runs.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("listings"),
+        (F.sum(F.col("v") * F.col("n")) / F.sum(F.when(F.col("v").isNotNull(), F.col("n")))).alias("avg_ppsqm"),
+        F.count_distinct("city").alias("cities"),
+    )
+    middle = exact_median(runs, "v", weight="n").select("median").scalar()
+    return cut_lineage(counts.select("listings", middle.alias("median_ppsqm"), "avg_ppsqm", "cities"))
+
+
+def median_by_city_of_runs(runs: DataFrame) -> DataFrame:
+    """median_by_city of the rows that the runs stand for."""
+    medians = exact_median(runs, "v", ["city"], weight="n")
+    return medians.select("city", F.col("median").alias("median_ppsqm")).orderBy(F.col("median_ppsqm").desc(), "city")
+
+
 def listings_by_month(df: DataFrame) -> DataFrame:
     """Listings per month of publication; months without any are absent."""
     return (

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from plotwise import schemas
 from plotwise.functions import amounts
@@ -259,16 +259,32 @@ def writable(loaded: DataFrame, now: Column, source_env: str = DEFAULT_ENV) -> D
     )
 
 
-def ingest_counters(staged: DataFrame, now: Column, source: str) -> DataFrame:
-    """Counts over one load: read, written, skipped, and what the written rows have."""
-    rows = load(staged, replace(DUMP, need_url=False), now, source)
+def _counters() -> list[Column]:
+    """What one load counts: read, written, skipped, and what the written rows have."""
     ok = empty_to_null(F.col("url")).isNotNull()
     both = (F.col("price_php") != 0) & (F.col("area_sqm") > 0)
-    return rows.agg(
-        F.count("*").alias("rows_read"),
+    return [
+        F.count(F.lit(1)).alias("rows_read"),
         F.count_if(ok).alias("rows_written"),
         F.count_if(ok & F.col("description").isNotNull()).alias("has_description"),
         F.count_if(ok & F.col("published_at").isNotNull()).alias("has_published_at"),
         F.count_if(ok & both).alias("price_and_area"),
         F.count_if(~ok).alias("skipped_invalid_url"),
-    )
+    ]
+
+
+def ingest_counters(staged: DataFrame, now: Column, source: str) -> DataFrame:
+    """Counts over one load, without writing it."""
+    return load(staged, replace(DUMP, need_url=False), now, source).agg(*_counters())
+
+
+def write_load(staged: DataFrame, now: Column, source: str, path: str) -> dict[str, int]:
+    """Write one load as Parquet and return its counters, observed while the rows are written.
+
+    They cost no second pass. The observation has a name of its own for each load, so that
+    loads in one session do not mix.
+    """
+    seen = Observation(f"{DUMP.name}_load_{uuid.uuid4().hex}")
+    rows = load(staged, replace(DUMP, need_url=False), now, source).observe(seen, *_counters())
+    writable(rows.where(empty_to_null(F.col("url")).isNotNull()), now).write.parquet(path)
+    return seen.get

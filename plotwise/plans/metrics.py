@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 GROWTH_ROWS = 7
 
@@ -12,6 +12,23 @@ def first_last_seen(observations: DataFrame, day: str = "as_of_date") -> DataFra
     return observations.groupBy("url").agg(F.min(day).alias("first_seen"), F.max(day).alias("last_seen"))
 
 
+def fold_sightings(snapshots: DataFrame, days: list, path: str, key: str = "listing_id", seen: str = "seen_at") -> None:
+    """Add the first and last sightings of some days' snapshots to those kept under a path.
+
+    Only the partitions of these days are read. Smallest and largest days are a lattice: a day
+    that is written again and folded again changes nothing it does not widen, in any order.
+    """
+    fresh = snapshots.where(F.col("day").isin(days)).withColumn("_day", F.to_date(seen))
+    folded = fresh.groupBy(key).agg(F.min("_day").alias("first_seen"), F.max("_day").alias("last_seen"))
+    folded.write.mode("append").parquet(path)
+
+
+def sightings(spark: SparkSession, path: str, key: str = "listing_id") -> DataFrame:
+    """First and last day of each listing, of all folds; one row per listing and fold is read."""
+    folds = spark.read.parquet(path)
+    return folds.groupBy(key).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
+
+
 def days_on_market(first: DataFrame, last: DataFrame) -> DataFrame:
     """Average and median days between first and last sighting, both counted.
 
