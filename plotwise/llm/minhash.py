@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -65,6 +67,7 @@ def registers(shingles: np.ndarray, bucket_bits: int = BUCKET_BITS, mantissa_bit
     return out
 
 
+@cache
 def _lenders(n: int) -> np.ndarray:
     """For each register an order in which it asks the others."""
     rng = np.random.default_rng(17)
@@ -80,7 +83,7 @@ def densified(regs: np.ndarray, tries: int = 16) -> np.ndarray:
     filled = regs > 0
     if filled.all() or not filled.any():
         return regs
-    out, lenders = regs.copy(), _LENDERS.setdefault(len(regs), _lenders(len(regs)))
+    out, lenders = regs.copy(), _lenders(len(regs))
     empty = np.flatnonzero(~filled)
     for start in range(0, len(regs), tries):
         asked = lenders[empty, start : start + tries]
@@ -93,7 +96,9 @@ def densified(regs: np.ndarray, tries: int = 16) -> np.ndarray:
     return out
 
 
-_LENDERS: dict[int, np.ndarray] = {}
+@cache
+def _factors(n: int, band: int) -> np.ndarray:
+    return np.random.default_rng(5).integers(0, 2**64, (n, band), dtype=np.uint64) | np.uint64(1)
 
 
 def bands(regs: np.ndarray, band: int = BAND) -> np.ndarray:
@@ -102,8 +107,7 @@ def bands(regs: np.ndarray, band: int = BAND) -> np.ndarray:
     if not regs.any():
         return np.zeros(0, np.uint64)
     rows = densified(regs)[: n * band].reshape(n, band).astype(np.uint64) + np.uint64(1)
-    factors = np.random.default_rng(5).integers(0, 2**64, (n, band), dtype=np.uint64) | np.uint64(1)
-    return mix((rows * factors).sum(1, dtype=np.uint64) + np.arange(1, n + 1, dtype=np.uint64))
+    return mix((rows * _factors(n, band)).sum(1, dtype=np.uint64) + np.arange(1, n + 1, dtype=np.uint64))
 
 
 def may_link(left: np.ndarray, right: np.ndarray, n_left, n_right, percent: int) -> np.ndarray:
