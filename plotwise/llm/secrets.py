@@ -28,6 +28,7 @@ ALPHABETS = {
 }
 LEAST_LENGTH = 24
 TOKEN = r"[A-Za-z0-9+/_-]{24,}={0,2}"
+PARTS = (r"[A-Za-z0-9_-]{24,}={0,2}", r"[A-Za-z0-9+/]{24,}={0,2}")
 RATE = 0.05  # of false discoveries: random tokens discarded as ordinary ones
 STEPS = 400  # p-values are counted in steps of a hundredth of a decade
 
@@ -69,6 +70,28 @@ def _matches(text: Column, pattern: str, group: int) -> Column:
     return F.when(F.regexp_like(text, F.lit(pattern)), placed).otherwise(empty)
 
 
+def _fitting(candidates: Column) -> Column:
+    """Candidates, those with signs of two alphabets cut at the signs of either.
+
+    A key in a path (`/api-v1/keys/...`) is a run with slashes and hyphens, which no alphabet
+    holds; its parts of enough length are candidates of their own.
+    """
+
+    def parts(c: Column) -> Column:
+        cut = F.concat(*[_matches(c["token"], pattern, 0) for pattern in PARTS])
+        placed = F.transform(
+            cut,
+            lambda p: F.struct(
+                (c["start"] + p["start"]).alias("start"), (c["start"] + p["end"]).alias("end"),
+                p["token"].alias("token"), p["value"].alias("value"),
+            ),
+        )
+        mixed = F.regexp_like(c["token"], F.lit("[+/]")) & F.regexp_like(c["token"], F.lit("[_-]"))
+        return F.when(mixed, placed).otherwise(F.array(c))
+
+    return F.array_distinct(F.flatten(F.transform(candidates, parts)))
+
+
 def _spans(matches: Column, kind: int) -> Column:
     return F.transform(
         matches, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end"))
@@ -182,7 +205,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Base spans are leftmost non-overlapping per pattern, in code points, end exclusive. The
     battery adds spans of kind `random`: tokens of at least 24 characters, not touching a
-    base span, whose randomness is not rejected. Tokens are tested once each, over the whole
+    base span, whose randomness is not rejected. A run that mixes + or / with - or _ fits no
+    alphabet: its parts between the one pair of signs and between the other are tested. Tokens are tested once each, over the whole
     corpus, so a token repeated in a third of the rows costs one test.
 
     A null or empty text has no spans; null ids are kept; rows repeating id and text get the
@@ -205,6 +229,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.array_sort(F.concat(*[_spans(F.col(f"m{k}"), k) for k in base])).alias("base"),
         "candidates",
     )
+    found = found.withColumn("candidates", _fitting(F.col("candidates")))
     # a token inside an assignment has to be matched to it: tokens overlap base spans or not
     free = F.filter(
         "candidates",

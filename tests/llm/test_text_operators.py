@@ -10,7 +10,7 @@ from plotwise.llm.exact import drop_exact_copies, exact_groups
 from plotwise.llm.minhash import bands, drop_near_copies, near_duplicates, registers
 from plotwise.llm.mixing import mix_sources, mixed_documents
 from plotwise.llm.pii import KINDS as PII_KINDS, base_spans, find_personal_data, fit, luhn, spans_of
-from plotwise.llm.secrets import KINDS, find_secrets, said_spans
+from plotwise.llm.secrets import ALPHABETS, KINDS, find_secrets, random_tokens, randomness, said_spans
 from plotwise.llm.substring import substring_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -316,6 +316,85 @@ def test_secrets(spark):
     assert {r.doc_id: r.said for r in found}[4].split(",")[0].startswith("assign:")
 
 
+def test_keys_in_paths(spark):
+    """A key behind slashes, hyphens and underscores is tested by itself, and spans are its own."""
+    import random
+    import string
+
+    rnd = random.Random(4)
+    keys = ["".join(rnd.choices(string.ascii_letters + string.digits, k=40)) for _ in range(60)]
+    ways = ("/api-v1/keys/{}", "/usr/lib_x/{} now", "é https://h.example/a-b/{}/c_d", "{}")
+    rows = [(i, ways[i % 4].format(k)) for i, k in enumerate(keys)]
+    found = {r.doc_id: r.spans for r in find_secrets(frame(spark, rows)).collect()}
+    exact = sum(any(rows[i][1][s.start : s.end] == k for s in found[i]) for i, k in enumerate(keys))
+    assert exact >= 50
+    assert not any(found[i] for i in found if found[i] and not any(rows[i][1][s.start : s.end] in keys[i] or keys[i] in rows[i][1][s.start : s.end] for s in found[i]))
+
+
+def plain_battery(token):
+    """The three p-values and the combined one, sum by sum."""
+    import math
+
+    body = token.rstrip("=")
+    name, chars = next((n, a) for n, a in ALPHABETS.items() if set(body) <= set(a))
+    at, n, k = [chars.index(c) for c in body], len(body), len(chars)
+
+    def tail(z):
+        return 1 / (1 + math.exp(min(z * 1.5976 + z**3 * 0.07056, 600)))
+
+    chi = sum(at.count(c) ** 2 for c in set(at)) * k / n - n
+    uniform = tail((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (1 - 1 / n))) if len(set(at)) > 1 else 0.0
+    high = [2 * x >= k for x in at]
+    pairs = 2 * sum(high) * (n - sum(high))
+    runs = 1 + sum(a != b for a, b in zip(high, high[1:]))
+    turns = 2 * tail(abs((runs - 1 - pairs / n) / math.sqrt(pairs * (pairs - n) / (n * n * (n - 1))))) if pairs > n else 0.0
+    mean = sum(at) / n
+    spread = sum((x - mean) ** 2 for x in at)
+    lagged = sum((a - mean) * (b - mean) for a, b in zip(at, at[1:]))
+    serial = 2 * tail(abs(lagged / spread * math.sqrt(n))) if spread else 0.0
+    ps = [max(p, 1e-30) for p in (uniform, turns, serial)]
+    x = -sum(map(math.log, ps))
+    return name, ps, min(math.exp(-x) * (1 + x + x * x / 2), 1.0)
+
+
+def test_battery_equals_plain_sums(spark):
+    import random
+    import string
+
+    rnd = random.Random(6)
+    tokens = ["a" * 30, "0123456789abcdef" * 3, "ab" * 20, "thequickbrownfoxjumpsoverit2", "A1" * 13 + "==", "keitlichenlichkeitbestunglichkeit-7"]
+    tokens += ["".join(rnd.choices(a, k=rnd.randint(24, 80))) for a in (string.hexdigits.lower(), string.ascii_letters + "+/", string.digits) for _ in range(10)]
+    got = {r.token: r for r in randomness(spark.createDataFrame([(t,) for t in tokens], "token string")).collect()}
+    for t in tokens:
+        name, ps, p = plain_battery(t)
+        r = got[t]
+        assert r.encoding == name and [r.p_uniform, r.p_runs, r.p_serial] == pytest.approx(ps, rel=1e-9) and r.p == pytest.approx(p, rel=1e-9)
+
+
+def test_step_up_equals_the_sorted_one(spark):
+    """Benjamini-Hochberg on steps rejects what sorting all p-values of a stratum rejects, but for a step's rounding."""
+    import math
+    import random
+    import string
+    from collections import defaultdict
+
+    rnd = random.Random(7)
+    tokens = ["".join(rnd.choices(string.ascii_letters + string.digits, k=32)) for _ in range(80)]
+    tokens += ["".join(rnd.choices("abcdefgh1", k=32)) for _ in range(60)] + ["".join(rnd.choices("aeiouXYZ09lmn", k=rnd.randint(24, 60))) for _ in range(60)]
+    strata = defaultdict(list)
+    for t in dict.fromkeys(tokens):
+        name, _, p = plain_battery(t)
+        strata[name, int(math.log2(len(t)))].append((min(int(-math.log10(p) * 100), 400), t))
+    want = set()
+    for found in strata.values():
+        found.sort(reverse=True)
+        last = max((i for i, (step, _) in enumerate(found, 1) if 10 ** (-step / 100) <= 0.05 * sum(s >= step for s, _ in found) / len(found)), default=0)
+        limit = found[last - 1][0] if last else math.inf
+        want |= {t for step, t in found if step < limit}
+    got = {r.token for r in random_tokens(spark.createDataFrame([(t,) for t in tokens], "token string")).collect()}
+    assert got == want and 0 < len(want) < len(set(tokens))
+
+
 def plain_personal(text):
     digits = lambda s: re.sub("[^0-9]", "", s)
     out = [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
