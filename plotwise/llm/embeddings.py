@@ -15,7 +15,9 @@ TABLES = 10  # random orderings that seed the graph
 CELL = 48  # members that one local join compares, more or less
 ROUNDS = 6  # of refinement at the most between two audits
 SETTLED = 0.002  # share of edges that a round must still improve
-AUDIT = 400  # query vectors of a recall audit, drawn by hash
+AUDIT = 400  # query vectors of a recall audit, drawn by hash; four times as many until
+LEAST_LINKS = 200  # so many true links are seen, all vectors were asked, or
+MOST_QUERIES = 6400  # the next draw would be larger than this
 RECALL = 0.98
 BLOCK = 512
 MAX_LISTS = 5  # enlargements of the lists after audits
@@ -213,15 +215,24 @@ def _against(queries: list, threshold: float):
     return read
 
 
-def audit(found: DataFrame, vectors: DataFrame, threshold: float, queries: int = AUDIT) -> float:
-    """Recall of a bounded number of query vectors' true links, a link being found when both ends share a component.
+def audit(found: DataFrame, vectors: DataFrame, threshold: float, queries: int = AUDIT) -> float | None:
+    """Recall of query vectors' true links, a link being found when both ends share a component.
 
-    Each query counts once, however many links it has. The lower of two means is given: over
-    queries, and over the components found, so that a large one does not outvote the others.
+    Queries are drawn until they show enough links to judge by. None if none of them had any
+    and others were not asked: then nothing is known. Each query counts once, however many
+    links it has. The lower of two means is given: over queries, and over the components
+    found, so that a large one does not outvote the others.
     """
-    drawn = vectors.orderBy(F.xxhash64("id"), "id").limit(queries).collect()
-    asked = [(r["id"], r["cell"], list(r["v"])) for r in drawn]
-    truth = stored(vectors.mapInArrow(_against(asked, threshold), "a long, b long"), "embeddings-audit")
+    while True:
+        drawn = vectors.orderBy(F.xxhash64("id"), "id").limit(queries).collect()
+        asked = [(r["id"], r["cell"], list(r["v"])) for r in drawn]
+        truth = stored(vectors.mapInArrow(_against(asked, threshold), "a long, b long"), "embeddings-audit")
+        seen, every = truth.count(), len(drawn) < queries
+        if seen >= LEAST_LINKS or every or 4 * queries > MOST_QUERIES:
+            break
+        queries *= 4
+    if not seen:
+        return 1.0 if every else None
     left = found.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     right = found.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     of_query = (
@@ -234,7 +245,7 @@ def audit(found: DataFrame, vectors: DataFrame, threshold: float, queries: int =
     )
     of_component = of_query.groupBy("ca").agg(F.avg("recall").alias("recall"), F.sum("recall").alias("s"), F.count("*").alias("n"))
     row = of_component.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.avg("recall").alias("m")).first()
-    return min(row["s"] / row["n"], row["m"]) if row["n"] else 1.0
+    return min(row["s"] / row["n"], row["m"])
 
 
 def _dealt(members: DataFrame, key: str) -> DataFrame:
@@ -427,9 +438,10 @@ def near_vectors(
     2. Edges at the threshold make components. Nodes whose list is full of links (the last
        place reaches the threshold) may miss some: they are compared with one another
        across components, exactly and in blocks, which is a list as long as it has to be.
-    3. A bounded number of query vectors, drawn by hash, is compared with all rows; below
-       the wanted recall the lists are doubled, seeded anew and refined again, with what was
-       found kept. If the last lists find too little, all nodes are compared as in 2.
+    3. Query vectors, drawn by hash until they show enough links (6,400 at the most), are
+       compared with all rows; below the wanted recall the lists are doubled, seeded anew and
+       refined again, with what was found kept. If the last lists find too little, or no query
+       had a link, all nodes are compared as in 2.
     4. Members of a component are compared in blocks, so that links count in full; only
        counts leave a task.
 
@@ -457,8 +469,9 @@ def near_vectors(
         full = near.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n")).filter(F.col("n") >= size).select("id")
         full = stored(ready.join(full, "id"), "embeddings-full")
         links, found = _joined_by(links, links_between(full, found, threshold), found)
-        whole = audit(found, ready, threshold) >= RECALL
-        if whole:
+        recall = audit(found, ready, threshold)
+        whole = recall is not None and recall >= RECALL
+        if whole or recall is None:
             break
         size *= 2
     if not whole:

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from plotwise.llm import embeddings
 from plotwise.llm.embeddings import audit, links_between, near_vectors
 from plotwise.llm.langid import codebook, identify_language
 from plotwise.llm.packing import best_fit, least_bins, local_search, pack_documents, vocabulary_path
@@ -199,6 +200,21 @@ def test_audit_of_small_groups(spark):
     assert audit(whole, vectors, 0.93) == 1.0
 
 
+def test_audit_without_links_knows_nothing(spark, monkeypatch):
+    """Few links among many vectors: queries are drawn until some are seen, and none seen is no pass."""
+    rng = np.random.default_rng(10)
+    rows = [(i, "32:1", v / np.linalg.norm(v)) for i, v in enumerate(rng.normal(size=(900, 32)))]
+    for g in range(5):
+        rows += [(2000 + 2 * g + i, "32:1", np.array(v) / np.linalg.norm(v)) for i, v in enumerate(clumps(rng, (2,)))]
+    vectors = spark.createDataFrame([(i, c, v.tolist()) for i, c, v in rows], "id long, cell string, v array<double>")
+    nothing = spark.createDataFrame([], "node long, component long")
+    assert audit(nothing, vectors, 0.93, queries=20) == 0.0
+    alone = vectors.filter("id < 2000")
+    assert audit(nothing, alone, 0.93, queries=20) == 1.0  # all were asked
+    monkeypatch.setattr(embeddings, "MOST_QUERIES", 50)
+    assert audit(nothing, alone, 0.93, queries=20) is None
+
+
 def test_links_between(spark):
     """All components that have a link between them are joined, by whatever shape they have."""
     rng = np.random.default_rng(10)
