@@ -351,52 +351,63 @@ def _arrow(kinds: str) -> pa.Schema:
 
 
 def _exact(value) -> Column:
-    return F.col(value).cast("decimal(20,0)")
+    return (F.col(value) if isinstance(value, str) else value).cast("decimal(20,0)")
 
 
-def scored(words: DataFrame, phrases: DataFrame) -> DataFrame:
-    """hi, lo, size, a, l, r, score of every phrase by its lowest-scoring cut, ties to the first."""
-    w = _ids()
-    parts = phrases.select("hi", "lo", "f").unionByName(
-        words.select(F.shiftleft("id", 32).alias("hi"), F.lit(0).cast("long").alias("lo"), "f")
-    )
-    cuts = []
-    for size in range(2, DEPTH + 1):
-        for k in range(1, size):
-            one, two = _key(w[:k]), _key(w[k:size])
-            names = ("hi1", "lo1", "hi2", "lo2")
-            cut = F.struct(F.lit(k).alias("k"), *[c.alias(n) for c, n in zip((*one, *two), names)])
-            cuts.append(F.when(F.col("size") == size, cut))
-    cut = phrases.select("hi", "lo", "size", F.col("f").alias("a"), F.explode(F.array_compact(F.array(*cuts))).alias("cut"))
-    cut = cut.select("hi", "lo", "size", "a", "cut.*")
-    for side, name in (("1", "l"), ("2", "r")):
-        part = parts.select(F.col("hi").alias(f"hi{side}"), F.col("lo").alias(f"lo{side}"), F.col("f").alias(name))
-        cut = cut.join(part, [f"hi{side}", f"lo{side}"])
-    cut = cut.withColumn("both", _exact("l") + _exact("r")).withColumn("times", F.lit(2000000).cast("decimal(8,0)") * _exact("a"))
-    best = F.min(F.struct(F.expr("times div both").alias("score"), "k", "l", "r")).alias("best")
-    found = cut.groupBy("hi", "lo", "size", "a").agg(best)
-    return found.select("hi", "lo", "size", "a", "best.l", "best.r", "best.score")
-
-
-def not_inside_longer(found: DataFrame, phrases: DataFrame) -> DataFrame:
+def not_inside_longer(phrases: DataFrame) -> DataFrame:
     """Without phrases that a longer frequent one holds in four of five occurrences.
 
     A phrase in a longer one is in a phrase one word longer, which is at least as frequent:
     left and right extensions decide.
     """
-    w, longer = _ids(), phrases.filter("size > 2")
-    inner = []
+    w, inner = _ids(), []
     for size in range(3, DEPTH + 1):
         for own in (w[: size - 1], w[1:size]):
             hi, lo = _key(own)
             inner.append(F.when(F.col("size") == size, F.struct(hi.alias("hi"), lo.alias("lo"))))
-    inner = longer.select("f", F.explode(F.array_compact(F.array(*inner))).alias("inner"))
+    inner = phrases.filter("size > 2").select("f", F.explode(F.array_compact(F.array(*inner))).alias("inner"))
     most = inner.groupBy("inner.hi", "inner.lo").agg(F.max("f").alias("most"))
-    found = found.join(most, ["hi", "lo"], "left")
-    held = F.col("most").cast("decimal(20,0)") * 100 >= _exact("a") * 80
+    found = phrases.join(most, ["hi", "lo"], "left")
+    held = _exact("most") * 100 >= _exact("f") * 80
     return found.filter(~F.coalesce(held, F.lit(False))).drop("most")
 
 
+def scored(words: DataFrame, phrases: DataFrame, chosen: DataFrame) -> DataFrame:
+    """hi, lo, a, l, r, score of the chosen phrases by their lowest-scoring cut, ties to the first.
+
+    Both parts of every cut are looked up among all phrases and words as narrow rows; a
+    phrase gathers its own six at the most.
+    """
+    w = _ids()
+    parts = phrases.select("hi", "lo", "f").unionByName(
+        words.select(F.shiftleft("id", 32).alias("hi"), F.lit(0).cast("long").alias("lo"), "f")
+    )
+    chosen = stored(chosen.withColumn("phrase", F.monotonically_increasing_id()), "chosen")
+    cuts = [(size, k, side) for size in range(2, DEPTH + 1) for k in range(1, size) for side in (0, 1)]
+    sides = []
+    for size, k, side in cuts:
+        hi, lo = _key(w[k:size] if side else w[:k])
+        part = F.struct(F.lit(2 * k + side).cast("byte").alias("part"), hi.alias("hi"), lo.alias("lo"))
+        sides.append(F.when(F.col("size") == size, part))
+    asked = chosen.select("phrase", F.explode(F.array_compact(F.array(*sides))).alias("own")).select("phrase", "own.*")
+    slots = range(2, 2 * DEPTH)
+    told = asked.join(parts, ["hi", "lo"]).groupBy("phrase")
+    told = told.agg(*[F.max(F.when(F.col("part") == p, F.col("f"))).alias(f"f{p}") for p in slots])
+    found = chosen.join(told, "phrase").withColumn("times", F.lit(2000000).cast("decimal(8,0)") * _exact("f"))
+    found = found.withColumns({f"both{k}": _exact(f"f{2 * k}") + _exact(f"f{2 * k + 1}") for k in range(1, DEPTH)})
+    scores = [
+        F.when(
+            F.col("size") > k,
+            F.struct(
+                F.expr(f"times div both{k}").alias("score"), F.lit(k).alias("k"), F.col(f"f{2 * k}").alias("l"), F.col(f"f{2 * k + 1}").alias("r")
+            ),
+        )
+        for k in range(1, DEPTH)
+    ]
+    best = found.withColumn("best", F.array_min(F.array_compact(F.array(*scores))))
+    return best.select("hi", "lo", F.col("f").alias("a"), "best.l", "best.r", "best.score")
+
+
 def collocations(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, top: int = TOP
 ) -> DataFrame:
@@ -414,7 +425,7 @@ def collocations(
     ignored. An empty table gives an empty result. A text longer than a shard is one shard.
     """
     words, phrases, totals = frequent_phrases(docs, text_col, lang_col, least)
-    found = stored(not_inside_longer(scored(words, phrases), phrases), "collocations")
+    found = stored(scored(words, phrases, not_inside_longer(phrases)), "collocations")
     every = F.posexplode(F.filter(F.array(*_ids()), lambda i: i > 0)).alias("place", "id")
     spelt = (
         found.select("hi", "lo", every)
