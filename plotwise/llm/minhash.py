@@ -306,7 +306,12 @@ def _across(
         F.min("component").alias("low"), F.max("component").alias("high"), F.min("key").alias("first")
     )
     placed = stored(placed.join(mixed.filter("low < high").select("band", "first"), "band"), "minhash-open")
-    family = components(placed.select(F.col("first").alias("a"), F.col("key").alias("b")).distinct())
+    # a document is linked with one of its buckets' firsts, and these with one another: the
+    # families are those of all buckets, and a document in forty buckets is not forty links
+    firsts = placed.groupBy("key").agg(F.collect_set("first").alias("firsts"))
+    firsts = firsts.select("key", "firsts", F.array_min("firsts").alias("a"))
+    between = firsts.select("a", F.explode("firsts").alias("b")).distinct()
+    family = components(firsts.select("a", F.col("key").alias("b")).union(between))
     members = (
         placed.select("key", "component")
         .distinct()
