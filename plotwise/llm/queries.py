@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plotwise.llm.conversations import damaged, repair_conversations
 from plotwise.llm.embeddings import near_vectors
@@ -35,6 +35,13 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _counts(spans: str, kinds) -> list[Column]:
+    """n_<kind> of each kind. The function given to filter() takes one argument: a second is the place in the array."""
+    return [
+        F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(kinds)
+    ]
+
+
 SQL_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
@@ -68,13 +75,9 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] < KINDS.index("random"))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-        for k, name in enumerate(KINDS[:3])
-    ]
     return found.select(
         "doc_id",
-        *counts,
+        *_counts("spans", KINDS[:3]),
         F.sha2(said_spans(base), 256).alias("base_sha256"),
         said_spans(F.col("spans")).alias("spans"),
     )

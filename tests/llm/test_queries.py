@@ -39,6 +39,34 @@ def test_query_returns_every_row(spark, name):
     assert set(ids) == known and (name.startswith("op9") or set(ids.values()) == {1})
 
 
+def documents(spark, folder, texts):
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in texts]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def digest(spans):
+    return hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+
+
+def test_secrets_are_counted_by_kind(spark, tmp_path):
+    keys = "AKIA" + "Q7" * 8, "AKIA" + "Z9" * 9
+    hexes = "0a" * 12, "9f" * 15, "77" * 13
+    texts = [
+        (1, f"password = abcdef and {keys[0]} {keys[1]}"),
+        (2, f"é {hexes[0]} {hexes[1]} {hexes[2]} AKIAQ7"),
+        (2, f"😀 {hexes[0]} {keys[0]}"),
+        (3, "token=abcde"), (4, None), (None, "Secret:'abcdef'"),
+    ]
+    got = Counter((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in QUERIES["op2_secret_scan"](spark, documents(spark, tmp_path, texts)).collect())
+    assert got == Counter([
+        (1, 1, 2, 0, digest([("assign", 0, 17), ("access", 22, 42), ("access", 43, 65)])),
+        (2, 0, 0, 3, digest([("hex", 2, 26), ("hex", 27, 57), ("hex", 58, 84)])),
+        (2, 0, 1, 1, digest([("hex", 2, 26), ("access", 27, 47)])),
+        (3, 0, 0, 0, digest([])), (4, 0, 0, 0, digest([])), (None, 1, 0, 0, digest([("assign", 0, 14)])),
+    ])
+
+
 def lower(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
 
