@@ -185,10 +185,7 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         return F.array_join(one, ",")
 
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-        for k, name in enumerate(PII_KINDS)
-    ]
+    counts = _counts("base", PII_KINDS)
     return found.select("doc_id", *counts, F.sha2(said("base"), 256).alias("base_sha256"), said("spans").alias("spans"))
 
 

@@ -67,6 +67,23 @@ def test_secrets_are_counted_by_kind(spark, tmp_path):
     ])
 
 
+def test_personal_data_is_counted_by_kind(spark, tmp_path):
+    texts = [
+        (1, "a@b.com 1.2.3.4 5.6.7.8 9.9.9.9 256.1.1.1"),
+        (2, "é 4111 1111 1111 1111, +1 555 123 4567 and +49 30 123 4567"),
+        (2, "x@y.org z@y.org"), (4, None), (None, "10.0.0.1"),
+    ]
+    rows = QUERIES["op6_personal_data"](spark, documents(spark, tmp_path, texts)).collect()
+    got = Counter((r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in rows)
+    ips = [("ip", 8, 15), ("ip", 16, 23), ("ip", 24, 31)]
+    assert got == Counter([
+        (1, 1, 3, 0, 0, digest([("email", 0, 7), *ips])),
+        (2, 0, 0, 1, 2, digest([("card", 2, 21), ("phone", 23, 38), ("phone", 43, 58)])),
+        (2, 2, 0, 0, 0, digest([("email", 0, 7), ("email", 8, 15)])),
+        (4, 0, 0, 0, 0, digest([])), (None, 0, 1, 0, 0, digest([("ip", 0, 8)])),
+    ])
+
+
 def lower(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
 
