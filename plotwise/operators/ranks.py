@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from plotwise.session import cut_lineage
 
 SPAN = 10_000  # page numbers per range
+FEW_BOUNDS = 20_000  # rows, two a group, that are sent to every task
 BINS = 1024  # parts of a group's values that one pass tells apart
 
 
@@ -77,12 +78,14 @@ def _median(rows: DataFrame, groups: list[str]) -> DataFrame:
     state = sizes.select(*groups, "n", F.posexplode(middles).alias("which", "k"), "lo", "hi")
     columns = [*groups, "n", "which", "k", "lo", "hi"]
     state = cut_lineage(state.select(*columns))
-    while not state.where("lo < hi").isEmpty():
+    while left := state.where("lo < hi").count():
         # halves cannot overflow; the bounds themselves are always told apart
         share = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
         part = F.least(F.floor(F.nanvl(share, F.lit(0.0)) * BINS), F.lit(BINS - 1))
+        # with few groups a shuffle by group would put all rows into as few tasks
+        bounds = state.where("lo < hi")
         parts = (
-            rows.join(state.where("lo < hi"), groups)
+            rows.join(F.broadcast(bounds) if left <= FEW_BOUNDS else bounds, groups)
             .where(F.col("v").between(F.col("lo"), F.col("hi")))
             .withColumn("part", F.when(F.col("v") == F.col("hi"), BINS).otherwise(part))
             .groupBy(*groups, "n", "which", "k", "part")

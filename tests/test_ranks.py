@@ -175,3 +175,20 @@ def test_paging(spark):
     assert len({r["url"] for p in pages for r in p}) == 60
     numbered = [dashboard.numbered_page(df, n, 25).collect() for n in (1, 2, 3, 4)]
     assert numbered == pages
+
+
+def test_median_of_all_rows_needs_no_shuffle_of_them(spark, monkeypatch):
+    """One group: a join by its key would put every row into one task."""
+    from plotwise.operators import ranks
+    from plotwise.session import cut_lineage
+
+    plans = []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut_lineage(df)
+
+    monkeypatch.setattr(ranks, "cut_lineage", seen)
+    rows = spark.createDataFrame([(float(i * 7 % 5003),) for i in range(5003)], "v double")
+    assert ranks.exact_median(rows, "v").first()["median"] == 2501.0
+    assert any("BroadcastHashJoin" in p for p in plans) and not any("SortMergeJoin" in p for p in plans)
