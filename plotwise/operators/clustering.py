@@ -6,8 +6,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from plotwise.session import stored
+
 BITS = 8  # of each column's place on the curve
 ROWS_PER_FILE = 1_000_000
+TASKS, FILES_A_TASK = 64, 64  # ranges are written by 64 tasks, more where each would write over 64 files
 ERROR = 0.002  # of the quantiles that bound a column's places
 
 
@@ -22,9 +25,13 @@ def _number(df: DataFrame, column: str) -> Column:
 
 
 def _place(value: Column, bounds: list[float]) -> Column:
-    """How many bounds lie below a value; 0 for NULL."""
+    """How many of the sorted bounds lie below a value; 0 for NULL. A step halves what is left of them."""
     array = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
-    return F.coalesce(F.size(F.filter(array, lambda b: b < value)), F.lit(0)).cast("long")
+    halves = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(bounds).bit_length()))] or [F.lit(1)])
+    found = F.aggregate(
+        halves, F.lit(0), lambda at, half: at + F.when(F.get(array, at + half - 1) < value, half).otherwise(F.lit(0))
+    )
+    return found.cast("long")
 
 
 def curve(df: DataFrame, columns: list[str]) -> Column:
@@ -36,11 +43,16 @@ def curve(df: DataFrame, columns: list[str]) -> Column:
     shares = [i / (1 << BITS) for i in range(1, 1 << BITS)]
     found = df.select(*[v.alias(c) for c, v in numbers.items()]).approxQuantile(columns, shares, ERROR)
     places = [_place(numbers[c], sorted(b)) for c, b in zip(columns, found)]  # equal bounds count each
-    bits = [
-        F.shiftleft(F.shiftright(place, bit).bitwiseAND(F.lit(1)), bit * len(places) + i)
-        for i, place in enumerate(places)
-        for bit in range(BITS)
-    ]
+
+    def dealt(place: Column, i: int) -> Column:
+        def bits(p: Column) -> Column:
+            one = [F.shiftleft(F.shiftright(p, bit).bitwiseAND(F.lit(1)), bit * len(places) + i) for bit in range(BITS)]
+            return reduce(lambda a, b: a.bitwiseOR(b), one)
+
+        # the array's one member gives the place a name, so it is looked up once, not for each bit
+        return F.get(F.transform(F.array(place), bits), F.lit(0))
+
+    bits = [dealt(place, i) for i, place in enumerate(places)]
     # rows that lack a column lie by themselves: no range of it needs them
     gaps = [F.shiftleft(numbers[c].isNull().cast("long"), BITS * len(places) + i) for i, c in enumerate(columns)]
     return reduce(lambda a, b: a.bitwiseOR(b), bits + gaps)
@@ -52,9 +64,11 @@ def write_clustered(df: DataFrame, columns: list[str], path: str, rows_per_file:
     Rows near in all columns share a file, so a filter on any of them leaves most files out.
     """
     spark = df.sparkSession
+    df = stored(df, "to-cluster")  # read by the count, the quantiles, the ranges' bounds and the write
     files = max(1, -(-df.count() // rows_per_file))
     placed = df.withColumn("_z", curve(df, columns))
-    placed.repartitionByRange(files, "_z").sortWithinPartitions("_z").drop("_z").write.parquet(f"{path}/rows")
+    ranges = placed.repartitionByRange(max(1, min(files, max(TASKS, -(-files // FILES_A_TASK)))), "_z").sortWithinPartitions("_z").drop("_z")
+    ranges.write.option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/rows")
     kept = spark.read.parquet(f"{path}/rows").withColumn("_file", F.col("_metadata.file_path"))
     bounds = [f(_number(df, c)).alias(f"{name}_{c}") for c in columns for name, f in (("min", F.min), ("max", F.max))]
     gaps = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]

@@ -206,6 +206,27 @@ def test_clustered_files_are_left_out(spark):
     assert clustering.read_clustered(spark, path, {"price": (5000, None)}).collect() == []
 
 
+def test_many_small_files_take_few_tasks(spark):
+    df = spark.range(8000).select(F.col("id").cast("double").alias("price"), (F.col("id") % 100).cast("int").alias("area"))
+    path = scratch_path(spark, "clustered")
+    clustering.write_clustered(df, ["price", "area"], path, rows_per_file=50)
+    files = clustering.files_for(spark, path, {})
+    tasks = {re.search(r"part-([0-9]+)", f)[1] for f in files}
+    assert len(files) >= 160 and len(tasks) <= clustering.TASKS
+    assert clustering.read_clustered(spark, path, {}).count() == 8000
+    kept = spark.read.parquet(f"{path}/manifest").agg(F.max("rows"), F.sum("rows")).first()
+    assert tuple(kept) == (50, 8000)
+
+
+def test_places_count_the_bounds_below(spark):
+    draw = random.Random(8)
+    for many in (0, 1, 2, 5, 255):
+        bounds = sorted(float(draw.randint(0, 40)) for _ in range(many))
+        values = [None, -1.0, 0.0, 17.0, 17.5, 40.0, 41.0, float("inf"), float("-inf")]
+        rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", clustering._place(F.col("v"), bounds).alias("n"))
+        assert [r["n"] for r in rows.collect()] == [0 if v is None else sum(b < v for b in bounds) for v in values]
+
+
 # --- counters and SQL functions ---------------------------------------------------------
 
 
