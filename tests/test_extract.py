@@ -385,3 +385,24 @@ def test_configured_fields(spark):
     got = extract.configured_fields(df, {"title": "h1", "price": ".p", "area": "i", "none": "b", "_w": "h1"}).first()
     assert got["fields"] == {"title": "Head", "price": "₱ 5,000 / mo", "area": "40 sqm"}
     assert got["price"]["value"] == 5000.0 and got["price"]["period"] == "month" and got["area"]["sqm"] == 40.0
+
+
+def test_pages_are_tokenised_in_slices(monkeypatch):
+    """Python objects of some pages at a time, whatever the size of the batch."""
+    import pyarrow as pa
+
+    from plotwise.functions import html
+
+    held, whole = [], html._as_arrow
+
+    def seen(rows, *rest):
+        held.append(len(rows))
+        return whole(rows, *rest)
+
+    pages = [None, "", "<p>one</p>", "<b>" + "x" * 3000, "<i>é</i>", None, "<li>" * 50, "<h1>last</h1>"] * 40
+    want = whole([html.tokens_of(p) for p in pages], html._ARROW_TYPE, html._failure)
+    monkeypatch.setattr(html, "_as_arrow", seen)
+    monkeypatch.setattr(html, "SLICE_BYTES", 4000)
+    assert html._in_slices(pa.array(pages, pa.string()), html.tokens_of, html._ARROW_TYPE, html._failure).equals(want)
+    assert max(held) < 20 and sum(held) == len(pages)
+    assert len(html._in_slices(pa.array([], pa.string()), html.tokens_of, html._ARROW_TYPE, html._failure)) == 0
