@@ -6,11 +6,13 @@ below make the NULLs, currencies and texts the given tables lack.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plotwise.functions.amounts import peso_price, per_sqm
 from plotwise.functions.urls import canonical_url
-from plotwise.session import tune
+from plotwise.session import file_system, tune
 
 TIES = ("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")
 CITY = r"(NATION_[0-9]+)"
@@ -21,9 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+PART_BYTES = 8 << 20  # of the files of a spread table for one partition
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """The given files hold one row group each; a stored table of that size would have more."""
-    return df.repartition(8)
+    """The given files hold one row group each; a stored table of that size would have more.
+
+    Partitions grow in number with the bytes of the files that the rows come from, not in size.
+    """
+    spark, size = df.sparkSession, 0
+    for path in df.inputFiles():
+        files, place = file_system(spark, unquote(path))
+        size += files.getFileStatus(place).getLen()
+    return df.repartition(max(8, -(-size // PART_BYTES)))
 
 
 def now() -> Column:
