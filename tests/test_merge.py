@@ -300,3 +300,17 @@ def test_folding_does_not_depend_on_the_order(rows, draw):
     assert fold(shuffled) == whole == fold(halves)
     for column in (0, 1):
         assert whole[column] == next((v[column] for v in reversed(rows) if v[column] is not None), None)
+
+
+def test_snapshots_written_twice_are_worked_out_once(spark, monkeypatch):
+    from checks import merging
+
+    plans, write = [], merge.append_snapshots
+
+    def seen(df, path):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, path)
+
+    monkeypatch.setattr(merge, "append_snapshots", seen)
+    assert merging.snapshot_seen_dates(spark, "/root/testdata/sf0.001").count() > 0
+    assert len(plans) == 2 and not any("lineitem" in p or "Join" in p for p in plans)
