@@ -20,13 +20,16 @@ STATE = "listing"
 KEY, TIME = "url", "scraped_at"
 SPLIT = POSITION[:2]  # the file, and the split's place in it
 NAMES = [n for n in schemas.LISTINGS.names if n != KEY]
-HELD_ROWS = 10_000  # rows, or listings folded from rows, held at a time before the shuffle
+RANK = "_rank"
+HELD_BYTES = 64 << 20  # of rows held in a Python task at a time, as Arrow
+PARTS = 8  # tasks that fold a batch's rows, for each that holds states
 
 # Times, dates and VARIANTs are kept as numbers and JSON texts.
 _KEPT = {T.TimestampType: T.LongType(), T.DateType: T.IntegerType(), T.VariantType: T.StringType()}
 FIELDS = [T.StructField(f.name, _KEPT.get(type(f.dataType), f.dataType)) for f in schemas.LISTINGS if f.name != KEY]
 # Beside the values: where each came from, and the latest row of all, as texts that sort.
 LISTING = T.StructType([*FIELDS, T.StructField("ranks", T.ArrayType(T.StringType())), T.StructField("newest", T.StringType())])
+RANKED = T.StructType([T.StructField(KEY, T.StringType()), *FIELDS, T.StructField(RANK, T.StringType())])
 ARRIVING = T.StructType([T.StructField(KEY, T.StringType()), *LISTING.fields])
 
 
@@ -90,35 +93,93 @@ def folded(held: list | None, row) -> list:
 
 
 def _ranked(batches):
-    """(url, observation) of rows in the order of their file; a task reads a split whole, from its start."""
+    """The rows with their rank, in the order of their file; a task reads a split whole, from its start."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
     lines: dict = {}
-    for batch in batches:
-        for url, *values, split, time in zip(*[c.to_pylist() for c in batch.columns]):
-            lines[split] = line = lines.get(split, 0) + 1
-            rank = f"{time}\x01{split}\x01{line:019d}"
-            yield url, [*values, [None if v is None else rank for v in values], rank]
+    for batch in filter(len, batches):
+        *columns, split, time = batch.columns
+        found = split.dictionary_encode()
+        codes, line = found.indices.to_numpy(), np.zeros(len(batch), dtype=np.int64)
+        for code, name in enumerate(found.dictionary.to_pylist()):
+            at = np.flatnonzero(codes == code)
+            line[at] = lines.get(name, 0) + 1 + np.arange(len(at))
+            lines[name] = lines.get(name, 0) + len(at)
+        place = pc.utf8_lpad(pc.cast(pa.array(line), pa.string()), width=19, padding="0")
+        rank = pc.binary_join_element_wise(time, split, place, "\x01", null_handling="replace", null_replacement="None")
+        yield pa.RecordBatch.from_arrays([*columns, rank], names=[KEY, *NAMES, RANK])
+
+
+def _tables(batches):
+    """The rows as Arrow tables of about HELD_BYTES."""
+    import pyarrow as pa
+
+    held, size = [], 0
+    for batch in filter(len, batches):
+        held.append(batch)
+        size += batch.nbytes
+        if size >= HELD_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _last(table, by_url: bool = True):
+    """The table in the order of url and rank, where its urls end, and for each url and column of
+    NAMES the place of the last row that says something, or -1. Without by_url a row is its own url."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    if by_url:
+        table = table.take(pc.sort_indices(table, sort_keys=[(KEY, "ascending"), (RANK, "ascending")]))
+    at, first = np.arange(len(table)), np.ones(len(table), dtype=bool)
+    if by_url:
+        code = table[KEY].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        first[1:] = code[1:] != code[:-1]
+    start = np.flatnonzero(first)
+    end = np.append(start[1:], len(table)) - 1
+    last = np.empty((len(end), len(NAMES)), dtype=np.int64)
+    for i, name in enumerate(NAMES):
+        said = table[name].is_valid().to_numpy()
+        last[:, i] = np.maximum.accumulate(np.where(said, at, -1))[end]
+    last[last < start[:, None]] = -1
+    return table, end, last
+
+
+def _numbered(fold: bool):
+    def run(batches):
+        """Rows with their rank. Of a url that comes often in a task only rows that still say something travel."""
+        import numpy as np
+        import pyarrow.compute as pc
+
+        for table in _tables(_ranked(batches)):
+            if fold and 2 * pc.count_distinct(table[KEY]).as_py() < len(table):
+                table, end, last = _last(table)
+                kept = np.unique(np.append(last, end))
+                table = table.take(kept[kept >= 0])
+            yield from table.to_batches(max_chunksize=10_000)
+
+    return run
 
 
 def _observations(fold: bool):
     def run(batches):
-        """Rows of ARRIVING. Folded, a url that comes very often in a task travels as one row of it."""
+        """Rows of ARRIVING: folded, or each row as it is."""
+        import numpy as np
         import pyarrow as pa
 
         schema = to_arrow_schema(ARRIVING)
-
-        def out(rows):
-            return pa.RecordBatch.from_pylist([dict(zip(schema.names, (url, *row))) for url, row in rows], schema)
-
-        held: dict = {}
-        for n, (url, row) in enumerate(_ranked(batches)):
-            if fold:
-                held[url] = folded(held.get(url), row)
-            else:
-                held[n] = (url, row)
-            if len(held) >= HELD_ROWS:
-                yield out(held.items() if fold else held.values())
-                held = {}
-        yield out(held.items() if fold else held.values())
+        for table in _tables(batches):
+            table, end, last = _last(table, fold)
+            taken = lambda name, at: table[name].combine_chunks().take(pa.array(at, mask=at < 0))
+            offsets = pa.array(np.arange(0, last.size + 1, len(NAMES)), pa.int32())
+            ranks = pa.ListArray.from_arrays(offsets, taken(RANK, last.ravel()))
+            columns = [taken(KEY, end), *[taken(n, last[:, i]) for i, n in enumerate(NAMES)], ranks, taken(RANK, end)]
+            folded_rows = pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+            yield from folded_rows.to_batches(max_chunksize=2_000)
 
     return run
 
@@ -137,7 +198,7 @@ class ListingState(StatefulProcessor):
         self.state = handle.getValueState(STATE, LISTING)
 
     def handleInputRows(self, key, rows, timerValues):
-        held = self.state.get() if self.state.exists() else None
+        held = self.state.get()  # one call: asking whether it exists costs as much as reading it
         held = None if held is None else [*held[:-2], list(held[-2]), held[-1]]
         time = NAMES.index(TIME)
         known = None if held is None else held[time]
@@ -148,7 +209,7 @@ class ListingState(StatefulProcessor):
             held = folded(held, row)
         if held is not None:
             self.state.update(tuple(held))
-            yield Row(**dict(zip((KEY, *NAMES), (key[0], *held[:-2]))))
+            yield Row(**{KEY: key[0]})  # the sink keeps nothing: the table is the states
 
     def close(self) -> None:
         pass
@@ -164,10 +225,14 @@ def ingest_listings(arriving: DataFrame, checkpoint: str, now: Column, ignore_la
     """
     spark = arriving.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
-    # late rows are told row by row, so they are not folded before they meet the state
-    rows = observed(arriving, now).mapInArrow(_observations(not ignore_late), ARRIVING)
+    # a batch's rows are folded before they meet the states: a state is read and written once for a
+    # url and batch; late rows are told row by row, so they are not folded
+    fold = not ignore_late
+    tasks = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = observed(arriving, now).mapInArrow(_numbered(fold), RANKED)
+    rows = rows.repartition(tasks, KEY).mapInArrow(_observations(fold), ARRIVING)
     changed = rows.groupBy(KEY).transformWithState(
-        ListingState(ignore_late), T.StructType([T.StructField(KEY, T.StringType()), *FIELDS]), "Update", "None"
+        ListingState(ignore_late), T.StructType([T.StructField(KEY, T.StringType())]), "Update", "None"
     )
     return (
         changed.writeStream.outputMode("update")
