@@ -16,9 +16,9 @@ UNITS = (
     ("hour", 3600),
     ("minute", 60),
 )
-AGO = "(?i)" + "".join(rf"(?:([0-9]+) ?{unit}s?)? ?,? ?" for unit, _ in UNITS[:-1]) + (
+AGO = "(?i)(?=[0-9 ,a])" + "".join(rf"(?:([0-9]+) ?{unit}s?)? ?,? ?" for unit, _ in UNITS[:-1]) + (
     r"(?:([0-9]+) ?minutes?)? ?ago"
-)  # on squeezed text
+)  # on squeezed text; the look-ahead spares the places where none can begin
 DATE_TOKEN = rf"([0-9]{{1,2}}{SPACE}+[A-Za-z]{{3,}}{SPACE}+[0-9]{{4}})"
 
 # Free-form dates, on lower-case text without weekday and time. Month names, then the
@@ -106,7 +106,9 @@ def with_absolute(df: DataFrame, out: str, text: Column, as_of: Column | None =
     hour = F.when(half.isNull(), hour).when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0))
     ahead = F.coalesce(part("hms", 5).try_cast("int"), F.lit(0)) * 60 + F.coalesce(part("hms", 6).try_cast("int"), F.lit(0))
     seconds = F.replace(F.coalesce(part("hms", 2), F.lit("0")), F.lit(","), F.lit(".")).try_cast("decimal(16,6)")
-    last = F.day(F.last_day(F.try_to_date(F.format_string("%04d-%02d-01", c["y"], c["m"]))))
+    # only of a month that is known: a format is written, and a cast fails, for NULLs too
+    first = F.when(c["y"].isNotNull() & c["m"].isNotNull(), F.format_string("%04d-%02d-01", c["y"], c["m"]))
+    last = F.day(F.last_day(F.try_to_date(first)))
     made = F.try_make_timestamp(
         c["y"],
         c["m"],

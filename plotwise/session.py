@@ -15,6 +15,8 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot compiles no method above 8000 bytes; many rules in one stage make longer ones
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 

@@ -1,10 +1,14 @@
 """Work that must not grow faster than the input: rows that meet states, widths of shuffles, compiled methods."""
 
+import re
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from plotwise import session
+from plotwise.functions import dates
 from plotwise.session import scratch_path
 from plotwise.streaming import ingest
 
@@ -65,3 +69,15 @@ def test_folding_in_arrow_equals_folding_row_by_row(rows, held, cut):
         rank = f"t\x01{split}\x01{lines[split]:019d}"
         want[url] = ingest.folded(want.get(url), [*values, [None if v is None else rank for v in values], rank])
     assert got == want
+
+
+def test_methods_that_hotspot_would_not_compile_are_not_made(spark):
+    assert session.tune(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+@pytest.mark.parametrize("text", ["posted 3 days, 12 hours ago", "ago", "AGO", "x 1 Year,2 months ago", " , ago", "3days ago!", "none", "agoago"])
+def test_the_look_ahead_of_relative_dates_loses_nothing(text):
+    plain = dates.AGO.replace("(?=[0-9 ,a])", "")
+    assert plain != dates.AGO
+    found, want = re.search(dates.AGO, text), re.search(plain, text)
+    assert (found and found.span()) == (want and want.span())
