@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from plotwise import session
-from plotwise.functions import dates
+from plotwise.functions import dates, urls
 from plotwise.session import scratch_path
 from plotwise.streaming import ingest
 
@@ -81,3 +81,13 @@ def test_the_look_ahead_of_relative_dates_loses_nothing(text):
     assert plain != dates.AGO
     found, want = re.search(dates.AGO, text), re.search(plain, text)
     assert (found and found.span()) == (want and want.span())
+
+
+def test_plain_addresses_are_cut_without_a_rewriting_pattern(column):
+    cases = {
+        "https://a.example.com/x/?ref=1#t": "https://a.example.com/x", "http://a/#?b": "http://a", "http://a/?#b": "http://a",
+        "https://a.b//": "https://a.b", "https://a/b;c?d": "https://a/b", "HTTPS://A/b?c": "https://A/b", "\t https://a/b/": "https://a/b",
+        "https://a/b\n?c": "https://a/b", "/b?c": None, None: None, "x://": "x:", "https://a/b\u2028": "https://a/b\u2028",
+    }
+    assert column(list(cases), urls.canonical_url) == list(cases.values())
+    assert column(["https://a/b?c"], lambda c: F.when(c.rlike(urls.PLAIN_URL), "plain")) == ["plain"]
