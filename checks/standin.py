@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plotwise.functions.amounts import peso_price, per_sqm
 from plotwise.functions.urls import canonical_url
-from plotwise.session import file_system, tune
+from plotwise.session import file_system, tune, widen
 
 TIES = ("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")
 CITY = r"(NATION_[0-9]+)"
@@ -29,12 +29,14 @@ PART_BYTES = 8 << 20  # of the files of a spread table for one partition
 def spread(df: DataFrame) -> DataFrame:
     """The given files hold one row group each; a stored table of that size would have more.
 
-    Partitions grow in number with the bytes of the files that the rows come from, not in size.
+    Partitions grow in number with the bytes of the files that the rows come from, not in size;
+    those of later shuffles too.
     """
     spark, size = df.sparkSession, 0
     for path in df.inputFiles():
         files, place = file_system(spark, unquote(path))
         size += files.getFileStatus(place).getLen()
+    widen(spark, size)
     return df.repartition(max(8, -(-size // PART_BYTES)))
 
 

@@ -39,6 +39,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SHUFFLE_BYTES = 8 << 20  # of the input for one partition of a shuffle
+WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def widen(spark: SparkSession, size: int) -> None:
+    """Let shuffles begin with a partition for every SHUFFLE_BYTES of an input of that size.
+
+    So partitions grow in number with the input and not in size. AQE merges those that turn out
+    small; a width that is set already, or the session's shuffle width, is only ever raised.
+    """
+    given = spark.conf.get(WIDTH, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(WIDTH, str(max(int(given), -(-size // SHUFFLE_BYTES))))
+
+
 def file_system(spark: SparkSession, path: str):
     """The store a path lies in, and the path as it names it."""
     context = spark.sparkContext

@@ -71,6 +71,22 @@ def test_folding_in_arrow_equals_folding_row_by_row(rows, held, cut):
     assert got == want
 
 
+def test_shuffles_are_as_wide_as_the_input_asks_for(spark, tmp_path, monkeypatch):
+    from checks import standin
+
+    path, given = str(tmp_path / "t"), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.range(200_000).write.parquet(path)
+    before = spark.conf.get(session.WIDTH, None)
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 10_000)
+    try:
+        standin.spread(spark.read.parquet(path))
+        assert int(spark.conf.get(session.WIDTH)) > 5 * int(given)
+        session.widen(spark, 1)
+        assert int(spark.conf.get(session.WIDTH)) > 5 * int(given)
+    finally:
+        spark.conf.set(session.WIDTH, before) if before else spark.conf.unset(session.WIDTH)
+
+
 def test_methods_that_hotspot_would_not_compile_are_not_made(spark):
     assert session.tune(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
 
