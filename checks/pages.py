@@ -350,6 +350,9 @@ def sql_functions(spark, sf_dir):
 # k = p_partkey % 6 picks the markup of a page, so that each cascade step is taken
 
 
+PAGE_TIMES = 64  # a part takes about ten bytes of its file, its page hundreds
+
+
 def listing_pages(spark, sf_dir, with_gaps=False):
     k, s = F.col("p_partkey") % 6, F.col
     size = s("p_size").cast("string")
@@ -397,7 +400,7 @@ def listing_pages(spark, sf_dir, with_gaps=False):
     if with_gaps:
         g = F.col("p_partkey") % 10
         body = F.when(g == 0, None).when(g == 1, "").when(g == 2, F.lit("<html><body><p>gone</p></body></html>")).otherwise(body)
-    part = spread(table(spark, sf_dir, "part")).withColumn("p_container", F.reverse("p_name"))
+    part = spread(table(spark, sf_dir, "part"), PAGE_TIMES).withColumn("p_container", F.reverse("p_name"))
     url = F.concat(F.lit("https://p.example.com/property/"), F.col("p_partkey").cast("string"))
     return part.select("p_partkey", url.alias("url"), body.alias("html"))
 

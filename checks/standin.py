@@ -26,16 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 PART_BYTES = 8 << 20  # of the files of a spread table for one partition
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, times: int = 1) -> DataFrame:
     """The given files hold one row group each; a stored table of that size would have more.
 
     Partitions grow in number with the bytes of the files that the rows come from, not in size;
-    those of later shuffles too.
+    those of later shuffles too. `times` says how much larger a row's bytes become.
     """
     spark, size = df.sparkSession, 0
     for path in df.inputFiles():
         files, place = file_system(spark, unquote(path))
         size += files.getFileStatus(place).getLen()
+    size *= times
     widen(spark, size)
     return df.repartition(max(8, -(-size // PART_BYTES)))
 

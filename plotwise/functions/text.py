@@ -45,7 +45,7 @@ def normalize_text(text: Column) -> Column:
 
 def strip_text(text: Column) -> Column:
     """No-break spaces become spaces, the ends are stripped, NULL becomes ''."""
-    return strip(F.translate(F.coalesce(text, F.lit("")), " ", " "))
+    return strip(F.replace(F.coalesce(text, F.lit("")), F.lit("\xa0"), F.lit(" ")))
 
 
 def captured(text: Column, pattern: str, group: int) -> Column:

@@ -87,6 +87,19 @@ def test_shuffles_are_as_wide_as_the_input_asks_for(spark, tmp_path, monkeypatch
         spark.conf.set(session.WIDTH, before) if before else spark.conf.unset(session.WIDTH)
 
 
+def test_pages_are_spread_by_what_they_become(spark, tmp_path, monkeypatch):
+    from checks import pages, standin
+
+    rows = spark.range(1000).selectExpr("id AS p_partkey", "uuid() AS p_name", "'t' AS p_type", "'b' AS p_brand", "1 AS p_size", "2D AS p_retailprice")
+    rows.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    before = spark.conf.get(session.WIDTH, None)
+    monkeypatch.setattr(standin, "PART_BYTES", 100_000)  # the file has about 40,000
+    try:
+        assert pages.listing_pages(spark, str(tmp_path)).rdd.getNumPartitions() > 16
+    finally:
+        spark.conf.set(session.WIDTH, before) if before else spark.conf.unset(session.WIDTH)
+
+
 def test_methods_that_hotspot_would_not_compile_are_not_made(spark):
     assert session.tune(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
 
