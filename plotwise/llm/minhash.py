@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from plotwise.llm.components import components
 from plotwise.llm.spark import ascii_lower, one_row_each, stored, unused
 from plotwise.llm.words import grams, hash_strings, lists, mix, slices, split_words
+from plotwise.operators import bloom
 
 SHINGLE = 4
 PERCENT = 80
@@ -420,7 +421,11 @@ def near_duplicates(
     rank = F.col("mass") * (1 << 20) + F.pmod(F.xxhash64("key"), F.lit(1 << 20))
     hubs = buckets.join(central, "key").groupBy("band").agg(F.max_by("key", rank).alias("hub"), F.max(rank).alias("rank"))
     involved = nodes.select("key", "set_key", "least").join(central.select("key"), "key", "left_semi")
-    texts = rows.join(involved.select(F.col("least").alias("key")).distinct(), "key", "left_semi")
+    # most texts share no bucket: a Bloom filter over the wanted ids drops those in the scan, so they are not shuffled
+    wanted = stored(involved.select(F.col("least").alias("key")).distinct(), "minhash-wanted")
+    bits = bloom.bits_for(wanted.count())
+    held = rows if bits is None else bloom.where_may_hold(rows, "key", bloom.filter_words(wanted, "key", bits), bits)
+    texts = held.join(wanted, "key", "left_semi")
     sets = texts.mapInArrow(_sets(shingle), "set_key string, shingles array<long>")
     # a document read for one of its texts shows all of them; a set counts once
     sets = sets.join(involved.select("set_key", "key"), "set_key").groupBy("key").agg(F.first("shingles").alias("shingles"))
@@ -469,13 +474,15 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Rows that repeat an id are one document, of which one row stays; rows with a null id are
     linked with nothing, and all stay. Clashing column names do no harm.
     """
-    found = near_duplicates(docs, id_col, text_col, **options).filter("kept and doc_id is not null")
-    kept = stored(found.groupBy("doc_id").agg(F.count("*").alias("rows")), "minhash-kept")
-    name = unused(docs, "_kept_id")
-
-    def of(ids: DataFrame) -> DataFrame:
-        return docs.join(ids.select(F.col("doc_id").alias(name)), F.col(id_col) == F.col(name), "left_semi")
-
-    out = of(kept.filter("rows = 1")).unionByName(docs.filter(F.col(id_col).isNull()))
-    often = kept.filter("rows > 1")
-    return out if often.isEmpty() else out.unionByName(one_row_each(of(often), [id_col]))
+    found = near_duplicates(docs, id_col, text_col, **options).filter("doc_id is not null")
+    ids = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.bool_or("kept").alias("kept"))
+    # the few ids that go, or repeat, are looked up, not the many that stay
+    special = stored(ids.filter("rows > 1 or not kept"), "minhash-special")
+    name = unused(docs, "_special_id")
+
+    def by_id(ids: DataFrame, how: str) -> DataFrame:
+        return docs.join(ids.select(F.col("doc_id").alias(name)), F.col(id_col) == F.col(name), how)
+
+    out = by_id(special, "left_anti")
+    often = special.filter("kept")
+    return out if often.isEmpty() else out.unionByName(one_row_each(by_id(often, "left_semi"), [id_col]))

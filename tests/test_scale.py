@@ -120,3 +120,24 @@ def test_plain_addresses_are_cut_without_a_rewriting_pattern(column):
     }
     assert column(list(cases), urls.canonical_url) == list(cases.values())
     assert column(["https://a/b?c"], lambda c: F.when(c.rlike(urls.PLAIN_URL), "plain")) == ["plain"]
+
+
+def test_texts_that_share_no_bucket_are_not_shuffled(spark, monkeypatch):
+    from plotwise.llm import minhash
+    from plotwise.operators import bloom
+
+    tested, may_hold = [], bloom.where_may_hold
+
+    def seen(df, *args):
+        out = may_hold(df, *args)
+        tested.append((df.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(bloom, "where_may_hold", seen)
+    other = [(k, " ".join(f"w{k}x{i}" for i in range(30))) for k in range(400)]
+    same = " ".join(f"word{i}" for i in range(40))
+    rows = [*other, (1000, same), (1001, same + " more"), (1001, same), (1002, None), (None, same), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [r["doc_id"] for r in minhash.drop_near_copies(docs).collect()]
+    assert sorted(k for k in kept if k is not None) == [*range(400), 1000, 1002] and kept.count(None) == 2
+    assert tested and all(after < before / 10 for before, after in tested)
