@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from plotwise.llm.components import components
-from plotwise.llm.spark import ascii_lower, one_row_each, stored, unused
+from plotwise.llm.spark import ascii_lower, in_arrow, one_row_each, stored, unused
 from plotwise.llm.words import grams, hash_strings, lists, mix, slices, split_words
 from plotwise.operators import bloom
 
@@ -360,16 +360,14 @@ def _across(
     other = other.withColumn("j", F.pmod(F.xxhash64("key", "family"), F.col("wide")).cast("int")).withColumn(
         "i", F.explode(F.sequence(F.lit(0), F.col("high") - 1))
     )
-    pairs = (
+    blocks = (
         upper.select(*columns)
         .unionByName(other.select(*columns))
         .join(slim.select("key", "registers", "listed"), "key")
         .repartition("family", "i", "j")
         .sortWithinPartitions("family", "i", "j")
-        .mapInArrow(_compared(percent), "a long, b long")
-        .distinct()
     )
-    return pairs, sets
+    return in_arrow(blocks, _compared(percent), "a long, b long").distinct(), sets
 
 
 def near_duplicates(
@@ -403,7 +401,7 @@ def near_duplicates(
     own sets. Other columns are ignored. An empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("key"), ascii_lower(F.col(text_col)).alias("text"))
-    signed = stored(rows.mapInArrow(_sign(shingle, band), SIGNED), "minhash-signed")
+    signed = stored(in_arrow(rows, _sign(shingle, band), SIGNED), "minhash-signed")
     usable = signed.filter("key is not null and set_key is not null")
     # a node is a distinct set, named by a number; one document that has it stands for all
     nodes = usable.groupBy("set_key").agg(
@@ -426,7 +424,7 @@ def near_duplicates(
     bits = bloom.bits_for(wanted.count())
     held = rows if bits is None else bloom.where_may_hold(rows, "key", bloom.filter_words(wanted, "key", bits), bits)
     texts = held.join(wanted, "key", "left_semi")
-    sets = texts.mapInArrow(_sets(shingle), "set_key string, shingles array<long>")
+    sets = in_arrow(texts, _sets(shingle), "set_key string, shingles array<long>")
     # a document read for one of its texts shows all of them; a set counts once
     sets = sets.join(involved.select("set_key", "key"), "set_key").groupBy("key").agg(F.first("shingles").alias("shingles"))
     sets = stored(sets, "minhash-sets")
@@ -439,11 +437,9 @@ def near_duplicates(
         .select(F.least("hub", "key").alias("a"), F.greatest("hub", "key").alias("b"))
         .distinct()
     )
-    stars = (
-        stars.join(slim.drop("listed").toDF("b", "n_b", "right"), "b")
-        .join(slim.drop("listed").toDF("a", "n_a", "left"), "a")
-        .mapInArrow(_estimated(percent), "a long, b long")
-    )
+    stars = stars.join(slim.drop("listed").toDF("b", "n_b", "right"), "b")
+    stars = stars.join(slim.drop("listed").toDF("a", "n_a", "left"), "a")
+    stars = in_arrow(stars, _estimated(percent), "a long, b long")
     links = stored(_verified(stars, sets, percent), "minhash-links")
     found = components(links)
     pairs, family_sets = _across(buckets, found, slim, sets, percent)

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from plotwise.llm.spark import stored
+from plotwise.llm.spark import in_arrow, stored
 from plotwise.llm.words import SLICE_BYTES, slices, split_words
 
 CAPACITY = 4096
@@ -308,7 +308,7 @@ def pack_documents(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = PIECES + (", ids array<int>" if with_ids else "")
-    pieces = stored(rows.mapInArrow(_pieces(path or vocabulary_path(), capacity, with_ids), schema), "packing-pieces")
+    pieces = stored(in_arrow(rows, _pieces(path or vocabulary_path(), capacity, with_ids), schema), "packing-pieces")
     columns = [c for c in pieces.columns if c != "row"]
     full = pieces.filter(F.col("length") == capacity)
     first = stored(_packed(pieces.filter(F.col("length") < capacity), capacity, 0), "packing-first")

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from plotwise.llm.spark import in_arrow
 from plotwise.llm.subwords import mean_over_subwords, plain, subwords
 from plotwise.llm.words import slices, split_words
 
@@ -205,7 +206,7 @@ def _fitted(batches):
 def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int) -> tuple[Model | None, float]:
     """The model and the share of positive labels; fitted by one task on the bounded sample."""
     rows = training_rows(docs, labels, id_col, text_col, label_col, max_rows).repartition(1)
-    made = rows.mapInArrow(_fitted, "share double, embeddings binary, readout binary, bias binary").collect()
+    made = in_arrow(rows, _fitted, "share double, embeddings binary, readout binary, bias binary").collect()
     if not made or made[0]["bias"] is None:
         return None, made[0]["share"] if made else 0.0
     shapes = {"embeddings": (1 << BITS, SIZE), "readout": (SIZE, 2), "bias": (2,)}
@@ -244,9 +245,8 @@ def score_toxicity(
         score = F.lit(float(share))
         return parts.select("doc_id", "held_out", score.alias("score"), (score >= threshold).cast("int").alias("predicted"))
     folded, offset = model.folded()
-    return parts.mapInArrow(
-        _scored(folded.astype(np.float32), offset, threshold), "doc_id long, held_out boolean, score double, predicted int"
-    )
+    scored = _scored(folded.astype(np.float32), offset, threshold)
+    return in_arrow(parts, scored, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def drop_toxic(
@@ -263,4 +263,4 @@ def drop_toxic(
     if model is None:
         return docs
     folded, offset = model.folded()
-    return docs.mapInArrow(_clean(folded.astype(np.float32), offset, threshold, text_col), docs.schema)
+    return in_arrow(docs, _clean(folded.astype(np.float32), offset, threshold, text_col), docs.schema)
