@@ -13,9 +13,9 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 import plotwise
-from plotwise.llm.spark import stored
+from plotwise.llm.spark import in_arrow, stored
 from plotwise.llm.words import slices
-from plotwise.session import scratch_path
+from plotwise.session import scratch_path, shuffles_freed
 
 # Python workers get this module with the function itself.
 cloudpickle.register_pickle_by_value(plotwise)
@@ -297,7 +297,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     """
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     texts = docs.select(lang.alias("lang"), F.col(text_col).alias("text"))
-    with _shards(texts.mapInArrow(_index_shards(_arrow(SHARD), SHARD_BYTES), SHARD)) as shards:
+    with _shards(in_arrow(texts, _index_shards(_arrow(SHARD), SHARD_BYTES), SHARD)) as shards:
         totals = stored(shards.groupBy("lang").agg(F.sum("n_words").alias("n")), "totals")
         said = shards.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
         words = said.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f"))
@@ -309,14 +309,14 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         allowed = stored(mine.groupBy("shard").agg(F.collect_list(own).alias("allowed")), "shard-words")
         index = shards.select("shard", "forward", "backward").join(allowed.hint("shuffle_hash"), "shard")
         made = "shard long, key long, f long"
-        pairs = index.mapInArrow(_per_shard(_arrow(made), _counted_pairs), made)
+        pairs = in_arrow(index, _per_shard(_arrow(made), _counted_pairs), made)
         pairs = pairs.withColumn("total", F.sum("f").over(Window.partitionBy("key"))).filter(F.col("total") >= least)
         pairs = stored(pairs.select("shard", "key", "total"), "shard-pairs")
 
         often = pairs.groupBy("shard").agg(F.collect_list("key").alias("pairs"))
         made = "hi long, lo long, f long"
         longer = index.join(often.hint("shuffle_hash"), "shard")
-        longer = longer.mapInArrow(_per_shard(_arrow(made), _counted_longer), made)
+        longer = in_arrow(longer, _per_shard(_arrow(made), _counted_longer), made)
         longer = longer.groupBy("hi", "lo").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
         size = F.when(F.col("lo").bitwiseAND((1 << 32) - 1) > 0, 4).otherwise(3)
         two = pairs.groupBy(F.col("key").alias("hi")).agg(F.max("total").alias("f"))
@@ -336,7 +336,8 @@ def _shards(made: DataFrame):
     path = scratch_path(spark, "fm-index")
     name = "fm_index_" + path.rsplit("-", 1)[1]
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    made.write.format("parquet").option("path", path).bucketBy(buckets, "shard").saveAsTable(name)
+    with shuffles_freed(spark):
+        made.write.format("parquet").option("path", path).bucketBy(buckets, "shard").saveAsTable(name)
     try:
         yield spark.table(name)
     finally:
