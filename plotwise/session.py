@@ -41,17 +41,22 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 SHUFFLE_BYTES = 8 << 20  # of the input for one partition of a shuffle
+MERGED_BYTES = 16 << 20  # of shuffled rows, compressed, that one task takes
 WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+ADVISED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 def widen(spark: SparkSession, size: int) -> None:
     """Let shuffles begin with a partition for every SHUFFLE_BYTES of an input of that size.
 
     So partitions grow in number with the input and not in size. AQE merges those that turn out
-    small; a width that is set already, or the session's shuffle width, is only ever raised.
+    small, to MERGED_BYTES at the most: what a task sorts takes several times that in memory. A width
+    that is set already, or the session's shuffle width, is only ever raised, a smaller size kept.
     """
     given = spark.conf.get(WIDTH, None) or spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set(WIDTH, str(max(int(given), -(-size // SHUFFLE_BYTES))))
+    to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    spark.conf.set(ADVISED, str(min(to_bytes(spark.conf.get(ADVISED)), MERGED_BYTES)))
 
 
 def file_system(spark: SparkSession, path: str):
