@@ -2,9 +2,13 @@
 
 import time
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from plotwise.llm import phrases
 from plotwise.llm.spark import ARROW_BYTES, BATCH_BYTES, in_arrow, stored
 from plotwise.session import FREED
 
@@ -52,3 +56,23 @@ def test_shuffle_files_go_with_the_write(spark):
         time.sleep(0.1)
     assert not left and rows.count() == 1000
     assert spark.conf.get(FREED) == given
+
+
+@pytest.mark.parametrize("size", [200, 70_000])
+def test_index_blobs_compress(size):
+    values = (np.random.default_rng(3).zipf(1.3, 40_000) % size).astype(np.int64)
+    blob = phrases._blob(values, size)
+    assert (phrases._whole(blob) == values).all()
+    plain = values.astype(np.uint16 if size < 2**16 else np.int32).tobytes()
+    assert len(blob) == len(plain) + 4
+    assert len(pa.compress(blob, codec="zstd", asbytes=True)) < 0.95 * len(pa.compress(plain, codec="zstd", asbytes=True))
+
+
+def test_indexes_lie_compressed(spark):
+    docs = spark.createDataFrame([("en", "one two three " * 50)], "lang string, text string")
+    made = in_arrow(docs, phrases._index_shards(phrases._arrow(phrases.SHARD), 1 << 20), phrases.SHARD)
+    with phrases._shards(made) as shards:
+        files = [f.removeprefix("file://") for f in shards.inputFiles()]
+        kinds = {pq.ParquetFile(f).metadata.row_group(0).column(c).compression for f in files for c in range(5)}
+        assert shards.count() == 1
+    assert kinds == {"ZSTD"}
