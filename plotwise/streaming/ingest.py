@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -16,13 +18,15 @@ from plotwise.sources.staged import CORRUPT, KINDS, POSITION, dump_glob, from_pa
 cloudpickle.register_pickle_by_value(plotwise)
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE = "listing"
+STATE = "listings"
 KEY, TIME = "url", "scraped_at"
 SPLIT = POSITION[:2]  # the file, and the split's place in it
 NAMES = [n for n in schemas.LISTINGS.names if n != KEY]
 RANK = "_rank"
 HELD_BYTES = 64 << 20  # of rows held in a Python task at a time, as Arrow
 PARTS = 8  # tasks that fold a batch's rows, for each that holds states
+BUCKET, BUCKETS = "_bucket", 1 << 15  # urls of a bucket share a state; a checkpoint's number of them is fixed
+TOLD = "_told"  # the ranks of a kept listing, each once and in order
 
 # Times, dates and VARIANTs are kept as numbers and JSON texts.
 _KEPT = {T.TimestampType: T.LongType(), T.DateType: T.IntegerType(), T.VariantType: T.StringType()}
@@ -31,6 +35,7 @@ FIELDS = [T.StructField(f.name, _KEPT.get(type(f.dataType), f.dataType)) for f i
 LISTING = T.StructType([*FIELDS, T.StructField("ranks", T.ArrayType(T.StringType())), T.StructField("newest", T.StringType())])
 RANKED = T.StructType([T.StructField(KEY, T.StringType()), *FIELDS, T.StructField(RANK, T.StringType())])
 ARRIVING = T.StructType([T.StructField(KEY, T.StringType()), *LISTING.fields])
+KEPT = T.StructType([T.StructField(STATE, T.StringType())])  # the listings of a bucket, as JSON
 
 
 def stream_staged(
@@ -184,39 +189,62 @@ def _observations(fold: bool):
     return run
 
 
+def _as_text(listings: dict) -> str:
+    """Listings by url as JSON: the fields that say something; a rank is written once and named by its place."""
+    kept = []
+    for url, (*values, ranks, newest) in listings.items():
+        told = sorted({newest, *(r for r in ranks if r is not None)})
+        place = {r: i for i, r in enumerate(told)}
+        said = {n: v for n, v in zip(NAMES, values) if v is not None}
+        kept.append({KEY: url, **said, "ranks": [place.get(r) for r in ranks], TOLD: told})
+    return json.dumps(kept, ensure_ascii=False)
+
+
+def _from_text(text: str) -> dict:
+    """Listings by url, each as folded() takes it."""
+    listings = {}
+    for kept in json.loads(text):
+        told = kept[TOLD]
+        ranks = [None if i is None else told[i] for i in kept["ranks"]]
+        listings[kept[KEY]] = [*map(kept.get, NAMES), ranks, told[-1]]
+    return listings
+
+
 class ListingState(StatefulProcessor):
-    """One state per url: the fields, where each came from, and the latest row's rank.
+    """One state per bucket of urls: of each its fields, where each came from, and the latest row's rank.
 
-    Folding does not depend on the order of arrival, so neither does the table on how files
-    become batches. With ignore_late a row older than the state it meets changes nothing.
+    Python asks for a state and gives it back with a call each, which costs far more than what is in it,
+    so urls share one. Folding does not depend on the order of arrival, so neither does the table on how files
+    become batches. With ignore_late a row older than the listing it meets changes nothing.
     """
 
     def __init__(self, ignore_late: bool = False):
         self.ignore_late = ignore_late
 
     def init(self, handle) -> None:
-        self.state = handle.getValueState(STATE, LISTING)
+        self.state = handle.getValueState(STATE, KEPT)
 
     def handleInputRows(self, key, rows, timerValues):
         held = self.state.get()  # one call: asking whether it exists costs as much as reading it
-        held = None if held is None else [*held[:-2], list(held[-2]), held[-1]]
+        listings = {} if held is None else _from_text(held[0])
         time = NAMES.index(TIME)
-        known = None if held is None else held[time]
+        known = {url: listing[time] for url, listing in listings.items()}
         for row in rows:
-            row = list(row)[1:]
-            if self.ignore_late and known is not None and row[time] < known:
+            said = json.loads(row[1])
+            url, row = said[KEY], [*map(said.get, NAMES), said["ranks"], said["newest"]]
+            if self.ignore_late and known.get(url) is not None and row[time] < known[url]:
                 continue
-            held = folded(held, row)
-        if held is not None:
-            self.state.update(tuple(held))
-            yield Row(**{KEY: key[0]})  # the sink keeps nothing: the table is the states
+            listings[url] = folded(listings.get(url), row)
+        if listings:
+            self.state.update((_as_text(listings),))
+            yield Row(**{BUCKET: key[0]})  # the sink keeps nothing: the table is the states
 
     def close(self) -> None:
         pass
 
 
 def ingest_listings(arriving: DataFrame, checkpoint: str, now: Column, ignore_late: bool = False):
-    """Start the job: load each batch by the dump rules, fold its rows into the listings' states.
+    """Start the job: load each batch by the dump rules, fold its rows into the states of the listings.
 
     The checkpoint holds what was read and the states; a batch that fails is run again
     from the states before it, so nothing counts twice and nothing is lost, and Spark lets one
@@ -225,14 +253,16 @@ def ingest_listings(arriving: DataFrame, checkpoint: str, now: Column, ignore_la
     """
     spark = arriving.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
-    # a batch's rows are folded before they meet the states: a state is read and written once for a
-    # url and batch; late rows are told row by row, so they are not folded
+    # a batch's rows are folded before they meet the states, a row for a url and batch; late rows are
+    # told row by row, so they are not folded
     fold = not ignore_late
     tasks = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = observed(arriving, now).mapInArrow(_numbered(fold), RANKED)
     rows = rows.repartition(tasks, KEY).mapInArrow(_observations(fold), ARRIVING)
-    changed = rows.groupBy(KEY).transformWithState(
-        ListingState(ignore_late), T.StructType([T.StructField(KEY, T.StringType())]), "Update", "None"
+    bucket = F.pmod(F.xxhash64(KEY), F.lit(BUCKETS)).cast("int")
+    told = rows.select(bucket.alias(BUCKET), F.to_json(F.struct(*ARRIVING.names)).alias("listing"))
+    changed = told.groupBy(BUCKET).transformWithState(
+        ListingState(ignore_late), T.StructType([T.StructField(BUCKET, T.IntegerType())]), "Update", "None"
     )
     return (
         changed.writeStream.outputMode("update")
@@ -246,11 +276,13 @@ def ingest_listings(arriving: DataFrame, checkpoint: str, now: Column, ignore_la
 def listings(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The listings table as the states of the last finished batch hold it."""
     held = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", STATE).load()
-    columns = [F.col(f"key.{KEY}").alias(KEY)]
+    kept = T.ArrayType(T.StructType([T.StructField(KEY, T.StringType()), *FIELDS]))
+    held = held.select(F.inline(F.from_json(f"value.{STATE}", kept, {"mode": "FAILFAST"})))
+    columns = [F.col(KEY)]
     for field in schemas.LISTINGS:
         if field.name == KEY:
             continue
-        value = F.col(f"value.{field.name}")
+        value = F.col(field.name)
         if isinstance(field.dataType, T.TimestampType):
             value = F.timestamp_micros(value)
         elif isinstance(field.dataType, T.DateType):

@@ -38,6 +38,29 @@ def test_a_url_of_many_files_meets_its_state_as_one_row(spark, monkeypatch):
     assert got == {"1": "title 3", "2": "title 3"}
 
 
+def test_urls_share_a_state_of_their_bucket(spark, monkeypatch):
+    monkeypatch.setattr(ingest, "BUCKETS", 3)
+    base, checkpoint = (scratch_path(spark, n) for n in ("drops", "cp"))
+    odd = 'say \\"ja\\" \\\\ \u00e9\U0001f600\u2028'
+    for run in (1, 2):
+        drop(spark, base, run, [LINE.format(k, f"{odd} {run}", run) for k in range(40)])
+    arriving = ingest.stream_staged(spark, base, files_per_batch=1)
+    ingest.ingest_listings(arriving, checkpoint, F.lit("2024-06-01").cast("timestamp")).awaitTermination()
+    states = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", ingest.STATE).load()
+    assert states.count() == 3
+    got = ingest.listings(spark, checkpoint).collect()
+    assert len({r["url"] for r in got}) == len(got) == 40
+    assert {(r["listing_title"], r["scraped_at"].month) for r in got} == {('say "ja" \\ \u00e9\U0001f600 2', 2)}
+
+
+def test_kept_listings_come_back_as_they_were():
+    values = {"price_php": -0.0, "area_sqm": "NaN", "listing_title": 'a"\n\\\u00e9\U0001f600', "bedrooms": 0, "scraped_at": 1 << 60}
+    rank = {"price_php": "2", "area_sqm": "1", "listing_title": "2", "bedrooms": "1", "scraped_at": "3"}
+    row = [*map(values.get, ingest.NAMES), [rank.get(n) for n in ingest.NAMES], "4"]
+    back = ingest._from_text(ingest._as_text({"u": row, "v": ingest.folded(None, row)}))
+    assert back == {"u": row, "v": row} and str(back["u"][ingest.NAMES.index("price_php")]) == "-0.0"
+
+
 SEEN = st.tuples(st.sampled_from("abc"), st.sampled_from("xyz"), st.one_of(st.none(), st.integers(0, 9)), st.one_of(st.none(), st.text(max_size=2)))
 
 
