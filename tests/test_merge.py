@@ -314,3 +314,57 @@ def test_snapshots_written_twice_are_worked_out_once(spark, monkeypatch):
     monkeypatch.setattr(merge, "append_snapshots", seen)
     assert merging.snapshot_seen_dates(spark, "/root/testdata/sf0.001").count() > 0
     assert len(plans) == 2 and not any("lineitem" in p or "Join" in p for p in plans)
+
+
+@pytest.fixture
+def freed_while_written(monkeypatch):
+    """What the setting that drops shuffle files says at each write of Parquet."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from plotwise.session import FREED
+
+    said, write = [], DataFrameWriter.parquet
+
+    def seen(self, *args, **kwargs):
+        said.append(self._spark.conf.get(FREED))
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    return said
+
+
+def test_shuffle_files_go_with_the_write_they_were_for(spark, freed_while_written):
+    from plotwise.plans import metrics
+    from plotwise.session import FREED, stored
+
+    before = spark.conf.get(FREED)
+    rows = spark.createDataFrame([("a", "2024-01-01 01:00:00"), ("b", "2024-01-02 01:00:00")], "listing_id string, seen_at string")
+    rows = rows.select("listing_id", F.col("seen_at").cast("timestamp").alias("seen_at"), F.to_date("seen_at").alias("day"))
+    path = scratch_path(spark, "snapshots")
+    merge.append_snapshots(stored(rows, "rows"), path)
+    metrics.fold_sightings(spark.read.parquet(path), [dt.date(2024, 1, 1)], scratch_path(spark, "sightings"))
+    assert freed_while_written == ["true"] * 3 and spark.conf.get(FREED) == before
+
+
+def test_snapshots_travel_by_url(spark):
+    rows = spark.createDataFrame([("u", dt.datetime(2024, 1, 1, h), float(h)) for h in (1, 5, 3)], "url string, seen_at timestamp, price_php double")
+    for name in ("area_sqm", "price_per_sqm", "property_type", "source"):
+        rows = rows.withColumn(name, F.lit(None).cast("string"))
+    got = merge.daily_snapshots(rows, ["seen_at"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(url" in plan and "hashpartitioning(listing_id" not in plan
+    (row,) = got.collect()
+    assert row["price_php"] == 5.0 and row["listing_id"] == spark.range(1).select(F.sha2(F.lit("u"), 256)).first()[0]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from([None, "a", "b"]), st.sampled_from([None, 1, 2]), st.sampled_from([None, 0.0, float("nan"), 3.0]), st.sampled_from([None, "x", "y"])), max_size=12))
+def test_a_row_compared_whole_is_the_row_picked_by_its_order(spark, rows):
+    from plotwise.operators.dedupe import argmax_rows, row_hash
+
+    df = spark.createDataFrame(rows, "k string, o int, v double, t string")
+    for order in (["o"], [F.col("o").isNull(), "v"], ["t", "o", "t"]):
+        picks = [F.col(c) if isinstance(c, str) else c for c in order]
+        plain = df.groupBy("k").agg(F.max_by(F.struct("o", "v", "t"), F.struct(*picks, row_hash(df))).alias("r")).select("k", "r.*")
+        got, want = (sorted(map(repr, d.collect())) for d in (argmax_rows(df, ["k"], order), plain))
+        assert got == want
