@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
+from plotwise.session import shuffles_freed
+
 GROWTH_ROWS = 7
 
 
@@ -20,7 +22,8 @@ def fold_sightings(snapshots: DataFrame, days: list, path: str, key: str = "list
     """
     fresh = snapshots.where(F.col("day").isin(days)).withColumn("_day", F.to_date(seen))
     folded = fresh.groupBy(key).agg(F.min("_day").alias("first_seen"), F.max("_day").alias("last_seen"))
-    folded.write.mode("append").parquet(path)
+    with shuffles_freed(folded.sparkSession):
+        folded.write.mode("append").parquet(path)
 
 
 def sightings(spark: SparkSession, path: str, key: str = "listing_id") -> DataFrame:
