@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from plotwise import schemas
 from plotwise.functions.text import empty_to_null
-from plotwise.session import file_system
+from plotwise.session import file_system, shuffles_freed
 
 CORRUPT = "_corrupt"
 DUMP_PATH = r"run_([^/]+)/staged/([^/]+)_(urls|listings|failures)\.jsonl"
@@ -133,19 +133,21 @@ def named_urls(df: DataFrame) -> DataFrame:
 
 
 def write_staged(df: DataFrame, path: str, ran: DataFrame | None = None) -> None:
-    """Replace the (run, portal) partitions present in df; others stay.
+    """Replace the (run, portal) partitions present in df; others stay. Files are gzipped JSON lines.
 
     `ran` names the (run, portal) that were worked on: those without rows are cleared, so
     nothing of an earlier try is left. They are as many as the registry has portals.
     """
     keys = ["run", "portal"]
-    (
-        df.hint("rebalance", *[F.col(k) for k in keys])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .json(path)
-    )
+    with shuffles_freed(df.sparkSession):
+        (
+            df.hint("rebalance", *[F.col(k) for k in keys])
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "gzip")
+            .partitionBy(*keys)
+            .json(path)
+        )
     if ran is None:
         return
     empty = ran.select(*keys).distinct().join(df.select(*keys).distinct(), keys, "left_anti")
