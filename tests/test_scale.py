@@ -164,3 +164,48 @@ def test_texts_that_share_no_bucket_are_not_shuffled(spark, monkeypatch):
     kept = [r["doc_id"] for r in minhash.drop_near_copies(docs).collect()]
     assert sorted(k for k in kept if k is not None) == [*range(400), 1000, 1002] and kept.count(None) == 2
     assert tested and all(after < before / 10 for before, after in tested)
+
+
+def test_staged_rows_lie_compressed(spark):
+    import glob
+
+    from plotwise.sources import staged
+
+    base = scratch_path(spark, "staged")
+    rows = spark.createDataFrame([("https://a/1", "r", "p"), (None, "r", "q")], "url string, run string, portal string")
+    staged.write_staged_urls(rows, base, F.lit("2024-06-01").cast("timestamp"))
+    files = glob.glob(f"{base}/urls/run=r/portal=*/part-*")
+    assert len(files) == 2 and all(f.endswith(".json.gz") for f in files)
+    assert {(r["portal"], r["url"]) for r in staged.read_staged(spark, base, "urls").collect()} == {("p", "https://a/1"), ("q", None)}
+
+
+def test_outcomes_are_kept_in_columns_and_not_checkpointed(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from plotwise.plans import details
+    from plotwise.sources import staged
+
+    def refused(self, *args, **kwargs):
+        raise AssertionError("checkpointed")
+
+    monkeypatch.setattr(DataFrame, "checkpoint", refused)
+    urls = spark.createDataFrame([("https://a/1", "r", "p"), ("https://a/2", "r", "p")], "url string, run string, portal string")
+    pages = spark.createDataFrame([("https://a/1", "<h1>Flat</h1>")], "url string, html string")
+    at, base = F.lit("2024-06-01").cast("timestamp"), scratch_path(spark, "details")
+    details.write_outcomes(details.detail_outcomes(urls, pages, at), base, at)
+    assert [r["title"] for r in staged.read_staged(spark, base, "listings").collect()] == ["Flat"]
+    assert [r["reason"] for r in staged.read_staged(spark, base, "failures").collect()] == ["no_html"]
+
+
+def test_rules_are_sent_to_the_elements_and_never_the_elements(spark, monkeypatch):
+    from plotwise.operators import selectors
+
+    kind = "_page long, scope string, start int, end int, parent int, nth int, last boolean, tag string, attrs map<string,string>, text_from int, text_to int"
+    elements = spark.createDataFrame([(1, "", 1, 1, 0, 1, True, "h1", {"class": "x"}, 0, 0)], kind)
+    rules = selectors.selector_rules([("", "title", "h1.x")])
+    for most, hint in ((10, "broadcast"), (0, "merge")):
+        monkeypatch.setattr(selectors, "SENT_RULES", most)
+        met = selectors.candidates(elements, rules)
+        plan = met._jdf.queryExecution().optimizedPlan().toString()
+        assert f"rightHint=(strategy={hint})" in plan and "leftHint" not in plan
+        assert [r["name"] for r in met.collect()] == ["title"]
